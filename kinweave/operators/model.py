@@ -1,23 +1,41 @@
 """Model-based matching: pair features, a logistic regression and a probability threshold.
 
-Candidate pairs come from the similarity join under loose thresholds, so they stay few;
-training and scoring are Spark ML on DataFrames.
+Candidate pairs come from the similarity join under loose thresholds, so they stay few.
+Training is Spark ML; scoring is a plain column expression of the fitted weights, so it
+runs in the same generated code as the join that made the pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.values import similarity
 
 
+@dataclass(frozen=True)
+class Matcher:
+    """Fitted weights of the pair features."""
+
+    fields: tuple[str, ...]
+    weights: tuple[float, ...]
+    intercept: float
+
+    def probability(self) -> Column:
+        terms = [F.col(f) * F.lit(w) for f, w in zip(feature_names(self.fields), self.weights)]
+        return 1 / (1 + F.exp(-reduce(Column.__add__, terms, F.lit(self.intercept))))
+
+
+def feature_names(fields: Sequence[str]) -> list[str]:
+    return [f"{kind}_{name}" for name in fields for kind in ("sim", "missing")]
+
+
 def pair_features(pairs: DataFrame, df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
     """Per pair and field: similarity (0 when a value is missing) and a missing flag."""
     values = F.struct(*fields)
@@ -36,25 +54,16 @@ def pair_features(pairs: DataFrame, df: DataFrame, id_col: str, fields: Sequence
     return joined.select("id_a", "id_b", *cols)
 
 
-def feature_names(fields: Sequence[str]) -> list[str]:
-    return [f"{kind}_{name}" for name in fields for kind in ("sim", "missing")]
-
-
-def train_matcher(features: DataFrame, truth: DataFrame, fields: Sequence[str]) -> PipelineModel:
+def train_matcher(features: DataFrame, truth: DataFrame, fields: Sequence[str]) -> Matcher:
     """Fit on candidate pairs; `truth` holds the (id_a, id_b) that are matches."""
     known = truth.select("id_a", "id_b").distinct().withColumn("label", F.lit(1.0))
     labelled = features.join(known, ["id_a", "id_b"], "left").na.fill({"label": 0.0})
-    steps = [
-        VectorAssembler(inputCols=feature_names(fields), outputCol="features"),
-        LogisticRegression(maxIter=50, regParam=0.001),
-    ]
-    return Pipeline(stages=steps).fit(labelled)
+    vectors = VectorAssembler(inputCols=feature_names(fields), outputCol="features").transform(labelled)
+    fitted = LogisticRegression(maxIter=50, regParam=0.001).fit(vectors.select("features", "label"))
+    return Matcher(tuple(fields), tuple(float(w) for w in fitted.coefficients), float(fitted.intercept))
 
 
-def model_links(features: DataFrame, model: PipelineModel, threshold: float) -> DataFrame:
+def model_links(features: DataFrame, matcher: Matcher, threshold: float) -> DataFrame:
     """(id_a, id_b, score): pairs whose match probability reaches the threshold."""
-    scored = model.transform(features)
-    probability = vector_to_array("probability")[1]
-    return scored.select("id_a", "id_b", F.round(probability, 6).alias("score")).where(
-        F.col("score") >= F.lit(threshold)
-    )
+    scored = features.select("id_a", "id_b", F.round(matcher.probability(), 6).alias("score"))
+    return scored.where(F.col("score") >= F.lit(threshold))

@@ -14,16 +14,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.functions.values import edit_budget, is_similar, similarity
+from kinweave.functions.values import edit_budget, similarity
 from kinweave.operators.components import components
 from kinweave.operators.exact import all_present
 from kinweave.session import cut
 
-# A signature bucket above this many candidate pairs is split by the next field.
+# A signature is split by the next field when it holds this many candidate pairs, and the
+# pairs outnumber the finer signatures this many times.
+SPLIT_PAIRS = 200_000
+SPLIT_GAIN = 8
+# Below this many pairs in all splittable signatures together, a split is not worth its jobs.
+WORTH_SPLITTING = 20_000_000
+# A signature no field can split further counts as crowded from here on.
 BUCKET_PAIRS = 50_000_000
 
 
@@ -58,20 +65,20 @@ def _count_up(first: Column, last: Column) -> Column:
 
 
 def segment_signatures(c: Column, threshold: float) -> Column:
-    """Signatures of a value in the role of the longer one: its own segments."""
+    """(i, s) for every segment of a value in the role of the longer one."""
     longer = F.length(c)
     budget = edit_budget(longer, threshold)
 
     def one(i: Column) -> Column:
         start, size = _segment(longer, budget, i)
-        return F.xxhash64(longer, i, F.substring(c, start + 1, size))
+        return F.struct(i.alias("i"), F.xxhash64(longer, i, F.substring(c, start + 1, size)).alias("s"))
 
     return F.transform(F.sequence(F.lit(0), budget), one)
 
 
 def substring_signatures(c: Column, threshold: float) -> Column:
-    """Signatures of a value in the role of the shorter one: for every longer length in
-    reach, every substring that can be one of its segments."""
+    """(i, s) for a value in the role of the shorter one: for every longer length in reach,
+    every substring that can be one of its segments."""
     own = F.length(c)
 
     def for_length(longer: Column) -> Column:
@@ -82,15 +89,23 @@ def substring_signatures(c: Column, threshold: float) -> Column:
             start, size = _segment(longer, budget, i)
             first = F.greatest(F.lit(0), start - F.floor((budget + gap) / 2).cast("int"))
             last = F.least(own - size, start + F.floor((budget - gap) / 2).cast("int"))
-            return F.transform(
-                _count_up(first, last),
-                lambda at: F.xxhash64(longer, i, F.substring(c, at + 1, size)),
-            )
+            return F.transform(_count_up(first, last), lambda at: F.struct(
+                i.alias("i"), F.xxhash64(longer, i, F.substring(c, at + 1, size)).alias("s")))
 
         return F.flatten(F.transform(F.sequence(F.lit(0), budget), for_segment))
 
-    reach = F.floor(own / F.lit(threshold) + F.lit(1e-9)).cast("int")
-    return F.array_distinct(F.flatten(F.transform(F.sequence(own, reach), for_length)))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(own, _reach(c, threshold)), for_length)))
+
+
+def _reach(c: Column, threshold: float) -> Column:
+    """The greatest length a similar value can have."""
+    return F.floor(F.length(c) / F.lit(threshold) + F.lit(1e-9)).cast("int")
+
+
+def signature_count(c: Column, threshold: float) -> Column:
+    """At most this many signatures in both roles, without making them."""
+    parts = edit_budget(_reach(c, threshold), threshold) + 1
+    return (_reach(c, threshold) - F.length(c) + 1) * parts * parts + parts
 
 
 def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField]) -> Column:
@@ -101,15 +116,34 @@ def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField]
     return F.round(total / F.lit(float(len(exact) + len(fuzzy))), 6)
 
 
+def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField]) -> Column:
+    """A profile as a struct; lengths and edit budgets are worked out here, once per row,
+    so that the test of a pair stays small enough to be compiled well."""
+    cols = [F.col("pid"), *[F.col(c) for c in exact]]
+    for f in fuzzy:
+        length = F.length(f.name)
+        cols += [F.col(f.name), length.alias(f"n_{f.name}"), edit_budget(length, f.threshold).alias(f"k_{f.name}")]
+    return F.struct(*cols)
+
+
 def _verified(
     joined: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float
 ) -> DataFrame:
-    """Rows with structs `a` and `b` that pass every field test, as canonical pairs."""
+    """Rows with structs `a` and `b` that pass every field test, as canonical pairs.
+
+    The longer value has the larger budget, so the larger budget is that of the pair.
+    Lengths of all fields are compared before the first edit distance, which stops at the
+    budget and answers -1 beyond it.
+    """
     test = F.col("a.pid") != F.col("b.pid")
     for name in exact:
         test = test & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    for f in fuzzy:
-        test = test & is_similar(F.col(f"a.{f.name}"), F.col(f"b.{f.name}"), f.threshold)
+    budgets = {f.name: F.greatest(f"a.k_{f.name}", f"b.k_{f.name}") for f in _by_threshold(fuzzy)}
+    for name, budget in budgets.items():
+        test = test & (F.abs(F.col(f"a.n_{name}") - F.col(f"b.n_{name}")) <= budget)
+    for name, budget in budgets.items():
+        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
+        test = test & (F.call_function("levenshtein", a, b, budget) >= 0)
     out = joined.where(test).select(
         F.least("a.pid", "b.pid").alias("id_a"), F.greatest("a.pid", "b.pid").alias("id_b"),
         pair_score("a", "b", exact, fuzzy).alias("score"),
@@ -117,26 +151,46 @@ def _verified(
     return out.where(F.col("score") >= F.lit(min_score)) if min_score > 0 else out
 
 
-def _join_sides(long_side: DataFrame, short_side: DataFrame, field: str) -> DataFrame:
-    """Candidate pairs of one signature, each pair once per shared signature."""
-    la, lb = F.length(f"a.{field}"), F.length(f"b.{field}")
-    ordered = (la > lb) | ((la == lb) & (F.col("a.pid") < F.col("b.pid")))
-    left = long_side.select("h", F.col("v").alias("a"))
+def _first_meeting(level: int, field: FuzzyField) -> Column:
+    """Whether a pair should meet here: equal values meet at their first segment only, and
+    where both lengths are equal in one of the two possible roles only."""
+    a, b = f"a.{field.name}", f"b.{field.name}"
+    first = (F.col(f"i{level}") == 0) | (F.col(a) != F.col(b))
+    la, lb = F.col(f"a.n_{field.name}"), F.col(f"b.n_{field.name}")
+    if level == 0:
+        return first & ((la > lb) | (F.col("a.pid") < F.col("b.pid")))
+    return first & (F.col(f"left_longer{level}") | (la < lb))
+
+
+def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[FuzzyField]) -> DataFrame:
+    """Candidate pairs of the signatures over the fields split by so far."""
     right = short_side.select("h", F.col("v").alias("b"))
-    return left.join(right, "h").where(ordered)
+    met = long_side.withColumnRenamed("v", "a").join(right, "h")
+    for level, field in enumerate(split):
+        met = met.where(_first_meeting(level, field))
+    return met
 
 
-def _hot_signatures(long_side: DataFrame, short_side: DataFrame, bucket_pairs: int) -> DataFrame:
-    sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s")).unionByName(
-        short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s"))
+def _crowded(
+    long_side: DataFrame, short_side: DataFrame, nxt: FuzzyField | None, split_pairs: int,
+    split_gain: float, bucket_pairs: int,
+) -> DataFrame:
+    """(h, pairs): signatures worth splitting by `nxt`, without one those above `bucket_pairs`."""
+    fan = signature_count(F.col(f"v.{nxt.name}"), nxt.threshold) if nxt else F.lit(0)
+    sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s"), fan.alias("fan")).unionByName(
+        short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s"), fan.alias("fan"))
     )
-    counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"))
-    too_many = F.col("l").cast("double") * F.col("s") > F.lit(float(bucket_pairs))
-    return counts.where(too_many).select("h")
+    counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"), F.sum("fan").alias("fan"))
+    pairs = F.col("l").cast("double") * F.col("s")
+    if nxt is None:
+        enough = pairs > F.lit(float(bucket_pairs))
+    else:
+        enough = (pairs > F.lit(float(split_pairs))) & (pairs > F.lit(split_gain) * F.col("fan"))
+    return counts.where(enough).select("h", pairs.alias("pairs"))
 
 
-def _split_by(side: DataFrame, hot: DataFrame, field: FuzzyField, is_long: bool) -> DataFrame:
-    """Rows of hot signatures under a finer signature that also covers `field`.
+def _split_by(side: DataFrame, hot: DataFrame, field: FuzzyField, level: int, is_long: bool) -> DataFrame:
+    """Rows of crowded signatures under a finer signature that also covers `field`.
 
     Which of two values is the longer one may differ from field to field, so each side
     shows `field` in both roles and the role is part of the finer signature.
@@ -144,13 +198,17 @@ def _split_by(side: DataFrame, hot: DataFrame, field: FuzzyField, is_long: bool)
     value = F.col(f"v.{field.name}")
     as_longer = segment_signatures(value, field.threshold)
     as_shorter = substring_signatures(value, field.threshold)
+
+    def with_role(signatures: Column, left_longer: bool) -> Column:
+        return F.transform(signatures, lambda x: F.struct(x["i"], x["s"], F.lit(left_longer).alias("left_longer")))
+
     first, second = (as_longer, as_shorter) if is_long else (as_shorter, as_longer)
-    signatures = F.concat(
-        F.transform(first, lambda s: F.xxhash64(F.lit(1), s)),
-        F.transform(second, lambda s: F.xxhash64(F.lit(2), s)),
+    both = F.concat(with_role(first, True), with_role(second, False))
+    finer = side.join(hot, "h", "left_semi").select("*", F.explode(both).alias("x"))
+    return finer.select(
+        *[c for c in side.columns if c != "h"], F.xxhash64("h", "x.s", "x.left_longer").alias("h"),
+        F.col("x.i").alias(f"i{level}"), F.col("x.left_longer").alias(f"left_longer{level}"),
     )
-    finer = side.join(hot, "h", "left_semi").select("h", "v", F.explode(signatures).alias("s"))
-    return finer.select(F.xxhash64("h", "s").alias("h"), "v")
 
 
 def _pivot_links(
@@ -163,7 +221,7 @@ def _pivot_links(
     what that links, only members outside the signature's largest component still need
     comparing with the others: pairs inside one component cannot change it.
     """
-    members = long_side.unionByName(short_side).dropDuplicates(["h", "v"])
+    members = long_side.select("h", "v").unionByName(short_side.select("h", "v")).distinct()
     pivots = members.groupBy("h").agg(F.min_by("v", F.col("v.pid")).alias("b"))
     near = _verified(
         members.select("h", F.col("v").alias("a")).join(pivots, "h"), exact, fuzzy, min_score
@@ -199,15 +257,16 @@ def _by_threshold(fuzzy: Sequence[FuzzyField]) -> list[FuzzyField]:
 def signature_sides(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField]
 ) -> tuple[DataFrame, DataFrame]:
-    """(h, v) twice: every row `v` under its signatures in the role of the longer value
-    and in that of the shorter one.  `h` covers the exact fields and the leading field."""
+    """(h, v, i0) twice: every row `v` under its signatures in the role of the longer value
+    and in that of the shorter one.  `h` covers the exact fields and the leading field, of
+    which `i0` is the segment."""
     lead = _by_threshold(fuzzy)[0]
     base = F.xxhash64(*[F.col(c) for c in exact]) if exact else F.lit(0).cast("long")
-    row = F.struct("pid", *exact, *[f.name for f in fuzzy])
+    row = _row(exact, fuzzy)
 
     def side(signatures: Column) -> DataFrame:
-        exploded = rows.select(row.alias("v"), base.alias("x"), F.explode(signatures).alias("s"))
-        return exploded.select(F.xxhash64("x", "s").alias("h"), "v")
+        exploded = rows.select(row.alias("v"), base.alias("x"), F.explode(signatures).alias("y"))
+        return exploded.select(F.xxhash64("x", "y.s").alias("h"), "v", F.col("y.i").alias("i0"))
 
     value = F.col(lead.name)
     return (
@@ -218,7 +277,8 @@ def signature_sides(
 
 def similar_pairs(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float = 0.0,
-    links_only: bool = False, bucket_pairs: int = BUCKET_PAIRS,
+    links_only: bool = False, split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN,
+    worth_splitting: int = WORTH_SPLITTING, bucket_pairs: int = BUCKET_PAIRS,
 ) -> DataFrame:
     """(id_a, id_b, score) over profile rows (`pid` and the fields), `id_a < id_b`.
 
@@ -227,31 +287,35 @@ def similar_pairs(
     connected components may be left out of signatures that stay crowded after every
     field has split them; the components are the same.
 
-    Runs one counting job per split to learn which signatures are crowded.
+    Runs a counting job per split, to learn which signatures are worth splitting.
     """
     order = _by_threshold(fuzzy)
-    lead = order[0]
     long_side, short_side = signature_sides(rows, exact, fuzzy)
-    found: DataFrame | None = None
-
-    def add(part: DataFrame) -> DataFrame:
-        return part if found is None else found.unionByName(part)
-
-    for nxt in [*order[1:], None]:
-        hot = cut(_hot_signatures(long_side, short_side, bucket_pairs))
-        if hot.isEmpty():
-            found = add(_verified(_join_sides(long_side, short_side, lead.name), exact, fuzzy, min_score))
+    done: list[DataFrame] = []
+    for level, field in enumerate(order):
+        split = order[: level + 1]
+        nxt = order[level + 1] if level + 1 < len(order) else None
+        hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain, bucket_pairs), "crowded")
+        total = hot.agg(F.sum("pairs")).first()[0] or 0.0
+        if nxt is not None and total < worth_splitting:
+            # Not worth a split: the remaining levels only look for crowded signatures.
+            hot = hot.where(F.col("pairs") > F.lit(float(bucket_pairs)))
+            total = 0.0 if total <= bucket_pairs else (hot.agg(F.sum("pairs")).first()[0] or 0.0)
+            nxt = None
+        if not total:
+            done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score))
             break
         cold = [s.join(hot, "h", "left_anti") for s in (long_side, short_side)]
-        found = add(_verified(_join_sides(*cold, lead.name), exact, fuzzy, min_score))
+        done.append(_verified(_join_sides(*cold, split), exact, fuzzy, min_score))
         if nxt is not None:
-            long_side = _split_by(long_side, hot, nxt, is_long=True)
-            short_side = _split_by(short_side, hot, nxt, is_long=False)
+            long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
+            short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
             continue
         crowded = [s.join(hot, "h", "left_semi") for s in (long_side, short_side)]
         if links_only:
-            found = cut(found.dropDuplicates(["id_a", "id_b"]))
-            found = add(_pivot_links(*crowded, found, exact, fuzzy, min_score))
+            found = cut(reduce(DataFrame.unionByName, done).distinct(), "links")
+            done = [found, _pivot_links(*crowded, found, exact, fuzzy, min_score)]
         else:
-            found = add(_verified(_join_sides(*crowded, lead.name), exact, fuzzy, min_score))
-    return found.dropDuplicates(["id_a", "id_b"])
+            done.append(_verified(_join_sides(*crowded, split), exact, fuzzy, min_score))
+        break
+    return reduce(DataFrame.unionByName, done).dropDuplicates(["id_a", "id_b"])

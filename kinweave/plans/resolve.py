@@ -6,14 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.operators.components import components
 from kinweave.operators.groups import job_stats, match_records, unmatched
-from kinweave.operators.mapping import map_schema, normalize
-from kinweave.operators.model import model_links, pair_features
+from kinweave.operators.mapping import normalize
+from kinweave.operators.model import Matcher, model_links, pair_features
 from kinweave.operators.provider import provider_links, provider_match
 from kinweave.operators.quality import split_required
 from kinweave.plans.rules import Rule, all_links, default_rules, rule_pairs
@@ -38,9 +37,8 @@ class Provider:
 class Model:
     """A fitted matcher, the loose rule that proposes pairs to it, and its threshold."""
 
-    pipeline: PipelineModel
+    matcher: Matcher
     candidates: Rule
-    fields: Sequence[str]
     threshold: float = 0.9
 
 
@@ -92,8 +90,8 @@ def find_links(
         links = provider_links(matched)
     else:
         pairs = cut(rule_pairs(normalized, id_col, model.candidates), "candidates")
-        features = pair_features(pairs, normalized, id_col, model.fields)
-        links = model_links(features, model.pipeline, model.threshold)
+        features = pair_features(pairs, normalized, id_col, model.matcher.fields)
+        links = model_links(features, model.matcher, model.threshold)
     return links.select(
         "id_a", "id_b", F.lit(1).alias("rule_index"), F.lit(None).cast("string").alias("rule_id"), "score"
     )
@@ -134,7 +132,3 @@ def resolve(
         job_stats(records), path,
     )
 
-
-def map_sources(df: DataFrame, attributes: Sequence[Attribute], source_fields=None) -> DataFrame:
-    """Typed attributes of a source table, ready for `resolve`."""
-    return map_schema(df, attributes, source_fields)

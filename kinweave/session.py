@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Comparing pairs costs far more than their bytes suggest: keep small shuffles spread.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinweave.session import cut
+
 # CSV dialect and the tokens that mean NULL in a CSV load.
 CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\"}
 NULL_TOKENS = ("NULL", "null", "")
@@ -75,8 +77,9 @@ def read_csv_load(
     if on_error != "continue":
         raise ValueError(f"on_error must be abort or continue, not {on_error!r}")
     marked = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = _csv(spark, marked, True).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path)
+    # Parsed once into a table: Spark refuses queries on the corrupt column of raw files alone.
+    rows = cut(_csv(spark, marked, True).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path), "csv")
     good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return nulls_from_tokens(good), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 

@@ -70,9 +70,9 @@ def stars(rows: str, id_col: str, keys: list[str], cte: str) -> str:
 def reach(edges: str, cte: str) -> str:
     """(id, root) of the components of an edge list."""
     return f"""{cte}_both as (select id_a as x, id_b as y from {edges} union select id_b, id_a from {edges}),
-{cte}_walk as (select x as id, x as at from {cte}_both union
-  select w.id, e.y from {cte}_walk w join {cte}_both e on e.x = w.at),
-{cte} as (select id, min(at) as root from {cte}_walk group by id)"""
+{cte}_walk as (select x as id, x as node from {cte}_both union
+  select w.id, e.y from {cte}_walk w join {cte}_both e on e.x = w.node),
+{cte} as (select id, min(node) as root from {cte}_walk group by id)"""
 
 
 def similar(rows: str, id_col: str, exact: list[str], fuzzy: dict[str, float], cte: str, least: float = 0) -> str:

@@ -280,7 +280,7 @@ def ml_match_person(spark, sf_dir):
     pairs = cut(rule_pairs(people, "id", loose))
     truth = pairs.where(F.substring("id_a", 2, 12) == F.substring("id_b", 2, 12))
     fitted = model.train_matcher(cut(model.pair_features(pairs, people, "id", ML_FIELDS)), truth, ML_FIELDS)
-    matcher = Model(fitted, loose, ML_FIELDS, threshold=0.5)
+    matcher = Model(fitted, loose, threshold=0.5)
     return resolve(person(spark, sf_dir), ATTRIBUTES, "id", model=matcher).links
 
 
