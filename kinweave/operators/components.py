@@ -13,30 +13,44 @@ from pyspark.sql import functions as F
 from kinweave.session import cut
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# A node with this many edges is a hub: its join partition is left to AQE's skew split.
+HUB_DEGREE = 1_000_000
+
+
+def _lowest(edges: DataFrame, hubs: bool) -> DataFrame:
+    """The smallest `lo` of every `hi`.  With hubs around it is cut into a table, because
+    AQE splits a skewed join partition only where no aggregate stands before the join."""
+    lowest = edges.groupBy("hi").agg(F.min("lo").alias("lower"))
+    return cut(lowest, "lowest") if hubs else lowest
+
+
+def _large_star(edges: DataFrame, hubs: bool) -> DataFrame:
     """Re-hang each node from its smaller neighbour's own smallest neighbour."""
-    lowest = edges.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("lower"))
+    lowest = _lowest(edges, hubs).withColumnRenamed("hi", "lo")
     return (
         edges.join(lowest, "lo", "left")
         .select("hi", F.coalesce("lower", "lo").alias("lo")).distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hubs: bool) -> DataFrame:
     """Hang a node and its smaller neighbours from the smallest of them."""
-    lowest = edges.groupBy("hi").agg(F.min("lo").alias("lower"))
+    lowest = _lowest(edges, hubs)
     others = edges.join(lowest, "hi").where("lo <> lower").select(F.col("lo").alias("hi"), "lower")
     return lowest.unionByName(others).select("hi", F.col("lower").alias("lo")).distinct()
 
 
-def _is_forest_of_stars(edges: DataFrame) -> bool:
-    """Every `hi` has one `lo`, and no `lo` is itself a `hi`."""
+def _shape(edges: DataFrame) -> tuple[bool, bool]:
+    """(settled, hubs).  Settled: every `hi` has one `lo`, and no `lo` is itself a `hi`."""
     ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
     ends = ends.unionByName(
         edges.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
     )
-    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return nodes.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    open_nodes, degree = nodes.agg(
+        F.count_if(F.expr("up > 1 or (up = 1 and down > 0)")), F.max(F.col("up") + F.col("down"))
+    ).first()
+    return open_nodes == 0, (degree or 0) >= HUB_DEGREE
 
 
 def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: int = 100) -> DataFrame:
@@ -50,9 +64,11 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: i
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     )
     for _ in range(max_rounds):
-        if _is_forest_of_stars(edges):
+        settled, hubs = _shape(edges)
+        if settled:
             members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
             roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
             return members.unionByName(roots)
-        edges = cut(_small_star(_large_star(edges)))
+        re_hung = _large_star(edges, hubs)
+        edges = cut(_small_star(cut(re_hung) if hubs else re_hung, hubs))
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")

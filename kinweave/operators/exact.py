@@ -3,7 +3,9 @@
 Records with equal keys form a group.  A group of n records is written as n - 1 links from
 its smallest id to the others, never as its n * (n - 1) / 2 pairs: same groups, linear size.
 The group minimum is a partial aggregate, so a key held by a third of all rows costs one
-row per map task; joining it back leaves that key's rows to AQE's skew split.
+row per map task.  The minima are cut into a table before they are joined back: AQE splits
+a skewed join partition only where both sides come straight from a shuffle, not where an
+aggregate stands in between.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.session import cut
+
 
 def all_present(cols: Sequence[str]) -> Column:
     test = F.lit(True)
@@ -29,7 +33,7 @@ def text_digest(c: Column) -> Column:
 def exact_links(df: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
     """(id_a, id_b): the smallest id of each key group with every other id of it.
 
-    A row with a NULL key part belongs to no group.
+    A row with a NULL key part belongs to no group.  Runs the job that finds the minima.
     """
     keyed = df.select(F.col(id_col).alias("id_b"), *keys).where(all_present(keys))
     anchors = (
@@ -37,7 +41,7 @@ def exact_links(df: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
         .agg(F.min("id_b").alias("id_a"), F.max("id_b").alias("last"))
         .where("id_a < last").drop("last")
     )
-    return keyed.join(anchors, list(keys)).where("id_b > id_a").select("id_a", "id_b")
+    return keyed.join(cut(anchors, "anchors"), list(keys)).where("id_b > id_a").select("id_a", "id_b")
 
 
 def element_links(df: DataFrame, id_col: str, array_key: str) -> DataFrame:

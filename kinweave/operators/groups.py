@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.session import cut
+
 
 def best_link(links: DataFrame) -> DataFrame:
     """Per record, its link of the first rule, of those the one with the highest score."""
@@ -71,10 +73,11 @@ def id_mapping(records: DataFrame, namespace: str, id_col: str, match_id: str) -
     namespace of its group, where the group's smallest id speaks for a namespace.
 
     Linear: a group gives one row per member and other namespace, never member times member.
+    The speakers are cut into a table so that AQE can split the join of a large group.
     """
     speakers = records.groupBy(match_id, F.col(namespace).alias("ns_to")).agg(F.min(id_col).alias("id_to"))
     members = records.select(match_id, F.col(namespace).alias("ns_from"), F.col(id_col).alias("id_from"))
-    return members.join(speakers, match_id).where("ns_from <> ns_to").select(
+    return members.join(cut(speakers, "speakers"), match_id).where("ns_from <> ns_to").select(
         "ns_from", "id_from", "ns_to", "id_to", F.col(match_id).alias("match_id")
     )
 

@@ -25,7 +25,7 @@ def mapped_attributes(
         else:
             out.append(Attribute(
                 name, entry.get("type", "TEXT"), entry.get("subtype", "NONE"),
-                match_key=bool(entry.get("match_key", False)),
+                match_key=bool(entry.get("matchKey", entry.get("match_key", False))),
                 required=bool(entry.get("required", False)),
                 array=bool(entry.get("array", False)), group=entry.get("group"),
             ))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.session import cut
+
 
 def key_digest(c: Column) -> Column:
     """The form in which identity tables carry keys: hex SHA-256."""
@@ -19,7 +21,8 @@ def provider_match(
 
     A key the reference lists twice gives its smallest identity.  Rows without a key skip
     the join: however many there are, they would all meet in one task.  Whether the
-    reference is broadcast is left to Spark's size check.
+    reference is broadcast is left to Spark's size check; where it is not, AQE splits a
+    key that very many records share, as the reference is cut into a table first.
     """
     unique = reference.groupBy(F.col(reference_key).alias("digest")).agg(
         F.min(reference_id).alias("provider_id")
@@ -27,7 +30,7 @@ def provider_match(
     keyed = df.where(F.col(key).isNotNull()).select(
         F.col(id_col).alias("id"), key_digest(F.col(key)).alias("digest")
     )
-    found = keyed.join(unique, "digest", "left").select("id", "provider_id")
+    found = keyed.join(cut(unique, "identities"), "digest", "left").select("id", "provider_id")
     without = df.where(F.col(key).isNull()).select(
         F.col(id_col).alias("id"), F.lit(None).cast(unique.schema["provider_id"].dataType).alias("provider_id")
     )

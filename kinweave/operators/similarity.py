@@ -217,12 +217,14 @@ def _pivot_links(
 ) -> DataFrame:
     """Links with the same components as all pairs of the given crowded signatures.
 
+    Lookups are cut into tables so that AQE can split the joins with crowded signatures.
+
     Every member is compared with the smallest member of its signature.  After joining
     what that links, only members outside the signature's largest component still need
     comparing with the others: pairs inside one component cannot change it.
     """
-    members = long_side.select("h", "v").unionByName(short_side.select("h", "v")).distinct()
-    pivots = members.groupBy("h").agg(F.min_by("v", F.col("v.pid")).alias("b"))
+    members = cut(long_side.select("h", "v").unionByName(short_side.select("h", "v")).distinct(), "members")
+    pivots = cut(members.groupBy("h").agg(F.min_by("v", F.col("v.pid")).alias("b")), "pivots")
     near = _verified(
         members.select("h", F.col("v").alias("a")).join(pivots, "h"), exact, fuzzy, min_score
     )
@@ -238,7 +240,7 @@ def _pivot_links(
         .groupBy("h").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
         .where("roots > 1").select("h", "main")
     )
-    open_rows = cut(labelled.join(largest, "h"))
+    open_rows = cut(labelled.join(cut(largest, "largest"), "h"))
     outside = open_rows.where("root <> main").select("h", F.col("v").alias("a"), F.col("root").alias("root_a"))
     anyone = open_rows.select("h", F.col("v").alias("b"), F.col("root").alias("root_b"))
     rest = _verified(
