@@ -59,16 +59,21 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: i
     Runs jobs: each round is cut into the shared checkpoint folder, so a lost executor
     costs tasks of the current round only.
     """
-    edges = cut(
+    edges = (
         links.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     )
+    edges = cut(edges, "edges")
+    settled, hubs = _shape(edges)
     for _ in range(max_rounds):
-        settled, hubs = _shape(edges)
         if settled:
             members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
             roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
             return members.unionByName(roots)
-        re_hung = _large_star(edges, hubs)
-        edges = cut(_small_star(cut(re_hung) if hubs else re_hung, hubs))
+        if hubs:
+            edges = cut(_small_star(cut(_large_star(edges, True)), True), "edges")
+        else:  # two turns a round: a plan without lookup tables stays one job
+            edges = _small_star(_large_star(_small_star(edges, False), False), False)
+            edges = cut(edges, "edges")
+        settled, hubs = _shape(edges)
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")

@@ -33,7 +33,8 @@ def text_digest(c: Column) -> Column:
 def exact_links(df: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
     """(id_a, id_b): the smallest id of each key group with every other id of it.
 
-    A row with a NULL key part belongs to no group.  Runs the job that finds the minima.
+    A row with a NULL key part belongs to no group.  Runs the job that finds the minima;
+    `df` is read twice, so a caller with costly keys cuts them into a table first.
     """
     keyed = df.select(F.col(id_col).alias("id_b"), *keys).where(all_present(keys))
     anchors = (

@@ -45,12 +45,22 @@ class FuzzyField:
 
 
 def profiles(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
-    """Distinct combinations of `fields` with the smallest id that has each (`pid`)."""
+    """Distinct combinations of `fields` with the smallest and the greatest id that has each
+    (`pid`, `last`)."""
     return (
-        df.where(all_present(fields)).groupBy(*fields).agg(F.min(id_col).alias("pid"))
+        df.where(all_present(fields)).groupBy(*fields)
+        .agg(F.min(id_col).alias("pid"), F.max(id_col).alias("last"))
     )
 
 
+def copy_links(df: DataFrame, id_col: str, fields: Sequence[str], distinct_rows: DataFrame) -> DataFrame:
+    """(id_a, id_b, score): every profile's smallest id with the other ids of the profile."""
+    shared = distinct_rows.where("pid < last").select(*fields, F.col("pid").alias("id_a"))
+    rows = df.where(all_present(fields)).select(F.col(id_col).alias("id_b"), *fields)
+    links = rows.join(shared, list(fields)).where("id_b > id_a")
+    return links.select("id_a", "id_b", F.lit(1.0).alias("score"))
+
+
 def _segment(longer: Column, budget: Column, i: Column) -> tuple[Column, Column]:
     """Start (from 0) and length of segment `i` when `longer` characters make budget + 1."""
     parts = budget + 1

@@ -122,7 +122,7 @@ def resolve(
         return ResolveResult(chosen, normalized, rejected)
     normalized = cut(normalized, "normalized")
     links = cut(find_links(normalized, id_col, chosen, attributes, rules, model, provider), "links")
-    groups = cut(components(links), "groups")
+    groups = components(links)
     records = match_records(
         accepted, id_col, groups, links, [id_col, *fields] if include_source else (), chosen
     )

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kinweave.operators.components import components
 from kinweave.operators.exact import exact_links
 from kinweave.operators.similarity import (
-    BUCKET_PAIRS, FuzzyField, pair_score, profiles, similar_pairs,
+    BUCKET_PAIRS, FuzzyField, copy_links, pair_score, profiles, similar_pairs,
 )
 from kinweave.schema import Attribute
 from kinweave.session import cut
@@ -98,10 +98,10 @@ def rule_pairs(df: DataFrame, id_col: str, rule: Rule, bucket_pairs: int = BUCKE
 
     A profile stands for all records with the same compared values, under its smallest id.
     """
-    copies = exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
     if not rule.fuzzy:
-        return copies
+        return exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
     distinct_rows = cut(profiles(df, id_col, rule.names), "profiles")
+    copies = copy_links(df, id_col, rule.names, distinct_rows)
     pairs = similar_pairs(
         distinct_rows, rule.exact, rule.fuzzy, rule.min_score, bucket_pairs=bucket_pairs
     )
@@ -110,10 +110,10 @@ def rule_pairs(df: DataFrame, id_col: str, rule: Rule, bucket_pairs: int = BUCKE
 
 def rule_links(df: DataFrame, id_col: str, rule: Rule, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
     """(id_a, id_b, score): the rule's groups as links to their smallest id."""
-    copies = exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
     if not rule.fuzzy:
-        return copies
+        return exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
     distinct_rows = cut(profiles(df, id_col, rule.names), "profiles")
+    copies = copy_links(df, id_col, rule.names, distinct_rows)
     pairs = similar_pairs(
         distinct_rows, rule.exact, rule.fuzzy, rule.min_score, links_only=True,
         bucket_pairs=bucket_pairs,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +41,8 @@ def read_entities(
 def read_avro(spark: SparkSession, path: str | list[str]) -> DataFrame:
     try:
         return spark.read.format("avro").load(path)
-    except Exception as error:
-        if "avro" in str(error).lower() and "not" in str(error).lower():
+    except AnalysisException as error:
+        if "find data source" in str(error):
             raise RuntimeError(
                 "reading Avro needs the external spark-avro package on the session's classpath"
             ) from error

@@ -176,7 +176,9 @@ def record_codec_person(spark, sf_dir):
 # --- matching ----------------------------------------------------------------------------
 
 def _document_keys(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text_digest(n.norm_text(F.col("text"))).alias("digest"))
+    """Digests of the whole normalized texts; cut, so that the texts are read once."""
+    digest = text_digest(n.norm_text(F.col("text"))).alias("digest")
+    return cut(table(spark, sf_dir, "documents").select("doc_id", digest), "digests")
 
 
 def exact_dup_documents(spark, sf_dir):
