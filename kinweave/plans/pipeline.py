@@ -20,7 +20,7 @@ from kinweave.sources.tables import register_table
 
 @dataclass(frozen=True)
 class PipelineResult:
-    resolved: ResolveResult
+    resolved: ResolveResult | None
     loaded: LoadResult
 
 
@@ -28,14 +28,21 @@ def run_pipeline(
     spark: SparkSession, input_path: str, attributes: Sequence[Attribute], target: KeyedTable,
     rules: Sequence[Rule] | None, as_of: datetime | str, fmt: str = "parquet",
     table: str = "kinweave_input", id_col: str = "id", output: str | None = None,
-    run: str | None = None, dry_run: bool = False,
+    run: str | None = None, newest_batch: str | None = None, dry_run: bool = False,
 ) -> PipelineResult:
     """Register `input_path` as a table, match its records, merge the result by id.
 
+    With `newest_batch`, a part of file names, only the greatest directory of `input_path`
+    that has such files is the input; without any, nothing is done.
     With `output` the match records are written as a run there and the load reads the
     latest run back, as separate jobs would.
     """
-    source = register_table(spark, table, input_path, source_struct(attributes), fmt)
+    if newest_batch is None:
+        source = register_table(spark, table, input_path, source_struct(attributes), fmt)
+    else:
+        source = read_latest(spark, input_path, fmt, source_struct(attributes), newest_batch)
+        if source is None:
+            return PipelineResult(None, load(None, target))
     resolved = resolve(source, attributes, id_col, rules, dry_run=dry_run, output=output, fmt="parquet", run=run)
     if dry_run:
         return PipelineResult(resolved, load(None, target, dry_run=True))

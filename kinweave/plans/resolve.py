@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -77,12 +77,12 @@ def choose_technique(
 
 
 def find_links(
-    normalized: DataFrame, id_col: str, technique: str, attributes: Sequence[Attribute],
-    rules: Sequence[Rule] | None, model: Model | None, provider: Provider | None,
+    normalized: DataFrame, id_col: str, technique: str,
+    rules: Sequence[Rule], model: Model | None, provider: Provider | None,
 ) -> DataFrame:
     """(id_a, id_b, rule_index, rule_id, score) of one technique."""
     if technique == "rule":
-        return all_links(normalized, id_col, rules or default_rules(attributes))
+        return all_links(normalized, id_col, rules)
     if technique == "provider":
         matched = provider_match(
             normalized, id_col, provider.key, provider.reference, provider.reference_key, provider.reference_id
@@ -101,18 +101,23 @@ def resolve(
     df: DataFrame, attributes: Sequence[Attribute], id_col: str = "id",
     rules: Sequence[Rule] | None = None, technique: str | None = None,
     model: Model | None = None, provider: Provider | None = None, include_source: bool = True,
-    carry: Sequence[str] = (), dry_run: bool = False, output: str | None = None,
-    fmt: str = "json", run: str | datetime | None = None,
+    carry: Sequence[str] = (), threshold: float | None = None, dry_run: bool = False,
+    output: str | None = None, fmt: str = "json", run: str | datetime | None = None,
 ) -> ResolveResult:
     """Match the records of `df`.
 
     Rows that lack a required attribute are rejected.  Keys are normalized once into a
     table of the shared folder, from which every rule scans just its columns; source
     fields stay out of all matching shuffles and are joined to the result at the end.
-    `carry` columns (a source name, say) pass through to `normalized`.  With `output` the
+    `threshold` is the least score of a matching pair: for rules that ask for less, and in
+    place of the model's own.  `carry` columns (a source name, say) pass through to `normalized`.  With `output` the
     records are written there.  A dry run plans the input and does no matching.
     """
     chosen = choose_technique(technique, rules, model, provider)
+    rules = list(rules or default_rules(attributes))
+    if threshold is not None:
+        rules = [replace(r, min_score=max(r.min_score, threshold)) for r in rules]
+        model = replace(model, threshold=threshold) if model else None
     fields = [a.name for a in attributes if a.name != id_col]
     typed = df.select(id_col, *[c for c in df.columns if c in set(fields) | set(carry)])
     accepted, rejected = split_required(typed, attributes)
@@ -121,7 +126,7 @@ def resolve(
     if dry_run:
         return ResolveResult(chosen, normalized, rejected)
     normalized = cut(normalized, "normalized")
-    links = cut(find_links(normalized, id_col, chosen, attributes, rules, model, provider), "links")
+    links = cut(find_links(normalized, id_col, chosen, rules, model, provider), "links")
     groups = components(links)
     records = match_records(
         accepted, id_col, groups, links, [id_col, *fields] if include_source else (), chosen

@@ -36,20 +36,26 @@ def build_session(app: str = "kinweave", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`.
+    """The folder all executors can reach: `spark.checkpoint.dir`, or where that is unset
+    the checkpoint folder given to the context.
 
-    Only a local session without that setting gets a temporary folder; a cluster session
-    without it is an error, because a machine-local folder is lost with its executor.
+    Only a local session without either gets a temporary folder; a cluster session is
+    refused, because a machine-local folder is lost with its machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="kinweave-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = context.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="kinweave-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

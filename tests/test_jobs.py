@@ -205,3 +205,29 @@ def test_load_results(spark, tmp_path):
 def test_sink_struct_of_the_person(spark):
     names = sink_struct(ATTRIBUTES).fieldNames()
     assert names[0] == "ID" and names[-3:] == ["MATCH_ID", "MATCH_SCORE", "LAST_UPDATED"] and names.count("ID") == 1
+
+
+def test_threshold_applies_to_pairs(spark):
+    df = spark.sql("select * from values ('1', 'mary'), ('2', 'marye'), ('3', 'zoe'), ('4', 'zoe') t(id, first_name)")
+    fields = [a for a in ATTRIBUTES if a.name in ("id", "first_name")]
+    rules = [Rule("r", (Fuzzy("first_name", 0.7),))]
+    low = resolve(df, fields, "id", rules)
+    high = resolve(df, fields, "id", rules, threshold=0.9)
+    assert {r.sourceId: r.matchId for r in low.records.collect()} == {"1": "1", "2": "1", "3": "3", "4": "3"}
+    assert {r.sourceId: r.matchId for r in high.records.collect()} == {"1": "1", "2": "2", "3": "3", "4": "3"}
+
+
+def test_whole_job_on_the_newest_batch(spark, tmp_path, sf_dir):
+    from kinweave.plans.pipeline import run_pipeline
+
+    people = person(spark, sf_dir)
+    people.where("source = 'web'").write.parquet(str(tmp_path / "in" / "20240101"))
+    people.where("source = 'crm'").write.parquet(str(tmp_path / "in" / "20240201"))
+    target = KeyedTable(spark, str(tmp_path / "t"), "ID")
+    options = dict(output=str(tmp_path / "out"), run="r1", newest_batch=".parquet")
+    dry = run_pipeline(spark, str(tmp_path / "in"), ATTRIBUTES, target, RULES, T0, dry_run=True, **options)
+    assert dry.loaded.status == "skipped" and target.read() is None
+    done = run_pipeline(spark, str(tmp_path / "in"), ATTRIBUTES, target, RULES, T0, **options)
+    assert done.loaded.inserted == 150 == target.read().where("ID like 'A%'").count()
+    none = run_pipeline(spark, str(tmp_path / "in"), ATTRIBUTES, target, RULES, T0, newest_batch=".orc")
+    assert none.resolved is None and none.loaded.loaded == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import normalize as n
@@ -16,14 +16,12 @@ from kinweave.plans.pipeline import run_pipeline
 from kinweave.plans.resolve import Model, resolve
 from kinweave.plans.rules import Exact, Fuzzy, Rule, all_links, rule_links, rule_pairs
 from kinweave.schema import Attribute
-from kinweave.session import cut, scratch_path, tune
-from kinweave.sinks.merge import KeyedTable, change_feed, merge_rows
+from kinweave.session import cut, scratch_path
+from kinweave.sinks.merge import KeyedTable
 from kinweave.sinks.tables import append_rows, create_target, insert_rows, overwrite_rows
 from kinweave.sinks.writers import write_results
-from kinweave.sources.batches import latest_batch, read_latest
-from kinweave.sources.readers import (
-    read_csv_load, read_entities, read_json_array, read_json_lines, read_json_strict,
-)
+from kinweave.sources.batches import read_latest
+from kinweave.sources.readers import read_csv_load, read_entities, read_json_lines, read_json_strict
 from kinweave.sources.tables import read_table, register_table, sql_source, union_sources
 from kinweave.streaming.files import append_changes, on_arrival, read_changes, stream_files
 from kinweave.streaming.incremental import match_batch
@@ -427,11 +425,10 @@ def json_result_roundtrip(spark, sf_dir):
 
 
 def json_array_person(spark, sf_dir):
-    """One array of records per postal code, read back with the outer array stripped."""
+    """An array of records per line, read back with the outer array stripped."""
     path = scratch_path(spark, "arrays")
     record = F.struct("id", "first_name", "postal_code")
-    arrays = person(spark, sf_dir).groupBy("postal_code").agg(F.to_json(F.collect_list(record)).alias("value"))
-    arrays.select("value").write.option("lineSep", "\n").text(path)
+    person(spark, sf_dir).select(F.to_json(F.array(record)).alias("value")).write.text(path)
     return read_json_lines(spark, path, "id string, first_name string, postal_code string")
 
 
