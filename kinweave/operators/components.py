@@ -70,10 +70,7 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: i
             members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
             roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
             return members.unionByName(roots)
-        if hubs:
-            edges = cut(_small_star(cut(_large_star(edges, True)), True), "edges")
-        else:  # two turns a round: a plan without lookup tables stays one job
-            edges = _small_star(_large_star(_small_star(edges, False), False), False)
-            edges = cut(edges, "edges")
+        re_hung = _large_star(edges, hubs)
+        edges = cut(_small_star(cut(re_hung, "edges") if hubs else re_hung, hubs), "edges")
         settled, hubs = _shape(edges)
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")

@@ -197,16 +197,16 @@ def score_threshold_part(spark, sf_dir):
 
 
 def mixed_rule_person(spark, sf_dir):
-    return rule_links(normalized_person(spark, sf_dir), "id", NAME_ADDRESS)
+    return rule_links(cut(normalized_person(spark, sf_dir), "people"), "id", NAME_ADDRESS)
 
 
 def all_fuzzy_person(spark, sf_dir):
     rule = Rule("names", (Fuzzy("first_name", 0.8), Fuzzy("last_name", 0.8), Fuzzy("address", 0.7)))
-    return rule_links(normalized_person(spark, sf_dir), "id", rule)
+    return rule_links(cut(normalized_person(spark, sf_dir), "people"), "id", rule)
 
 
 def rules_person(spark, sf_dir):
-    return all_links(normalized_person(spark, sf_dir), "id", RULES)
+    return all_links(cut(normalized_person(spark, sf_dir), "people"), "id", RULES)
 
 
 def topk_matches_part(spark, sf_dir):
