@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +35,17 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """`name`, with underscores put before it until no column of `df` is called so."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as `--py-files` would."""
+    context, package = spark.sparkContext, Path(__file__).parent.parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="kinweave-")) / "kinweave_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from kinweave.llm.common import read
 from kinweave.llm.exact_dedup import mark_copies
+from kinweave.llm.language_id import tag_languages
 from kinweave.llm.mixing import mix
+from kinweave.llm.packing import pack_documents
 from kinweave.llm.quality_rules import judge
 from kinweave.llm.url_filter import judge_urls
 from kinweave.llm.warc import archive_folder, archive_records, key_of, read_warc, write_warc
@@ -19,6 +21,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(read(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -36,6 +43,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_languages(read(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents"))
     return mixed.select(
@@ -48,5 +59,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op4_quality_rules, op6_warc, op8_source_mixing, op9_url_filter)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op3_best_fit_packing, op4_quality_rules, op6_warc, op7_language_id, op8_source_mixing, op9_url_filter,
+    )
 }

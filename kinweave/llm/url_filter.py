@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm.common import ship
 from kinweave.llm.textvec import Spans, row_sums, texts
 
 GRAMS = (3, 4, 5)
@@ -123,6 +124,7 @@ def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules:
     NULL or a URL without `://` has empty host and path, which the model judges as any other;
     repeated rows are judged alike; an empty table gives no rows; other columns are not read.
     """
+    ship(pages.sparkSession)
     weights = fit() if weights is None else weights
     parts = pages.select(F.col(key).alias("_key"), host_of(F.coalesce(url, F.lit(""))).alias("host"),
                          path_of(F.coalesce(url, F.lit(""))).alias("path"))

@@ -25,6 +25,7 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage,
 )
 
+from kinweave.llm.common import ship
 from kinweave.session import cut, scratch_path
 
 MANIFEST = "_manifest.json"
@@ -296,6 +297,7 @@ class WarcSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make the format known to the session and let Spark hand it filters."""
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
