@@ -12,6 +12,7 @@ from kinweave.llm.exact_dedup import mark_copies
 from kinweave.llm.language_id import tag_languages
 from kinweave.llm.mixing import mix
 from kinweave.llm.packing import pack_documents
+from kinweave.llm.quality_crf import classify
 from kinweave.llm.quality_rules import judge
 from kinweave.llm.url_filter import judge_urls
 from kinweave.llm.warc import archive_folder, archive_records, key_of, read_warc, write_warc
@@ -21,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(read(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
@@ -61,6 +66,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op3_best_fit_packing, op4_quality_rules, op6_warc, op7_language_id, op8_source_mixing, op9_url_filter,
+        op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op6_warc, op7_language_id, op8_source_mixing, op9_url_filter,
     )
 }
