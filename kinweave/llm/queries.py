@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinweave.llm.common import read
 from kinweave.llm.exact_dedup import mark_copies
+from kinweave.llm.jaccard_join import similar_groups
 from kinweave.llm.language_id import tag_languages
 from kinweave.llm.mixing import mix
 from kinweave.llm.packing import pack_documents
@@ -36,6 +37,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = archive_folder(spark)
     write_warc(archive_records(read(spark, sf_dir, "pages")), folder)
@@ -66,6 +71,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op6_warc, op7_language_id, op8_source_mixing, op9_url_filter,
+        op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op5_jaccard_join, op6_warc,
+        op7_language_id, op8_source_mixing, op9_url_filter,
     )
 }
