@@ -15,6 +15,7 @@ from kinweave.llm.mixing import mix
 from kinweave.llm.packing import pack_documents
 from kinweave.llm.quality_crf import classify
 from kinweave.llm.quality_rules import judge
+from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.url_filter import judge_urls
 from kinweave.llm.warc import archive_folder, archive_records, key_of, read_warc, write_warc
 
@@ -68,10 +69,18 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(read(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op5_jaccard_join, op6_warc,
-        op7_language_id, op8_source_mixing, op9_url_filter,
+        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup,
     )
 }
