@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm.bitmaps import bitmap, is_set
 from kinweave.llm.common import ship
 from kinweave.llm.textvec import Spans, mix, slices, texts
 from kinweave.session import cut
@@ -35,7 +36,6 @@ LEAST, GRAM = 100, 32
 GROUP, SHARE = 4096, 256
 #: Text whose segments a task compares before it sends them on.
 BUFFER = 8 << 20
-BIT_BITS, BLOCK_BITS = 26, 18
 ANCHOR, COVERED, MARK = 0, 1, 2
 
 
@@ -196,39 +196,9 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
     return rows.mapInArrow(gather, "doc long, start long, stop long, h long, big boolean")
 
 
-def _bits(h: np.ndarray) -> np.ndarray:
-    return (h.view(np.uint64) >> np.uint64(64 - BIT_BITS)).astype(np.int64)
-
-
-def _bitmap(noted: DataFrame) -> np.ndarray:
-    """2**BIT_BITS bits, set where an `h` falls: of one size on the driver whatever was noted."""
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bits = _bits(batch.column("h").to_numpy())
-            for b in np.unique(bits >> BLOCK_BITS).tolist():
-                block = blocks.setdefault(b, np.zeros(1 << BLOCK_BITS, bool))
-                block[bits[bits >> BLOCK_BITS == b] & ((1 << BLOCK_BITS) - 1)] = True
-        if blocks:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(blocks), pa.int32()), pa.array([np.packbits(x).tobytes() for x in blocks.values()], pa.binary())], names=["block", "bits"])
-
-    block = F.shiftrightunsigned("h", 64 - BIT_BITS + BLOCK_BITS).alias("block")
-    out = np.zeros((1 << (BIT_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
-    for row in noted.select("h", block).repartition("block").mapInArrow(collect, "block int, bits binary").collect():
-        out[row.block] = np.frombuffer(row.bits, np.uint8)
-    return out.ravel()
-
-
-def _is_set(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    bits = _bits(h)
-    return (bitmap[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).astype(bool)
-
-
 def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -> DataFrame:
     """(key, c, doc, at, left, text): segments of noted anchors; strings of the big ones, by their own hash."""
-    sent = docs.sparkSession.sparkContext.broadcast((noted, big))  # two bitmaps of 2**BIT_BITS bits
+    sent = docs.sparkSession.sparkContext.broadcast((noted, big))  # two bitmaps of one size
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         noted, big = sent.value
@@ -237,7 +207,7 @@ def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -
                 data, offsets = texts(part.column("text"))
                 s = Segments(data, offsets, least)
                 doc = part.column("doc").to_numpy()
-                crowd, some = _is_set(big, s.h), _is_set(noted, s.h)
+                crowd, some = is_set(big, s.h), is_set(noted, s.h)
                 rows = np.flatnonzero(some & ~crowd)
                 first = _firsts(s.h[rows], s.c[rows], doc[s.row[rows]], s.lo[rows])
                 rows = rows[first]  # the others are known to be repeated
@@ -387,7 +357,7 @@ def repeat_groups(docs: DataFrame, least: int = LEAST, group: int | None = None,
     ship(docs.sparkSession)
     docs = docs.select("doc", "text")
     gathered = cut(_gathered(_survey(docs, least, share or SHARE), least, group or GROUP), "gathered")
-    noted, big = _bitmap(gathered.where("h is not null")), _bitmap(gathered.where("big"))
+    noted, big = bitmap(gathered.where("h is not null")), bitmap(gathered.where("big"))
     repeats = cut(_repeats(_suffixes(docs, noted, big, least), least), "repeats")
     whole = gathered.where("h is null").select(F.lit(None).cast("long").alias("group_id"), "doc", "start", "stop", F.lit(False).alias("first"))
     return whole.unionByName(repeats)
