@@ -39,7 +39,11 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, as `--py-files` would."""
+    """Send this package to the Python workers, once per application, as `--py-files` would.
+
+    Batches are kept small, so that a worker's memory does not depend on how long texts are.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context, package = spark.sparkContext, Path(__file__).parent.parent
     if context.applicationId in _shipped or not package.is_dir():
         return
