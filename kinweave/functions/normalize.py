@@ -6,12 +6,18 @@ NULL, so it can never take part in a match key.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their plain forms, position by position.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+# Accented Latin letters (Latin-1 and Latin Extended-A) and their plain forms, position by
+# position: the letter that canonical decomposition leaves, and those that have none.
+STROKED = {"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ı": "i", "ŀ": "l", "Ŀ": "L"}
+DECOMPOSED = {c: unicodedata.normalize("NFD", c)[0] for c in map(chr, range(0xC0, 0x180)) if unicodedata.decomposition(c)}
+FOLDED = {c: plain for c, plain in DECOMPOSED.items() if plain.isascii()} | STROKED
+ACCENTED, PLAIN = "".join(FOLDED), "".join(FOLDED.values())
+LIGATURES = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
 
 # Street words and their short forms.
 STREET_WORDS = {
@@ -37,7 +43,11 @@ def blank_to_null(c: Column) -> Column:
 
 
 def fold_accents(c: Column) -> Column:
-    return F.translate(c, ACCENTED, PLAIN)
+    """Plain letters for accented ones, whether the accent is part of the letter or follows it."""
+    out = F.translate(F.regexp_replace(c, r"\p{M}+", ""), ACCENTED, PLAIN)
+    for ligature, letters in LIGATURES.items():
+        out = F.replace(out, F.lit(ligature), F.lit(letters))
+    return out
 
 
 def norm_text(c: Column) -> Column:
@@ -112,7 +122,9 @@ def po_box(c: Column) -> Column:
 
 
 def norm_postal(c: Column) -> Column:
-    return F.nullif(F.substring(norm_id(c), 1, 5), F.lit(""))
+    """Letters and digits; of a US code of nine digits the first five."""
+    code = norm_id(c)
+    return F.when(code.rlike(r"^\d{9}$"), F.substring(code, 1, 5)).otherwise(code)
 
 
 def split_full_name(c: Column) -> Column:

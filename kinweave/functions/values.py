@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """1 - edit distance / longer length; two equal values give 1."""
-    return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+    """1 - edit distance / longer length; two equal values, empty ones too, give 1."""
+    share = F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+    return F.when((a == "") & (b == ""), F.lit(1.0)).otherwise(F.lit(1.0) - share)
 
 
 def edit_budget(length: Column, threshold: float) -> Column:

@@ -40,7 +40,7 @@ def _small_star(edges: DataFrame, hubs: bool) -> DataFrame:
     return lowest.unionByName(others).select("hi", F.col("lower").alias("lo")).distinct()
 
 
-def _shape(edges: DataFrame) -> tuple[bool, bool]:
+def _shape(edges: DataFrame, hub_degree: int) -> tuple[bool, bool]:
     """(settled, hubs).  Settled: every `hi` has one `lo`, and no `lo` is itself a `hi`."""
     ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
     ends = ends.unionByName(
@@ -50,10 +50,10 @@ def _shape(edges: DataFrame) -> tuple[bool, bool]:
     open_nodes, degree = nodes.agg(
         F.count_if(F.expr("up > 1 or (up = 1 and down > 0)")), F.max(F.col("up") + F.col("down"))
     ).first()
-    return open_nodes == 0, (degree or 0) >= HUB_DEGREE
+    return open_nodes == 0, (degree or 0) >= hub_degree
 
 
-def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: int | None = None) -> DataFrame:
     """(id, root) for every linked id; `root` is the smallest id of its component.
 
     Runs jobs: each round is cut into the shared checkpoint folder, so a lost executor
@@ -64,13 +64,12 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", max_rounds: i
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     )
     edges = cut(edges, "edges")
-    settled, hubs = _shape(edges)
-    for _ in range(max_rounds):
-        if settled:
-            members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
-            roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
-            return members.unionByName(roots)
+    hub_degree = HUB_DEGREE if hub_degree is None else hub_degree
+    settled, hubs = _shape(edges, hub_degree)
+    while not settled:
         re_hung = _large_star(edges, hubs)
         edges = cut(_small_star(cut(re_hung, "edges") if hubs else re_hung, hubs), "edges")
-        settled, hubs = _shape(edges)
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+        settled, hubs = _shape(edges, hub_degree)
+    members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
+    roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
+    return members.unionByName(roots)

@@ -12,7 +12,7 @@ from kinweave.session import cut
 
 def best_link(links: DataFrame) -> DataFrame:
     """Per record, its link of the first rule, of those the one with the highest score."""
-    ends = links.select(F.col("id_a").alias("id"), "rule_index", "rule_id", "score").unionByName(
+    ends = links.select(F.col("id_a").alias("id"), "rule_index", "rule_id", F.col("score_a").alias("score")).unionByName(
         links.select(F.col("id_b").alias("id"), "rule_index", "rule_id", "score")
     )
     best = F.struct("rule_index", (-F.col("score")).alias("down"), "rule_id")

@@ -33,9 +33,10 @@ def mapped_attributes(
 
 
 def map_schema(
-    df: DataFrame, attributes: Sequence[Attribute], source_fields: Mapping[str, str] | None = None
+    df: DataFrame, attributes: Sequence[Attribute], source_fields: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One typed column per attribute; a value that does not parse becomes NULL.
+    """One typed column per attribute, and the columns `keep`; a value that does not parse becomes NULL.
 
     `source_fields` maps an attribute to the source column it comes from where the two
     names differ.
@@ -43,7 +44,7 @@ def map_schema(
     names = source_fields or {}
     return df.select(*[
         F.col(names.get(a.name, a.name)).try_cast(a.data_type).alias(a.name) for a in attributes
-    ])
+    ], *keep)
 
 
 def normalize(df: DataFrame, attributes: Iterable[Attribute], keep: Iterable[str] = ()) -> DataFrame:

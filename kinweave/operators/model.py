@@ -26,6 +26,7 @@ class Matcher:
     fields: tuple[str, ...]
     weights: tuple[float, ...]
     intercept: float
+    converged: bool = True
 
     def probability(self) -> Column:
         terms = [F.col(f) * F.lit(w) for f, w in zip(feature_names(self.fields), self.weights)]
@@ -54,13 +55,17 @@ def pair_features(pairs: DataFrame, df: DataFrame, id_col: str, fields: Sequence
     return joined.select("id_a", "id_b", *cols)
 
 
-def train_matcher(features: DataFrame, truth: DataFrame, fields: Sequence[str]) -> Matcher:
-    """Fit on candidate pairs; `truth` holds the (id_a, id_b) that are matches."""
+def train_matcher(features: DataFrame, truth: DataFrame, fields: Sequence[str], max_iter: int = 50) -> Matcher:
+    """Fit on candidate pairs; `truth` holds the (id_a, id_b) that are matches.
+
+    `converged` tells whether the fit settled before `max_iter` iterations.
+    """
     known = truth.select("id_a", "id_b").distinct().withColumn("label", F.lit(1.0))
     labelled = features.join(known, ["id_a", "id_b"], "left").na.fill({"label": 0.0})
     vectors = VectorAssembler(inputCols=feature_names(fields), outputCol="features").transform(labelled)
-    fitted = LogisticRegression(maxIter=50, regParam=0.001).fit(vectors.select("features", "label"))
-    return Matcher(tuple(fields), tuple(float(w) for w in fitted.coefficients), float(fitted.intercept))
+    fitted = LogisticRegression(maxIter=max_iter, regParam=0.001).fit(vectors.select("features", "label"))
+    return Matcher(tuple(fields), tuple(float(w) for w in fitted.coefficients), float(fitted.intercept),
+                   fitted.summary.totalIterations < max_iter)
 
 
 def model_links(features: DataFrame, matcher: Matcher, threshold: float) -> DataFrame:

@@ -11,8 +11,10 @@ from kinweave.functions.normalize import normalizer, strip_blanks
 from kinweave.schema import Attribute
 
 
-def is_present(c: Column) -> Column:
-    """Neither NULL nor blank."""
+def is_present(c: Column, array: bool = False) -> Column:
+    """Neither NULL nor blank; an array needs an element."""
+    if array:
+        return c.isNotNull() & (F.size(c) > 0)
     return c.isNotNull() & (strip_blanks(c.cast("string")) != "")
 
 
@@ -22,17 +24,14 @@ def in_domain(c: Column, values: Sequence) -> Column:
 
 
 def is_object_path(c: Column) -> Column:
-    """`s3://bucket/key` or `bucket/key`; other schemes and `s3:/` are refused."""
-    shaped = c.rlike(r"^s3://[^/]+/") | c.rlike(r"^[^/]+/")
-    other_scheme = c.rlike(r"^(http|https|ftp)://")
-    half_scheme = c.startswith("s3:") & ~c.startswith("s3://")
-    return F.coalesce(shaped & ~other_scheme & ~half_scheme, F.lit(False))
+    """A bucket and a slash, with `s3://` before them or no scheme at all; a bucket has no colon."""
+    return F.coalesce(c.rlike(r"^(s3://)?[^/:]+/"), F.lit(False))
 
 
 def missing_attributes(attributes: Iterable[Attribute]) -> Column:
     """Names of the required attributes a row lacks, as one comma list."""
     names = [
-        F.when(~is_present(F.col(a.name)), F.lit(a.name)) for a in attributes if a.required
+        F.when(~is_present(F.col(a.name), a.array), F.lit(a.name)) for a in attributes if a.required
     ]
     return F.concat_ws(",", *names) if names else F.lit("")
 
@@ -47,7 +46,7 @@ def quality_report(df: DataFrame, attributes: Sequence[Attribute]) -> DataFrame:
     """Per attribute: rows, missing values and values its normalizer refuses; one pass."""
     def counts(a: Attribute) -> Column:
         value = F.col(a.name)
-        present = is_present(value)
+        present = is_present(value, a.array)
         refused = present & normalizer(a.type, a.subtype)(value.cast("string")).isNull()
         return F.struct(
             F.lit(a.name).alias("attribute"),

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.values import edit_budget, similarity
-from kinweave.operators.components import components
 from kinweave.operators.exact import all_present
 from kinweave.session import cut
 
@@ -30,8 +29,6 @@ SPLIT_PAIRS = 200_000
 SPLIT_GAIN = 8
 # Below this many pairs in all splittable signatures together, a split is not worth its jobs.
 WORTH_SPLITTING = 20_000_000
-# A signature no field can split further counts as crowded from here on.
-BUCKET_PAIRS = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -182,20 +179,16 @@ def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[Fuz
 
 
 def _crowded(
-    long_side: DataFrame, short_side: DataFrame, nxt: FuzzyField | None, split_pairs: int,
-    split_gain: float, bucket_pairs: int,
+    long_side: DataFrame, short_side: DataFrame, nxt: FuzzyField, split_pairs: int, split_gain: float
 ) -> DataFrame:
-    """(h, pairs): signatures worth splitting by `nxt`, without one those above `bucket_pairs`."""
-    fan = signature_count(F.col(f"v.{nxt.name}"), nxt.threshold) if nxt else F.lit(0)
+    """(h, pairs): signatures worth splitting by `nxt`."""
+    fan = signature_count(F.col(f"v.{nxt.name}"), nxt.threshold)
     sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s"), fan.alias("fan")).unionByName(
         short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s"), fan.alias("fan"))
     )
     counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"), F.sum("fan").alias("fan"))
     pairs = F.col("l").cast("double") * F.col("s")
-    if nxt is None:
-        enough = pairs > F.lit(float(bucket_pairs))
-    else:
-        enough = (pairs > F.lit(float(split_pairs))) & (pairs > F.lit(split_gain) * F.col("fan"))
+    enough = (pairs > F.lit(float(split_pairs))) & (pairs > F.lit(split_gain) * F.col("fan"))
     return counts.where(enough).select("h", pairs.alias("pairs"))
 
 
@@ -221,44 +214,6 @@ def _split_by(side: DataFrame, hot: DataFrame, field: FuzzyField, level: int, is
     )
 
 
-def _pivot_links(
-    long_side: DataFrame, short_side: DataFrame, found: DataFrame,
-    exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float,
-) -> DataFrame:
-    """Links with the same components as all pairs of the given crowded signatures.
-
-    Lookups are cut into tables so that AQE can split the joins with crowded signatures.
-
-    Every member is compared with the smallest member of its signature.  After joining
-    what that links, only members outside the signature's largest component still need
-    comparing with the others: pairs inside one component cannot change it.
-    """
-    members = cut(long_side.select("h", "v").unionByName(short_side.select("h", "v")).distinct(), "members")
-    pivots = cut(members.groupBy("h").agg(F.min_by("v", F.col("v.pid")).alias("b")), "pivots")
-    near = _verified(
-        members.select("h", F.col("v").alias("a")).join(pivots, "h"), exact, fuzzy, min_score
-    )
-    near = cut(near.dropDuplicates(["id_a", "id_b"]))
-    label = components(near.unionByName(found).select("id_a", "id_b"))
-    label = label.select(F.col("id").alias("label_id"), "root")
-    labelled = (
-        members.join(label, F.col("v.pid") == F.col("label_id"), "left")
-        .select("h", "v", F.coalesce("root", F.col("v.pid")).alias("root"))
-    )
-    largest = (
-        labelled.groupBy("h", "root").count()
-        .groupBy("h").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
-        .where("roots > 1").select("h", "main")
-    )
-    open_rows = cut(labelled.join(cut(largest, "largest"), "h"))
-    outside = open_rows.where("root <> main").select("h", F.col("v").alias("a"), F.col("root").alias("root_a"))
-    anyone = open_rows.select("h", F.col("v").alias("b"), F.col("root").alias("root_b"))
-    rest = _verified(
-        outside.join(anyone, "h").where("root_a <> root_b"), exact, fuzzy, min_score
-    )
-    return near.unionByName(rest)
-
-
 def _by_threshold(fuzzy: Sequence[FuzzyField]) -> list[FuzzyField]:
     """The highest threshold leaves the fewest edits, so the longest segments: it leads."""
     if not fuzzy:
@@ -289,45 +244,29 @@ def signature_sides(
 
 def similar_pairs(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float = 0.0,
-    links_only: bool = False, split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN,
-    worth_splitting: int = WORTH_SPLITTING, bucket_pairs: int = BUCKET_PAIRS,
+    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, worth_splitting: int = WORTH_SPLITTING,
 ) -> DataFrame:
     """(id_a, id_b, score) over profile rows (`pid` and the fields), `id_a < id_b`.
 
     All pairs whose exact fields are equal, whose fuzzy fields reach their thresholds and
-    whose score reaches `min_score`.  With `links_only`, pairs that cannot change the
-    connected components may be left out of signatures that stay crowded after every
-    field has split them; the components are the same.
+    whose score reaches `min_score`; the limits only choose how the candidates are found.
 
     Runs a counting job per split, to learn which signatures are worth splitting.
     """
     order = _by_threshold(fuzzy)
     long_side, short_side = signature_sides(rows, exact, fuzzy)
     done: list[DataFrame] = []
-    for level, field in enumerate(order):
+    for level in range(len(order)):
         split = order[: level + 1]
         nxt = order[level + 1] if level + 1 < len(order) else None
-        hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain, bucket_pairs), "crowded")
-        total = hot.agg(F.sum("pairs")).first()[0] or 0.0
-        if nxt is not None and total < worth_splitting:
-            # Not worth a split: the remaining levels only look for crowded signatures.
-            hot = hot.where(F.col("pairs") > F.lit(float(bucket_pairs)))
-            total = 0.0 if total <= bucket_pairs else (hot.agg(F.sum("pairs")).first()[0] or 0.0)
-            nxt = None
-        if not total:
+        if nxt is not None:
+            hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain), "crowded")
+            total = hot.agg(F.sum("pairs")).first()[0] or 0.0
+        if nxt is None or not total or total < worth_splitting:
             done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score))
             break
         cold = [s.join(hot, "h", "left_anti") for s in (long_side, short_side)]
         done.append(_verified(_join_sides(*cold, split), exact, fuzzy, min_score))
-        if nxt is not None:
-            long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
-            short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
-            continue
-        crowded = [s.join(hot, "h", "left_semi") for s in (long_side, short_side)]
-        if links_only:
-            found = cut(reduce(DataFrame.unionByName, done).distinct(), "links")
-            done = [found, _pivot_links(*crowded, found, exact, fuzzy, min_score)]
-        else:
-            done.append(_verified(_join_sides(*crowded, split), exact, fuzzy, min_score))
-        break
+        long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
+        short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
     return reduce(DataFrame.unionByName, done).dropDuplicates(["id_a", "id_b"])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.operators.exact import all_present
-from kinweave.operators.similarity import BUCKET_PAIRS, FuzzyField, profiles, similar_pairs
+from kinweave.operators.similarity import FuzzyField, profiles, similar_pairs
 from kinweave.session import cut
 
 
@@ -30,14 +30,14 @@ def first_members(df: DataFrame, id_col: str, fields: Sequence[str], count: int)
 
 def top_matches(
     df: DataFrame, id_col: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField], k: int = 10,
-    min_score: float = 0.0, bucket_pairs: int = BUCKET_PAIRS,
+    min_score: float = 0.0, **limits: float,
 ) -> DataFrame:
     """(id_a, id_b, score): pairs that are among the best `k` of either record."""
     if k < 1:
         raise ValueError("k must be at least 1")
     fields = [*exact, *[f.name for f in fuzzy]]
     distinct_rows = cut(profiles(df, id_col, fields), "profiles")
-    pairs = similar_pairs(distinct_rows, exact, fuzzy, min_score, bucket_pairs=bucket_pairs)
+    pairs = similar_pairs(distinct_rows, exact, fuzzy, min_score, **limits)
     both_ways = pairs.select(F.col("id_a").alias("pid"), F.col("id_b").alias("partner"), "score").unionByName(
         pairs.select(F.col("id_b").alias("pid"), F.col("id_a").alias("partner"), "score")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinweave.operators.components import components
 from kinweave.operators.groups import job_stats, match_records, unmatched
-from kinweave.operators.mapping import normalize
+from kinweave.operators.mapping import map_schema, normalize
 from kinweave.operators.model import Matcher, model_links, pair_features
 from kinweave.operators.provider import provider_links, provider_match
 from kinweave.operators.quality import split_required
@@ -93,7 +93,8 @@ def find_links(
         features = pair_features(pairs, normalized, id_col, model.matcher.fields)
         links = model_links(features, model.matcher, model.threshold)
     return links.select(
-        "id_a", "id_b", F.lit(1).alias("rule_index"), F.lit(None).cast("string").alias("rule_id"), "score"
+        "id_a", "id_b", F.lit(1).alias("rule_index"), F.lit(None).cast("string").alias("rule_id"),
+        F.col("score").alias("score_a"), "score",
     )
 
 
@@ -103,9 +104,12 @@ def resolve(
     model: Model | None = None, provider: Provider | None = None, include_source: bool = True,
     carry: Sequence[str] = (), threshold: float | None = None, dry_run: bool = False,
     output: str | None = None, fmt: str = "json", run: str | datetime | None = None,
+    source_fields: Mapping[str, str] | None = None,
 ) -> ResolveResult:
     """Match the records of `df`.
 
+    `source_fields` names the source column of each attribute that is called otherwise there.
+
     Rows that lack a required attribute are rejected.  Keys are normalized once into a
     table of the shared folder, from which every rule scans just its columns; source
     fields stay out of all matching shuffles and are joined to the result at the end.
@@ -114,6 +118,8 @@ def resolve(
     records are written there.  A dry run plans the input and does no matching.
     """
     chosen = choose_technique(technique, rules, model, provider)
+    if source_fields is not None:
+        df = map_schema(df, attributes, source_fields, carry)
     rules = list(rules or default_rules(attributes))
     if threshold is not None:
         rules = [replace(r, min_score=max(r.min_score, threshold)) for r in rules]

@@ -7,8 +7,8 @@ itself would plan as a nested loop.)  Each rule puts records into rule groups:
 * with fuzzy fields: connected components of the similar pairs.
 
 A rule group is written as links to its smallest id, so the size of the output is linear
-in the input.  The score of a link is 1 for exact rules and for equal copies, otherwise
-the mean field score of the two records it joins.
+in the input.  Each end of a link carries the score of its own best pair: 1 for exact rules
+and equal copies, otherwise the highest mean field score of a pair the rule found.
 """
 
 from __future__ import annotations
@@ -18,12 +18,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinweave.operators.components import components
 from kinweave.operators.exact import exact_links
-from kinweave.operators.similarity import (
-    BUCKET_PAIRS, FuzzyField, copy_links, pair_score, profiles, similar_pairs,
-)
+from kinweave.operators.similarity import FuzzyField, copy_links, profiles, similar_pairs
 from kinweave.schema import Attribute
 from kinweave.session import cut
 
@@ -68,16 +67,20 @@ class Rule:
 
 
 def parse_rules(document: Mapping, min_score: float = 0.0) -> list[Rule]:
-    """Rules from the documented JSON form: `MatchingKeys`, each a list of fields."""
+    """Rules from the documented JSON forms: `MatchingKeys`, or `Rules` with names, each a list
+    of fields; a `MatchingThreshold` is the least score of a pair where none is given."""
     rules = []
-    for number, entry in enumerate(document["MatchingKeys"], start=1):
+    min_score = min_score or float(document.get("MatchingThreshold", 0.0))
+    entries = document["Rules"] if "Rules" in document else document["MatchingKeys"]
+    for number, entry in enumerate(entries, start=1):
         fields: list[Exact | Fuzzy] = []
-        for f in entry["MatchingKey"]:
+        keys = entry.get("MatchingKeys", entry.get("MatchingKey"))
+        for f in ({"FieldName": k} if isinstance(k, str) else k for k in keys):
             if f.get("ExactMatch", True):
                 fields.append(Exact(f["FieldName"]))
             else:
                 fields.append(Fuzzy(f["FieldName"], float(f["FuzzyMatchScore"])))
-        rules.append(Rule(f"Rule-{number}", tuple(fields), min_score))
+        rules.append(Rule(entry.get("RuleName", f"Rule-{number}"), tuple(fields), min_score))
     return rules
 
 
@@ -93,56 +96,71 @@ def default_rules(attributes: Iterable[Attribute]) -> list[Rule]:
     ]
 
 
-def rule_pairs(df: DataFrame, id_col: str, rule: Rule, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
+def spread(df: DataFrame, id_col: str, names: Sequence[str]) -> DataFrame:
+    """`id_col` and the fields, one row for each element of an array field: records match
+    when any of their elements do."""
+    out = df.select(id_col, *names)
+    for name in names:
+        if isinstance(df.schema[name].dataType, T.ArrayType):
+            out = out.withColumn(name, F.explode(F.array_distinct(name)))
+    return out
+
+
+def rule_pairs(df: DataFrame, id_col: str, rule: Rule, **limits: float) -> DataFrame:
     """(id_a, id_b, score): similar pairs of profiles, and copies linked to theirs.
 
     A profile stands for all records with the same compared values, under its smallest id.
+    `limits` are those of `similar_pairs`.
     """
+    df = spread(df, id_col, rule.names)
     if not rule.fuzzy:
-        return exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
+        return exact_links(df, id_col, rule.names).distinct().withColumn("score", F.lit(1.0))
     distinct_rows = cut(profiles(df, id_col, rule.names), "profiles")
     copies = copy_links(df, id_col, rule.names, distinct_rows)
-    pairs = similar_pairs(
-        distinct_rows, rule.exact, rule.fuzzy, rule.min_score, bucket_pairs=bucket_pairs
-    )
-    return copies.unionByName(pairs)
+    return copies.unionByName(similar_pairs(distinct_rows, rule.exact, rule.fuzzy, rule.min_score, **limits))
+
+
+def best_scores(pairs: DataFrame) -> DataFrame:
+    """(id, best): the score of every record's best pair."""
+    ends = pairs.select(F.col("id_a").alias("id"), "score").unionByName(pairs.select(F.col("id_b").alias("id"), "score"))
+    return ends.groupBy("id").agg(F.max("score").alias("best"))
 
 
-def rule_links(df: DataFrame, id_col: str, rule: Rule, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
-    """(id_a, id_b, score): the rule's groups as links to their smallest id."""
+def rule_links(df: DataFrame, id_col: str, rule: Rule, **limits: float) -> DataFrame:
+    """(id_a, id_b, score_a, score): the rule's groups as links to their smallest id.
+
+    `score_a` and `score` are those of the best pair that the rule found for `id_a` and for
+    `id_b`, with whomever: never below what the rule asks of a pair.
+    """
+    df = spread(df, id_col, rule.names)
     if not rule.fuzzy:
-        return exact_links(df, id_col, rule.names).withColumn("score", F.lit(1.0))
+        links = exact_links(df, id_col, rule.names).distinct()
+        return links.select("id_a", "id_b", F.lit(1.0).alias("score_a"), F.lit(1.0).alias("score"))
     distinct_rows = cut(profiles(df, id_col, rule.names), "profiles")
-    copies = copy_links(df, id_col, rule.names, distinct_rows)
-    pairs = similar_pairs(
-        distinct_rows, rule.exact, rule.fuzzy, rule.min_score, links_only=True,
-        bucket_pairs=bucket_pairs,
-    )
+    copies = copy_links(df, id_col, rule.names, distinct_rows).distinct()
+    pairs = cut(similar_pairs(distinct_rows, rule.exact, rule.fuzzy, rule.min_score, **limits), "pairs")
+    best = cut(best_scores(pairs), "best")
     member = components(pairs.select("id_a", "id_b")).where("id <> root")
-    values = F.struct("pid", *rule.names)
-    own = distinct_rows.select(F.col("pid").alias("id"), values.alias("b"))
-    anchor = distinct_rows.select(F.col("pid").alias("root"), values.alias("a"))
-    stars = member.join(own, "id").join(anchor, "root").select(
-        F.col("root").alias("id_a"), F.col("id").alias("id_b"),
-        pair_score("a", "b", rule.exact, rule.fuzzy).alias("score"),
-    )
-    return copies.unionByName(stars)
+    stars = member.join(best, "id").join(best.select(F.col("id").alias("root"), F.col("best").alias("root_best")), "root")
+    stars = stars.select(
+        F.col("root").alias("id_a"), F.col("id").alias("id_b"), F.col("root_best").alias("score_a"), F.col("best").alias("score"))
+    return copies.select("id_a", "id_b", F.lit(1.0).alias("score_a"), "score").unionByName(stars)
 
 
-def all_links(
-    df: DataFrame, id_col: str, rules: Sequence[Rule], bucket_pairs: int = BUCKET_PAIRS
-) -> DataFrame:
-    """Links of all rules; where several rules give the same link, the first one counts."""
+def all_links(df: DataFrame, id_col: str, rules: Sequence[Rule], **limits: float) -> DataFrame:
+    """Links of all rules; where several rules give the same link, the first one counts,
+    and of one rule the best scores."""
     parts = None
     for index, rule in enumerate(rules, start=1):
-        part = rule_links(df, id_col, rule, bucket_pairs).select(
-            "id_a", "id_b", F.lit(index).alias("rule_index"), F.lit(rule.name).alias("rule_id"), "score"
+        part = rule_links(df, id_col, rule, **limits).select(
+            "id_a", "id_b", F.lit(index).alias("rule_index"), F.lit(rule.name).alias("rule_id"), "score_a", "score"
         )
         parts = part if parts is None else parts.unionByName(part)
     if parts is None:
         raise ValueError("no rules given")
-    best = F.struct("rule_index", "rule_id", "score")
+    best = F.struct("rule_index", "rule_id", "score_a", "score")
+    order = F.struct("rule_index", -F.col("score_a"), -F.col("score"))
     return (
-        parts.groupBy("id_a", "id_b").agg(F.min_by(best, "rule_index").alias("best"))
+        parts.groupBy("id_a", "id_b").agg(F.min_by(best, order).alias("best"))
         .select("id_a", "id_b", "best.*")
     )

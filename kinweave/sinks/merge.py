@@ -17,21 +17,23 @@ UPDATED = "LAST_UPDATED"
 
 
 def one_per_key(source: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
-    """Source rows with one row per key: the latest by `order_by`; without it a repeated
-    key fails the job."""
+    """(key, s, n): one row of the source per key, and how many it had: the latest by
+    `order_by`, where NULL comes before any value; without it a repeated key fails the job."""
     row = F.struct(*source.columns)
     if order_by:
-        return source.groupBy(key).agg(F.max_by(row, order_by).alias("s"))
+        latest = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
+        return source.groupBy(key).agg(F.max_by(row, latest).alias("s"), F.count(F.lit(1)).alias("n"))
     repeated = F.concat(F.lit(f"merge source repeats {key} "), F.col(key).cast("string"))
     grouped = source.groupBy(key).agg(F.any_value(row).alias("s"), F.count(F.lit(1)).alias("n"))
-    return grouped.select(key, F.when(F.col("n") == 1, F.col("s")).otherwise(F.raise_error(repeated)).alias("s"))
+    return grouped.select(key, F.when(F.col("n") == 1, F.col("s")).otherwise(F.raise_error(repeated)).alias("s"), "n")
 
 
 def merge_rows(
     target: DataFrame, source: DataFrame, key: str, as_of: datetime | str,
     order_by: str | None = None, updated: str = UPDATED,
 ) -> DataFrame:
-    """Target columns plus `action`: KEEP, UPDATE, INSERT, or REJECT for a NULL source key.
+    """Target columns plus `action`: KEEP, UPDATE, INSERT, or REJECT for a NULL source key,
+    and `superseded`: source rows of the key that a later one replaced.
 
     A matched row takes every value from the source, NULL included; a target column that
     the source lacks becomes NULL in it.  Both sides meet by key once: the source is
@@ -41,7 +43,7 @@ def merge_rows(
     s = one_per_key(source.where(F.col(key).isNotNull()), key, order_by)
     t = target.select(F.col(key), F.struct(*target.columns).alias("t"))
     both = t.join(s, key, "full")
-    in_t, in_s = F.col("t").isNotNull(), F.col("s").isNotNull()
+    in_t, in_s = F.col("t").isNotNull(), F.col("n").isNotNull()
     stamp = F.lit(str(as_of)).cast("timestamp_ntz")
 
     def value(name: str, stamped: Column) -> Column:
@@ -57,9 +59,11 @@ def merge_rows(
         return F.when(in_s, new.cast(kind)).otherwise(F.col(f"t.{name}"))
 
     action = F.when(in_t & in_s, UPDATE).when(in_s, INSERT).otherwise(KEEP)
-    merged = both.select(*[value(c, stamp).alias(c) for c in target.columns], action.alias("action"))
+    superseded = F.coalesce(F.col("n") - 1, F.lit(0)).alias("superseded")
+    merged = both.select(*[value(c, stamp).alias(c) for c in target.columns], action.alias("action"), superseded)
     rejected = source.where(F.col(key).isNull()).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema], F.lit(REJECT).alias("action")
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema], F.lit(REJECT).alias("action"),
+        F.lit(0).cast("long").alias("superseded"),
     )
     return merged.unionByName(rejected)
 
@@ -129,13 +133,17 @@ class KeyedTable:
             )
         return self.spark.table(name)
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write a complete version and return its number."""
+    def write(self, df: DataFrame, version: int | None = None, placed: bool = False) -> int:
+        """Write a complete version, one file per bucket, and return its number.
+
+        A merge hands over rows that lie by key already (`placed`).
+        """
         if version is None:
             version = max(self.versions(), default=0) + 1
         path = f"{self.root}/v{version:08d}_b{self.buckets}"
+        rows = df if placed else df.repartition(self.buckets, self.key)
         (
-            df.write.format("parquet").bucketBy(self.buckets, self.key).option("path", path)
+            rows.write.format("parquet").bucketBy(self.buckets, self.key).option("path", path)
             .mode("overwrite").saveAsTable(self._table_name(path))
         )
         return version
@@ -147,8 +155,9 @@ class KeyedTable:
         """Merge into the newest version (the newest before `version`, when that is given,
         so that repeating a merge repeats its result) and write the next.
 
-        Counters: inserted, updated, rejected, total rows of the source.  They are taken
-        in the writing stage itself, where a repeated task counts once.
+        Counters: inserted, updated, rejected, superseded by a later row of the same key, and
+        total, which is the rows of the source.  They are taken in the writing stage
+        itself, where a repeated task counts once.
         """
         earlier = [v for v in self.versions() if version is None or v < version]
         if not earlier:
@@ -158,13 +167,14 @@ class KeyedTable:
         seen = Observation()
         counted = merged.observe(
             seen, *[F.count_if(F.col("action") == a).alias(n) for a, n in
-                    ((INSERT, "inserted"), (UPDATE, "updated"), (REJECT, "rejected"))]
+                    ((INSERT, "inserted"), (UPDATE, "updated"), (REJECT, "rejected"))],
+            F.coalesce(F.sum("superseded"), F.lit(0)).alias("superseded"),
         )
         self.write(
-            counted.where(F.col("action") != REJECT).drop("action"),
-            max(earlier) + 1 if version is None else version,
+            counted.where(F.col("action") != REJECT).drop("action", "superseded"),
+            max(earlier) + 1 if version is None else version, placed=True,
         )
-        counts = {k: seen.get[k] for k in ("inserted", "updated", "rejected")}
+        counts = {k: seen.get[k] for k in ("inserted", "updated", "rejected", "superseded")}
         counts["total"] = sum(counts.values())
         return counts
 

@@ -13,7 +13,8 @@ def create_target(
     spark: SparkSession, name: str, schema: T.StructType, path: str | None = None,
     fmt: str = "parquet", replace: bool = False,
 ) -> DataFrame:
-    """Create the table unless it exists; `replace` starts an empty one."""
+    """Create the table unless it exists; `replace` starts an empty one, also where files of
+    an earlier table lie at `path`."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
     columns = ", ".join(
@@ -21,6 +22,8 @@ def create_target(
     )
     location = f" LOCATION {text_literal(path)}" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING {fmt}{location}")
+    if replace and path:
+        spark.createDataFrame([], schema).write.insertInto(name, overwrite=True)
     return spark.table(name)
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.session import cut
 
-# CSV dialect and the tokens that mean NULL in a CSV load.
+# CSV dialects of entity files and of loads, and the tokens that mean NULL in a load.
+LOAD_DIALECT = {"sep": ",", "quote": '"', "escape": '"'}
 CSV_DIALECT = {"sep": ",", "quote": '"', "escape": "\\"}
 NULL_TOKENS = ("NULL", "null", "")
 
@@ -49,15 +50,6 @@ def read_avro(spark: SparkSession, path: str | list[str]) -> DataFrame:
         raise
 
 
-def nulls_from_tokens(df: DataFrame) -> DataFrame:
-    """Text columns with the NULL tokens turned into NULL."""
-    return df.select(*[
-        F.when(~F.col(f.name).isin(*NULL_TOKENS), F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in df.schema
-    ])
-
-
 def as_struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
@@ -65,24 +57,36 @@ def as_struct(schema: T.StructType | str) -> T.StructType:
 def read_csv_load(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, on_error: str = "abort",
 ) -> tuple[DataFrame, DataFrame | None]:
-    """CSV with header and optional quotes: (rows, rejects).
+    """CSV with header and optional quotes, `""` being a quote inside them: (rows, rejects).
 
-    `abort` fails the job at the first malformed row, so there are no rejects; `continue`
-    keeps the good rows and returns the others as text in `_corrupt_record`.
+    Every field is read as text, NULL tokens become NULL and the rest is cast; a row is
+    malformed if it has another number of fields or a text that its type refuses.  `abort`
+    fails the job at the first malformed row, whatever columns are selected, so there are no
+    rejects; `continue` keeps the good rows and returns the others in `_corrupt_record`.
     """
-    fields = as_struct(schema)
-    if on_error == "abort":
-        # All columns are parsed whatever the query selects, or damage could go unseen.
-        reader = _csv(spark, fields, True).option("mode", "FAILFAST").option("columnPruning", False)
-        return nulls_from_tokens(reader.csv(path)), None
-    if on_error != "continue":
+    if on_error not in ("abort", "continue"):
         raise ValueError(f"on_error must be abort or continue, not {on_error!r}")
-    marked = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
-    # Parsed once into a table: Spark refuses queries on the corrupt column of raw files alone.
-    rows = cut(_csv(spark, marked, True).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path), "csv")
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return nulls_from_tokens(good), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    fields = as_struct(schema).fields
+    text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in fields], T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(text).options(**LOAD_DIALECT).option("header", True).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path)
+    given = {f.name: F.when(~F.col(f.name).isin(*NULL_TOKENS), F.col(f.name)) for f in fields}
+    typed = [given[f.name].try_cast(f.dataType).alias(f.name) for f in fields]
+    refused = F.lit(False)
+    for f in fields:
+        refused = refused | (given[f.name].isNotNull() & given[f.name].try_cast(f.dataType).isNull())
+    bad = F.col(CORRUPT).isNotNull() | refused
+    line = F.coalesce(CORRUPT, F.concat_ws(",", *[F.col(f.name) for f in fields]))
+    if on_error == "abort":
+        return rows.where(_or_raise(bad, line)).select(*typed), None
+    # Read once into a table: Spark refuses queries on the corrupt column of raw files alone.
+    rows = cut(rows, "csv")
+    return rows.where(~bad).select(*typed), rows.where(bad).select(line.alias(CORRUPT))
+
+
+def _or_raise(bad: Column, line: Column) -> Column:
+    """A filter that ends the job at the first bad row; it needs all fields, so none is pruned."""
+    return F.when(bad, F.raise_error(F.concat(F.lit("malformed record: "), line)).cast("boolean")).otherwise(True)
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
@@ -90,21 +94,43 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: T.Struct
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def _json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> tuple[DataFrame, Column]:
+    """Lines with their record `r`, and whether one is no object, or a value does not fit its type."""
+    marked = T.StructType([*as_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = lines.select("value", F.from_json("value", marked, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}).alias("r"))
+    return lines, ~F.col("value").rlike(r"^\s*\{") | F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+
+
+def read_json_load(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, on_error: str = "abort", strict: bool = False,
+) -> tuple[DataFrame, DataFrame | None]:
+    """JSON lines: (records, rejects), every field being parsed whatever is selected.
+
+    A line is malformed if it is broken, no object, or has a value of another type, and with
+    `strict` also if it repeats a key: the plain reader would keep the last of the two
+    values, the variant parser refuses.  `abort` fails the job at the first such line.
+    """
+    if on_error not in ("abort", "continue"):
+        raise ValueError(f"on_error must be abort or continue, not {on_error!r}")
+    lines, bad = _json_lines(spark, path, schema)
+    if strict:
+        bad = bad | F.try_parse_json("value").isNull()
+    names = [F.col(f"r.`{f.name}`") for f in as_struct(schema)]
+    if on_error == "abort":
+        return lines.where(_or_raise(bad, F.col("value"))).select(*names), None
+    return lines.where(~bad).select(*names), lines.where(bad).select("value")
+
+
 def read_json_lines(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, on_error: str = "abort",
 ) -> DataFrame:
-    mode = {"abort": "FAILFAST", "continue": "DROPMALFORMED"}[on_error]
-    return spark.read.schema(schema).option("mode", mode).json(path)
+    """The records of `read_json_load`, for callers that have no use for the rejects."""
+    return read_json_load(spark, path, schema, on_error)[0]
 
 
 def read_json_strict(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str
 ) -> tuple[DataFrame, DataFrame]:
-    """JSON lines: (records, rejects); a line with a repeated key or broken syntax is rejected.
-
-    The plain JSON reader would keep the last of two values; the variant parser refuses.
-    """
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    ok = F.try_parse_json("value").isNotNull()
-    records = lines.where(ok).select(F.from_json("value", as_struct(schema)).alias("r")).select("r.*")
-    return records, lines.where(~ok)
+    """JSON lines: (records, rejects); lines with a repeated key are rejected like broken ones."""
+    return read_json_load(spark, path, schema, "continue", strict=True)

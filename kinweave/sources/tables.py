@@ -26,7 +26,12 @@ def text_literal(value: str) -> str:
 def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType | str, fmt: str = "csv"
 ) -> DataFrame:
-    """Create or update an external table over the files of `path`, and read it."""
+    """Create or update an external table over the files of `path`, and read it.
+
+    A table that owns its files is not replaced, as dropping it would delete them.
+    """
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} is not an external table; choose another name or drop it first")
     fmt = fmt.lower() if fmt.lower() in FORMATS else "csv"
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in as_struct(schema))
     options = ""

@@ -12,7 +12,7 @@ from kinweave.operators.components import components
 from kinweave.operators.exact import all_present
 from kinweave.operators.groups import best_link
 from kinweave.operators.similarity import signature_sides
-from kinweave.plans.rules import Rule, all_links
+from kinweave.plans.rules import Rule, all_links, spread
 from kinweave.session import cut
 
 
@@ -22,9 +22,9 @@ def touched_by(loaded: DataFrame, batch: DataFrame, id_col: str, rule: Rule) ->
     Those with the same exact keys; with fuzzy fields, those that share a signature.
     """
     names = rule.names
-    old, new = loaded.where(all_present(names)), batch.where(all_present(names))
+    old, new = (spread(d, id_col, names).where(all_present(names)) for d in (loaded, batch))
     if not rule.fuzzy:
-        return old.join(new.select(*names).distinct(), names, "left_semi").select(id_col)
+        return old.join(new.select(*names).distinct(), names, "left_semi").select(id_col).distinct()
     old_long, old_short = signature_sides(old.withColumnRenamed(id_col, "pid"), rule.exact, rule.fuzzy)
     new_long, new_short = signature_sides(
         new.select(*names).distinct().withColumn("pid", F.lit(None).cast(batch.schema[id_col].dataType)),

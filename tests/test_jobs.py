@@ -133,7 +133,7 @@ def test_merge(spark, tmp_path):
     table = target_of(spark, tmp_path)
     source = spark.sql("select * from values ('2', cast(null as string)), ('3', 'c'), (null, 'x') t(ID, NAME)")
     counts = table.merge(source, T1)
-    assert counts == {"inserted": 1, "updated": 1, "rejected": 1, "total": 3}
+    assert counts == {"inserted": 1, "updated": 1, "rejected": 1, "superseded": 0, "total": 3}
     assert rows(table.read()) == [("1", "a", T0), ("2", None, T1), ("3", "c", T1)]
     changed = {(r.action, r.ID) for r in table.changes(1, 2).collect()}
     assert changed == {("UPDATE", "2"), ("INSERT", "3")}
@@ -231,3 +231,17 @@ def test_whole_job_on_the_newest_batch(spark, tmp_path, sf_dir):
     assert done.loaded.inserted == 150 == target.read().where("ID like 'A%'").count()
     none = run_pipeline(spark, str(tmp_path / "in"), ATTRIBUTES, target, RULES, T0, newest_batch=".orc")
     assert none.resolved is None and none.loaded.loaded == 0
+
+
+def test_null_order_values_lose_no_update(spark, tmp_path):
+    table = target_of(spark, tmp_path)
+    source = spark.sql("select * from values ('1', 'x', null), ('3', 'c', null), ('3', 'd', 1), ('2', 'y', 2), (null, 'z', 1) t(ID, NAME, seq)")
+    counts = table.merge(source, T1, order_by="seq")
+    assert rows(table.read()) == [("1", "x", T1), ("2", "y", T1), ("3", "d", T1)]
+    assert counts == {"inserted": 1, "updated": 2, "rejected": 1, "superseded": 1, "total": 5}
+
+
+def test_one_file_per_bucket(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "b"), "id", buckets=4)
+    table.write(spark.range(0, 10_000, 1, 16))
+    assert len(list((tmp_path / "b").rglob("*.parquet"))) == 4

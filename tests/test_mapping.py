@@ -1,20 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinweave.operators import mapping, quality
 from kinweave.plans.rules import default_rules
-from kinweave.schema import Attribute, attributes_from, source_struct, template
-
-
-def test_templates_compose():
-    assert [a.name for a in template("person")] == ["id", "first_name", "last_name", "email", "phone", "created_at"]
-    customer = [a.name for a in template("customer")]
-    assert customer[-1] == "customer_type" and "address" in customer
-    employee = {a.name: a for a in template("employee")}
-    assert employee["employee_id"].match_key and "customer_type" not in employee
-    changed = template("person", Attribute("city"), email={"required": True})
-    assert changed[-1].name == "city" and {a.name: a for a in changed}["email"].required
+from kinweave.schema import Attribute, attributes_from, source_struct
 
 
 @pytest.mark.parametrize("bad", [
@@ -99,3 +90,17 @@ def test_report(spark):
 def test_domain(spark):
     df = spark.sql("select * from values ('a'), ('z'), (null) t(x)")
     assert [r.ok for r in df.select(quality.in_domain(df.x, ["a", "b"]).alias("ok")).collect()] == [True, False, False]
+
+
+def test_a_required_array_needs_an_element(spark):
+    df = spark.sql("select * from values ('1', array('a')), ('2', array()), ('3', null) t(id, xs)")
+    accepted, rejected = quality.split_required(df, [Attribute("xs", required=True, array=True)])
+    assert [r.id for r in accepted.collect()] == ["1"] and rejected.count() == 2
+
+
+def test_two_empty_values_are_equal(spark):
+    from kinweave.functions.values import similarity
+
+    row = spark.sql("select '' as a, '' as b, cast(null as string) as c").select(
+        similarity(F.col("a"), F.col("b")).alias("same"), similarity(F.col("a"), F.col("c")).alias("none")).first()
+    assert row.same == 1.0 and row.none is None

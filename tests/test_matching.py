@@ -71,7 +71,7 @@ def brute_pairs(rows, ta, tb, min_score=0.0):
 
 SPLITS = [
     {}, {"split_pairs": 20, "split_gain": 0.0, "worth_splitting": 0},
-    {"split_pairs": 50, "split_gain": 0.0, "worth_splitting": 0, "bucket_pairs": 1}, {"bucket_pairs": 5},
+    {"split_pairs": 50, "split_gain": 0.0, "worth_splitting": 0}, {"split_pairs": 1, "split_gain": 0.0, "worth_splitting": 0},
 ]
 
 
@@ -83,15 +83,22 @@ def test_similar_pairs_are_all_pairs(people, limits):
     assert {(r.id_a, r.id_b): pytest.approx(r.score, abs=2e-6) for r in got.collect()} == want and want
 
 
-@pytest.mark.parametrize("limits", SPLITS[1:])
-def test_links_keep_the_components(people, limits):
-    rows, df = people
-    want, _ = brute_pairs(rows, 0.6, 0.7)
-    got = similar_pairs(
-        profiles(df, "id", ["z", "a", "b"]), ["z"], [FuzzyField("a", 0.6), FuzzyField("b", 0.7)],
-        links_only=True, **limits).collect()
-    assert {(r.id_a, r.id_b) for r in got} <= set(want)
-    assert root_of([(r.id_a, r.id_b) for r in got]) == root_of(want)
+def test_confidence_is_that_of_the_best_pair(spark):
+    """A chain of names: each is similar to its neighbours only, and scores by the nearer one."""
+    names = ["aaaaaaaaaa", "aaaaaaaabb", "aaaaaabbbb", "aaaaabbbbb"]
+    df = spark.createDataFrame(list(enumerate(names)), "id long, n string")
+    links = all_links(df, "id", [Rule("r", (Fuzzy("n", 0.8),))])
+    from kinweave.operators.groups import best_link
+    got = {r.id: round(r.score, 6) for r in best_link(links).collect()}
+    assert got == {0: 0.8, 1: 0.8, 2: 0.9, 3: 0.9}
+
+
+def test_any_array_element_matches_in_a_rule(spark):
+    df = spark.sql("select * from values (1L, array('a', 'b'), 'x'), (2L, array('b', 'c'), 'x'), (3L, array('c'), 'y'), "
+                   "(4L, array(), 'x'), (5L, null, 'x') t(id, k, l)")
+    pairs = lambda *fields: {(r.id_a, r.id_b) for r in rule_links(df, "id", Rule("r", fields)).collect()}
+    assert pairs(Exact("k")) == {(1, 2), (2, 3)}
+    assert pairs(Exact("k"), Exact("l")) == {(1, 2)}
 
 
 @pytest.mark.parametrize("threshold", [0.35, 0.5, 0.9])
@@ -210,6 +217,8 @@ def test_rule_documents():
     ]}
     rules = parse_rules(document)
     assert rules[0].exact == ["email"] and rules[1].fuzzy[0].threshold == 0.8
+    named = parse_rules({"Rules": [{"RuleName": "mail", "MatchingKeys": ["email", "phone"]}], "MatchingThreshold": 0.9})
+    assert named[0].name == "mail" and named[0].exact == ["email", "phone"] and named[0].min_score == 0.9
 
 
 @pytest.mark.parametrize("threshold", [0.0, 1.0, 1.5])

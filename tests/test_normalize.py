@@ -32,7 +32,12 @@ CASES = [
     (n.house_number, "Main St", None),
     (n.street_name, "12 Main Street", "main st"),
     (n.po_box, "P.O. Box 12a", "12A"),
-    (n.norm_postal, "sw1a-1aa", "SW1A1"),
+    (n.norm_postal, "sw1a-1aa", "SW1A1AA"),
+    (n.norm_postal, "K1A 0B1", "K1A0B1"),
+    (n.norm_postal, "12345-6789", "12345"),
+    (n.norm_name, "Jose\u0301phine", "josephine"),
+    (n.norm_name, "Łukasz Čapek", "lukasz capek"),
+    (n.norm_name, "Groß", "gross"),
     (n.norm_postal, " - ", None),
     (n.norm_id, "12-34 ab", "1234AB"),
     (n.norm_number, " 1.5 ", 1.5),

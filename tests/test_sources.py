@@ -6,7 +6,7 @@ from kinweave.sinks.tables import append_rows, create_target, insert_rows, overw
 from kinweave.sinks.writers import write_results
 from kinweave.sources.batches import latest_batch, read_latest
 from kinweave.sources.readers import (
-    read_avro, read_csv_load, read_entities, read_json_array, read_json_lines, read_json_strict,
+    read_avro, read_csv_load, read_entities, read_json_array, read_json_lines, read_json_load, read_json_strict,
 )
 from kinweave.sources.tables import read_table, register_table, sql_source, union_sources
 
@@ -148,3 +148,41 @@ def test_record_codec(spark):
     text = df.select(encode_record("id", "score").alias("x"))
     assert text.first().x == '{"id":"1","score":0.5}'
     assert tuple(text.select(decode_record(F.col("x"), "id string, score double").alias("r")).first().r) == ("1", 0.5)
+
+
+def test_typed_csv_load(spark, tmp_path):
+    text = 'id,n,r,note\n1,NULL,null,"say ""hi"", x"\n2,7,1.5,\nx,7,1.5,a\n3,7,b,a\n4,5\n'
+    path = put(tmp_path / "t.csv", text)
+    schema = "id int, n int, r double, note string"
+    good, rejects = read_csv_load(spark, path, schema, "continue")
+    assert sorted(map(tuple, good.collect())) == [(1, None, None, 'say "hi", x'), (2, 7, 1.5, None)]
+    assert rejects.count() == 3
+    with pytest.raises(Exception, match="malformed"):
+        read_csv_load(spark, path, schema)[0].select("note").collect()
+    assert read_csv_load(spark, put(tmp_path / "u.csv", "id,n\nNULL,1\n"), "id int, n int")[0].first().id is None
+
+
+def test_json_load_rejects_wrong_types_and_shapes(spark, tmp_path):
+    path = put(tmp_path / "m.json", '{"id":1}\n{"id":"x"}\n3\n[1]\n{"id":\n{"other":2}\n')
+    good, rejects = read_json_load(spark, path, "id long", "continue")
+    assert sorted([r.id for r in good.collect()], key=str) == [1, None] and rejects.count() == 4
+    rows = read_json_load(spark, path, "id long, n long")[0]
+    for selected in (rows.select("n"), rows.agg(F.count("*"))):
+        with pytest.raises(Exception, match="malformed"):
+            selected.collect()
+
+
+def test_replaced_target_is_empty(spark, tmp_path):
+    path = str(tmp_path / "r")
+    schema = spark.range(1).schema
+    create_target(spark, "replaced_t", schema, path)
+    append_rows(spark.range(5), "replaced_t")
+    assert create_target(spark, "replaced_t", schema, path, replace=True).count() == 0
+
+
+def test_a_managed_table_is_not_replaced(spark, tmp_path):
+    spark.range(3).write.mode("overwrite").saveAsTable("owned_t")
+    with pytest.raises(ValueError, match="external"):
+        register_table(spark, "owned_t", str(tmp_path), "id long")
+    assert spark.table("owned_t").count() == 3
+    spark.sql("drop table owned_t")

@@ -44,7 +44,7 @@ def norm_id(c: str) -> str:
 
 
 def norm_postal(c: str) -> str:
-    return f"nullif(substr({norm_id(c)}, 1, 5), '')"
+    return f"case when length({norm_id(c)}) = 9 and try_cast({norm_id(c)} as bigint) is not null then substr({norm_id(c)}, 1, 5) else {norm_id(c)} end"
 
 
 def sim(a: str, b: str) -> str:
@@ -98,21 +98,24 @@ def rule_groups(rows: str, id_col: str, exact: list[str], fuzzy: dict[str, float
     """A fuzzy rule's groups as links to their smallest id."""
     return f"""{similar(rows, id_col, exact, fuzzy, cte)},
 {reach(cte + '_pairs', cte + '_comp')},
-{cte} as (select id_a, id_b, 1.0::double as score from {cte}_copies union all
-  select c.root, c.id, {score_of('a', 'b', exact, fuzzy)} from {cte}_comp c
-  join {cte}_prof a on a.pid = c.root join {cte}_prof b on b.pid = c.id where c.id <> c.root)"""
+{cte}_best as (select id, max(score) as best from (select id_a as id, score from {cte}_pairs union all
+  select id_b, score from {cte}_pairs) group by id),
+{cte} as (select id_a, id_b, 1.0::double as score_a, 1.0::double as score from {cte}_copies union all
+  select c.root, c.id, a.best, b.best from {cte}_comp c
+  join {cte}_best a on a.id = c.root join {cte}_best b on b.id = c.id where c.id <> c.root)"""
 
 
 NAME_ADDRESS = (["postal_code"], {"first_name": 0.8, "last_name": 0.8, "address": 0.7})
 LINKS = f"""{stars('pn', 'id', ['email'], 'by_email')}, {stars('pn', 'id', ['phone'], 'by_phone')},
 {rule_groups('pn', 'id', *NAME_ADDRESS, 'by_name')},
-every as (select id_a, id_b, 1 as rule_index, 'email' as rule_id, 1.0::double as score from by_email union all
-  select id_a, id_b, 2, 'phone', 1.0 from by_phone union all
-  select id_a, id_b, 3, 'name-address', score from by_name),
-links as materialized (select id_a, id_b, min(rule_index) as rule_index,
-  arg_min(rule_id, rule_index) as rule_id, arg_min(score, rule_index) as score from every group by id_a, id_b)"""
+every as (select id_a, id_b, 1 as rule_index, 'email' as rule_id, 1.0::double as score_a, 1.0::double as score from by_email
+  union all select id_a, id_b, 2, 'phone', 1.0, 1.0 from by_phone union all
+  select id_a, id_b, 3, 'name-address', score_a, score from by_name),
+links as materialized (select * from every qualify row_number() over (
+  partition by id_a, id_b order by rule_index, score_a desc, score desc) = 1)"""
 RESOLVED = f"""with recursive {NORMAL}, {LINKS}, {reach('links', 'grp')},
-ends as (select id_a as id, * exclude (id_a, id_b) from links union all select id_b, * exclude (id_a, id_b) from links),
+ends as (select id_a as id, rule_index, rule_id, score_a as score from links union all
+  select id_b, rule_index, rule_id, score from links),
 best as (select id, rule_id, score from ends qualify row_number() over (
   partition by id order by rule_index, score desc, rule_id) = 1),
 records as materialized (select p.id, coalesce(g.root, p.id) as match_id, b.score, b.rule_id, g.root from person p
@@ -139,8 +142,8 @@ CLOSED_300 = f"{PERIOD_300} + interval '300 seconds' <= (select max(ts) from eve
 CLOSED_60 = f"{PERIOD_60} + interval '60 seconds' <= (select max(ts) from events) - interval '10 minutes'"
 
 OBJECT = (
-    "(not regexp_matches({0}, '^(http|https|ftp)://') and not ({0} like 's3:%' and {0} not like 's3://%') "
-    "and (regexp_matches({0}, '^s3://[^/]+/') or regexp_matches({0}, '^[^/]+/')))"
+    "((starts_with({0}, 's3://') and strpos(substr({0}, 6), '/') > 1 and not contains(split_part(substr({0}, 6), '/', 1), ':')) "
+    "or (strpos({0}, '/') > 1 and not contains(split_part({0}, '/', 1), ':')))"
 )
 BARE_URL = "regexp_replace(trim({0}), '#.*$', '')"
 URL = (
@@ -319,9 +322,64 @@ ORACLES = {
         count(value) as samples from (select *, {PERIOD_300} as p from events where {CLOSED_300}) group by p, event_type""",
     "stream_alarms_events": f"""select {text_time('p')} as period_start, count(*) as observed
         from (select {PERIOD_60} as p from events where event_type = 'error' and {CLOSED_60}) group by p""",
-    "stream_upsert_person": f"{RESOLVED} select id, match_id from records",
+    "stream_upsert_person": f"{RESOLVED} select id, match_id, score, rule_id from records",
     "stream_changes_person": f"with {PERSON} select id, 1::bigint as inserts from person",
     "process_load_person": f"""{RESOLVED} select r.id as "ID", p.last_name as "LAST_NAME", r.match_id as "MATCH_ID",
         r.score as "MATCH_SCORE", '{AS_OF}' as "LAST_UPDATED", (select count(*) from records) as loaded
         from records r join person p on p.id = r.id""",
+    "rules_person_split": f"with recursive {NORMAL}, {LINKS} select * from links",
+    "topk_part_split": f"""with pairs as (select a.p_partkey as x, b.p_partkey as y,
+          round((1.0::double + {sim('a.p_name', 'b.p_name')} + {sim('a.p_type', 'b.p_type')}) / 3.0::double, 6) as score
+          from part a join part b on a.p_brand = b.p_brand and a.p_partkey <> b.p_partkey
+          and {sim('a.p_name', 'b.p_name')} >= 0.6 and {sim('a.p_type', 'b.p_type')} >= 0.5),
+        best as (select * from pairs qualify row_number() over (partition by x order by score desc, y) <= 3)
+        select distinct least(x, y) as id_a, greatest(x, y) as id_b, score from best""",
+    "match_groups_hubs": f"""with {DOC_GROUPS}
+        select id_b as id, id_a as root from l union select id_a, id_a from l""",
+    "chain_scores_part": f"""with pairs as (select a.p_partkey as x,
+          round((2.0::double + {sim('a.p_name', 'b.p_name')}) / 3.0::double, 6) as score
+          from part a join part b on a.p_brand = b.p_brand and a.p_type = b.p_type and a.p_partkey <> b.p_partkey
+          and {sim('a.p_name', 'b.p_name')} >= 0.7)
+        select x as id, max(score) as score, 'name' as rule_id from pairs group by x""",
+    "resolve_array_person": f"""with recursive {NORMAL}, c as (select distinct id, unnest([email, phone]) as k from pn),
+        {stars('c', 'id', ['k'], 'l')}, {reach('l', 'grp')}
+        select p.id as "sourceId", coalesce(g.root, p.id) as "matchId", case when g.root is not null then 1.0::double end as "confidenceScore",
+          case when g.root is not null then 'Rule-1' end as "ruleId" from person p left join grp g on g.id = p.id""",
+    "model_links_person": f"""with {NORMAL}, {similar('pn', 'id', ['postal_code'], {'first_name': 0.6}, 'm')},
+        p as (select id_a, id_b from m_pairs union all select id_a, id_b from m_copies),
+        z as (select id_a, id_b, -6.0::double + {' + '.join(
+            f"{w}::double * coalesce({sim(f'a.{c}', f'b.{c}')}, 0) + {v}::double * case when a.{c} is null or b.{c} is null then 1 else 0 end"
+            for c, w, v in [('first_name', 2.0, -0.5), ('last_name', 3.0, -0.5), ('address', 2.5, 0.25), ('email', 1.5, 0.75)])} as z
+          from p join pn a on a.id = id_a join pn b on b.id = id_b)
+        select id_a, id_b, round(1 / (1 + exp(-z)), 6) as score from z where round(1 / (1 + exp(-z)), 6) >= 0.6""",
+    "merge_ordered_orders": f"""with {ORDERS_MERGED},
+        s as (select *, case when o_orderkey % 3 <> 0 then 1 end as seq from new union all
+          select * replace (0.5::double as o_totalprice), 2 from new where o_orderkey % 4 = 0),
+        l as (select * from s qualify row_number() over (partition by o_orderkey order by seq desc nulls last) = 1),
+        c as (select count(*) filter (o_orderkey not in (select o_orderkey from old)) as inserted,
+          count(*) filter (o_orderkey in (select o_orderkey from old)) as updated, 0::bigint as rejected,
+          (select count(*) from s) - count(*) as superseded, (select count(*) from s) as total from l)
+        select coalesce(n.o_orderkey, o.o_orderkey) as o_orderkey,
+          case when n.o_orderkey is not null then n.o_custkey else o.o_custkey end as o_custkey,
+          case when n.o_orderkey is not null then n.o_orderstatus else o.o_orderstatus end as o_orderstatus,
+          case when n.o_orderkey is not null then n.o_totalprice else o.o_totalprice end as o_totalprice,
+          case when n.o_orderkey is not null then n.o_orderpriority else o.o_orderpriority end as o_orderpriority,
+          case when n.o_orderkey is not null then '{AS_OF}' else '2020-01-01 00:00:00' end as "LAST_UPDATED", c.*
+        from old o full join l n on n.o_orderkey = o.o_orderkey cross join c""",
+    "json_array_customer": "select c_custkey as id, c_name as name, c_acctbal as balance from customer",
+    "load_typed_csv": """select c_custkey as id, 'say "' || c_name || '", x' as name,
+          case when c_custkey % 5 <> 1 then c_nationkey end as nation, case when c_custkey % 5 <> 3 then 1.5::double end as rate,
+          case when c_custkey % 5 <> 4 then '2024-02-29' end as since from customer where c_custkey % 5 <> 2
+        union all select count(*), 'rejects', null, null, null from customer where c_custkey % 5 = 2""",
+    "load_json_rejects": """with k as (select c_custkey as id, case c_custkey % 7 when 1 then 'object' when 4 then 'object' when 2 then 'value'
+          when 3 then 'array' else 'record' end as kind from customer)
+        select kind, count(*) as n, cast(sum(id) filter (kind = 'record') as bigint) as id_sum from k group by kind""",
+    "process_mapped_customer": f"""select cast(c_custkey as varchar) as "ID", c_name as "NAME",
+        case when c_mktsegment is null or c_nationkey is null then cast(c_custkey as varchar) else
+          min(cast(c_custkey as varchar)) over (partition by c_mktsegment, c_nationkey) end as "MATCH_ID" from customer""",
+    "process_provider_person": f"""with {NORMAL}, ref as (select email as e, min('P-' || postal_code) as pid
+          from pn where source = 'crm' and email is not null group by 1),
+        m as (select pn.id, ref.pid from pn left join ref on ref.e = pn.email)
+        select id as "ID", case when pid is null then id else min(id) over (partition by pid) end as "MATCH_ID",
+          (select count(*) from m) as loaded from m""",
 }

@@ -13,7 +13,7 @@ from kinweave.operators.exact import dedup_within, element_links, exact_links, t
 from kinweave.operators.topk import top_matches
 from kinweave.plans.load import load
 from kinweave.plans.pipeline import run_pipeline
-from kinweave.plans.resolve import Model, resolve
+from kinweave.plans.resolve import Model, Provider, resolve
 from kinweave.plans.rules import Exact, Fuzzy, Rule, all_links, rule_links, rule_pairs
 from kinweave.schema import Attribute
 from kinweave.session import cut, scratch_path
@@ -21,7 +21,9 @@ from kinweave.sinks.merge import KeyedTable
 from kinweave.sinks.tables import append_rows, create_target, insert_rows, overwrite_rows
 from kinweave.sinks.writers import write_results
 from kinweave.sources.batches import read_latest
-from kinweave.sources.readers import read_csv_load, read_entities, read_json_lines, read_json_strict
+from kinweave.sources.readers import (
+    read_csv_load, read_entities, read_json_array, read_json_lines, read_json_load, read_json_strict,
+)
 from kinweave.sources.tables import read_table, register_table, sql_source, union_sources
 from kinweave.streaming.files import append_changes, on_arrival, read_changes, stream_files
 from kinweave.streaming.incremental import match_batch
@@ -209,6 +211,33 @@ def rules_person(spark, sf_dir):
     return all_links(cut(normalized_person(spark, sf_dir), "people"), "id", RULES)
 
 
+# Limits under which every signature with a pair is split, and every node is a hub.
+SPLIT_ALL = {"split_pairs": 1, "split_gain": 0.0, "worth_splitting": 1}
+
+
+def rules_person_split(spark, sf_dir):
+    return all_links(cut(normalized_person(spark, sf_dir), "people"), "id", RULES, **SPLIT_ALL)
+
+
+def topk_part_split(spark, sf_dir):
+    fields = [Fuzzy("p_name", 0.6), Fuzzy("p_type", 0.5)]
+    return top_matches(table(spark, sf_dir, "part"), "p_partkey", ["p_brand"], fields, k=3, **SPLIT_ALL)
+
+
+def chain_scores_part(spark, sf_dir):
+    """The confidence of every part that a rule matched: that of its best pair."""
+    rule = Rule("name", (Exact("p_brand"), Exact("p_type"), Fuzzy("p_name", 0.7)))
+    links = all_links(table(spark, sf_dir, "part"), "p_partkey", [rule])
+    return groups.best_link(links).select("id", "score", "rule_id")
+
+
+def resolve_array_person(spark, sf_dir):
+    """Records that share any of their contacts."""
+    people = normalized_person(spark, sf_dir).select("id", F.array("email", "phone").alias("contacts"))
+    fields = [Attribute("id", required=True), Attribute("contacts", match_key=True, array=True)]
+    return resolve(people, fields, "id").records.select("sourceId", "matchId", "confidenceScore", "ruleId")
+
+
 def topk_matches_part(spark, sf_dir):
     return top_matches(
         table(spark, sf_dir, "part"), "p_partkey", ["p_brand"], [Fuzzy("p_name", 0.6)], k=3)
@@ -218,6 +247,10 @@ def match_groups_documents(spark, sf_dir):
     return components(exact_dup_documents(spark, sf_dir))
 
 
+def match_groups_hubs(spark, sf_dir):
+    return components(exact_dup_documents(spark, sf_dir), hub_degree=1)
+
+
 def _resolved(spark, sf_dir, **options):
     return resolve(person(spark, sf_dir), ATTRIBUTES, "id", RULES, carry=["source"], **options)
 
@@ -284,6 +317,16 @@ def ml_match_person(spark, sf_dir):
     return resolve(person(spark, sf_dir), ATTRIBUTES, "id", model=matcher).links
 
 
+MATCHER = model.Matcher(tuple(ML_FIELDS), (2.0, -0.5, 3.0, -0.5, 2.5, 0.25, 1.5, 0.75), -6.0)
+
+
+def model_links_person(spark, sf_dir):
+    """Links of a matcher with given weights."""
+    people = cut(normalized_person(spark, sf_dir))
+    pairs = cut(rule_pairs(people, "id", Rule("loose", (Exact("postal_code"), Fuzzy("first_name", 0.6)))))
+    return model.model_links(model.pair_features(pairs, people, "id", ML_FIELDS), MATCHER, 0.6)
+
+
 def golden_person(spark, sf_dir):
     fields = ["first_name", "last_name", "email", "phone", "address", "postal_code"]
     return golden.golden_records(_person_with_group(spark, sf_dir), fields, ["web", "crm"])
@@ -345,6 +388,18 @@ def merge_counters_orders(spark, sf_dir):
         "status", "processed", "loaded", "failed", "inserted", "updated")
 
 
+def merge_ordered_orders(spark, sf_dir):
+    """Repeated keys, the later by `seq` counting; a NULL there comes before any value."""
+    target = KeyedTable(spark, scratch_path(spark, "orders"), "o_orderkey")
+    target.write(_orders(spark, sf_dir))
+    changes = _order_changes(spark, sf_dir)
+    first = changes.withColumn("seq", F.when(F.col("o_orderkey") % 3 != 0, 1))
+    again = changes.where("o_orderkey % 4 = 0").withColumn("o_totalprice", F.lit(0.5)).withColumn("seq", F.lit(2))
+    counts = target.merge(first.unionByName(again), AS_OF, order_by="seq")
+    out = target.read().withColumn("LAST_UPDATED", stamp("LAST_UPDATED"))
+    return out.select("*", *[F.lit(n).cast("long").alias(k) for k, n in counts.items()])
+
+
 def change_feed_orders(spark, sf_dir):
     target, _ = _merged_orders(spark, sf_dir)
     return target.changes(1, 2).drop("LAST_UPDATED")
@@ -425,11 +480,55 @@ def json_result_roundtrip(spark, sf_dir):
 
 
 def json_array_person(spark, sf_dir):
-    """An array of records per line, read back with the outer array stripped."""
-    path = scratch_path(spark, "arrays")
+    """One array of records per file, read back with the outer array stripped."""
     record = F.struct("id", "first_name", "postal_code")
-    person(spark, sf_dir).select(F.to_json(F.array(record)).alias("value")).write.text(path)
-    return read_json_lines(spark, path, "id string, first_name string, postal_code string")
+    files = person(spark, sf_dir).groupBy(F.substring("id", 1, 5).alias("part")).agg(F.collect_list(record).alias("records"))
+    return _through_arrays(spark, files, "id string, first_name string, postal_code string")
+
+
+def _through_arrays(spark, files, schema):
+    path = scratch_path(spark, "arrays")
+    files.select("part", F.to_json("records").alias("value")).write.partitionBy("part").text(path)
+    return read_json_array(spark, path, schema).drop("part")
+
+
+def json_array_customer(spark, sf_dir):
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    files = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 1000).alias("part")).agg(
+        F.collect_list(record).alias("records"))
+    return _through_arrays(spark, files, "id long, name string, balance double")
+
+
+def load_typed_csv(spark, sf_dir):
+    """NULL tokens in columns of several types, quotes within quotes, and values of the wrong type."""
+    path = scratch_path(spark, "typed")
+    kind = F.col("c_custkey") % 5
+    lines = table(spark, sf_dir, "customer").select(F.concat_ws(
+        ",", F.col("c_custkey").cast("string"), F.concat(F.lit('"say ""'), F.col("c_name"), F.lit('"", x"')),
+        F.when(kind == 1, "NULL").when(kind == 2, "n/a").otherwise(F.col("c_nationkey").cast("string")),
+        F.when(kind == 3, "null").otherwise("1.5"), F.when(kind == 4, F.lit("")).otherwise("2024-02-29"),
+    ).alias("id,name,nation,rate,since"))
+    lines.write.option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+    good, rejects = read_csv_load(spark, path, "id long, name string, nation int, rate double, since date", "continue")
+    return good.withColumn("since", F.col("since").cast("string")).unionByName(
+        rejects.agg(F.count("*").alias("id"), F.lit("rejects").alias("name")), allowMissingColumns=True)
+
+
+def load_json_rejects(spark, sf_dir):
+    """Good lines, values of another type, lines that are no object, and broken ones."""
+    path = scratch_path(spark, "json-load")
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 7
+    line = (
+        F.when(kind == 1, F.concat(F.lit('{"id":"x'), key, F.lit('"}'))).when(kind == 2, key)
+        .when(kind == 3, F.concat(F.lit("["), key, F.lit("]"))).when(kind == 4, F.concat(F.lit('{"id":'), key))
+        .otherwise(F.concat(F.lit('{"id":'), key, F.lit("}")))
+    )
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    records, rejects = read_json_load(spark, path, "id long", "continue")
+    first = F.substring("value", 1, 1)
+    kinds = F.when(first == "{", "object").when(first == "[", "array").otherwise("value")
+    return records.agg(F.lit("record").alias("kind"), F.count("*").alias("n"), F.sum("id").alias("id_sum")).unionByName(
+        rejects.groupBy(kinds.alias("kind")).agg(F.count("*").alias("n"), F.lit(None).cast("long").alias("id_sum")))
 
 
 def json_duplicate_keys(spark, sf_dir):
@@ -559,7 +658,7 @@ def _streamed(spark, sf_dir):
 
 def stream_upsert_person(spark, sf_dir):
     loaded, _ = _streamed(spark, sf_dir)
-    return loaded.read().select("id", "match_id")
+    return loaded.read().select("id", "match_id", "score", "rule_id")
 
 
 def stream_changes_person(spark, sf_dir):
@@ -578,3 +677,28 @@ def process_load_person(spark, sf_dir):
         spark, f"{base}/input", ATTRIBUTES, target, RULES, AS_OF, "parquet", name, output=base, run="20240601_000000")
     out = target.read().select("ID", "LAST_NAME", "MATCH_ID", "MATCH_SCORE", stamp("LAST_UPDATED"))
     return out.withColumn("loaded", F.lit(done.loaded.loaded).cast("long"))
+
+
+def process_mapped_customer(spark, sf_dir):
+    """Source columns under other names than the attributes; customers of a segment and nation match."""
+    base = scratch_path(spark, "mapped")
+    fields = [
+        Attribute("id", required=True), Attribute("name", "NAME", "FULL_NAME"),
+        Attribute("segment", match_key=True, group="place"), Attribute("nation", match_key=True, group="place"),
+    ]
+    names = {"id": "c_custkey", "name": "c_name", "segment": "c_mktsegment", "nation": "c_nationkey"}
+    target = KeyedTable(spark, f"{base}/target", "ID")
+    run_pipeline(spark, base, fields, target, None, AS_OF, source=table(spark, sf_dir, "customer"), source_fields=names)
+    return target.read().select("ID", "NAME", "MATCH_ID")
+
+
+def process_provider_person(spark, sf_dir):
+    """The whole job with a provider's identities instead of rules."""
+    base = scratch_path(spark, "provided")
+    people = normalized_person(spark, sf_dir)
+    identities = people.where("source = 'crm'").select(
+        provider.key_digest(F.col("email")).alias("key_hash"), F.concat(F.lit("P-"), F.col("postal_code")).alias("provider_id"))
+    target = KeyedTable(spark, f"{base}/target", "ID")
+    done = run_pipeline(
+        spark, base, ATTRIBUTES, target, None, AS_OF, source=person(spark, sf_dir), provider=Provider(cut(identities), "email"))
+    return target.read().select("ID", "MATCH_ID").withColumn("loaded", F.lit(done.loaded.loaded).cast("long"))
