@@ -178,5 +178,15 @@ class KeyedTable:
         counts["total"] = sum(counts.values())
         return counts
 
+    def prune(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest `keep` versions, and give their numbers."""
+        found = sorted(self._folders())
+        old = found[: max(len(found) - max(keep, 1), 0)]
+        for _, _, path in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
+            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        return [version for version, _, _ in old]
+
     def changes(self, old: int, new: int) -> DataFrame:
         return change_feed(self.read(old), self.read(new), self.key)

@@ -245,3 +245,11 @@ def test_one_file_per_bucket(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "b"), "id", buckets=4)
     table.write(spark.range(0, 10_000, 1, 16))
     assert len(list((tmp_path / "b").rglob("*.parquet"))) == 4
+
+
+def test_old_versions_are_pruned(spark, tmp_path):
+    table = target_of(spark, tmp_path)
+    for name in "xyz":
+        table.merge(spark.createDataFrame([("2", name)], "ID string, NAME string"), T1)
+    assert table.prune(2) == [1, 2] and table.versions() == [3, 4]
+    assert ("2", "z", T1) in rows(table.read()) and table.prune(2) == []
