@@ -35,7 +35,7 @@ def bitmap(hashes: DataFrame) -> np.ndarray:
 
     block = F.shiftrightunsigned("h", 64 - BIT_BITS + BLOCK_BITS).cast("int").alias("block")
     out = np.zeros((1 << (BIT_BITS - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), np.uint8)
-    for row in hashes.select("h", block).repartition("block").mapInArrow(collect, "block int, bits binary").collect():
+    for row in hashes.select("h").distinct().select("h", block).repartition("block").mapInArrow(collect, "block int, bits binary").collect():
         out[row.block] = np.frombuffer(row.bits, np.uint8)
     return out.ravel()
 

@@ -10,10 +10,11 @@ first, by a counting sketch of fixed size that covers all documents.  Then
   together with the light sets large enough to be similar to it, and the lists are scanned.
 
 The boundary is the size at which the estimated cost of both ways together is least.  Sets
-that share a pair or a list meet at its most central set, the pivot, and are compared with it
-in full.  Only those that are not similar to their pivot are then compared with
-everything else that met there, in blocks, by counting along inverted lists.  So no pair is
-lost, none is made within a group of copies, and links are found by exact comparison.
+that share a pair or a list meet at its most central set, the pivot, and are compared with
+it.  Only those that are not similar to their pivot are then compared with everything else
+that met there, in blocks, by counting along inverted lists.  Before texts are read for an
+exact comparison, sizes and short bit arrays rule out sets that differ by too much, which
+they prove.  So no pair is lost, and none is made within a group of copies.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.llm.bitmaps import bitmap, may_hold
 from kinweave.llm.common import ship, shuffle_width
 from kinweave.llm.shingles import WIDTH, shingle_sets
 from kinweave.llm.textvec import mix, slices
@@ -36,7 +38,8 @@ from kinweave.session import cut
 SLOT_BITS, BLOCK_BITS = 22, 14
 #: Sets compared in one block: those left over by a pivot, and those they are compared with.
 LEFT, RIGHT = 128, 512
-SALTS = 16
+#: Sets compared with one pivot in one place.
+GUESTS = 256
 #: Cost of scanning one entry of an inverted list, in rows shuffled.
 SCAN_COST = 0.05
 
@@ -175,48 +178,119 @@ def _lists(docs: DataFrame, level: np.ndarray, light: int, threshold: int, width
     return docs.select("text").mapInArrow(emit, "sig long, name long, central int, hot boolean")
 
 
-def _meetings(lists: DataFrame) -> DataFrame:
-    """(pivot, name): every set that shares a signature with others, and the most central of these.
+def _meetings(cold: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """(pivot, name, crowd): every set that shares a signature with others, and the most central of these.
 
-    A running window streams each list.  Signatures that the sketch calls hot go another way:
-    their pivots are partial aggregates, joined back as a skewed join that Spark splits.
+    `crowd`: more than the two share it.  A running window streams each list.  Signatures that
+    the sketch calls hot go another way: their pivots are partial aggregates, joined back
+    as a skewed join that Spark splits.
     """
-    from pyspark.sql import Window
+    ordered = Window.partitionBy("sig").orderBy(F.desc("central"), "name")
+    sofar = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    crowd = (F.row_number().over(ordered) > 2) | F.lead("name").over(ordered).isNotNull()
+    met = cold.select(F.first("name").over(sofar).alias("pivot"), "name", crowd.alias("crowd"))
+    if hot is not None:
+        hot = cut(hot.groupBy("sig", "name").agg(F.max("central").alias("central")), "hot")
+        first = F.struct((-F.col("central")).alias("c"), F.col("name").alias("name"))
+        pivots = cut(hot.groupBy("sig").agg(F.min(first)["name"].alias("pivot")), "pivots")
+        met = met.unionByName(hot.join(pivots, "sig").select("pivot", "name", F.lit(True).alias("crowd")))
+    return met.where("pivot <> name").groupBy("pivot", "name").agg(F.max("crowd").alias("crowd"))
+
+
+def _near_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, text) of `docs` that a bitmap of `keys` lets through, and all without a key."""
+    bits = bitmap(keys.where("key is not null").select(F.xxhash64("key").alias("h")))
+    return docs.where(F.col("key").isNull() | may_hold(docs.sparkSession, bits, F.xxhash64("key")))
+
+
+def _found(docs: DataFrame, wanted: DataFrame, width: int, seed: int, column: str) -> DataFrame:
+    """(name, `column`) of the `wanted` (key, name) sets, each from a document that has it: its
+    text, or the bits of its set.  A document's name is worked out again, as rows that share
+    a key may have other texts."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                hashes, counts = shingle_sets(part.column("text"), width)
+                values = part.column("text") if column == "text" else pa.array(parities(hashes, counts), pa.binary())
+                rows = [part.column("key"), pa.array(_names(hashes, counts, seed)), pa.array(counts, pa.int64()), values]
+                yield pa.RecordBatch.from_arrays(rows, names=["key", "name", "n", column]).filter(pa.array(counts > 0))
+
+    near = _near_keys(docs, wanted)
+    made = f"key {docs.schema['key'].dataType.simpleString()}, name long, n long, {column} {'string' if column == 'text' else 'binary'}"
+    mine = wanted.withColumnsRenamed({"key": "w_key", "name": "w_name"})
+    found = near.mapInArrow(find, made)
+    return found.join(mine, (F.col("name") == F.col("w_name")) & F.col("key").eqNullSafe(F.col("w_key")), "left_semi").select("name", "n", column)
+
+
+def parities(hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """A bit array per set, at least twice as many bits as elements: how many elements fall on
+    each bit, odd or even.  Sets differ by no fewer elements than their arrays by bits."""
+    sizes = 64 << np.maximum(np.ceil(np.log2(np.maximum(counts, 1) / 32)), 0).astype(np.int64)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    at = (ends - sizes)[owner] + (hashes.astype(np.int64) & (sizes[owner] - 1))
+    total = int(ends[-1]) if len(ends) else 0
+    packed = np.packbits((np.bincount(at, minlength=total) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - n) // 8 : e // 8] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
-    first = F.struct((-F.col("central")).alias("c"), F.col("name").alias("name"))
-    ordered = Window.partitionBy("sig").orderBy(F.desc("central"), "name").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cold = lists.where("not hot").select(F.first("name").over(ordered).alias("pivot"), "name")
-    hot = lists.where("hot").groupBy("sig", "name").agg(F.max("central").alias("central"))
-    hot = cut(hot, "hot")
-    pivots = cut(hot.groupBy("sig").agg(F.min(first)["name"].alias("pivot")), "pivots")
-    warm = hot.join(pivots, "sig").select("pivot", "name")
-    return cold.unionByName(warm).where("pivot <> name").distinct()
 
+def fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """Arrays of bytes (..., n) as they would be with `size` bytes."""
+    return np.bitwise_xor.reduce(bits.reshape(*bits.shape[:-1], -1, size), axis=-2)
 
-def _sets(docs: DataFrame, survey: DataFrame, wanted: DataFrame, width: int, seed: int) -> DataFrame:
-    """(name, hashes) of the wanted sets, each made again from a document that has it.
 
-    Documents are found by key; those without one are few or none, and found by name.
-    """
-    chosen = survey.where("key is not null").groupBy("name").agg(F.min("key").alias("key")).join(wanted, "name")
+def most_apart(a, b, threshold: int):
+    """How many elements similar sets of sizes a and b may differ by; negative where none are."""
+    need = overlap_needed(a, b, threshold)
+    return np.where(need <= np.minimum(a, b), a + b - 2 * need, -1)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                hashes, counts = shingle_sets(part.column("text"), width)
-                # Rows that share a key may have other texts.
-                own = _names(hashes, counts, seed)
-                asked = part.column("name").fill_null(0).to_numpy()
-                right = (counts > 0) & ((own == asked) | ~part.column("name").is_valid().to_numpy(zero_copy_only=False))
-                ends = np.cumsum(counts)
-                blobs = [hashes[a:b].astype("<u8").tobytes() for a, b in zip((ends - counts)[right], ends[right], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(own[right]), pa.array(blobs, pa.binary())], names=["name", "hashes"])
 
-    made = "name long, hashes binary"
-    keyed = docs.join(chosen, "key").select("name", "text").mapInArrow(make, made)
-    others = docs.where("key is null").select(F.lit(None).cast("long").alias("name"), "text").mapInArrow(make, made)
-    unkeyed = survey.groupBy("name").agg(F.max("key").alias("key")).where("key is null").join(wanted, "name").select("name")
-    return keyed.unionByName(others.join(unkeyed, "name", "left_semi")).dropDuplicates(["name"])
+def may_link(n: int, bits: np.ndarray, sizes: np.ndarray, groups: dict[int, tuple[np.ndarray, np.ndarray]], threshold: int) -> np.ndarray:
+    """Which of the sets (of `sizes`; `groups`: bytes -> (rows, bits)) could be similar to one with `n` elements and `bits`."""
+    out = np.zeros(len(sizes), bool)
+    for size, (rows, other) in groups.items():
+        if not len(bits) <= 2 * size <= 4 * len(bits):  # similar sets differ in size by a quarter at most
+            continue
+        own, other = (fold(bits, size), other) if size < len(bits) else (bits, fold(other, len(bits)))
+        apart = np.bitwise_count(other ^ own).sum(axis=1, dtype=np.int64)
+        out[rows] = apart <= most_apart(n, sizes[rows], threshold)
+    return out
+
+
+def by_size(blobs: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """bytes -> (rows, bits) of bit arrays of several sizes."""
+    length = np.array([len(b) for b in blobs])
+    return {
+        int(size): (rows := np.flatnonzero(length == size), np.frombuffer(b"".join(blobs[k] for k in rows), np.uint8).reshape(len(rows), -1))
+        for size in np.unique(length)
+    }
+
+
+def _possible(meetings: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
+    """(pivot, name) that their sizes and bits do not rule out."""
+
+    def test(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for n, bits, m, other in columns:
+            out = []
+            for a, x, b, y in zip(n.to_pylist(), bits.to_pylist(), m.to_pylist(), other.to_pylist(), strict=True):
+                out.append(bool(may_link(a, np.frombuffer(x, np.uint8), np.array([b]), by_size([y]), threshold)[0]))
+            yield pa.array(out, pa.bool_())
+
+    test.__annotations__ = {"columns": Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    hosts = marks.select(F.col("name").alias("pivot"), F.col("n").alias("p_n"), F.col("bits").alias("p_bits"))
+    both = meetings.select("pivot", "name").join(marks, "name").join(hosts, "pivot")
+    sized = both.where(F.expr(f"100 * least(n, p_n) >= {threshold} * greatest(n, p_n)"))
+    return sized.where(F.arrow_udf(test, "boolean")("p_n", "p_bits", "n", "bits")).select("pivot", "name")
+
+
+def _hashed(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
+    """The shingle sets of a batch's texts."""
+    out = []
+    for part in slices(batch, "text", 1 << 20):
+        hashes, counts = shingle_sets(part.column("text"), width)
+        out += np.split(hashes, np.cumsum(counts)[:-1])
+    return out
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -227,31 +301,33 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _with_pivots(meetings: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """(pivot, name, linked): every set compared with its pivots."""
-    salt = F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int").alias("salt")
-    guests = meetings.select("pivot", salt, "name").join(sets, "name").select("pivot", "salt", F.lit(1).alias("guest"), "name", "hashes")
-    hosts = meetings.select("pivot", salt).distinct().join(sets.withColumnRenamed("name", "pivot"), "pivot")
-    hosts = hosts.select("pivot", "salt", F.lit(0).alias("guest"), F.col("pivot").alias("name"), "hashes")
+def _with_pivots(meetings: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
+    """(pivot, name) that are similar: sets compared with pivots, `GUESTS` or so at a place."""
+    places = cut(meetings.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / GUESTS).cast("int").alias("places")), "places")
+    salt = F.pmod(F.xxhash64("name"), F.col("places")).cast("int").alias("salt")
+    guests = meetings.join(places, "pivot").select("pivot", salt, "name").join(texts, "name")
+    guests = guests.select("pivot", "salt", F.lit(1).alias("guest"), "name", "text")
+    hosts = places.select("pivot", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("salt")).join(texts.withColumnRenamed("name", "pivot"), "pivot")
+    hosts = hosts.select("pivot", "salt", F.lit(0).alias("guest"), F.col("pivot").alias("name"), "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            pivots, names, linked = [], [], []
-            for pivot, guest, name, blob in zip(*[batch.column(c).to_pylist() for c in ("pivot", "guest", "name", "hashes")], strict=True):
-                value = np.frombuffer(blob, "<u8")
+            pivots, names = [], []
+            columns = [batch.column(c).to_pylist() for c in ("pivot", "guest", "name")]
+            for pivot, guest, name, value in zip(*columns, _hashed(batch, width), strict=True):
                 if not guest:
                     host, own = pivot, value
                     continue
                 assert host == pivot
                 low, high = sorted((len(own), len(value)))
                 near = 100 * low >= threshold * high and shared(own, value) >= overlap_needed(low, high, threshold)
-                pivots.append(pivot), names.append(name), linked.append(near)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pivots, pa.int64()), pa.array(names, pa.int64()), pa.array(linked, pa.bool_())], names=["pivot", "name", "linked"])
+                if near:
+                    pivots.append(pivot), names.append(name)
+            yield pa.RecordBatch.from_arrays([pa.array(pivots, pa.int64()), pa.array(names, pa.int64())], names=["pivot", "name"])
 
     rows = hosts.unionByName(guests).repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "guest")
-    return rows.select("pivot", "guest", "name", "hashes").mapInArrow(compare, "pivot long, name long, linked boolean")
+    return rows.select("pivot", "guest", "name", "text").mapInArrow(compare, "pivot long, name long")
 
 
 def block_links(sets: list[np.ndarray], left: np.ndarray, threshold: int) -> list[tuple[int, int]]:
@@ -273,8 +349,13 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, threshold: int) -> lis
     return out
 
 
-def _among_guests(verdicts: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): links among the sets of one pivot of which at least one is not similar to it."""
+def _blocks(verdicts: DataFrame) -> DataFrame:
+    """(pivot, r, c, left, name): the sets of each pivot in blocks, such that each that is not
+    similar to it (`left`) meets all others in one of them.
+
+    A set that shared a signature with the pivot alone has met no other set there.
+    """
+    verdicts = verdicts.where("crowd")
     counts = verdicts.groupBy("pivot").agg(F.count(F.lit(1)).alias("every"), F.count_if(~F.col("linked")).alias("open"))
     counts = cut(
         counts.where("open > 0 and every > 1")
@@ -288,46 +369,75 @@ def _among_guests(verdicts: DataFrame, sets: DataFrame, threshold: int) -> DataF
     rights = guests.select(
         "pivot", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), place(2, "cols").alias("c"),
         (~F.col("linked") & (F.col("rows") == 1) & (F.col("cols") == 1)).alias("left"), "name")
+    return lefts.unionByName(rights)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, names, values, open_ = None, [], [], []
-
-        def links() -> pa.RecordBatch:
-            seen: dict[int, int] = {}
-            found = []
-            parent = list(range(len(names)))
-
-            def root(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            for k, name in enumerate(names):  # a set may stand on both sides
-                parent[root(k)] = root(seen.setdefault(name, k))
-            if len(names) > 1 and any(open_):
-                for u, v in block_links(values, np.flatnonzero(open_), threshold):
-                    x, y = root(u), root(v)
-                    if x != y:
-                        parent[x] = y
-                        found.append((names[u], names[v]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
+def _in_blocks(blocks: DataFrame, values: DataFrame, settle, schema: str, read) -> DataFrame:
+    """`settle(block, left, names, values)` for every block; `read` makes a batch's values."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, left, names, held = None, [], [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("pivot", "r", "c", "left", "name", "hashes")]
-            for pivot, r, c, left, name, blob in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("pivot", "r", "c", "left", "name")]
+            for pivot, r, c, open_, name, value in zip(*columns, read(batch), strict=True):
                 if (pivot, r, c) != block:
-                    if names:
-                        yield links()
-                    block, names, values, open_ = (pivot, r, c), [], [], []
-                names.append(name), values.append(np.frombuffer(blob, "<u8")), open_.append(left)
-        if names:
-            yield links()
+                    if len(names) > 1:
+                        yield settle(block, left, names, held)
+                    block, left, names, held = (pivot, r, c), [], [], []
+                left.append(open_), names.append(name), held.append(value)
+        if len(names) > 1:
+            yield settle(block, left, names, held)
+
+    rows = blocks.join(values, "name").repartition("pivot", "r", "c").sortWithinPartitions("pivot", "r", "c")
+    return rows.select("pivot", "r", "c", "left", "name", *[c for c in values.columns if c != "name"]).mapInArrow(search, schema)
+
+
+def _promising(blocks: DataFrame, marks: DataFrame, threshold: int) -> DataFrame:
+    """The rows of the blocks whose sets could be similar to another of their block."""
+
+    def settle(block, left, names, held) -> pa.RecordBatch:
+        sizes, groups = np.array([n for n, _ in held]), by_size([bits for _, bits in held])
+        own, keep = np.array(names), np.zeros(len(names), bool)
+        for u in np.flatnonzero(left).tolist():
+            near = may_link(held[u][0], np.frombuffer(held[u][1], np.uint8), sizes, groups, threshold) & (own != own[u])
+            if near.any():
+                keep |= near
+                keep[u] = True
+        rows = np.flatnonzero(keep)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block[0]] * len(rows), pa.int64()), pa.array([block[1]] * len(rows), pa.int32()), pa.array([block[2]] * len(rows), pa.int32()),
+             pa.array(np.array(left)[rows], pa.bool_()), pa.array(own[rows], pa.int64())], names=["pivot", "r", "c", "left", "name"])
+
+    def read(batch: pa.RecordBatch) -> list[tuple[int, bytes]]:
+        return list(zip(batch.column("n").to_pylist(), batch.column("bits").to_pylist(), strict=True))
+
+    return _in_blocks(blocks, marks, settle, "pivot long, r int, c int, left boolean, name long", read)
+
+
+def _among_guests(blocks: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
+    """(a, b): links within the blocks, no more than join their sets."""
+
+    def settle(block, left, names, held) -> pa.RecordBatch:
+        seen: dict[int, int] = {}
+        parent, found = list(range(len(names))), []
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for k, name in enumerate(names):  # a set may stand on both sides
+            parent[root(k)] = root(seen.setdefault(name, k))
+        for u, v in block_links(held, np.flatnonzero(left), threshold):
+            x, y = root(u), root(v)
+            if x != y:
+                parent[x] = y
+                found.append((names[u], names[v]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
-    rows = lefts.unionByName(rights).join(sets, "name")
-    rows = rows.repartition("pivot", "r", "c").sortWithinPartitions("pivot", "r", "c")
-    return rows.select("pivot", "r", "c", "left", "name", "hashes").mapInArrow(search, "a long, b long")
+    return _in_blocks(blocks, texts, settle, "a long, b long", lambda batch: _hashed(batch, width))
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 80, width: int = WIDTH) -> DataFrame:
@@ -355,13 +465,21 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", thr
     sizes = {r.n: r.c for r in by_name.groupBy(F.least("n", F.lit(1024)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()}
     light = boundary(sizes, sketch, threshold) if sizes else 2
     hot = int(levels(np.array([max(sketch.sum() / (4 * shuffle_width(spark)), 1000.0)]))[0])
-    lists = cut(_lists(rows, levels(sketch), light, threshold, width, seed, hot), "lists")
-    meetings = cut(_meetings(lists), "meetings")
-    wanted = meetings.select("name").union(meetings.select("pivot")).distinct()
-    sets = cut(_sets(rows, known, wanted, width, seed), "sets")
-    verdicts = cut(_with_pivots(meetings, sets, threshold), "verdicts")
-    links = verdicts.where("linked").select(F.col("pivot").alias("a"), F.col("name").alias("b"))
-    links = cut(links.unionByName(_among_guests(verdicts, sets, threshold)), "links")
+    level = levels(sketch)
+    lists = _lists(rows, level, light, threshold, width, seed, hot)
+    meetings = cut(_meetings(lists.where("not hot"), lists.where("hot") if level.max() >= hot else None), "meetings")
+    chosen = lambda names: cut(by_name.select("name", "key").join(names.distinct(), "name", "left_semi"), "chosen")
+    both = lambda pairs: pairs.select("name").union(pairs.select("pivot"))
+    marks = cut(_found(rows, chosen(both(meetings)), width, seed, "bits"), "marks")
+    possible = cut(_possible(meetings, marks, threshold), "possible")
+    texts = cut(_found(rows, chosen(both(possible)), width, seed, "text").drop("n"), "texts")
+    linked = cut(_with_pivots(possible, texts, threshold, width).distinct(), "linked")
+    verdicts = meetings.join(linked.withColumn("linked", F.lit(True)), ["pivot", "name"], "left")
+    verdicts = cut(verdicts.withColumn("linked", F.coalesce("linked", F.lit(False))), "verdicts")
+    blocks = cut(_promising(_blocks(verdicts), marks, threshold), "promising")
+    texts = cut(_found(rows, chosen(blocks.select("name")), width, seed, "text").drop("n"), "texts")
+    links = linked.select(F.col("pivot").alias("a"), F.col("name").alias("b"))
+    links = cut(links.unionByName(_among_guests(blocks, texts, threshold, width)), "links")
     roots = components(links, "a", "b").withColumnRenamed("id", "name")
     classes = by_name.join(roots, "name", "left").select("name", "key", F.coalesce("root", "name").alias("root"))
     lowest = cut(classes.groupBy("root").agg(F.min("key").alias("component_id")), "lowest")
