@@ -90,12 +90,35 @@ def _firsts(h: np.ndarray, c: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np
     return first
 
 
+def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs covered by some spans."""
+    if not len(start):
+        return start, stop
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order], np.maximum.accumulate(stop[order])
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > stop[:-1]
+    return start[new], np.append(stop[:-1][new[1:]], stop[-1])
+
+
+def merged_by(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, start, stop) of the maximal runs that the spans of each owner cover."""
+    if not len(owner):
+        return owner, start, stop
+    owners, code = np.unique(owner, return_inverse=True)
+    stride = int(stop.max()) + 1  # one line of bytes for all owners, with a gap between them
+    first, last = merged(code * stride + start, code * stride + stop)
+    code = first // stride
+    return owners[code], first - code * stride, last - code * stride
+
+
 def _pack(lo: np.ndarray, length: np.ndarray) -> np.ndarray:
     return lo * 128 + length
 
 
 def _survey(docs: DataFrame, least: int, share: int) -> DataFrame:
-    """(h, salt, c, doc, at, kind): segments to bring together, and those known to be repeated."""
+    """(h, salt, c, doc, at, kind): segments to bring together, and what is known to be repeated
+    within a task's share, as spans from `at` to `c`."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -104,20 +127,21 @@ def _survey(docs: DataFrame, least: int, share: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             h, c, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
             first = _firsts(h, c, doc, at)
-            again = np.flatnonzero(~first)
             rows = np.flatnonzero(first)
+            start = at[~first] // 128
+            owner, start, stop = merged_by(doc[~first], start, start + at[~first] % 128 + least)
             value, code, count = np.unique(h[rows], return_inverse=True, return_counts=True)
             crowded = count >= share
             salt = np.where(crowded[code], c[rows] | np.uint64(1), np.uint64(0))
             marks = value[crowded]
             zero = lambda n: np.zeros(n, np.uint64)
             return _batch({
-                "h": np.concatenate([h[rows], mix(doc[again].astype(np.uint64)), marks]),
-                "salt": np.concatenate([salt, zero(len(again)), zero(len(marks))]),
-                "c": np.concatenate([c[rows], c[again], zero(len(marks))]),
-                "doc": np.concatenate([doc[rows], doc[again], zero(len(marks)).view(np.int64)]),
-                "at": np.concatenate([at[rows], at[again], zero(len(marks)).view(np.int64)]),
-                "kind": np.concatenate([np.full(len(rows), ANCHOR, np.int8), np.full(len(again), COVERED, np.int8), np.full(len(marks), MARK, np.int8)]),
+                "h": np.concatenate([h[rows], mix(owner.astype(np.uint64)), marks]),
+                "salt": np.concatenate([salt, zero(len(owner)), zero(len(marks))]),
+                "c": np.concatenate([c[rows], stop.astype(np.uint64), zero(len(marks))]),
+                "doc": np.concatenate([doc[rows], owner, zero(len(marks)).view(np.int64)]),
+                "at": np.concatenate([at[rows], start, zero(len(marks)).view(np.int64)]),
+                "kind": np.repeat(np.array([ANCHOR, COVERED, MARK], np.int8), [len(rows), len(owner), len(marks)]),
             })
 
         for batch in batches:
@@ -151,6 +175,7 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
             h, salt, c, doc, at, kind = (batch.column(i).to_numpy() for i in range(6))
             known = kind == COVERED
             own = np.flatnonzero(~known)
+            start, stop = np.where(known, at, at // 128), np.where(known, c, at // 128 + at % 128 + least)
             h, salt, c, mark = h[own], salt[own], c[own], kind[own] == MARK
             newgroup, newclass = np.ones(len(own), bool), np.ones(len(own), bool)
             newgroup[1:] = (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])
@@ -175,19 +200,18 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
                 noted = big | (count[done] > 1)
                 out_h, out_big = key[done, 0][noted], big[noted]
                 last, classes, marked = (h[-1], salt[-1], c[-1]), int(count[-1]), bool(marks[-1])
-            yield found(doc[covered], at[covered], out_h, out_big)
+            yield found(doc[covered], start[covered], stop[covered], out_h, out_big)
         if last is not None:
             big = bool(last[1] != 0 or marked or classes > group)
             if big or classes > 1:
-                yield found(np.zeros(0, np.int64), np.zeros(0, np.int64), [last[0]], [big])
+                yield found(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), [last[0]], [big])
 
-    def found(doc: np.ndarray, at: np.ndarray, h: Sequence, big: Sequence) -> pa.RecordBatch:
+    def found(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, h: Sequence, big: Sequence) -> pa.RecordBatch:
         n, m = len(doc), len(h)
-        start = at // 128
         return pa.RecordBatch.from_arrays([
             pa.concat_arrays([pa.array(doc, pa.int64()), pa.nulls(m, pa.int64())]),
             pa.concat_arrays([pa.array(start, pa.int64()), pa.nulls(m, pa.int64())]),
-            pa.concat_arrays([pa.array(start + at % 128 + least, pa.int64()), pa.nulls(m, pa.int64())]),
+            pa.concat_arrays([pa.array(stop, pa.int64()), pa.nulls(m, pa.int64())]),
             pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(np.asarray(h, np.int64))]),
             pa.concat_arrays([pa.nulls(n, pa.bool_()), pa.array(np.asarray(big, bool))]),
         ], names=["doc", "start", "stop", "h", "big"])
@@ -277,11 +301,15 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], least: int) -> Iter
     place = [0] * len(lefts)
     for k, member in enumerate(rank):
         place[member] = k
+    after = {member: k for k, member in enumerate(order)}
     longest = max(map(len, lefts))
     for right, first, last in intervals(order, rights, max(least - longest, 1)):
         members = sorted(order[first : last + 1], key=place.__getitem__)
         for left, a, b in intervals(members, lefts, max(least - right, 0)):
-            yield left, right, members[a : b + 1]
+            group = members[a : b + 1]
+            low, high = min(group, key=after.__getitem__), max(group, key=after.__getitem__)
+            if common(rights[low], rights[high]) == right:  # else a narrower interval has them all
+                yield left, right, group
 
 
 def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
@@ -363,17 +391,6 @@ def repeat_groups(docs: DataFrame, least: int = LEAST, group: int | None = None,
     return whole.unionByName(repeats)
 
 
-def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The maximal runs covered by some spans."""
-    if not len(start):
-        return start, stop
-    order = np.argsort(start, kind="stable")
-    start, stop = start[order], np.maximum.accumulate(stop[order])
-    new = np.ones(len(start), bool)
-    new[1:] = start[1:] > stop[:-1]
-    return start[new], np.append(stop[:-1][new[1:]], stop[-1])
-
-
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
                    group: int | None = None, share: int | None = None) -> DataFrame:
     """key, n_bytes, spans (start, stop of what goes), kept (the remaining bytes) of every row.
