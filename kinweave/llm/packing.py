@@ -29,7 +29,7 @@ from kinweave.session import cut
 LENGTH = 1024
 END = 2
 #: Short pieces packed together, bins handed on by a window, and tasks whose last bins are packed together.
-WINDOW, HANDED_ON, TASKS = 4096, 8, 32
+WINDOW, HANDED_ON, TASKS = 4096, 32, 32
 
 
 def best_fit(sizes: np.ndarray, length: int = LENGTH) -> np.ndarray:

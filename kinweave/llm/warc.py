@@ -188,12 +188,15 @@ class WarcReader(DataSourceReader):
         else:
             every = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
             found = [i for i in every if i.type == fs.FileType.File and i.base_name.endswith((".warc", ".warc.gz"))]
-        return [
+        ranges = [
             Range(i.path, start, min(start + self.width, i.size))
             for i in found for start in range(0, i.size, self.width)
         ]
+        return ranges or [Range("", 0, 0)]  # Spark wants a partition, if an empty one
 
     def read(self, partition: Range) -> Iterator[tuple]:
+        if not partition.file:
+            return
         store, _ = fs.FileSystem.from_uri(self.path)
         with store.open_input_file(partition.file) as file:
             plain = not partition.file.endswith(".gz")
