@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.session import scratch_path
+
 # The word separators of every operator: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,7 +41,8 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, as `--py-files` would.
+    """Send this package to the Python workers, once per application, as `--py-files` would,
+    by way of the shared folder.
 
     Batches are kept small, so that a worker's memory does not depend on how long texts are.
     """
@@ -47,9 +50,14 @@ def ship(spark: SparkSession) -> None:
     context, package = spark.sparkContext, Path(__file__).parent.parent
     if context.applicationId in _shipped or not package.is_dir():
         return
-    archive = Path(tempfile.mkdtemp(prefix="kinweave-")) / "kinweave_package.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(archive))
+    place = f"{scratch_path(spark, 'package')}/kinweave_package.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(place)
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    context.addPyFile(place)
     _shipped.add(context.applicationId)

@@ -221,11 +221,29 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
 
 
 def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -> DataFrame:
-    """(key, c, doc, at, left, text): segments of noted anchors; strings of the big ones, by their own hash."""
+    """(key, c, doc, at, left, text): segments of noted anchors; strings of the big ones, by their
+    own hash, without `left`; and spans from `at` to `c` known to be repeated, with `left` -1."""
     sent = docs.sparkSession.sparkContext.broadcast((noted, big))  # two bitmaps of one size
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         noted, big = sent.value
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            """Strings of big anchors: the first of each in this share, and spans of the others."""
+            own, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            first = _firsts(own, own, doc, at)
+            owner, start, stop = merged_by(doc[~first], at[~first], at[~first] + least)
+            rows = np.flatnonzero(first)
+            n, m = len(rows), len(owner)
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([own[rows], mix(owner.astype(np.uint64))]).view(np.int64)),
+                pa.array(np.concatenate([own[rows].view(np.int64), stop])), pa.array(np.concatenate([doc[rows], owner])),
+                pa.array(np.concatenate([at[rows], start])), pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.full(m, -1, np.int32))]),
+                pa.nulls(n + m, pa.binary()),
+            ], names=names)
+
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 data, offsets = texts(part.column("text"))
@@ -247,11 +265,13 @@ def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -
                     count = s.hi[rows] - s.lo[rows] + 1
                     at = np.repeat(s.lo[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
                     row = np.repeat(s.row[rows], count)
-                    own = s.spans.hash(at, at + least)
-                    n = len(at)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(own.view(np.int64)), pa.array(own.view(np.int64)), pa.array(doc[row], pa.int64()), pa.array(at - offsets[row]),
-                        pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+                    held.append((s.spans.hash(at, at + least), doc[row], at - offsets[row]))
+                size += len(data)
+                if held and size >= BUFFER:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
 
     names = ["key", "c", "doc", "at", "left", "text"]
     return docs.mapInArrow(emit, "key long, c long, doc long, at long, left int, text binary")
@@ -341,7 +361,9 @@ def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
                     if len(members) > 1:
                         settle()
                     key, members, last = k, [], None
-                if left is None:
+                if left == -1:
+                    out.append((None, doc, at, c, False))
+                elif left is None:
                     out.append((c & 0x7FFFFFFFFFFFFFFF, doc, at, at + least, last != (c, None)))
                     last = (c, None)
                 elif last != (c, left):  # only the first of equal segments
