@@ -51,7 +51,7 @@ def test_each_rule_speaks_up(documents):
     cases = {
         "length": "too short", "symbols": text.replace(" ", "# "), "letters": " ".join(f"{i}{i}{i}" for i in range(200)),
         "stop_words": " ".join(f"quark{chr(97 + i % 26)}{i}" for i in range(90)), "capitals": text.upper(),
-        "repeated_lines": "\n".join([f"the {i} line of it" for i in range(20)] + ["one more of the same"] * 19),
+        "repeated_lines": "\n".join([f"the {i} line of it" for i in range(20)] + ["one more of the same"] * 29),
         "bullet_lines": "\n".join("- " + x for x in text.split("\n")), "cut_lines": "\n".join(x + "..." for x in text.split("\n")),
         "word_length": " ".join("abcdefghijklmnopqrstuvwxyz" + str(i) for i in range(60)),
     }
