@@ -81,6 +81,27 @@ select doc_id, size, source_size, target,
 from x
 """
 
+JACCARD_JOIN = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+s as materialized (
+  select doc_id, unnest(case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from w),
+n as materialized (
+  select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as materialized (
+  select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)),
+e as (
+  select x, y from l union all select y, x from l),
+r as (
+  select x as id, x as node from e union select r.id, e.y from r join e on e.x = r.node)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(g.root, w.doc_id) as component_id
+from w left join n on n.doc_id = w.doc_id left join (select id, min(node) as root from r group by id) g on g.id = w.doc_id
+"""
+
 WARC = r"""
 with p as (
   select page_id, encode(coalesce(html, '')) as payload from pages),
@@ -97,6 +118,7 @@ from g
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
+    "op5_jaccard_join": JACCARD_JOIN,
     "op6_warc": WARC,
     "op8_source_mixing": SOURCE_MIXING,
 }
