@@ -188,7 +188,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
         packer, model, key_type = _Packer(length, task << 40), encoder(path), None
         for batch in batches:
             key_type = batch.schema.field("key").type
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, "text", 1 << 18):
                 ids, counts = model.encode(part.column("text"))
                 ends = np.cumsum(counts)
                 out = []

@@ -216,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "t", 1 << 20):
+            for part in slices(batch, "t", 1 << 18):
                 lines = measure_lines(part.column("t"))
                 ends = np.cumsum(lines.counts)
                 both = np.concatenate([lines.weight[:, None], lines.measures], axis=1).astype("<f4")
@@ -239,7 +239,7 @@ def quality(docs: DataFrame, model: Model, text: str = "text") -> Column:
 
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            parts = [sent.value.score(p.column("t")) for p in slices(pa.RecordBatch.from_arrays([column], names=["t"]), "t", 1 << 20)]
+            parts = [sent.value.score(p.column("t")) for p in slices(pa.RecordBatch.from_arrays([column], names=["t"]), "t", 1 << 18)]
             yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
     scored.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

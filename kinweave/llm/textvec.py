@@ -6,6 +6,8 @@ sums, so that the hash of any span costs one subtraction and one product.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +58,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and the next stage needs room."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ VOCABULARY = "byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Different pieces that a worker remembers before it starts anew; a matter of memory only.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
