@@ -122,11 +122,14 @@ def boundary(sizes: dict[int, int], sketch: np.ndarray, threshold: int) -> int:
     """Sets below the returned size are light.  `sizes`: how many sets have each size.
 
     Light sets cost a row for each pair of their prefix; heavy ones, and light ones that may
-    be similar to them, a row for each single shingle and a scan of its list, whose mean
-    length the sketch tells (beyond what shingles sharing a slot by chance add up to).
+    be similar to them, a row for each single shingle and a scan of its list.  Prefixes hold
+    the rarest shingles, so the lists' mean length is that of the rarest share of all
+    occurrences in the sketch, beyond what sharing a slot by chance adds up to.
     """
     total = float(sketch.sum())
-    mean = max(float((sketch.astype(float) ** 2).sum()) / max(total, 1.0) - total / len(sketch) - 1.0, 0.0)
+    counts = np.sort(sketch.astype(float))
+    rare = counts[: int(np.searchsorted(np.cumsum(counts), total * (100 - threshold) / 100)) + 1]
+    mean = max(float((rare**2).sum()) / max(float(rare.sum()), 1.0) - total / len(sketch) - 1.0, 0.0)
     n = np.array(sorted(sizes), np.int64)
     many = np.array([sizes[k] for k in n.tolist()], float)
     prefix = n - least_overlap(n, threshold) + 1
