@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from kinweave.llm.common import shuffle_width, squeeze
 from kinweave.session import cut
 
-# Bytes of a text that the sampled splitters see before its fingerprint.
+# Characters of a text without its blanks that the sampled splitters see before its fingerprint.
 HEAD = 48
 
 
@@ -64,7 +64,7 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64("_key"), F.lit(width))).otherwise(0)
     placed = (
         inner.withColumn("h", fingerprint)
-        .withColumn("_head", F.substring(squeeze(F.substring("_text", 1, 4 * HEAD)), 1, HEAD))
+        .withColumn("_head", F.substring(squeeze(F.col("_text")), 1, HEAD))
         .join(hot.withColumn("is_hot", F.lit(True)), "h", "left").withColumn("_salt", salt)
         .repartitionByRange("_head", "h", "_salt")
         .withColumn("_norm", squeeze(F.col("_text")))

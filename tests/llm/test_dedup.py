@@ -6,8 +6,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from kinweave.llm import jaccard_join, suffix_dedup
+from kinweave.llm import exact_dedup, jaccard_join, suffix_dedup
 from kinweave.llm.exact_dedup import drop_copies, mark_copies
 from tests_common import words_of
 
@@ -43,6 +44,15 @@ def test_exact_copies(documents, clashing):
     assert {r.doc_id for r in drop_copies(df).collect()} == kept
 
 
+def test_copies_padded_with_blanks_meet_without_the_frequent_ones(documents, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_frequent", lambda docs, text: docs.select(F.lit(0).cast("long").alias("h")).limit(0))
+    text = "abc def " * 20
+    rows = [(1, text), (2, " " * 200 + text), (3, "\n" * 500 + text), (4, "a" + "\t" * 190 + text[1:]), (5, " " * 300 + "other"), (6, "other"), (7, " " * 400), (8, None)]
+    got = mark_copies(documents(rows))
+    assert marked(got) == exact(rows)
+    assert {r.doc_id for r in got.where("kept").collect()} == {3, 5, 7}
+
+
 def test_one_text_in_most_rows_and_repeated_rows(documents):
     rows = [(i, "same text" + " " * (i % 7)) for i in range(3000)] + [(i, f"other {i}") for i in range(1000)] + [(1, "same text ")] * 3
     got = mark_copies(documents(rows))
