@@ -1,23 +1,27 @@
 """Best-fit packing by swap-based local search.
 
 Every document becomes token ids and an end mark; longer ones are cut into full pieces with
-the shorter piece first.  Each task packs the pieces of its own input, a window at a time:
-best fit first, then documents are moved or exchanged between underfull bins, one for one
-or two for one, as long as squared fill grows, until bins are empty.  So ids are never
-shuffled, and no document, source or group gathers anywhere.  The emptiest bins of a window
-go on into the next; those left at the end of a task are few, and are packed again
-with those of other tasks.
+the shorter piece first.  Only lengths decide how pieces lie together, so the lengths of all
+pieces are counted, at most 1024 counters, and the driver packs the counts: best fit first, then
+pieces are moved or exchanged between underfull bins, one for one or two for one, as long as
+squared fill grows, until bins are empty.  Bins that hold the same lengths are one pattern
+with a count, and a step is made for as many of them as there are.  So the packing is that of
+the whole table at once, however lengths lie in files or tasks, and its work does not grow
+with the number of documents.  A piece finds its place by its rank among those of its length:
+tasks number their own, and the sums over the tasks before are added.  Ids stay where they are.
 """
 
 from __future__ import annotations
 
+import bisect
 import os
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,135 +32,211 @@ from kinweave.session import cut
 
 LENGTH = 1024
 END = 2
-#: Short pieces packed together, bins handed on by a window, and tasks whose last bins are packed together.
-WINDOW, HANDED_ON, TASKS = 4096, 32, 32
 
+#: (size, how many) of the pieces of a bin, the largest first.
+Pattern = tuple[tuple[int, int], ...]
 
-def best_fit(sizes: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """The bin of every piece: the largest first, each into the fullest bin that takes it."""
-    bins = np.zeros(len(sizes), np.int64)
-    by_room: list[list[int]] = [[] for _ in range(length + 1)]
-    rooms, count = 0, 0  # bit r of rooms: some bin has room r
-    for k in np.argsort(-sizes, kind="stable").tolist():
-        size = int(sizes[k])
-        fitting = rooms >> size
-        if fitting:
-            room = size + (fitting & -fitting).bit_length() - 1
-            b = by_room[room].pop()
-            if not by_room[room]:
-                rooms &= ~(1 << room)
-        else:
-            b, room, count = count, length, count + 1
-        bins[k] = b
-        by_room[room - size].append(b)
-        rooms |= 1 << (room - size)
-    return bins
 
+def _filled(pattern: Pattern) -> int:
+    return sum(size * k for size, k in pattern)
 
-def local_search(sizes: np.ndarray, bins: np.ndarray, length: int = LENGTH) -> np.ndarray:
+
+def best_fit_counts(counts: dict[int, int], length: int = LENGTH) -> dict[Pattern, int]:
+    """How many bins of each pattern: the largest piece first, each into the fullest bin that takes it.
+
+    A bin that has taken a piece is the fullest for the next of that size, while it has room.
+    """
+    by_room: list[dict[Pattern, int]] = [{} for _ in range(length + 1)]
+    rooms = 0  # bit r of rooms: some bin has room r
+
+    def put(room: int, pattern: Pattern, n: int) -> None:
+        nonlocal rooms
+        if n:
+            by_room[room][pattern] = by_room[room].get(pattern, 0) + n
+            rooms |= 1 << room
+
+    for size in sorted(counts, reverse=True):
+        left = counts[size]
+        while left:
+            fitting = rooms >> size
+            if fitting:
+                room = size + (fitting & -fitting).bit_length() - 1
+                pattern, n = by_room[room].popitem()
+                if not by_room[room]:
+                    rooms &= ~(1 << room)
+            else:
+                room, pattern, n = length, (), -(-left // (length // size))
+            each = room // size
+            whole = min(n, left // each)
+            put(room - each * size, (*pattern, (size, each)), whole)
+            left -= whole * each
+            if whole < n:
+                if left:
+                    put(room - left * size, (*pattern, (size, left)), 1)
+                put(room, pattern, n - whole - (left > 0))
+                left = 0
+    return {pattern: n for held in by_room for pattern, n in held.items()}
+
+
+def search_counts(patterns: dict[Pattern, int], length: int = LENGTH) -> dict[Pattern, int]:
     """Move or exchange pieces between underfull bins while squared fill grows.
 
     The emptiest bin gives: a piece that another bin has room for, a piece for a smaller one, or two
-    for a smaller one, to the bin that becomes fullest by it.  Each step raises the sum of
-    squared fills, so the search ends; it also ends when no fewer bins are possible.
+    for a smaller one, to the bin that becomes fullest by it.  All bins of its pattern do so at
+    once, as far as there are bins to take it: first steps of the most bins, then of half as many,
+    at last of single ones.  Each step raises the sum of squared fills, so the
+    search ends; it also ends when no fewer bins are possible.
     """
-    sizes, bins = sizes.astype(np.int64), bins.copy()
-    fill = np.bincount(bins, sizes, bins.max(initial=-1) + 1).astype(np.int64)
-    least = -(-int(sizes.sum()) // length)
-    used, stuck = int((fill > 0).sum()), np.zeros(len(fill), bool)
+    patterns = dict(patterns)
+    least = -(-sum(_filled(p) * n for p, n in patterns.items()) // length)
+    for bit in range(max(patterns.values(), default=0).bit_length() - 1, -1, -1):
+        _search(patterns, length, least, 1 << bit)
+    return patterns
+
+
+def _search(patterns: dict[Pattern, int], length: int, least: int, many: int) -> None:
+    """Steps that `many` bins or more make at once, until there are none."""
+    under = _Underfull([p for p, n in patterns.items() if n >= many], length)
+    used, stuck, moved = sum(patterns.values()), set(), False
     while used > least:
-        open_bins = np.flatnonzero((fill > 0) & (fill < length) & ~stuck)
-        if not len(open_bins):
+        b = next((p for _, p in under.order if p not in stuck), None)
+        if b is None and not moved:
             break
-        b = open_bins[np.argmin(fill[open_bins])]
-        if _improve(sizes, bins, fill, int(b), length):
-            stuck[:] = False
-            used = int((fill > 0).sum())
-        else:
-            stuck[b] = True
+        if b is None:  # those that found nothing look again, until none of them does
+            stuck, moved = set(), False
+            continue
+        found = under.better(b, patterns[b] >= 2 * many)
+        if found is None:
+            stuck.add(b)
+            continue
+        a, given, taken = found
+        times = patterns[b] // 2 if a == b else min(patterns[a], patterns[b])
+        b_after, a_after = _changed(b, taken, given), _changed(a, given, taken)
+        for pattern, n in ((b, -times), (a, -times), (b_after, times), (a_after, times)):
+            if pattern:
+                patterns[pattern] = patterns.get(pattern, 0) + n
+            else:
+                used -= n
+        for pattern in {b, a, b_after, a_after} - {()}:
+            if patterns[pattern] >= many:
+                under.add(pattern)
+            else:
+                under.remove(pattern)
+            if not patterns[pattern]:
+                del patterns[pattern]
+        moved = True
+
+
+def _changed(pattern: Pattern, more: tuple[int, ...], less: tuple[int, ...]) -> Pattern:
+    held = dict(pattern)
+    for size in more:
+        held[size] = held.get(size, 0) + 1
+    for size in less:
+        held[size] -= 1
+    return tuple(sorted(((size, k) for size, k in held.items() if k), reverse=True))
+
+
+class _Underfull:
+    """The patterns with room, the emptiest first, and each size that each of them holds."""
+
+    def __init__(self, patterns: list[Pattern], length: int):
+        self.length, self.order, self.rows = length, [], {}
+        self._clear(4096)
+        for pattern in patterns:
+            self.add(pattern)
+
+    def _clear(self, width: int) -> None:
+        self.used, self.owners = 0, []
+        self.size = np.zeros(width, np.int64)
+        self.fill = np.full(width, 2 * self.length, np.int64)  # a row of no pattern: too full for anything
+
+    def add(self, pattern: Pattern) -> None:
+        fill = _filled(pattern)
+        if fill >= self.length or pattern in self.rows:
+            return
+        bisect.insort(self.order, (fill, pattern))
+        if self.used + len(pattern) > len(self.size):
+            held = list(self.rows)
+            self._clear(2 * sum(map(len, held)) + 4096)
+            for other in held:
+                self._fill(other)
+        self._fill(pattern)
+
+    def _fill(self, pattern: Pattern) -> None:
+        rows = slice(self.used, self.used + len(pattern))
+        self.size[rows], self.fill[rows] = [size for size, _ in pattern], _filled(pattern)
+        self.owners += [pattern] * len(pattern)
+        self.rows[pattern], self.used = rows, rows.stop
+
+    def remove(self, pattern: Pattern) -> None:
+        if pattern in self.rows:
+            del self.order[bisect.bisect_left(self.order, (_filled(pattern), pattern))]
+            self.fill[self.rows.pop(pattern)] = 2 * self.length
+
+    def better(self, b: Pattern, itself: bool) -> tuple[Pattern, tuple[int, ...], tuple[int, ...]] | None:
+        """(pattern, sizes it gets, sizes it gives) of the first step by which squared fill grows."""
+        fill, sizes = _filled(b), [size for size, _ in b]
+        fills, held = self.fill[: self.used], self.size[: self.used]
+        if not itself:
+            fills = fills.copy()
+            fills[self.rows[b]] = 2 * self.length
+        for size in sizes:  # move
+            after = fills + size
+            good = np.flatnonzero((after <= self.length) & (after > fill))
+            if len(good):
+                return self.owners[good[np.argmax(after[good])]], (size,), ()
+        pairs = [(x, y) for i, (x, k) in enumerate(b) for y in ([x] if k > 1 else []) + sizes[i + 1 :]]
+        left = fills - held
+        for given in [(size,) for size in sizes] + pairs:  # exchange one, or two, for a smaller one
+            after = left + sum(given)
+            good = np.flatnonzero((held < sum(given)) & (after <= self.length) & (after > fill))
+            if len(good):
+                x = good[np.argmax(after[good])]
+                return self.owners[x], given, (int(held[x]),)
+        return None
+
+
+def places(patterns: dict[Pattern, int]) -> list[tuple[int, int, int, int, int, int]]:
+    """(size, first rank, rank after the last, bins, first bin, offset): where the pieces of a size go by rank.
+
+    Those of one row fill the same place of all its bins in turn, then the next place.
+    """
+    out, taken, base = [], {}, 0
+    for pattern, n in sorted(patterns.items()):
+        at = 0
+        for size, k in pattern:
+            first = taken.get(size, 0)
+            taken[size] = first + k * n
+            out.append((size, first, taken[size], n, base, at))
+            at += size * k
+        base += n
+    return out
+
+
+def _dealt(sizes: np.ndarray, patterns: dict[Pattern, int]) -> np.ndarray:
+    bins, order = np.zeros(len(sizes), np.int64), np.argsort(sizes, kind="stable")
+    starts = np.searchsorted(sizes[order], np.arange(int(sizes.max(initial=0)) + 1))
+    for size, first, last, n, base, _ in places(patterns):
+        bins[order[starts[size] + first : starts[size] + last]] = base + np.arange(last - first) % n
     return bins
 
 
-def _improve(sizes: np.ndarray, bins: np.ndarray, fill: np.ndarray, b: int, length: int) -> bool:
-    own = np.flatnonzero(bins == b)
-    rest = np.flatnonzero((bins != b) & (fill[bins] < length))
-    targets = np.flatnonzero((fill > 0) & (fill < length))
-    targets = targets[targets != b]
-    if not len(targets):
-        return False
-    own = own[np.argsort(-sizes[own], kind="stable")]
-    gifts = [(int(sizes[k]), (k,)) for k in own]
-    pairs = [(int(sizes[j] + sizes[k]), (j, k)) for i, j in enumerate(own[:24]) for k in own[i + 1 : 24]]
-    room = length - fill[targets]
-    for size, given in gifts:  # move
-        fits = np.flatnonzero(room >= size)
-        if len(fits):
-            a = targets[fits[np.argmin(room[fits])]]
-            if fill[a] + size > fill[b]:
-                _shift(sizes, bins, fill, given, (), b, int(a))
-                return True
-    after = fill[bins[rest]] - sizes[rest]
-    for size, given in gifts + pairs:  # exchange one, or two, for a smaller one
-        more = size - sizes[rest]
-        filled = after + size
-        good = np.flatnonzero((more > 0) & (filled <= length) & (filled > fill[b]))
-        if len(good):
-            x = rest[good[np.argmax(filled[good])]]
-            _shift(sizes, bins, fill, given, (x,), b, int(bins[x]))
-            return True
-    return False
-
-
-def _shift(sizes, bins, fill, given, taken, b: int, a: int) -> None:
-    change = sum(int(sizes[k]) for k in given) - sum(int(sizes[k]) for k in taken)
-    bins[list(given)] = a
-    bins[list(taken)] = b
-    fill[a] += change
-    fill[b] -= change
-
-
-def pack(sizes: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    return local_search(sizes, best_fit(sizes, length), length)
-
-
-FIELDS = (("piece", "int"), ("start", "long"), ("length", "long"), ("ids", "binary"), ("sequence_id", "long"), ("offset", "long"),
-          ("task", "int"))
-
-
-class _Packer:
-    """Pieces in, placed pieces out, a window at a time."""
-
-    def __init__(self, length: int, prefix: int):
-        self.length, self.next = length, prefix
-        self.waiting: list[tuple] = []
-
-    def full(self, piece: tuple) -> tuple:
-        self.next += 1
-        return (*piece, self.next - 1, 0)
-
-    def settle(self, last: bool) -> tuple[list[tuple], list[tuple]]:
-        """(placed pieces, pieces of the emptiest bins), of all waiting pieces."""
-        if not self.waiting:
-            return [], []
-        sizes = np.array([p[3] for p in self.waiting], np.int64)
-        bins = pack(sizes, self.length)
-        fill = np.bincount(bins, sizes)
-        held = set()
-        if not last:
-            under = np.flatnonzero((fill > 0) & (fill < self.length))
-            held = set(under[np.argsort(fill[under], kind="stable")[:HANDED_ON]].tolist())
-        ids, place, placed, kept = {}, {}, [], []
-        for p, b in zip(self.waiting, bins.tolist(), strict=True):
-            if b in held:
-                kept.append(p)
-                continue
-            if b not in ids:
-                ids[b] = self.next
-                self.next += 1
-            placed.append((*p, ids[b], place.get(b, 0)))
-            place[b] = place.get(b, 0) + p[3]
-        self.waiting = kept
-        return placed, kept
+def best_fit(sizes: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """The bin of every piece: the largest first, each into the fullest bin that takes it."""
+    return _dealt(sizes, best_fit_counts(Counter(sizes.tolist()), length))
+
+
+def local_search(sizes: np.ndarray, bins: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """The bin of every piece after `search_counts`."""
+    held = defaultdict(Counter)
+    for size, b in zip(sizes.tolist(), bins.tolist(), strict=True):
+        held[b][size] += 1
+    patterns = Counter(tuple(sorted(h.items(), reverse=True)) for h in held.values())
+    return _dealt(sizes, search_counts(patterns, length))
+
+
+FIELDS = (("piece", "int"), ("start", "long"), ("length", "long"), ("ids", "binary"), ("task", "int"), ("rank", "long"))
+PLACES = "p_length long, p_first long, p_last long, p_bins long, p_bin long, p_offset long"
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
@@ -164,28 +244,20 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
     """One row per piece: key, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset.
 
     `path` names the vocabulary file, by default the public byte-level one, and must be readable
-    at that place on every executor.  Runs a job that cuts the packed pieces into a table.
+    at that place on every executor.  Runs jobs that cut the pieces, and their numbers by length and task, into tables.
     Defined cases: NULL and empty texts are the end mark alone; repeated rows are packed
     each; a NULL key is kept; an empty table gives no rows; other columns are not read.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     path = path or vocabulary_path()
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField("key", kind), *[T.StructField(n, T._parse_datatype_string(t)) for n, t in FIELDS]])
-    arrow = pa.schema([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-                       ("sequence_id", pa.int64()), ("offset", pa.int64()), ("task", pa.int32())])
-
-    def table(rows: list[tuple], key_type, task: int | None) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
-        arrays = [pa.array(columns[0], key_type)]
-        arrays += [pa.array(c, f.type) for c, f in zip(columns[1:], list(arrow)[:6], strict=True)]
-        arrays.append(pa.array([task] * len(rows), pa.int32()))
-        return pa.RecordBatch.from_arrays(arrays, names=["key", *arrow.names])
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        task = TaskContext.get().partitionId()
-        packer, model, key_type = _Packer(length, task << 40), encoder(path), None
+        task, model, ranks = TaskContext.get().partitionId(), encoder(path), [0] * (length + 1)
         for batch in batches:
             key_type = batch.schema.field("key").type
             for part in slices(batch, "text", 1 << 18):
@@ -198,27 +270,27 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
                     head = size % length if size > length else size
                     at = 0
                     for n, stop in enumerate([*([head] if head else []), *range(head + length, size + 1, length)]):
-                        piece = (k, n, at, stop - at, every[at:stop].tobytes())
-                        if stop - at == length:
-                            out.append(packer.full(piece))
-                        else:
-                            packer.waiting.append(piece)
+                        out.append((k, n, at, stop - at, every[at:stop].tobytes(), task, ranks[stop - at]))
+                        ranks[stop - at] += 1
                         at = stop
-                if len(packer.waiting) >= WINDOW:
-                    out += packer.settle(False)[0]
-                yield table(out, key_type, None)
-        if key_type is not None:
-            placed, kept = packer.settle(False)
-            yield table(placed, key_type, None)
-            yield table([(*p, None, None) for p in kept], key_type, task // TASKS)
-
-    def place_rest(group: pa.Table) -> pa.Table:
-        packer = _Packer(length, (1 << 62) + (group.column("task")[0].as_py() << 40))
-        packer.waiting = [tuple(r[c] for c in ("key", "piece", "start", "length", "ids")) for r in group.to_pylist()]
-        packer.waiting.sort(key=lambda p: (p[3], p[0] is None, p[0], p[1]))
-        return pa.Table.from_batches([table(packer.settle(True)[0], group.schema.field("key").type, None)])
+                columns = list(zip(*out, strict=True)) if out else [[] for _ in schema]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (key_type, *types), strict=True)], names=schema.names)
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    first = cut(rows.mapInArrow(place, schema), "packed")
-    rest = first.where("task is not null").groupBy("task").applyInArrow(place_rest, schema)
-    return first.where("task is null").unionByName(rest).withColumnRenamed("key", key).drop("task")
+    pieces = cut(rows.mapInArrow(cut_up, schema), "pieces")
+    counts = cut(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut(counts.select(F.col("length").alias("s_length"), F.col("task").alias("s_task"),
+                               F.coalesce(F.sum("n").over(before), F.lit(0)).alias("s_before")), "starts")
+    where = spark.createDataFrame(places(search_counts(best_fit_counts(totals, length), length)), PLACES)
+    rank = F.col("rank") + F.col("s_before")
+    numbered = pieces.join(starts, (F.col("length") == F.col("s_length")) & (F.col("task") == F.col("s_task")))
+    numbered = numbered.withColumn("rank", rank).drop("s_length", "s_task", "s_before")
+    inside = (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("p_first")) & (F.col("rank") < F.col("p_last"))
+    nth = F.col("rank") - F.col("p_first")
+    return numbered.join(F.broadcast(where), inside).select(
+        F.col("key").alias(key), "piece", "start", "length", "ids", (F.col("p_bin") + nth % F.col("p_bins")).alias("sequence_id"),
+        (F.col("p_offset") + ((nth - nth % F.col("p_bins")) / F.col("p_bins")).cast("long") * F.col("length")).alias("offset"),
+    )

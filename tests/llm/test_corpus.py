@@ -77,6 +77,40 @@ def test_local_search_never_worsens_and_finds_exchanges():
     assert len(set(packing.local_search(np.array([60, 20, 20, 40, 60]), np.array([0, 0, 1, 1, 2]), 100).tolist())) == 2
 
 
+def test_pieces_of_different_tasks_meet(documents):
+    rows = [(i, " a" * (599 if i < 400 else 399)) for i in range(800)]
+    got = packing.pack_documents(documents(rows).repartitionByRange(8, "doc_id")).collect()
+    assert collections.Counter(r.length for r in got) == {600: 400, 400: 400}
+    places = collections.defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    assert len(places) == 400
+    assert all(sorted(p) in ([(0, 600), (600, 400)], [(0, 400), (400, 600)]) for p in places.values())
+
+
+def test_patterns_are_those_of_single_pieces():
+    rng = np.random.default_rng(5)
+    for low, high in ((1, 101), (20, 50), (34, 101), (60, 61)):
+        sizes = rng.integers(low, high, 2000)
+        start = packing.best_fit_counts(collections.Counter(sizes.tolist()), 100)
+        fills = []  # one piece after another
+        for size in sorted(sizes.tolist(), reverse=True):
+            best = max((k for k, f in enumerate(fills) if f + size <= 100), key=lambda k: fills[k], default=None)
+            if best is None:
+                fills.append(size)
+            else:
+                fills[best] += size
+        assert sum(start.values()) == len(fills)
+        found = packing.search_counts(start, 100)
+        assert sum(found.values()) <= len(fills)
+        for patterns in (start, found):
+            held = collections.Counter()
+            for pattern, n in patterns.items():
+                assert n > 0 and sum(size * k for size, k in pattern) <= 100
+                held.update({size: k * n for size, k in pattern})
+            assert held == collections.Counter(sizes.tolist())
+
+
 def test_archive_round_trip(spark):
     rng = random.Random(2)
     rows = [(i, f"http://x.org/{i}", "".join(rng.choice("aé\r\n<>") for _ in range(rng.randint(0, 400)))) for i in range(200)]
