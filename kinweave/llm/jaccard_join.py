@@ -493,7 +493,21 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", thr
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 80) -> DataFrame:
-    """The rows of `docs` whose key is the smallest of their group; rows with one key are one document."""
-    groups = similar_groups(docs, key, text, threshold)
-    dropped = groups.where(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(key).eqNullSafe(F.col("_dropped")), "left_anti")
+    """One row of `docs` for each group of near copies, that of the smallest key, NULL last.
+
+    Rows are told apart by a number of their own, so rows that share a key, or have none, stay or
+    go each by itself.  Of rows with the smallest key any one stays.  Runs jobs that cut `docs`
+    and their results into tables.
+    """
+    number = "_row"
+    while number.lower() in (c.lower() for c in docs.columns):
+        number += "_"
+    rows = cut(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    groups = similar_groups(rows, number, text, threshold)
+    keys = rows.select(number, F.col(key).alias("key"))
+    members = cut(groups.select(number, "component_id").join(keys, number), "members")
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", F.col(number).alias("row"))).alias("first")
+    firsts = members.groupBy("component_id").agg(first, F.count(F.lit(1)).alias("size")).where("size > 1")
+    firsts = cut(firsts.select("component_id", F.col("first.row").alias("stays")), "firsts")
+    dropped = members.join(firsts, "component_id").where(F.col(number) != F.col("stays")).select(number)
+    return rows.join(dropped, number, "left_anti").drop(number)

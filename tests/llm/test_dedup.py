@@ -154,6 +154,15 @@ def test_one_document_of_each_group_stays(documents, sample):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == wanted
 
 
+def test_rows_with_one_key_or_none_stay_or_go_by_themselves(documents):
+    say = lambda k, end="": " ".join(f"{k}w{i}" for i in range(30)) + end
+    rows = [(5, say("a")), (None, say("a", " x")), (None, say("b")), (None, say("c")), (None, say("c", " x")), (7, say("d")), (7, say("d", " x")),
+            (7, say("e")), (8, say("f")), (8, say("f")), (9, say("e", " x")), (None, None), (None, "")]
+    df = documents(rows)
+    got = collections.Counter((r.doc_id, (r.text or "").removesuffix(" x")) for r in jaccard_join.one_per_group(df.withColumn("_row", F.lit(1))).collect())
+    assert got == collections.Counter([(5, say("a")), (None, say("b")), (None, say("c")), (7, say("d")), (7, say("e")), (8, say("f")), (None, ""), (None, "")])
+
+
 def test_one_large_group_of_near_copies(documents):
     rng, base = random.Random(2), [f"t{i}" for i in range(120)]
     rows = []
