@@ -186,3 +186,19 @@ def test_a_managed_table_is_not_replaced(spark, tmp_path):
         register_table(spark, "owned_t", str(tmp_path), "id long")
     assert spark.table("owned_t").count() == 3
     spark.sql("drop table owned_t")
+
+
+def test_json_array_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from workload import queries
+
+    number = F.lpad(F.col("id").cast("string"), 12, "0")
+    people = spark.range(1, 3501).select(
+        F.explode(F.array(F.concat(F.lit("A"), number), F.concat(F.lit("B"), number))).alias("id"),
+        F.lit("Ann").alias("first_name"), F.lit("1").alias("postal_code"))
+    monkeypatch.setattr(queries, "person", lambda spark, sf_dir: people)
+    through, files = queries._through_arrays, []
+    monkeypatch.setattr(queries, "_through_arrays", lambda spark, df, schema: files.append(df) or through(spark, df, schema))
+    got = sorted(r.id for r in queries.json_array_person(spark, None).collect())
+    sizes = [r.n for r in files[0].select(F.size("records").alias("n")).collect()]
+    assert max(sizes) == 1000 and len(sizes) == 8
+    assert got == sorted(r.id for r in people.collect())

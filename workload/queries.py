@@ -483,7 +483,9 @@ def json_result_roundtrip(spark, sf_dir):
 def json_array_person(spark, sf_dir):
     """One array of records per file, read back with the outer array stripped."""
     record = F.struct("id", "first_name", "postal_code")
-    files = person(spark, sf_dir).groupBy(F.substring("id", 1, 5).alias("part")).agg(F.collect_list(record).alias("records"))
+    thousand = F.floor(F.substring("id", 2, 12).cast("long") / 1000)
+    files = person(spark, sf_dir).groupBy(F.concat(F.substring("id", 1, 1), thousand.cast("string")).alias("part")).agg(
+        F.collect_list(record).alias("records"))
     return _through_arrays(spark, files, "id string, first_name string, postal_code string")
 
 
