@@ -400,9 +400,10 @@ def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
 def repeat_groups(docs: DataFrame, least: int = LEAST, group: int | None = None, share: int | None = None) -> DataFrame:
     """(group_id, doc, start, stop, first) from (doc, text): all that is repeated, in bytes.
 
-    Rows without group_id are whole segments equal to an earlier one.  A group lists all
-    occurrences of a repeat that cannot be extended within the reach of its anchor; `first`
-    marks the earliest.  Runs jobs that cut their results into tables.
+    Rows without group_id are whole segments, or strings of crowded anchors, that are equal to an
+    earlier one: they go by hash and are in no group, and the earliest of them is not listed.  So
+    a group lists, of a repeat that cannot be extended within the reach of its anchor, one
+    occurrence of each of its different segments, not all; `first` marks the earliest.  Runs jobs that cut their results into tables.
     """
     ship(docs.sparkSession)
     docs = docs.select("doc", "text")
