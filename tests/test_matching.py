@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import root_of
+from links import root_of
 from kinweave.operators.components import components
 from kinweave.operators import components as components_module
 from kinweave.operators.exact import dedup_within, element_links, exact_links

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import root_of
+from links import root_of
 from kinweave.operators.components import components
 from kinweave.plans.rules import all_links
 from kinweave.session import cut
