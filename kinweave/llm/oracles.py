@@ -115,10 +115,57 @@ select page_id, octet_length(payload)::bigint as payload_bytes,
 from g
 """
 
+
+
+def _sharding(shards: int = 24) -> str:
+    """A level of the tree is a step: nodes' widths, the rows' order in the widest dimension, running bytes."""
+    def code(column: str, same: str) -> str:
+        return f"coalesce(('0x' || rpad(substr(hex(encode({column})), 2 * {same} + 1, 14), 14, '0'))::bigint, -1)"
+
+    def common(column: str) -> str:
+        a, b = f"hex(encode(min({column})))", f"hex(encode(max({column})))"
+        return f"list_min(list_filter(range(length({a}) // 2 + 1), lambda i: substr({a}, 2 * i + 1, 2) <> substr({b}, 2 * i + 1, 2) or 2 * i >= length({a})))"
+
+    steps = [f"""
+with crc as materialized (
+  select list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) as t),
+g as (
+  select {common('source')} as same_source, {common('lang')} as same_lang, min(n_chars) as least from documents),
+d as materialized (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 8 as size,
+    xor(list_reduce([4294967295::bigint] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+      lambda x: ('0x' || x)::bigint), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295)::bigint as text_crc32,
+    {code('source', 'same_source')} as x0, {code('lang', 'same_lang')} as x1, coalesce(n_chars, least - 1)::bigint as x2 from documents, g, crc),
+e as (
+  select max(x0) - min(x0) as e0, max(x1) - min(x1) as e1, max(x2) - min(x2) as e2 from d),
+n0 as materialized (select *, 0 as f, {shards} as m from d)"""]
+    level, widest = 0, shards
+    while widest > 1:
+        widths = ", ".join(
+            f"coalesce((max(x{i}) over w - min(x{i}) over w)::double / nullif(e{i}, 0)::double, 0) as w{i}" for i in range(3))
+        steps.append(f"""
+w{level} as (
+  select n.*, {widths}, sum(size) over w as total from n{level} n, e window w as (partition by f)),
+o{level} as (
+  select *, case when w0 >= w1 and w0 >= w2 then x0 when w1 >= w2 then x1 else x2 end as x from w{level}),
+r{level} as (
+  select *, sum(size) over (partition by f order by x, doc_id rows unbounded preceding) as upto from o{level}),
+n{level + 1} as materialized (
+  select doc_id, size, text_crc32, x0, x1, x2, case when m = 1 or m * (2 * upto - size) <= 2 * (m // 2) * total then f else f + m // 2 end as f,
+    case when m = 1 then 1 when m * (2 * upto - size) <= 2 * (m // 2) * total then m // 2 else m - m // 2 end as m from r{level})""")
+        level, widest = level + 1, widest - widest // 2
+    return ",".join(steps) + f"""
+select doc_id, size, text_crc32, 'bytes' as law, f::int as shard,
+  row_number() over (partition by f order by substr(md5(doc_id::varchar), 1, 13), doc_id) - 1 as slot, null::int as grown_shard
+from n{level}
+"""
+
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op5_jaccard_join": JACCARD_JOIN,
     "op6_warc": WARC,
     "op8_source_mixing": SOURCE_MIXING,
+    "op13_sharding": _sharding(),
 }

@@ -15,10 +15,13 @@ from kinweave.llm.mixing import mix
 from kinweave.llm.packing import pack_documents
 from kinweave.llm.quality_crf import classify
 from kinweave.llm.quality_rules import judge
+from kinweave.llm.sharding import shards
 from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.url_filter import judge_urls
 from kinweave.llm.warc import archive_folder, archive_records, key_of, read_warc, write_warc
 
+SHARDS = 24
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(read(spark, sf_dir, "documents"))
@@ -77,10 +80,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    text_crc32 = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    placed = shards(docs.withColumn("text_crc32", text_crc32), SHARDS, carry=("doc_id", "text_crc32"))
+    return placed.select(
+        "doc_id", "place.size", "text_crc32", F.lit("bytes").alias("law"), "place.shard", "place.slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op5_jaccard_join, op6_warc,
-        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup,
+        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup, op13_sharding,
     )
 }
