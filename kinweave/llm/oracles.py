@@ -161,11 +161,45 @@ from n{level}
 """
 
 
+def _vector_codes(rounds: int = 6) -> str:
+    """A round is two steps: the nearest entry of every part, then the entries' means rounded down."""
+    steps = ["""
+with k as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as v from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+p as materialized (
+  select vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] as x from k, range(8) t(p)),
+c0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 as e, x as c from p
+  where vec_id in (select vec_id from k order by vec_id limit 16))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as materialized (
+  select vec_id, any_value(label) as label, p.p, any_value(x) as x,
+    min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, 'e': e}}) as best
+  from p join c{r} c on c.p = p.p group by vec_id, p.p)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} as (
+  select p, e, list((s - ((s % n) + n) % n) // n order by i) as c from (
+    select p, best.e as e, i, sum(x[i])::hugeint as s, count(*) as n from a{r}, range(1, 257) t(i) where i <= len(x) group by all) group by p, e),
+c{r + 1} as materialized (
+  select c{r}.p, c{r}.e, coalesce(s{r}.c, c{r}.c) as c from c{r} left join s{r} on s{r}.p = c{r}.p and s{r}.e = c{r}.e)""")
+    return ",".join(steps) + f""",
+h as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from c{rounds}),
+z as (
+  select vec_id, any_value(label) as label, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error from a{rounds} group by vec_id)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256 from z, h
+"""
+
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op4_quality_rules": QUALITY_RULES,
     "op5_jaccard_join": JACCARD_JOIN,
     "op6_warc": WARC,
     "op8_source_mixing": SOURCE_MIXING,
+    "op11_vector_codes": _vector_codes(),
     "op13_sharding": _sharding(),
 }

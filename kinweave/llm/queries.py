@@ -18,6 +18,7 @@ from kinweave.llm.quality_rules import judge
 from kinweave.llm.sharding import shards
 from kinweave.llm.suffix_dedup import remove_repeats
 from kinweave.llm.url_filter import judge_urls
+from kinweave.llm.vector_codes import compress, digest
 from kinweave.llm.warc import archive_folder, archive_records, key_of, read_warc, write_warc
 
 SHARDS = 24
@@ -80,6 +81,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(read(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return coded.select("vec_id", digits.alias("code"), "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     text_crc32 = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -93,6 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op5_jaccard_join, op6_warc,
-        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup, op13_sharding,
+        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup, op11_vector_codes, op13_sharding,
     )
 }
