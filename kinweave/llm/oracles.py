@@ -116,6 +116,37 @@ from g
 """
 
 
+COLLOCATIONS = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+s as (
+  select lang, sum(len(w))::bigint as n from w group by lang),
+g as materialized (
+  select lang, words, phrase, count(*) as f from (
+    select lang, words, array_to_string(w[i + 1 : i + words], ' ') as phrase
+    from (select lang, w, words, unnest(range(len(w) - words + 1)) as i from w, range(1, 6) t(words) where len(w) >= words))
+  group by all having count(*) >= 100),
+c as (
+  select lang, phrase, words, f as a, k, string_split(phrase, ' ') as v from g, range(1, 5) t(k) where k < words),
+x as (
+  select c.lang, c.phrase, a, k, l.f as l, r.f as r, n, ((1000::hugeint * a * n) // (l.f::hugeint * r.f))::bigint as score
+  from c join g l on l.lang = c.lang and l.phrase = array_to_string(v[1 : k], ' ')
+    join g r on r.lang = c.lang and r.phrase = array_to_string(v[k + 1 : c.words], ' ') join s on s.lang = c.lang),
+b as (
+  select lang, phrase, a, n, min({'score': score, 'k': k, 'l': l, 'r': r}) as b from x group by lang, phrase, a, n),
+i as (
+  select lang, array_to_string(v[o : o + m - 1], ' ') as phrase, max(f) as most
+  from (select *, string_split(phrase, ' ') as v from g), range(2, 5) t(m), range(1, 5) u(o) where m < words and o + m - 1 <= words group by all),
+d as (
+  select b.*, b.b.score as score from b left join i on i.lang = b.lang and i.phrase = b.phrase where most is null or 100 * most < 100 * a),
+q as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from d)
+select lang, rank, phrase, a, b.l as l, b.r as r, n, score from q where rank <= 2000
+"""
+
 
 def _sharding(shards: int = 24) -> str:
     """A level of the tree is a step: nodes' widths, the rows' order in the widest dimension, running bytes."""
@@ -201,5 +232,6 @@ ORACLES = {
     "op6_warc": WARC,
     "op8_source_mixing": SOURCE_MIXING,
     "op11_vector_codes": _vector_codes(),
+    "op12_collocations": COLLOCATIONS,
     "op13_sharding": _sharding(),
 }

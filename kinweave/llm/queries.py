@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.llm.collocations import collocations
 from kinweave.llm.common import read
 from kinweave.llm.exact_dedup import mark_copies
 from kinweave.llm.jaccard_join import similar_groups
@@ -87,6 +88,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", digits.alias("code"), "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations(read(spark, sf_dir, "documents"))
+    return found.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     text_crc32 = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
@@ -100,6 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_quality_classifier, op3_best_fit_packing, op4_quality_rules, op5_jaccard_join, op6_warc,
-        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup, op11_vector_codes, op13_sharding,
+        op7_language_id, op8_source_mixing, op9_url_filter, op10_suffix_dedup, op11_vector_codes, op12_collocations, op13_sharding,
     )
 }

@@ -68,9 +68,9 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, row of each) of the maximal runs of other bytes than [\\x20\\x09-\\x0D]."""
-    solid = ~BLANK[data]
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row of each) of the maximal runs of other bytes than `blank`, that is [\\x20\\x09-\\x0D]."""
+    solid = ~blank[data]
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
