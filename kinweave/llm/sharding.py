@@ -215,7 +215,7 @@ def shards(
     """
     if (count is None) == (target_bytes is None):
         raise ValueError("give either count or target_bytes")
-    if (count or target_bytes) < 1:
+    if (target_bytes if count is None else count) < 1:
         raise ValueError("count and target_bytes must be at least 1")
     carry = list(docs.columns if carry is None else carry)
     plain = [p for d in dimensions if d in docs.columns and (p := _plain(F.col(d), docs.schema[d].dataType)) is not None]
