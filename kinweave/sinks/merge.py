@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kinweave.session import cut
 from kinweave.sources.tables import quoted, text_literal
 
 INSERT, UPDATE, DELETE, KEEP, REJECT = "INSERT", "UPDATE", "DELETE", "KEEP", "REJECT"
@@ -33,7 +36,8 @@ def merge_rows(
     order_by: str | None = None, updated: str = UPDATED,
 ) -> DataFrame:
     """Target columns plus `action`: KEEP, UPDATE, INSERT, or REJECT for a NULL source key,
-    and `superseded`: source rows of the key that a later one replaced.
+    `changed`: whether a row is new or has another value than before, and `superseded`: source
+    rows of the key that a later one replaced.
 
     A matched row takes every value from the source, NULL included; a target column that
     the source lacks becomes NULL in it.  Both sides meet by key once: the source is
@@ -60,10 +64,12 @@ def merge_rows(
 
     action = F.when(in_t & in_s, UPDATE).when(in_s, INSERT).otherwise(KEEP)
     superseded = F.coalesce(F.col("n") - 1, F.lit(0)).alias("superseded")
-    merged = both.select(*[value(c, stamp).alias(c) for c in target.columns], action.alias("action"), superseded)
+    values = [value(c, stamp).alias(c) for c in target.columns]
+    changed = in_s & ~F.col("t").eqNullSafe(F.struct(*values))
+    merged = both.select(*values, action.alias("action"), changed.alias("changed"), superseded)
     rejected = source.where(F.col(key).isNull()).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema], F.lit(REJECT).alias("action"),
-        F.lit(0).cast("long").alias("superseded"),
+        F.lit(False).alias("changed"), F.lit(0).cast("long").alias("superseded"),
     )
     return merged.unionByName(rejected)
 
@@ -82,13 +88,21 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return rows.select("action", "r.*")
 
 
+# Columns that the files of a keyed table have besides its own: the bucket they lie in, and how
+# the merge that wrote a row changed it.
+BUCKET, ACTION = "kw_bucket", "kw_action"
+
+
 class KeyedTable:
-    """A keyed table as a series of complete versions below one folder.
+    """A keyed table as a series of versions below one folder, bucketed by key.
 
-    A merge reads the current version and writes the next, so no reader sees half a merge
-    and a failed one leaves nothing behind that counts: a version counts once its write
-    has committed.  Versions are bucketed by key, so neither the next merge nor the change
-    feed between two versions shuffles the table.  One writer at a time.
+    A version is a manifest that names one folder of files per bucket.  A merge rewrites the
+    buckets that its source has keys in and takes the others over from the version before, so
+    its cost goes with the buckets it touches.  The rows that a merge writes say how it
+    changed them, so the changes between a version and the next are read from those buckets
+    alone.  No reader sees half a merge, and a failed one leaves nothing behind that counts: a version
+    counts once its manifest stands.  Neither a merge nor a comparison of versions shuffles the
+    table, and `lookup` reads the buckets of its keys only.  One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, buckets: int | None = None):
@@ -97,55 +111,108 @@ class KeyedTable:
         self.key = key
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _folders(self) -> Iterator[tuple[int, int, str]]:
-        """(version, buckets, path) of committed versions."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return
-        for status in fs.listStatus(path):
-            name = status.getPath().getName()
-            found = re.fullmatch(r"v(\d+)_b(\d+)", name)
-            done = found and fs.exists(
-                self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            if done:
-                yield int(found[1]), int(found[2]), f"{self.root}/{name}"
+    # Folders and manifests.
+
+    def _at(self, place: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{place}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, place: str) -> list[str]:
+        path, fs = self._at(place)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
     def versions(self) -> list[int]:
-        return sorted(v for v, _, _ in self._folders())
+        return sorted(int(m[1]) for m in (re.fullmatch(r"v(\d+)\.json", n) for n in self._names("versions")) if m)
 
-    def _table_name(self, path: str) -> str:
-        return "kinweave_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+    def _manifest(self, version: int) -> dict:
+        path, fs = self._at(f"versions/v{version:08d}.json")
+        stream = fs.open(path)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        found = json.loads(text)
+        found["files"] = {int(b): place for b, place in found["files"].items()}
+        return found
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """A version, by default the newest; None when there is none."""
-        known = {v: (b, p) for v, b, p in self._folders()}
-        if not known:
-            return None
-        buckets, path = known[max(known) if version is None else version]
-        name = self._table_name(path)
+    def _commit(self, version: int, manifest: dict) -> None:
+        """Put the manifest in place by a rename, the step by which the version comes to count."""
+        draft, fs = self._at(f"versions/.draft-{uuid.uuid4().hex}")
+        place, _ = self._at(f"versions/v{version:08d}.json")
+        stream = fs.create(draft)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        fs.delete(place, False)
+        if not fs.rename(draft, place):
+            raise RuntimeError(f"{place.toString()} could not be put in place")
+
+    # Reading.
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.hash(self.key), F.lit(buckets))
+
+    def _table_name(self, manifest: dict) -> str:
+        return f"kinweave_{manifest['token']}"
+
+    def _open(self, manifest: dict, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The files of a version, all or those of some buckets, with BUCKET and ACTION."""
+        name = self._table_name(manifest)
         if not self.spark.catalog.tableExists(name):
-            schema = self.spark.read.parquet(path).schema
+            schema = T.StructType.fromJson(manifest["schema"])
             columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
             self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({quoted(self.key)}) "
-                f"INTO {buckets} BUCKETS LOCATION {text_literal(path)}"
+                f"CREATE TABLE {name} ({columns}, {ACTION} STRING, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+                f"CLUSTERED BY ({quoted(self.key)}) INTO {manifest['buckets']} BUCKETS LOCATION {text_literal(f'{self.root}/data')}"
             )
-        return self.spark.table(name)
+            places = [f"PARTITION ({BUCKET} = {b}) LOCATION {text_literal(f'{self.root}/{p}')}" for b, p in manifest["files"].items()]
+            if places:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(places)}")
+        rows = self.spark.table(name)
+        # A filter on the partition column, so that the optimizer learns the true sizes.
+        return rows.where(F.col(BUCKET) >= 0 if buckets is None else F.col(BUCKET).isin(list(buckets)))
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """A version, by default the newest; None when there is none."""
+        known = self.versions()
+        if not known:
+            return None
+        return self._open(self._manifest(known[-1] if version is None else version)).drop(BUCKET, ACTION)
 
-    def write(self, df: DataFrame, version: int | None = None, placed: bool = False) -> int:
-        """Write a complete version, one file per bucket, and return its number.
+    def _buckets_of(self, keys: DataFrame, buckets: int) -> list[int]:
+        """The buckets that hold these keys: one number each reaches the driver."""
+        found = keys.where(F.col(self.key).isNotNull()).select(self._bucket(buckets).alias(BUCKET)).distinct()
+        return sorted(r[0] for r in found.collect())
 
-        A merge hands over rows that lie by key already (`placed`).
-        """
-        if version is None:
-            version = max(self.versions(), default=0) + 1
-        path = f"{self.root}/v{version:08d}_b{self.buckets}"
-        rows = df if placed else df.repartition(self.buckets, self.key)
+    def lookup(self, keys: DataFrame, columns: Iterable[str] | None = None, version: int | None = None) -> DataFrame:
+        """The rows of these keys (a column named like the table's key); no other bucket is read.  Runs a job."""
+        manifest = self._manifest(self.versions()[-1] if version is None else version)
+        keys = keys.select(F.col(self.key).cast(T.StructType.fromJson(manifest["schema"])[self.key].dataType))
+        rows = self._open(manifest, self._buckets_of(keys, manifest["buckets"])).drop(BUCKET, ACTION)
+        return (rows.select(*columns) if columns is not None else rows).join(keys, self.key, "left_semi")
+
+    # Writing.
+
+    def _write_files(self, rows: DataFrame, buckets: int) -> dict[int, str]:
+        """Write rows that lie by key, with their ACTION: the folder of each bucket that has any."""
+        token = uuid.uuid4().hex
+        stage = f"kinweave_stage_{token}"
         (
-            rows.write.format("parquet").bucketBy(self.buckets, self.key).option("path", path)
-            .mode("overwrite").saveAsTable(self._table_name(path))
+            rows.withColumn(BUCKET, self._bucket(buckets)).write.format("parquet").partitionBy(BUCKET)
+            .bucketBy(buckets, self.key).option("path", f"{self.root}/data/{token}").saveAsTable(stage)
         )
+        self.spark.sql(f"DROP TABLE {stage}")  # an external table: its files stay
+        named = (re.fullmatch(rf"{BUCKET}=(\d+)", n) for n in self._names(f"data/{token}"))
+        return {int(m[1]): f"data/{token}/{m[0]}" for m in named if m}
+
+    def write(self, df: DataFrame, version: int | None = None) -> int:
+        """Write a complete version, one file per bucket, and return its number."""
+        if taken := {BUCKET, ACTION} & set(df.columns):
+            raise ValueError(f"{sorted(taken)} are names that a keyed table needs for itself")
+        if version is None:
+            version = max(self.versions(), default=0) + 1
+        files = self._write_files(df.repartition(self.buckets, self.key).withColumn(ACTION, F.lit(None).cast("string")), self.buckets)
+        self._commit(version, {
+            "token": uuid.uuid4().hex, "buckets": self.buckets, "schema": df.schema.jsonValue(), "files": files, "base": None, "touched": []})
         return version
 
     def merge(
@@ -157,12 +224,17 @@ class KeyedTable:
 
         Counters: inserted, updated, rejected, superseded by a later row of the same key, and
         total, which is the rows of the source.  They are taken in the writing stage
-        itself, where a repeated task counts once.
+        itself, where a repeated task counts once.  The source is cut into a table first, as its
+        keys say which buckets are read.
         """
         earlier = [v for v in self.versions() if version is None or v < version]
         if not earlier:
             raise RuntimeError(f"{self.root} has no version to merge into; create the target first")
-        target = self.read(max(earlier))
+        base = self._manifest(max(earlier))
+        kind = T.StructType.fromJson(base["schema"])[self.key].dataType
+        source = cut(source.withColumn(self.key, F.col(self.key).cast(kind)), "merge_source")
+        touched = self._buckets_of(source, base["buckets"])
+        target = self._open(base, touched).drop(BUCKET, ACTION)
         merged = merge_rows(target, source, self.key, as_of, order_by, updated)
         seen = Observation()
         counted = merged.observe(
@@ -170,23 +242,41 @@ class KeyedTable:
                     ((INSERT, "inserted"), (UPDATE, "updated"), (REJECT, "rejected"))],
             F.coalesce(F.sum("superseded"), F.lit(0)).alias("superseded"),
         )
-        self.write(
-            counted.where(F.col("action") != REJECT).drop("action", "superseded"),
-            max(earlier) + 1 if version is None else version, placed=True,
-        )
+        counted = counted.withColumn(ACTION, F.when(F.col("changed"), F.col("action"))).where(F.col("action") != REJECT)
+        files = self._write_files(counted.drop("action", "changed", "superseded"), base["buckets"])
+        self._commit(max(earlier) + 1 if version is None else version, {
+            **base, "token": uuid.uuid4().hex, "files": {**base["files"], **files}, "base": base["token"], "touched": touched})
         counts = {k: seen.get[k] for k in ("inserted", "updated", "rejected", "superseded")}
         counts["total"] = sum(counts.values())
         return counts
 
     def prune(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest `keep` versions, and give their numbers."""
-        found = sorted(self._folders())
+        """Delete all but the newest `keep` versions, and give their numbers.  Files that a newer
+        version has taken over stay; those that none names, of failed writes too, go."""
+        found = self.versions()
         old = found[: max(len(found) - max(keep, 1), 0)]
-        for _, _, path in old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
-            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        return [version for version, _, _ in old]
+        for version in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(self._manifest(version))}")
+            place, fs = self._at(f"versions/v{version:08d}.json")
+            fs.delete(place, False)
+        named = {place for version in self.versions() for place in self._manifest(version)["files"].values()}
+        for token in self._names("data"):
+            inside = [f"data/{token}/{n}" for n in self._names(f"data/{token}") if n.startswith(BUCKET)]
+            gone = [p for p in inside if p not in named]
+            for place in [f"data/{token}"] if len(gone) == len(inside) else gone:
+                path, fs = self._at(place)
+                fs.delete(path, True)
+        return old
 
     def changes(self, old: int, new: int) -> DataFrame:
-        return change_feed(self.read(old), self.read(new), self.key)
+        """INSERT, UPDATE and DELETE rows between two versions: what the merge noted, where `new` was merged
+        into `old`, else a comparison of the buckets that differ."""
+        before, after = self._manifest(old), self._manifest(new)
+        if after["base"] == before["token"]:
+            rows = self._open(after, after["touched"]).where(F.col(ACTION).isNotNull())
+            return rows.select(F.col(ACTION).alias("action"), *[c for c in rows.columns if c not in (BUCKET, ACTION)])
+        differ = None
+        if before["buckets"] == after["buckets"]:
+            every = before["files"].keys() | after["files"].keys()
+            differ = sorted(b for b in every if before["files"].get(b) != after["files"].get(b))
+        return change_feed(*[self._open(m, differ).drop(BUCKET, ACTION) for m in (before, after)], self.key)

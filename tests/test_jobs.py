@@ -177,7 +177,8 @@ def test_merge_does_not_shuffle_the_target(spark, tmp_path):
 
 def test_a_new_session_table_finds_the_versions(spark, tmp_path):
     table = target_of(spark, tmp_path)
-    spark.sql(f"drop table {table._table_name(next(table._folders())[2])}")
+    table.read()
+    spark.sql(f"drop table {table._table_name(table._manifest(1))}")
     assert rows(KeyedTable(spark, str(tmp_path / "t"), "ID").read()) == [("1", "a", T0), ("2", "b", T0)]
 
 
@@ -247,6 +248,63 @@ def test_one_file_per_bucket(spark, tmp_path):
     assert len(list((tmp_path / "b").rglob("*.parquet"))) == 4
 
 
+def files_of(folder):
+    return {str(p) for p in folder.rglob("*.parquet")}
+
+
+def test_a_merge_rewrites_the_buckets_it_touches(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "ID", buckets=64)
+    stamped = "timestamp_ntz'2024-01-01 00:00:00' as LAST_UPDATED"
+    table.write(spark.range(0, 20_000, 1, 8).selectExpr("id as ID", "concat('n', id) as NAME", stamped))
+    before = files_of(tmp_path / "t")
+    assert len(before) == 64
+    source = spark.range(19_995, 20_005).selectExpr("cast(id as int) as ID", "'x' as NAME")
+    assert table.merge(source, T1) == {"inserted": 5, "updated": 5, "rejected": 0, "superseded": 0, "total": 10}
+    added = files_of(tmp_path / "t") - before
+    assert 0 < len(added) <= 10
+    assert table.read().count() == 20_005 and table.read().where("NAME = 'x'").count() == 10
+    # The feed reads the new files only, and without a join.
+    feed = table.changes(1, 2)
+    assert {str(f).removeprefix("file://") for f in feed.inputFiles()} == added
+    assert "Join" not in feed._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.action, r.ID) for r in feed.collect()) == [
+        *[("INSERT", i) for i in range(20_000, 20_005)], *[("UPDATE", i) for i in range(19_995, 20_000)]]
+    # Two versions further, only buckets that differ are compared.
+    table.merge(spark.range(3, 4).selectExpr("id as ID", "'y' as NAME"), T1)
+    both = table.changes(1, 3)
+    assert both.count() == 11 and len(both.inputFiles()) <= 22
+    assert table.prune(1) == [1, 2] and len(files_of(tmp_path / "t")) == 64
+    assert table.read().where("NAME in ('x', 'y')").count() == 11
+
+
+def test_lookup_reads_the_buckets_of_its_keys(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "ID", buckets=32)
+    table.write(spark.range(0, 5000).selectExpr("cast(id as string) as ID", "id * 2 as v"))
+    keys = spark.createDataFrame([("17",), ("4711",), ("none",), (None,)], "ID string")
+    found = table.lookup(keys, ["ID", "v"])
+    assert sorted(map(tuple, found.collect())) == [("17", 34), ("4711", 9422)]
+    assert len(found.select("v").inputFiles()) <= 3 + len(keys.inputFiles())
+
+
+def test_a_merge_of_nothing_changes_nothing(spark, tmp_path):
+    table = target_of(spark, tmp_path)
+    nothing = spark.createDataFrame([], "ID string, NAME string")
+    assert table.merge(nothing, T1)["total"] == 0
+    only_null = spark.createDataFrame([(None, "x")], "ID string, NAME string")
+    assert table.merge(only_null, T1) == {"inserted": 0, "updated": 0, "rejected": 1, "superseded": 0, "total": 1}
+    assert rows(table.read()) == rows(table.read(1)) and table.changes(1, 3).isEmpty()
+    with pytest.raises(ValueError):
+        table.write(spark.range(1).selectExpr("'1' as ID", "1 as kw_bucket"))
+
+
+def test_a_rewritten_version_is_compared_not_read(spark, tmp_path):
+    table = target_of(spark, tmp_path)
+    table.merge(spark.createDataFrame([("2", "x")], "ID string, NAME string"), T1, version=2)
+    table.merge(spark.createDataFrame([("3", "c")], "ID string, NAME string"), T1, version=3)
+    table.merge(spark.createDataFrame([("1", "z")], "ID string, NAME string"), T1, version=2)
+    assert sorted((r.action, r.ID) for r in table.changes(2, 3).collect()) == [("INSERT", "3"), ("UPDATE", "1"), ("UPDATE", "2")]
+
+
 def test_old_versions_are_pruned(spark, tmp_path):
     table = target_of(spark, tmp_path)
     for name in "xyz":
