@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 from collections.abc import Iterable
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.session import cut
+from kinweave.sinks.versions import Versioned
 from kinweave.sources.tables import quoted, text_literal
 
 INSERT, UPDATE, DELETE, KEEP, REJECT = "INSERT", "UPDATE", "DELETE", "KEEP", "REJECT"
@@ -93,7 +93,7 @@ def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 BUCKET, ACTION = "kw_bucket", "kw_action"
 
 
-class KeyedTable:
+class KeyedTable(Versioned):
     """A keyed table as a series of versions below one folder, bucketed by key.
 
     A version is a manifest that names one folder of files per bucket.  A merge rewrites the
@@ -106,54 +106,15 @@ class KeyedTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, buckets: int | None = None):
-        self.spark = spark
-        self.root = root.rstrip("/")
+        super().__init__(spark, root)
         self.key = key
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # Folders and manifests.
-
-    def _at(self, place: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{place}")
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, place: str) -> list[str]:
-        path, fs = self._at(place)
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
-    def versions(self) -> list[int]:
-        return sorted(int(m[1]) for m in (re.fullmatch(r"v(\d+)\.json", n) for n in self._names("versions")) if m)
-
-    def _manifest(self, version: int) -> dict:
-        path, fs = self._at(f"versions/v{version:08d}.json")
-        stream = fs.open(path)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        found = json.loads(text)
-        found["files"] = {int(b): place for b, place in found["files"].items()}
-        return found
-
-    def _commit(self, version: int, manifest: dict) -> None:
-        """Put the manifest in place by a rename, the step by which the version comes to count."""
-        draft, fs = self._at(f"versions/.draft-{uuid.uuid4().hex}")
-        place, _ = self._at(f"versions/v{version:08d}.json")
-        stream = fs.create(draft)
-        stream.write(bytearray(json.dumps(manifest).encode()))
-        stream.close()
-        fs.delete(place, False)
-        if not fs.rename(draft, place):
-            raise RuntimeError(f"{place.toString()} could not be put in place")
-
     # Reading.
 
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.hash(self.key), F.lit(buckets))
 
-    def _table_name(self, manifest: dict) -> str:
-        return f"kinweave_{manifest['token']}"
-
     def _open(self, manifest: dict, buckets: Iterable[int] | None = None) -> DataFrame:
         """The files of a version, all or those of some buckets, with BUCKET and ACTION."""
         name = self._table_name(manifest)
@@ -253,20 +214,7 @@ class KeyedTable:
     def prune(self, keep: int = 2) -> list[int]:
         """Delete all but the newest `keep` versions, and give their numbers.  Files that a newer
         version has taken over stay; those that none names, of failed writes too, go."""
-        found = self.versions()
-        old = found[: max(len(found) - max(keep, 1), 0)]
-        for version in old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(self._manifest(version))}")
-            place, fs = self._at(f"versions/v{version:08d}.json")
-            fs.delete(place, False)
-        named = {place for version in self.versions() for place in self._manifest(version)["files"].values()}
-        for token in self._names("data"):
-            inside = [f"data/{token}/{n}" for n in self._names(f"data/{token}") if n.startswith(BUCKET)]
-            gone = [p for p in inside if p not in named]
-            for place in [f"data/{token}"] if len(gone) == len(inside) else gone:
-                path, fs = self._at(place)
-                fs.delete(path, True)
-        return old
+        return self._drop_old(keep)
 
     def changes(self, old: int, new: int) -> DataFrame:
         """INSERT, UPDATE and DELETE rows between two versions: what the merge noted, where `new` was merged

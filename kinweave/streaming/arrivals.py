@@ -11,27 +11,38 @@ from kinweave.plans.rules import Rule
 from kinweave.session import cut
 from kinweave.sinks.merge import KeyedTable
 from kinweave.streaming.files import append_changes
-from kinweave.streaming.incremental import match_batch
+from kinweave.streaming.incremental import IndexedState, index_of, match_with
+from kinweave.streaming.index import SignatureIndex
+
 
 def arrival_job(
     loaded: KeyedTable, rules: Sequence[Rule], feed: str, as_of: datetime | str, first_version: int = 1, keep: int | None = None,
+    index: SignatureIndex | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """What to do with each batch of normalized records, for `on_arrival`.
+    """What to do with each batch of normalized records, one per id, for `on_arrival`.
 
-    Batch n makes version `first_version` + n + 1 of the table, so a batch that is repeated
-    after a failure repeats its result.  `keep` is the number of versions that stay.
+    Batch n makes version `first_version` + n + 1 of the table and of its index, so a batch that is repeated
+    after a failure repeats its result.  `keep` is the number of versions that stay.  The index lies beside the
+    table unless given, and is made from the first version where there is none.
     """
     key = loaded.key
+    index = index or SignatureIndex(loaded.spark, f"{loaded.root}-index", key, rules)
 
     def arrive(batch: DataFrame, batch_id: int) -> None:
-        version = first_version + batch_id + 1
-        batch, base = cut(batch), loaded.read(version - 1)
-        found = cut(match_batch(batch, base, key, rules)).drop("is_new")
-        fields = [c for c in base.columns if c in batch.columns]
-        rows = base.select(*fields).join(batch.select(key), key, "left_anti").unionByName(batch.select(*fields))
-        loaded.merge(rows.join(found, key), as_of, version=version)
-        append_changes(loaded, version - 1, version, feed, batch_id)
+        old = first_version + batch_id
+        if not index.versions():
+            index.add(index_of(loaded.read(old), key, rules), old)
+        batch = cut(batch)
+        found = match_with(batch, IndexedState(loaded, index, old), key, rules)
+        rows = cut(found.rows)
+        fields = [c for c in loaded.read(old).columns if c in batch.columns]
+        others = loaded.lookup(rows.where("not is_new").select(rows["id"].alias(key)), fields, old)
+        merged = others.unionByName(batch.select(*fields)).join(rows.drop("is_new").withColumnRenamed("id", key), key)
+        index.add(found.entries, old + 1)
+        loaded.merge(merged, as_of, version=old + 1)
+        append_changes(loaded, old, old + 1, feed, batch_id)
         if keep is not None:
             loaded.prune(keep)
+            index.prune(keep)
 
     return arrive

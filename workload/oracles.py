@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kinweave.functions.normalize import STREET_WORDS
-from workload.person import PERSON_SQL
+from workload.person import CORRECTED_SQL, PERSON_SQL
 from workload.queries import AS_OF
 
 SHORT = " ".join(f"when '{word}' then '{short}'" for word, short in STREET_WORDS.items())
@@ -51,6 +51,7 @@ def sim(a: str, b: str) -> str:
     return f"(1.0::double - levenshtein({a}, {b})::double / greatest(length({a}), length({b})))"
 
 
+CORRECTED = f"person as ({CORRECTED_SQL.format(customer='customer')})"
 PERSON = f"person as ({PERSON_SQL.format(customer='customer')})"
 NORMAL = f"""{PERSON}, pn as materialized (select source, id, {norm_name('first_name')} as first_name,
   {norm_name('last_name')} as last_name, {norm_email('email')} as email, {norm_phone('phone')} as phone,
@@ -323,6 +324,8 @@ ORACLES = {
     "stream_alarms_events": f"""select {text_time('p')} as period_start, count(*) as observed
         from (select {PERIOD_60} as p from events where event_type = 'error' and {CLOSED_60}) group by p""",
     "stream_upsert_person": f"{RESOLVED} select id, match_id, score, rule_id from records",
+    "regroup_person": f"""{RESOLVED.replace(PERSON, CORRECTED)} select r.id, match_id, score, rule_id, first_name
+        from records r join pn on pn.id = r.id""",
     "stream_changes_person": f"with {PERSON} select id, 1::bigint as inserts from person",
     "process_load_person": f"""{RESOLVED} select r.id as "ID", p.last_name as "LAST_NAME", r.match_id as "MATCH_ID",
         r.score as "MATCH_SCORE", '{AS_OF}' as "LAST_UPDATED", (select count(*) from records) as loaded

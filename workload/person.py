@@ -44,6 +44,16 @@ select 'web', concat('B', d),
 from k
 """
 
+# The same records after every third one of `web` has been sent again with another name, no phone and
+# an address that it shares with others sent again.
+CORRECTED_SQL = f"""
+select source, id, case when moved then 'Zed' else first_name end as first_name, last_name,
+  case when moved then concat('moved', cast(k % 50 as varchar(20)), '@example.org') else email end as email,
+  case when moved then null else phone end as phone, address, postal_code
+from (select *, source = 'web' and k % 3 = 0 as moved
+  from (select *, cast(substr(id, 2, 12) as bigint) as k from ({PERSON_SQL}) p) q) r
+"""
+
 ATTRIBUTES = [
     Attribute("id", "TEXT", required=True),
     Attribute("first_name", "NAME", "FIRST"),
@@ -65,10 +75,10 @@ NORMALIZERS = {
 }
 
 
-def person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PERSON_SQL, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
+def person(spark: SparkSession, sf_dir: str, sql: str = PERSON_SQL) -> DataFrame:
+    return spark.sql(sql, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
 
 
-def normalized_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+def normalized_person(spark: SparkSession, sf_dir: str, sql: str = PERSON_SQL) -> DataFrame:
     clean = [f(F.col(c)).alias(c) for c, f in NORMALIZERS.items()]
-    return person(spark, sf_dir).select("source", "id", *clean)
+    return person(spark, sf_dir, sql).select("source", "id", *clean)

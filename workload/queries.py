@@ -28,7 +28,7 @@ from kinweave.sources.tables import read_table, register_table, sql_source, unio
 from kinweave.streaming.arrivals import arrival_job
 from kinweave.streaming.files import on_arrival, read_changes, stream_files
 from kinweave.streaming.metrics import live_alarms, live_rollup, write_metrics
-from workload.person import ATTRIBUTES, NAME_ADDRESS, RULES, normalized_person, person
+from workload.person import ATTRIBUTES, CORRECTED_SQL, NAME_ADDRESS, PERSON_SQL, RULES, normalized_person, person
 
 AS_OF = "2024-06-01 00:00:00"
 PART_RULE = Rule("part", (Exact("p_brand"), Exact("p_type"), Fuzzy("p_name", 0.8)))
@@ -633,16 +633,21 @@ def stream_alarms_events(spark, sf_dir):
     return spark.read.parquet(path).select(stamp("period_start"), "observed")
 
 
-def _streamed(spark, sf_dir):
-    """The person sources arriving one after the other, matched and merged batch by batch."""
-    people = normalized_person(spark, sf_dir)
-    arrivals, feed = scratch_path(spark, "arrivals"), scratch_path(spark, "feed")
+def _loaded_people(spark, people) -> KeyedTable:
+    """An empty table of people with their groups."""
     loaded = KeyedTable(spark, scratch_path(spark, "people"), "id")
     empty = people.select(
         "*", F.lit("").alias("match_id"), F.lit(0.0).alias("score"), F.lit("").alias("rule_id"),
         F.lit(AS_OF).cast("timestamp_ntz").alias("LAST_UPDATED")).where("1 = 0")
     loaded.write(empty, 1)
+    return loaded
+
 
+def _streamed(spark, sf_dir):
+    """The person sources arriving one after the other, matched and merged batch by batch."""
+    people = normalized_person(spark, sf_dir)
+    arrivals, feed = scratch_path(spark, "arrivals"), scratch_path(spark, "feed")
+    loaded = _loaded_people(spark, people)
     arrive, log = arrival_job(loaded, RULES, feed, AS_OF), scratch_path(spark, "arrivals-log")
     for source in ("web", "crm"):
         people.where(F.col("source") == source).write.mode("append").parquet(arrivals)
@@ -655,6 +660,16 @@ def stream_upsert_person(spark, sf_dir):
     return loaded.read().select("id", "match_id", "score", "rule_id")
 
 
+def regroup_person(spark, sf_dir):
+    """Everybody in one batch, then some records again with new values: they leave their groups, and may meet others."""
+    people, corrected = (normalized_person(spark, sf_dir, sql) for sql in (PERSON_SQL, CORRECTED_SQL))
+    loaded = _loaded_people(spark, people)
+    arrive = arrival_job(loaded, RULES, scratch_path(spark, "feed"), AS_OF)
+    arrive(people, 0)
+    arrive(corrected.subtract(people), 1)
+    return loaded.read().select("id", "match_id", "score", "rule_id", "first_name")
+
+
 def stream_changes_person(spark, sf_dir):
     _, feed = _streamed(spark, sf_dir)
     changes = read_changes(spark, feed)
