@@ -11,7 +11,7 @@ from kinweave.plans.rules import Rule
 from kinweave.session import cut
 from kinweave.sinks.merge import KeyedTable
 from kinweave.streaming.files import append_changes
-from kinweave.streaming.incremental import IndexedState, index_of, match_with
+from kinweave.streaming.incremental import IndexedState, match_with
 from kinweave.streaming.index import SignatureIndex
 
 
@@ -31,7 +31,7 @@ def arrival_job(
     def arrive(batch: DataFrame, batch_id: int) -> None:
         old = first_version + batch_id
         if not index.versions():
-            index.add(index_of(loaded.read(old), key, rules), old)
+            index.start(loaded.read(old), old)
         batch = cut(batch)
         found = match_with(batch, IndexedState(loaded, index, old), key, rules)
         rows = cut(found.rows)

@@ -86,8 +86,11 @@ def match_with(batch: DataFrame, state: FrameState | IndexedState, id_col: str,
     batch = cut(batch.select(id_col, *fields), "batch")
     ids = batch.select(id_col)
     again = cut(state.lookup(ids, [id_col, *fields, *STATE]), "again")
-    torn = cut(again.select("match_id").distinct(), "torn")
-    wanted = state.near(batch).unionByName(state.members(torn)).distinct().join(ids, id_col, "left_anti")
+    torn = again.select("match_id").distinct()
+    wanted, resent = state.near(batch), not again.isEmpty()
+    if resent:
+        wanted = wanted.unionByName(state.members(torn)).distinct()
+    wanted = wanted.join(ids, id_col, "left_anti")
     old = state.lookup(cut(wanted, "wanted"), [id_col, *fields, *STATE])
     old = cut(old.join(torn.withColumn("is_torn", F.lit(True)), "match_id", "left").fillna(False, "is_torn"), "old")
     links = cut(all_links(batch.unionByName(old.select(id_col, *fields)), id_col, rules), "links")
@@ -108,8 +111,10 @@ def match_with(batch: DataFrame, state: FrameState | IndexedState, id_col: str,
     # Rows of other groups: a group may get another name, a row its first or a better link.
     moved = whole.select(F.col("match_id").alias("id")).distinct().join(groups, "id").where("id <> root")
     moved = cut(moved.withColumnsRenamed({"id": "match_id"}), "moved")
-    rest = state.lookup(cut(state.members(moved.select("match_id")), "members"), [id_col, *STATE])
-    rest = rest.unionByName(whole.select(id_col, *STATE)).distinct().join(moved, "match_id", "left").join(best, id_col, "left")
+    rest = whole.select(id_col, *STATE)
+    if not moved.isEmpty():
+        rest = rest.unionByName(state.lookup(cut(state.members(moved.select("match_id")), "members"), [id_col, *STATE])).distinct()
+    rest = rest.join(moved, "match_id", "left").join(best, id_col, "left")
     place = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     old_place, new_place = F.try_element_at(place, F.col("rule_id")), F.try_element_at(place, F.col("new_rule"))
     better = F.col("new_rule").isNotNull() & (
@@ -129,11 +134,8 @@ def match_with(batch: DataFrame, state: FrameState | IndexedState, id_col: str,
     stay = F.col("old_match_id").isNull() | (F.col("old_match_id") != F.col("match_id"))
     gained = signatures(batch, id_col, rules).unionByName(memberships(both.where(stay), id_col))
     left = both.where(F.col("old_match_id") != F.col("match_id")).select(id_col, F.col("old_match_id").alias("match_id"))
-    lost = signatures(again.select(id_col, *fields), id_col, rules).unionByName(memberships(left, id_col))
+    lost = memberships(left, id_col)
+    if resent:
+        lost = lost.unionByName(signatures(again.select(id_col, *fields), id_col, rules))
     entries = gained.withColumn("live", F.lit(True)).unionByName(lost.withColumn("live", F.lit(False)))
     return BatchMatch(rows, entries)
-
-
-def index_of(loaded: DataFrame, id_col: str, rules: Sequence[Rule]) -> DataFrame:
-    """All entries of a loaded table, to start an index from."""
-    return signatures(loaded, id_col, rules).unionByName(memberships(loaded, id_col)).withColumn("live", F.lit(True))

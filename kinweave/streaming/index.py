@@ -8,7 +8,6 @@ members of every group, under a signature of the group.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -76,6 +75,14 @@ class SignatureIndex(Versioned):
         self.id_col, self.rules = id_col, list(rules)
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def start(self, loaded: DataFrame, version: int) -> None:
+        """The first version, of a loaded table that may hold rows already."""
+        if not loaded.isEmpty():
+            found = signatures(loaded, self.id_col, self.rules).unionByName(memberships(loaded, self.id_col))
+            return self.add(found.withColumn("live", F.lit(True)), version)
+        kind = loaded.schema[self.id_col].dataType.simpleString()
+        self._commit(version, {"token": uuid.uuid4().hex, "buckets": self.buckets, "id": kind, "files": {}})
+
     def add(self, entries: DataFrame, version: int) -> None:
         """Write (h, p, id, live) as the part of a version, and put parts together where there are many."""
         earlier = [v for v in self.versions() if v < version]
@@ -100,7 +107,8 @@ class SignatureIndex(Versioned):
                 f"PARTITIONED BY ({PART}) CLUSTERED BY (h) INTO {manifest['buckets']} BUCKETS LOCATION {text_literal(f'{self.root}/data')}"
             )
             places = [f"PARTITION ({PART} = {v}) LOCATION {text_literal(f'{self.root}/{p}')}" for v, p in manifest["files"].items()]
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(places)}")
+            if places:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(places)}")
         return self.spark.table(name).where(F.col(PART) >= 0)
 
     def find(self, sought: DataFrame, version: int | None = None) -> DataFrame:
