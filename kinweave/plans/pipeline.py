@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from kinweave.operators.mapping import rename_results, sink_struct, to_sink
 from kinweave.plans.load import LoadResult, load
@@ -36,18 +37,21 @@ def run_pipeline(
 
     With `newest_batch`, a part of file names, only the greatest directory of `input_path`
     that has such files is the input; without any, nothing is done.
-    `source` takes the place of the files; `source_fields`, `technique`, `model`, `provider` and
+    `source` takes the place of the files; `source_fields` names the source columns that are called otherwise than
+    their attributes, in files too; it, `technique`, `model`, `provider` and
     `threshold` go to `resolve`, and rows it rejects count as failed in the load, of which
     `on_error` says what a failed write does.
     With `output` the match records are written as a run there and the load reads the
     latest run back, as separate jobs would.
     """
+    names = source_fields or {}
+    files = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType) for f in source_struct(attributes)])
     if source is not None:
         pass
     elif newest_batch is None:
-        source = register_table(spark, table, input_path, source_struct(attributes), fmt)
+        source = register_table(spark, table, input_path, files, fmt)
     else:
-        source = read_latest(spark, input_path, fmt, source_struct(attributes), newest_batch)
+        source = read_latest(spark, input_path, fmt, files, newest_batch)
         if source is None:
             return PipelineResult(None, load(None, target))
     resolved = resolve(

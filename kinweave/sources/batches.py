@@ -2,44 +2,59 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def list_files(spark: SparkSession, base: str) -> DataFrame:
-    """(path, batch): files below `base` with the name of their first-level directory,
-    which is empty for files directly in `base`.  File contents are not read."""
-    root = base.rstrip("/")
-    inside = F.regexp_extract("path", "^.*?" + re.escape(re.sub(r"^[a-z0-9]+:/+", "/", root)) + "/(.*)$", 1)
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path").withColumn("batch", F.regexp_extract(inside, r"^([^/]+)/", 1))
-    )
-
-
-def latest_batch(
-    spark: SparkSession, base: str, pattern: str = ".json", first_only: bool = False
-) -> list[str]:
-    """Paths of the files whose path contains `pattern`, in the lexicographically greatest
-    directory that has one.  Only paths reach the driver, which lists them to read anyway.
-    `first_only` gives just the first of them.
+
+
+def _walk(spark: SparkSession, folder: str, recursive: bool) -> Iterator[str]:
+    """Paths of files in or below a folder, as the file system lists them: one is held at a time."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, recursive)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if not name.rsplit("/", 1)[1].startswith(("_", ".")):
+            yield name
+
+
+def latest_folder(spark: SparkSession, base: str, pattern: str = ".json") -> tuple[str, bool] | None:
+    """(folder, whether what lies below it counts): the lexicographically greatest first-level folder below `base` that has
+    a file whose path contains `pattern`; `base` itself, without what lies below, where only that has one.
+
+    Only the first level is listed as a whole; folders are then looked into from the greatest on, until the first hit.
     """
-    hits = list_files(spark, base).where(F.col("path").contains(pattern))
-    top = hits.agg(F.max("batch").alias("batch"))
-    chosen = hits.join(F.broadcast(top), "batch").select("path")  # one row
-    if first_only:
-        row = chosen.agg(F.min("path").alias("path")).first()
-        return [row.path] if row.path is not None else []
-    return sorted(r.path for r in chosen.toLocalIterator())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    folders = [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+    folders = sorted((f for f in folders if not f.getName().startswith(("_", "."))), key=lambda f: f.getName(), reverse=True)
+    places = [*((f.toString(), True) for f in folders), (path.toString(), False)]
+    return next((p for p in places if any(pattern in f for f in _walk(spark, *p))), None)
+
+
+def latest_batch(spark: SparkSession, base: str, pattern: str = ".json", first_only: bool = False) -> list[str]:
+    """Paths of the files of the latest folder whose path contains `pattern`, the first of them only with `first_only`."""
+    found = latest_folder(spark, base, pattern)
+    if found is None:
+        return []
+    hits = (f for f in _walk(spark, *found) if pattern in f)
+    return [min(hits)] if first_only else sorted(hits)
 
 
 def read_latest(
     spark: SparkSession, base: str, fmt: str, schema, pattern: str = "", first_only: bool = False
 ) -> DataFrame | None:
-    """The latest batch as a DataFrame, None when no file matches."""
+    """The latest batch as a DataFrame, None when no file matches.  Spark reads the folder itself and picks the files by their
+    names; only where `pattern` does not lie within a file name are the paths listed for it."""
     from kinweave.sources.readers import read_entities
 
-    paths = latest_batch(spark, base, pattern or ".", first_only)
-    return read_entities(spark, paths, fmt, schema) if paths else None
+    pattern = pattern or "."
+    found = latest_folder(spark, base, pattern)
+    if found is None:
+        return None
+    folder, recursive = found
+    if first_only or "/" in pattern or pattern in folder:
+        return read_entities(spark, latest_batch(spark, base, pattern, first_only), fmt, schema)
+    glob = "*" + "".join(f"[{c}]" if c in "*?[{" else f"\\{c}" if c in "\\]}^" else c for c in pattern) + "*"
+    return read_entities(spark, folder, fmt, schema, pathGlobFilter=glob, recursiveFileLookup=str(recursive).lower())

@@ -311,3 +311,58 @@ def test_old_versions_are_pruned(spark, tmp_path):
         table.merge(spark.createDataFrame([("2", name)], "ID string, NAME string"), T1)
     assert table.prune(2) == [1, 2] and table.versions() == [3, 4]
     assert ("2", "z", T1) in rows(table.read()) and table.prune(2) == []
+
+
+# --- matching without labels --------------------------------------------------------------
+
+
+def test_weights_without_labels_find_the_known_pairs(spark):
+    from workload.queries import EM_LEAST, _agreement
+    from kinweave.operators import agreement, model
+
+    features, early = _agreement(spark, "/root/testdata/sf0.01")
+    fitted = agreement.fit_agreement(agreement.agreement_patterns(features, EM_LEAST), EM_LEAST)
+    assert fitted.converged and early.rounds == 6 and not early.converged
+    for field, (agree, differ) in fitted.weights().items():
+        assert agree > 0 > differ, field
+    found = {(r.id_a, r.id_b) for r in model.model_links(features, fitted, 0.9).collect()}
+    pairs = [(r.id_a, r.id_b) for r in features.collect()]
+    known = {p for p in pairs if p[0][1:] == p[1][1:]}
+    hits = len(found & known)
+    assert hits / len(found) > 0.95 and hits / len(known) > 0.9 and len(known) < len(pairs)
+
+
+def test_weights_of_known_probabilities(spark):
+    """Pairs drawn from given probabilities: they are found again."""
+    import random
+
+    from kinweave.operators.agreement import AgreementModel, fit_agreement
+
+    rng, rows = random.Random(1), []
+    true_m, true_u = (0.95, 0.8, 0.9), (0.05, 0.2, 0.01)
+    for _ in range(40_000):
+        p = true_m if rng.random() < 0.3 else true_u
+        rows.append(tuple(None if rng.random() < 0.1 else int(rng.random() < x) for x in p))
+    patterns = spark.createDataFrame(rows, "a int, b int, c int").groupBy("a", "b", "c").count().withColumnRenamed("count", "pairs")
+    fitted = fit_agreement(patterns, {"a": 0.5, "b": 0.5, "c": 0.5}, rounds=500)
+    assert isinstance(fitted, AgreementModel) and fitted.converged and abs(fitted.share - 0.3) < 0.02
+    assert all(abs(x - y) < 0.03 for x, y in zip((*fitted.m, *fitted.u), (*true_m, *true_u)))
+    with pytest.raises(ValueError):
+        fit_agreement(patterns.where("false"), {"a": 0.5, "b": 0.5, "c": 0.5})
+
+
+def test_a_field_that_always_agrees_has_a_finite_weight(spark):
+    from kinweave.operators.agreement import fit_agreement
+
+    patterns = spark.createDataFrame([(1, 1, 5), (1, 0, 5), (1, None, 3)], "a int, b int, pairs long")
+    weights = fit_agreement(patterns, {"a": 0.5, "b": 0.5}).weights()
+    assert all(abs(w) < 25 for pair in weights.values() for w in pair)
+
+
+def test_resolve_takes_a_model_without_labels(spark, sf_dir):
+    from workload.queries import EM_LEAST, _agreement
+
+    _, fitted = _agreement(spark, sf_dir)
+    loose = Rule("loose", (Exact("postal_code"), Fuzzy("first_name", 0.6)))
+    done = resolve(person(spark, sf_dir), ATTRIBUTES, "id", model=Model(fitted, loose, 0.9))
+    assert done.technique == "model" and done.links.count() > 0 and set(EM_LEAST) == set(fitted.fields)

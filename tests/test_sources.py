@@ -1,10 +1,15 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from kinweave.functions.values import decode_record, encode_record
 from kinweave.sinks.tables import append_rows, create_target, insert_rows, overwrite_rows
 from kinweave.sinks.writers import write_results
-from kinweave.sources.batches import latest_batch, read_latest
+from kinweave.sources.batches import latest_batch, latest_folder, read_latest
+from kinweave.sources.csv_records import csv_records
 from kinweave.sources.readers import (
     read_avro, read_csv_load, read_entities, read_json_array, read_json_lines, read_json_load, read_json_strict,
 )
@@ -202,3 +207,63 @@ def test_json_array_files_grow_in_number_not_in_size(spark, monkeypatch):
     sizes = [r.n for r in files[0].select(F.size("records").alias("n")).collect()]
     assert max(sizes) == 1000 and len(sizes) == 8
     assert got == sorted(r.id for r in people.collect())
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    text = 'id,note\n1,"line one\nline two"\n2,plain\n3,"a ""b""\n\n,c\n"\n4,5" pipe\n5,"x","y"\n6,z\n'
+    good, rejects = read_csv_load(spark, put(tmp_path / "q.csv", text), "id int, note string", "continue")
+    assert sorted(map(tuple, good.collect())) == [(1, "line one\nline two"), (2, "plain"), (3, 'a "b"\n\n,c\n'), (4, '5" pipe'), (6, "z")]
+    assert [r[0] for r in rejects.collect()] == ['5,"x","y"']
+    never = put(tmp_path / "n.csv", 'id,note\n1,a\n2,"open\n3,b\n')
+    good, rejects = read_csv_load(spark, never, "id int, note string", "continue")
+    assert [r.id for r in good.collect()] == [1] and [r[0] for r in rejects.collect()] == ['2,"open\n3,b']
+    with pytest.raises(Exception, match="malformed"):
+        read_csv_load(spark, never, "id int, note string")[0].collect()
+
+
+@pytest.mark.parametrize("bytes_of_split", [64, 333, 1 << 20])
+def test_a_split_inside_a_quoted_field_loses_nothing(spark, tmp_path, bytes_of_split):
+    rng = random.Random(bytes_of_split)
+    rows = [(i, "".join(rng.choice(["a", "b,", "\n", '"', ' "', "\n\n", "long words here "]) for _ in range(rng.randint(0, 30)))) for i in range(90)]
+
+    def file_of(part):
+        out = io.StringIO()
+        writer = csv.writer(out, quoting=csv.QUOTE_MINIMAL, lineterminator="\n")
+        writer.writerow(["id", "note"])
+        writer.writerows(part)
+        return out.getvalue()
+
+    for n in range(3):
+        put(tmp_path / "in" / f"{n}.csv", file_of(rows[n::3]))
+    put(tmp_path / "in" / "plain.csv", "id,note\n1000,x\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(bytes_of_split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = sorted(r.value for r in csv_records(spark, str(tmp_path / "in")).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [file_of([r]).removeprefix("id,note\n").rstrip("\n") if not r[1].endswith("\n") else file_of([r]).removeprefix("id,note\n")[:-1] for r in rows]
+    assert got == sorted([*want, "1000,x"])
+
+
+def test_an_endless_quote_gathers_no_file(spark, tmp_path):
+    path = put(tmp_path / "e.csv", "id,note\n" + '1,"open\n' + "".join(f"{i},x\n" for i in range(2, 60)))
+    assert csv_records(spark, path, most_lines=50).count() == 59
+    assert csv_records(spark, path, most_lines=100).count() == 1
+
+
+def test_the_latest_folder_is_read_by_its_name(spark, tmp_path):
+    base = tmp_path / "in"
+    put(base / "1" / "a[1].json", '{"id":"1"}\n')
+    put(base / "2" / "deep" / "b[1].json", '{"id":"2"}\n')
+    put(base / "2" / "_hidden.json", '{"id":"x"}\n')
+    put(base / "2" / "c.json", '{"id":"3"}\n')
+    put(base / "3" / "notes.txt", "x")
+    folder, below = latest_folder(spark, str(base), "[1].json")
+    assert folder.endswith("/2") and below
+    assert [r.id for r in read_latest(spark, str(base), "json", "id string", "[1].json").collect()] == ["2"]
+    assert sorted(r.id for r in read_latest(spark, str(base), "json", "id string", "json").collect()) == ["2", "3"]
+    assert [r.id for r in read_latest(spark, str(base), "json", "id string", "deep/").collect()] == ["2"]
+    assert latest_folder(spark, str(tmp_path / "none"), "json") is None

@@ -122,6 +122,39 @@ best as (select id, rule_id, score from ends qualify row_number() over (
 records as materialized (select p.id, coalesce(g.root, p.id) as match_id, b.score, b.rule_id, g.root from person p
   left join grp g on g.id = p.id left join best b on b.id = p.id)"""
 
+def em_rounds(fields: dict[str, float], rounds: int) -> str:
+    """Expectation maximisation over agreement patterns, a round being two steps; `t{rounds}` has the result."""
+    names = list(fields)
+
+    def product(p: str) -> str:
+        return " * ".join(f"case {c} when 1 then t.{p}_{c} when 0 then 1 - t.{p}_{c} else 1 end" for c in names)
+
+    def inside(x: str) -> str:
+        return f"least(greatest({x}, 0.000001::double), 1 - 0.000001::double)"
+
+    def rate(weight: str, c: str) -> str:
+        return inside(f"coalesce(sum({weight} * pairs) filter ({c} = 1), 0) / sum({weight} * pairs) filter ({c} is not null)")
+
+    start = ", ".join(f"0.9::double as m_{c}, 0.1::double as u_{c}" for c in names)
+    steps = [f"t0 as (select 0.1::double as share, {start})"]
+    for r in range(rounds):
+        rates = ", ".join(f"{rate('e', c)} as m_{c}, {rate('(1 - e)', c)} as u_{c}" for c in names)
+        steps.append(f"""e{r} as (select {', '.join(names)}, pairs,
+  t.share * {product('m')} as a, (1 - t.share) * {product('u')} as b, a / (a + b) as e from patterns, t{r} t)""")
+        steps.append(f"t{r + 1} as (select {inside('sum(e * pairs) / sum(pairs)')} as share, {rates} from e{r})")
+    return ",\n".join(steps)
+
+
+EM_LEAST = {"last_name": 0.85, "address": 0.8, "email": 0.99, "phone": 0.99}
+EM_LEVELS = ", ".join(f"({sim(f'a.{c}', f'b.{c}')} >= {t})::int as {c}" for c, t in EM_LEAST.items())
+EM = f"""with {NORMAL}, {similar('pn', 'id', ['postal_code'], {'first_name': 0.6}, 'm')},
+p as (select id_a, id_b from m_pairs union all select id_a, id_b from m_copies),
+levels as materialized (select id_a, id_b, {EM_LEVELS} from p join pn a on a.id = id_a join pn b on b.id = id_b),
+patterns as materialized (select {', '.join(EM_LEAST)}, count(*) as pairs from levels group by all),
+{em_rounds(EM_LEAST, 6)}"""
+EM_ODDS = " * ".join(
+    f"case {c} when 1 then m_{c} / u_{c} when 0 then (1 - m_{c}) / (1 - u_{c}) else 1 end" for c in EM_LEAST)
+
 DIGEST = r"trim(regexp_replace(lower(text), '\s+', ' ', 'g'), E' \t\r\n')"
 DOCS = f"docs as (select doc_id, lang, n_chars, nullif({DIGEST}, '') as t from documents)"
 DOC_GROUPS = f"{DOCS}, {stars('docs', 'doc_id', ['t'], 'l')}"
@@ -324,6 +357,8 @@ ORACLES = {
     "stream_alarms_events": f"""select {text_time('p')} as period_start, count(*) as observed
         from (select {PERIOD_60} as p from events where event_type = 'error' and {CLOSED_60}) group by p""",
     "stream_upsert_person": f"{RESOLVED} select id, match_id, score, rule_id from records",
+    "load_multiline_csv": """select doc_id, md5(t) as digest, length(t) as n_chars, lang, 0::bigint as rejects
+        from (select doc_id, nullif(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '') as t, lang from documents)""",
     "regroup_person": f"""{RESOLVED.replace(PERSON, CORRECTED)} select r.id, match_id, score, rule_id, first_name
         from records r join pn on pn.id = r.id""",
     "stream_changes_person": f"with {PERSON} select id, 1::bigint as inserts from person",
@@ -355,6 +390,10 @@ ORACLES = {
             for c, w, v in [('first_name', 2.0, -0.5), ('last_name', 3.0, -0.5), ('address', 2.5, 0.25), ('email', 1.5, 0.75)])} as z
           from p join pn a on a.id = id_a join pn b on b.id = id_b)
         select id_a, id_b, round(1 / (1 + exp(-z)), 6) as score from z where round(1 / (1 + exp(-z)), 6) >= 0.6""",
+    "em_weights_person": f"{EM} " + " union all ".join(
+        f"select '{c}' as field, round(m_{c}, 6) as m, round(u_{c}, 6) as u, round(share, 6) as share from t6" for c in EM_LEAST),
+    "em_links_person": f"""{EM}, z as (select id_a, id_b, share / (1 - share) * {EM_ODDS} as odds from levels, t6)
+        select id_a, id_b, round(odds / (1 + odds), 6) as score from z where round(odds / (1 + odds), 6) >= 0.9""",
     "merge_ordered_orders": f"""with {ORDERS_MERGED},
         s as (select *, case when o_orderkey % 3 <> 0 then 1 end as seq from new union all
           select * replace (0.5::double as o_totalprice), 2 from new where o_orderkey % 4 = 0),
@@ -380,6 +419,9 @@ ORACLES = {
     "process_mapped_customer": f"""select cast(c_custkey as varchar) as "ID", c_name as "NAME",
         case when c_mktsegment is null or c_nationkey is null then cast(c_custkey as varchar) else
           min(cast(c_custkey as varchar)) over (partition by c_mktsegment, c_nationkey) end as "MATCH_ID" from customer""",
+    "process_mapped_files": f"""select cast(c_custkey as varchar) as "ID", c_name as "NAME",
+        case when c_mktsegment is null or c_nationkey is null then cast(c_custkey as varchar) else
+          min(cast(c_custkey as varchar)) over (partition by c_mktsegment, c_nationkey) end as "MATCH_ID" from customer""",
     "process_provider_person": f"""with {NORMAL}, ref as (select email as e, min('P-' || postal_code) as pid
           from pn where source = 'crm' and email is not null group by 1),
         m as (select pn.id, ref.pid from pn left join ref on ref.e = pn.email)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions import normalize as n
 from kinweave.functions import values as v
-from kinweave.operators import golden, groups, mapping, metrics, model, provider, quality
+from kinweave.operators import agreement, golden, groups, mapping, metrics, model, provider, quality
 from kinweave.operators.components import components
 from kinweave.operators.exact import dedup_within, element_links, exact_links, text_digest
 from kinweave.operators.topk import top_matches
@@ -22,7 +22,7 @@ from kinweave.sinks.tables import append_rows, create_target, insert_rows, overw
 from kinweave.sinks.writers import write_results
 from kinweave.sources.batches import read_latest
 from kinweave.sources.readers import (
-    read_csv_load, read_entities, read_json_array, read_json_lines, read_json_load, read_json_strict,
+    LOAD_DIALECT, read_csv_load, read_entities, read_json_array, read_json_lines, read_json_load, read_json_strict,
 )
 from kinweave.sources.tables import read_table, register_table, sql_source, union_sources
 from kinweave.streaming.arrivals import arrival_job
@@ -328,6 +328,28 @@ def model_links_person(spark, sf_dir):
     return model.model_links(model.pair_features(pairs, people, "id", ML_FIELDS), MATCHER, 0.6)
 
 
+EM_LEAST = {"last_name": 0.85, "address": 0.8, "email": 0.99, "phone": 0.99}
+EM_ROUNDS = 6
+
+
+def _agreement(spark, sf_dir):
+    """Features of loosely similar pairs, and the model that expectation maximisation learns from them without labels."""
+    people = cut(normalized_person(spark, sf_dir))
+    pairs = cut(rule_pairs(people, "id", Rule("loose", (Exact("postal_code"), Fuzzy("first_name", 0.6)))))
+    features = cut(model.pair_features(pairs, people, "id", list(EM_LEAST)))
+    return features, agreement.fit_agreement(agreement.agreement_patterns(features, EM_LEAST), EM_LEAST, EM_ROUNDS)
+
+
+def em_weights_person(spark, sf_dir):
+    _, fitted = _agreement(spark, sf_dir)
+    rows = [(f, round(m, 6), round(u, 6), round(fitted.share, 6)) for f, m, u in zip(fitted.fields, fitted.m, fitted.u)]
+    return spark.createDataFrame(rows, "field string, m double, u double, share double")
+
+
+def em_links_person(spark, sf_dir):
+    return model.model_links(*_agreement(spark, sf_dir), 0.9)
+
+
 def golden_person(spark, sf_dir):
     fields = ["first_name", "last_name", "email", "phone", "address", "postal_code"]
     return golden.golden_records(_person_with_group(spark, sf_dir), fields, ["web", "crm"])
@@ -502,6 +524,18 @@ def json_array_customer(spark, sf_dir):
     return _through_arrays(spark, files, "id long, name string, balance double")
 
 
+def load_multiline_csv(spark, sf_dir):
+    """Whole documents as quoted CSV fields, line breaks and all."""
+    path = scratch_path(spark, "multiline")
+    text = F.regexp_replace("text", "\r\n?", "\n")
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
+    rows.write.options(
+        **LOAD_DIALECT, header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    good, rejects = read_csv_load(spark, path, "doc_id long, text string, lang string", "continue")
+    good = good.select("doc_id", F.md5("text").alias("digest"), F.length("text").cast("long").alias("n_chars"), "lang")
+    return good.withColumn("rejects", F.lit(rejects.count()).cast("long"))
+
+
 def load_typed_csv(spark, sf_dir):
     """NULL tokens in columns of several types, quotes within quotes, and values of the wrong type."""
     path = scratch_path(spark, "typed")
@@ -688,16 +722,29 @@ def process_load_person(spark, sf_dir):
     return out.withColumn("loaded", F.lit(done.loaded.loaded).cast("long"))
 
 
+MAPPED_ATTRIBUTES = [
+    Attribute("id", required=True), Attribute("name", "NAME", "FULL_NAME"),
+    Attribute("segment", match_key=True, group="place"), Attribute("nation", match_key=True, group="place"),
+]
+MAPPED_FIELDS = {"id": "c_custkey", "name": "c_name", "segment": "c_mktsegment", "nation": "c_nationkey"}
+
+
 def process_mapped_customer(spark, sf_dir):
     """Source columns under other names than the attributes; customers of a segment and nation match."""
     base = scratch_path(spark, "mapped")
-    fields = [
-        Attribute("id", required=True), Attribute("name", "NAME", "FULL_NAME"),
-        Attribute("segment", match_key=True, group="place"), Attribute("nation", match_key=True, group="place"),
-    ]
-    names = {"id": "c_custkey", "name": "c_name", "segment": "c_mktsegment", "nation": "c_nationkey"}
     target = KeyedTable(spark, f"{base}/target", "ID")
-    run_pipeline(spark, base, fields, target, None, AS_OF, source=table(spark, sf_dir, "customer"), source_fields=names)
+    run_pipeline(
+        spark, base, MAPPED_ATTRIBUTES, target, None, AS_OF, source=table(spark, sf_dir, "customer"), source_fields=MAPPED_FIELDS)
+    return target.read().select("ID", "NAME", "MATCH_ID")
+
+
+def process_mapped_files(spark, sf_dir):
+    """The same over files whose columns have other names than the attributes."""
+    base = scratch_path(spark, "mapped-files")
+    table(spark, sf_dir, "customer").select(*MAPPED_FIELDS.values()).write.json(f"{base}/input")
+    target = KeyedTable(spark, f"{base}/target", "ID")
+    name = "kinweave_" + base.rsplit("-", 1)[1]
+    run_pipeline(spark, f"{base}/input", MAPPED_ATTRIBUTES, target, None, AS_OF, "json", name, source_fields=MAPPED_FIELDS)
     return target.read().select("ID", "NAME", "MATCH_ID")
 
 
