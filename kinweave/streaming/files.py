@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,34 @@ def on_arrival(
 
 
 def append_changes(table: KeyedTable, old: int, new: int, feed: str, batch_id: int) -> None:
-    """Add the changes between two versions to the feed, as its part `batch_id`; a
-    repeated batch replaces its own part."""
-    table.changes(old, new).write.mode("overwrite").parquet(f"{feed.rstrip('/')}/batch_id={batch_id}")
+    """Add the changes between two versions to the feed, as its part `batch_id`.
+
+    A part comes to stand by one rename and is never written again: a repeated batch makes the same changes, and
+    whoever follows the feed must not meet them twice.
+    """
+    feed = feed.rstrip("/")
+    context = table.spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(f"{feed}/batch_id={batch_id}")
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if files.exists(place):
+        return
+    draft = f"{feed}/.draft-{uuid.uuid4().hex}"
+    table.changes(old, new).write.parquet(draft)
+    if not files.rename(context._jvm.org.apache.hadoop.fs.Path(draft), place):
+        raise RuntimeError(f"part {batch_id} of {feed} could not be put in place")
 
 
 def read_changes(spark: SparkSession, feed: str) -> DataFrame:
     return spark.read.parquet(feed).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def follow_changes(spark: SparkSession, feed: str, schema: T.StructType, parts_per_batch: int | None = None) -> DataFrame:
+    """The feed as a stream: `action`, the columns of the table (`schema`), and `batch_id`.  A consumer's checkpoint
+    remembers which parts it has taken, so each change reaches it once, restarts included.  The feed may still be empty."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(feed)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    fields = [T.StructField("action", T.StringType()), *schema.fields, T.StructField("batch_id", T.LongType())]
+    reader = spark.readStream.schema(T.StructType(fields))
+    if parts_per_batch:
+        reader = reader.option("maxFilesPerTrigger", parts_per_batch)
+    return reader.parquet(feed)

@@ -8,7 +8,7 @@ from kinweave.plans.rules import Exact, Rule, all_links
 from kinweave.session import cut
 from kinweave.sinks.merge import KeyedTable
 from kinweave.streaming.arrivals import arrival_job
-from kinweave.streaming.files import on_arrival, stream_files
+from kinweave.streaming.files import append_changes, follow_changes, on_arrival, read_changes, stream_files
 from kinweave.streaming.incremental import match_batch
 from kinweave.streaming.index import SignatureIndex, signatures
 from workload.person import CORRECTED_SQL, RULES, normalized_person
@@ -166,3 +166,26 @@ def test_parts_of_the_index_are_put_together(spark, tmp_path, monkeypatch):
     assert {r.id for r in found.collect()} == {"b", "d"}
     assert [r.id for r in index.near(batch, 1).collect()] == ["a"]
     assert index.prune(1) == [1, 2, 3] and {r.id for r in index.find(signatures(batch, "id", index.rules, sought=True)).collect()} == {"b", "d"}
+
+
+def test_a_follower_meets_each_change_once(spark, tmp_path):
+    table, feed, log = KeyedTable(spark, str(tmp_path / "t"), "id", 4), str(tmp_path / "feed"), str(tmp_path / "log")
+    stamp = "2024-01-01 00:00:00"
+    table.write(spark.sql(f"select 1L as id, 'a' as v, timestamp_ntz'{stamp}' as LAST_UPDATED"))
+    seen = []
+
+    def follow():
+        def take(rows, n):
+            seen.extend((r.batch_id, r.action, r.id, r.v) for r in rows.collect())
+
+        stream = follow_changes(spark, feed, table.read().schema, parts_per_batch=1)
+        on_arrival(stream, log, take).awaitTermination()
+
+    for n, rows in enumerate(["(1L, 'b'), (2L, 'c')", "(2L, 'd')", "(2L, 'd')"]):
+        table.merge(spark.sql(f"select * from values {rows} t(id, v)"), stamp, version=n + 2)
+        for _ in range(2):  # a repeated batch
+            append_changes(table, n + 1, n + 2, feed, n)
+        follow()
+        follow()
+    assert sorted(seen) == [(0, "INSERT", 2, "c"), (0, "UPDATE", 1, "b"), (1, "UPDATE", 2, "d")]
+    assert read_changes(spark, feed).count() == 3

@@ -428,3 +428,4 @@ ORACLES = {
         select id as "ID", case when pid is null then id else min(id) over (partition by pid) end as "MATCH_ID",
           (select count(*) from m) as loaded from m""",
 }
+ORACLES["stream_feed_orders"] = ORACLES["change_feed_orders"]

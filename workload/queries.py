@@ -26,7 +26,7 @@ from kinweave.sources.readers import (
 )
 from kinweave.sources.tables import read_table, register_table, sql_source, union_sources
 from kinweave.streaming.arrivals import arrival_job
-from kinweave.streaming.files import on_arrival, read_changes, stream_files
+from kinweave.streaming.files import append_changes, follow_changes, on_arrival, read_changes, stream_files
 from kinweave.streaming.metrics import live_alarms, live_rollup, write_metrics
 from workload.person import ATTRIBUTES, CORRECTED_SQL, NAME_ADDRESS, PERSON_SQL, RULES, normalized_person, person
 
@@ -428,6 +428,19 @@ def change_feed_orders(spark, sf_dir):
     return target.changes(1, 2).drop("LAST_UPDATED")
 
 
+def stream_feed_orders(spark, sf_dir):
+    """Three merges, and a consumer that follows their changes, started anew after each."""
+    target, feed = KeyedTable(spark, scratch_path(spark, "orders"), "o_orderkey"), scratch_path(spark, "orders-feed")
+    target.write(_orders(spark, sf_dir))
+    changes, log, taken = cut(_order_changes(spark, sf_dir)), scratch_path(spark, "feed-log"), scratch_path(spark, "taken")
+    stream = follow_changes(spark, feed, target.read().schema)
+    for part in range(3):
+        target.merge(changes.where(F.col("o_orderkey") % 3 == part), AS_OF)
+        append_changes(target, part + 1, part + 2, feed, part)
+        on_arrival(stream, log, lambda rows, n: rows.write.mode("overwrite").parquet(f"{taken}/n={n}")).awaitTermination()
+    return spark.read.parquet(taken).drop("LAST_UPDATED", "batch_id", "n")
+
+
 def _orders_target(spark, sf_dir, label):
     path = scratch_path(spark, label)
     name = "kinweave_" + path.rsplit("-", 1)[1]
