@@ -65,7 +65,7 @@ def _keyed(docs: DataFrame, key: str, text: str, source: str, seed: int) -> list
     return [
         F.col(source).alias("m_source"), size.alias("m_size"),
         draw(F.col(key), quality_weight(F.col(text)), seed).alias("m_draw"),
-        F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("m_id"),
+        F.coalesce(F.col(key).try_cast("long"), F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("string"))), F.lit(LAST_ID)).alias("m_id"),
     ]
 
 
@@ -113,11 +113,14 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     `times` is how often the document stands in the mix: its source's complete epochs, and
     once more if the weighted sample reaches it.  The document on which the budget ends is
     taken when that comes nearer to the target.  Defined cases: NULL text has size 0; NULL is
-    a source of its own, the last; a NULL key draws from the word null; rows with the
+    a source of its own, the last; a NULL key draws from the word null; a key need not be a number; rows with the
     same key and draw are taken together; a source without words has target 0; an empty
     table gives no rows; clashing column names are kept, as the result is one struct.
     """
     planned = plan(docs, key, text, source, seed)
+    name, taken = "mix", {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
     columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
     rows = docs.select(*columns, *_keyed(docs, key, text, source, seed))
     rows = rows.join(planned.withColumnRenamed("m_source", "p_source"), F.col("m_source").eqNullSafe(F.col("p_source")))
@@ -126,5 +129,5 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     return rows.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)],
         F.struct(F.col("m_size").alias("size"), "source_size", "target", times.alias("times")).alias(
-            "mix" if "mix" not in docs.columns else "_mix"),
+            name),
     )

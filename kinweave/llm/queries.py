@@ -50,11 +50,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = archive_folder(spark)
     write_warc(archive_records(read(spark, sf_dir, "pages")), folder)
-    back = read_warc(spark, folder)
-    stored = F.col("record_type") == "response"
+    responses = read_warc(spark, folder).where("record_type = 'response'")
+    revisits = read_warc(spark, folder, payload=False).where("record_type = 'revisit'")
+    back = responses.withColumn("bytes", F.length("payload")).unionByName(revisits.withColumn("bytes", F.col("payload_length")))
     return back.select(
-        key_of(F.col("record_id")).alias("page_id"),
-        F.when(stored, F.length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        key_of(F.col("record_id")).alias("page_id"), F.col("bytes").cast("long").alias("payload_bytes"),
         "payload_digest", "record_type", key_of(F.col("refers_to")).alias("refers_to"),
     )
 

@@ -33,6 +33,7 @@ SCHEMA = "record_type string, record_id string, target_uri string, refers_to str
          "payload_length long, headers map<string,string>, payload binary"
 FILTERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI",
            "refers_to": "WARC-Refers-To", "payload_digest": "WARC-Payload-Digest"}
+KNOWN = {name.lower(): name for name in (*FILTERS.values(), "WARC-Payload-Length", "Content-Length")}
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -60,7 +61,7 @@ class WarcWriter(DataSourceWriter):
     """Rows (record_type, record_id, target_uri, refers_to, payload_digest, payload_length, payload)."""
 
     def __init__(self, path: str, most: int, overwrite: bool):
-        self.path, self.most = path, most
+        self.path, self.most, self.overwrite = path, most, overwrite
 
     def write(self, iterator) -> _Done:
         store, root = fs.FileSystem.from_uri(self.path)
@@ -89,8 +90,13 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages) -> None:
         store, root = fs.FileSystem.from_uri(self.path)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{MANIFEST}") as out:
+        before = _manifests(store, root)
+        with store.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}") as out:
             out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+        for manifest, files in before.items() if self.overwrite else ():
+            store.delete_file(manifest)
+            for f in files:
+                store.delete_file(f"{root}/{f}")
 
     def abort(self, messages) -> None:
         store, root = fs.FileSystem.from_uri(self.path)
@@ -99,6 +105,17 @@ class WarcWriter(DataSourceWriter):
                 store.delete_file(f"{root}/{f}")
 
 
+def _manifests(store, root: str) -> dict[str, list[str]]:
+    """The manifests of a folder, one per committed write, and the files that each names."""
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    out = {}
+    for info in found:
+        if info.type == fs.FileType.File and info.base_name.startswith(MANIFEST):
+            with store.open_input_stream(info.path) as file:
+                out[info.path] = json.loads(file.read())
+    return out
+
+
 class Range(InputPartition):
     def __init__(self, file: str, start: int, stop: int):
         super().__init__((file, start, stop))
@@ -146,12 +163,19 @@ class _Inflated:
         return self.place
 
 
+def _length(text: str | None) -> int | None:
+    """A stated length; None where it is no number."""
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
 def _headers(text: bytes) -> dict[str, str]:
+    """Headers by name; names that the reader knows are told apart from others without regard to case."""
     out: dict[str, str] = {}
     for line in text.decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
         if colon:
-            out[name.strip()] = value.strip()
+            name = name.strip()
+            out[KNOWN.get(name.lower(), name)] = value.strip()
     return out
 
 
@@ -180,11 +204,8 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         store, root = fs.FileSystem.from_uri(self.path)
-        manifest = store.get_file_info(f"{root}/{MANIFEST}")
-        if manifest.type == fs.FileType.File:
-            with store.open_input_stream(manifest.path) as file:
-                names = [f"{root}/{name}" for name in json.loads(file.read())]
-            found = store.get_file_info(names)
+        if manifests := _manifests(store, root):
+            found = store.get_file_info([f"{root}/{name}" for names in manifests.values() for name in names])
         else:
             every = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
             found = [i for i in every if i.type == fs.FileType.File and i.base_name.endswith((".warc", ".warc.gz"))]
@@ -208,7 +229,7 @@ class WarcReader(DataSourceReader):
         digest = headers.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
         length = headers.get("WARC-Payload-Length")
         return (headers.get("WARC-Type"), headers.get("WARC-Record-ID"), headers.get("WARC-Target-URI"),
-                headers.get("WARC-Refers-To"), digest, int(length) if length else None, headers,
+                headers.get("WARC-Refers-To"), digest, _length(length), headers,
                 block() if self.payload else None)
 
     def _members(self, file, part: Range) -> Iterator[tuple]:
@@ -220,7 +241,10 @@ class WarcReader(DataSourceReader):
                 at = self._sync(file, Range(part.file, at + 1, part.stop))  # damaged: go on at the next record
                 continue
             headers, begin = _headers(one.data[:split]), split + 4
-            size = int(headers.get("Content-Length", 0))
+            size = _length(headers.get("Content-Length", "0"))
+            if size is None:
+                at = self._sync(file, Range(part.file, at + 1, part.stop))
+                continue
             row = self._row(headers, lambda: one.upto(begin + size)[begin:])
             if row is not None:
                 yield row
@@ -258,7 +282,10 @@ class WarcReader(DataSourceReader):
             if split < 0:
                 return
             headers, begin = _headers(data[:split]), at + split + 4
-            length = int(headers.get("Content-Length", 0))
+            length = _length(headers.get("Content-Length", "0"))
+            if length is None:
+                at = self._sync_plain(file, Range(part.file, begin, part.stop))
+                continue
 
             def block() -> bytes:
                 file.seek(begin)
@@ -309,9 +336,10 @@ def _uri(path: str) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Add the records to the archives of a folder, or put them in their place."""
     register(records.sparkSession)
-    records.write.format("kinweave_warc").option("path", _uri(path)).mode("append").save()
+    records.write.format("kinweave_warc").option("path", _uri(path)).mode("overwrite" if overwrite else "append").save()
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True, **options) -> DataFrame:
