@@ -36,10 +36,12 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it.  The mix's answer is its last column, whatever columns the documents have."""
     tune(spark)
-    taken = mix(docs).where("mix.times > 0")
-    return taken.withColumn("mix", F.explode(F.sequence(F.lit(1), F.col("mix.times")))).select(*docs.columns)
+    mixed = mix(docs)
+    answer = mixed.columns[-1]
+    times = F.col(answer)["times"]
+    return mixed.where(times > 0).withColumn(answer, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
