@@ -5,16 +5,19 @@ strings have equal anchors at equal places, so only suffixes that start at an an
 sorting, and the text that an anchor's strings span (its segment) holds all there is to
 compare.  Two steps find the repeats.
 
-1. Segments are brought together by the hash of their anchor.  Whole segments that are equal
-   are repeats already, all but the first going.  Anchors with different segments are noted
-   in a bitmap of fixed size.
-2. Only segments of noted anchors are read again, with their text.  For each anchor the
-   suffixes are sorted, neighbouring common prefixes give the interval tree by a stack
-   scan, and within an interval the texts to the left are scanned the same way: where they
-   part, the repeat cannot be extended, and all its occurrences are a group.
-
-An anchor with very many different segments is not gathered at all: its strings go by their
-own hash, and the first of each is kept.
+1. Segments are brought together by the hash of their anchor.  Segments that are equal are a
+   class, told by two 64-bit hashes, and all but its first go.  Anchors with different
+   segments are noted in a bitmap of fixed size.
+2. Only segments of noted anchors are read again, one of each class, with their text.  For each
+   anchor the suffixes are sorted, neighbouring common prefixes give the interval tree by a
+   stack scan, and within an interval the texts to the left are scanned the same way: where
+   they part, the repeat cannot be extended, and the classes there are a group.
+
+What goes follows from classes and their groups.  `repeat_groups` joins the members of the
+classes to them, so that a group lists every occurrence, copies included.
+
+An anchor with very many different segments is not gathered: each of its strings of `least`
+bytes is a class of its own, told by the hashes of string and anchor.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.bitmaps import bitmap, is_set
+from kinweave.llm.bitmaps import bitmap, is_set, may_hold
 from kinweave.llm.common import ship
 from kinweave.llm.textvec import Spans, mix, slices, texts
 from kinweave.session import cut
@@ -47,6 +50,8 @@ class Segments:
         empty = np.zeros(0, np.int64)
         self.lo = self.hi = self.anchor = self.row = empty
         self.h = self.c = np.zeros(0, np.uint64)
+        if least < GRAM:
+            raise ValueError(f"repeats have {GRAM} bytes at least, not {least}")
         starts = len(data) - least + 1
         if starts <= 0:
             return
@@ -69,7 +74,7 @@ class Segments:
         self.lo, self.hi = np.flatnonzero(new), np.flatnonzero(end)
         self.anchor = anchor[self.lo]
         self.h = hashes[self.anchor]
-        span = ((self.anchor - self.lo) * 128 + self.hi - self.lo).astype(np.uint64)
+        span = _pack(self.anchor - self.lo, self.hi - self.lo, least).astype(np.uint64)
         self.c = self.spans.hash(self.lo, self.hi + least) ^ mix(span)
         self.row = np.searchsorted(offsets, self.lo, "right") - 1
 
@@ -112,8 +117,9 @@ def merged_by(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[n
     return owners[code], first - code * stride, last - code * stride
 
 
-def _pack(lo: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return lo * 128 + length
+def _pack(lo: np.ndarray, length: np.ndarray, least: int) -> np.ndarray:
+    """Place and number of strings of a segment in one: an anchor has fewer than `least` strings."""
+    return lo * least + length
 
 
 def _survey(docs: DataFrame, least: int, share: int) -> DataFrame:
@@ -128,8 +134,8 @@ def _survey(docs: DataFrame, least: int, share: int) -> DataFrame:
             h, c, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
             first = _firsts(h, c, doc, at)
             rows = np.flatnonzero(first)
-            start = at[~first] // 128
-            owner, start, stop = merged_by(doc[~first], start, start + at[~first] % 128 + least)
+            start = at[~first] // least
+            owner, start, stop = merged_by(doc[~first], start, start + at[~first] % least + least)
             value, code, count = np.unique(h[rows], return_inverse=True, return_counts=True)
             crowded = count >= share
             salt = np.where(crowded[code], c[rows] | np.uint64(1), np.uint64(0))
@@ -149,7 +155,7 @@ def _survey(docs: DataFrame, least: int, share: int) -> DataFrame:
                 data, offsets = texts(part.column("text"))
                 s = Segments(data, offsets, least)
                 doc = part.column("doc").to_numpy()
-                held.append((s.h, s.c, doc[s.row], _pack(s.lo - offsets[s.row], s.hi - s.lo)))
+                held.append((s.h, s.c, doc[s.row], _pack(s.lo - offsets[s.row], s.hi - s.lo, least)))
                 size += len(data)
                 if size >= BUFFER:
                     yield flush()
@@ -175,7 +181,7 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
             h, salt, c, doc, at, kind = (batch.column(i).to_numpy() for i in range(6))
             known = kind == COVERED
             own = np.flatnonzero(~known)
-            start, stop = np.where(known, at, at // 128), np.where(known, c, at // 128 + at % 128 + least)
+            start, stop = np.where(known, at, at // least), np.where(known, c, at // least + at % least + least)
             h, salt, c, mark = h[own], salt[own], c[own], kind[own] == MARK
             newgroup, newclass = np.ones(len(own), bool), np.ones(len(own), bool)
             newgroup[1:] = (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])
@@ -220,9 +226,16 @@ def _gathered(survey: DataFrame, least: int, group: int) -> DataFrame:
     return rows.mapInArrow(gather, "doc long, start long, stop long, h long, big boolean")
 
 
+def _strings(s: Segments, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, segment) of every string of `least` bytes in the segments `rows`."""
+    count = s.hi[rows] - s.lo[rows] + 1
+    at = np.repeat(s.lo[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    return at, np.repeat(rows, count)
+
+
 def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -> DataFrame:
     """(key, c, doc, at, left, text): segments of noted anchors; strings of the big ones, by their
-    own hash, without `left`; and spans from `at` to `c` known to be repeated, with `left` -1."""
+    own hash and that of the anchor, without `left`; and spans from `at` to `c` known to be repeated, with `left` -1."""
     sent = docs.sparkSession.sparkContext.broadcast((noted, big))  # two bitmaps of one size
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,14 +245,14 @@ def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -
 
         def flush() -> pa.RecordBatch:
             """Strings of big anchors: the first of each in this share, and spans of the others."""
-            own, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
-            first = _firsts(own, own, doc, at)
+            own, h, doc, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            first = _firsts(own, h, doc, at)
             owner, start, stop = merged_by(doc[~first], at[~first], at[~first] + least)
             rows = np.flatnonzero(first)
             n, m = len(rows), len(owner)
             return pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([own[rows], mix(owner.astype(np.uint64))]).view(np.int64)),
-                pa.array(np.concatenate([own[rows].view(np.int64), stop])), pa.array(np.concatenate([doc[rows], owner])),
+                pa.array(np.concatenate([h[rows].view(np.int64), stop])), pa.array(np.concatenate([doc[rows], owner])),
                 pa.array(np.concatenate([at[rows], start])), pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(np.full(m, -1, np.int32))]),
                 pa.nulls(n + m, pa.binary()),
             ], names=names)
@@ -262,10 +275,9 @@ def _suffixes(docs: DataFrame, noted: np.ndarray, big: np.ndarray, least: int) -
                 ], names=names)
                 rows = np.flatnonzero(crowd)
                 if len(rows):
-                    count = s.hi[rows] - s.lo[rows] + 1
-                    at = np.repeat(s.lo[rows] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                    row = np.repeat(s.row[rows], count)
-                    held.append((s.spans.hash(at, at + least), doc[row], at - offsets[row]))
+                    at, owner = _strings(s, rows)
+                    row = s.row[owner]
+                    held.append((s.spans.hash(at, at + least), s.h[owner], doc[row], at - offsets[row]))
                 size += len(data)
                 if held and size >= BUFFER:
                     yield flush()
@@ -333,10 +345,17 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], least: int) -> Iter
 
 
 def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
-    """(group_id, doc, start, stop, first): the occurrences of every maximal repeat around an anchor."""
+    """(h, part, c, doc, at, start, stop, whole, first): what classes of segments have in common.
+
+    `part` numbers the maximal repeats around an anchor `h`; a row says where the first member
+    of class `c`, a segment that starts at `at` of `doc`, has the repeat, and whether that
+    is the whole segment.  Rows without `part` are repeated strings of crowded anchors and spans known before.
+    """
+    names = ("h", "part", "c", "doc", "at", "start", "stop", "whole", "first")
+    kinds = (*[pa.int64()] * 7, *[pa.bool_()] * 2)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, members = None, []  # (doc, at, left, text) of different segments of one anchor
+        key, members = None, []  # (doc, at, left, text, class) of different segments of one anchor
         last = None  # hash of the segment or string before
         out: list[tuple] = []
 
@@ -346,14 +365,14 @@ def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
             for number, (left, right, group) in enumerate(maximal_repeats(lefts, rights, least)):
                 one = min(group)
                 for k in group:
-                    doc, at, before, _ = members[k]
-                    out.append(((key + number * 0x9E3779B9) & 0x7FFFFFFFFFFFFFFF, doc, at + before - left, at + before + right, k == one))
+                    doc, at, before, text, c = members[k]
+                    whole = (left, right) == (before, len(text) - before)
+                    out.append((key, number, c, doc, at, at + before - left, at + before + right, whole, k == one))
 
         def drain() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
             out.clear()
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["group_id", "doc", "start", "stop", "first"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
             for k, c, doc, at, left, text in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
@@ -362,12 +381,12 @@ def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
                         settle()
                     key, members, last = k, [], None
                 if left == -1:
-                    out.append((None, doc, at, c, False))
+                    out.append((None, None, None, doc, None, at, c, None, False))
                 elif left is None:
-                    out.append((c & 0x7FFFFFFFFFFFFFFF, doc, at, at + least, last != (c, None)))
+                    out.append((None, None, None, doc, None, at, at + least, None, last != (c, None)))
                     last = (c, None)
                 elif last != (c, left):  # only the first of equal segments
-                    members.append((doc, at, left, text))
+                    members.append((doc, at, left, text, c))
                     last = (c, left)
             yield drain()
         if len(members) > 1:
@@ -375,7 +394,30 @@ def _repeats(suffixes: DataFrame, least: int) -> DataFrame:
         yield drain()
 
     rows = suffixes.repartition("key").sortWithinPartitions("key", F.col("left").isNull(), "c", "doc", "at")
-    return rows.mapInArrow(search, "group_id long, doc long, start long, stop long, first boolean")
+    return rows.mapInArrow(search, "h long, part long, c long, doc long, at long, start long, stop long, whole boolean, first boolean")
+
+
+def _members(docs: DataFrame, big: np.ndarray, least: int) -> DataFrame:
+    """(h, c, m_doc, m_at, m_stop): every segment with its class; of crowded anchors, every string."""
+    sent = docs.sparkSession.sparkContext.broadcast(big)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 19):
+                data, offsets = texts(part.column("text"))
+                s = Segments(data, offsets, least)
+                doc = part.column("doc").to_numpy()
+                crowd = is_set(sent.value, s.h)
+                rows = np.flatnonzero(~crowd)
+                base = offsets[s.row[rows]]
+                yield _batch({"h": s.h[rows], "c": s.c[rows], "m_doc": doc[s.row[rows]], "m_at": s.lo[rows] - base, "m_stop": s.hi[rows] + least - base})
+                if crowd.any():
+                    at, owner = _strings(s, np.flatnonzero(crowd))
+                    row = s.row[owner]
+                    start = at - offsets[row]
+                    yield _batch({"h": s.spans.hash(at, at + least), "c": s.h[owner], "m_doc": doc[row], "m_at": start, "m_stop": start + least})
+
+    return docs.mapInArrow(emit, "h long, c long, m_doc long, m_at long, m_stop long")
 
 
 def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -397,21 +439,45 @@ def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
     return cut(rows.join(known, same).select("key", "text", "doc"), "numbered")
 
 
-def repeat_groups(docs: DataFrame, least: int = LEAST, group: int | None = None, share: int | None = None) -> DataFrame:
-    """(group_id, doc, start, stop, first) from (doc, text): all that is repeated, in bytes.
+def _search(docs: DataFrame, least: int, group: int | None, share: int | None) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(spans of segments equal to an earlier one, what classes have in common, bitmap of crowded anchors)."""
+    gathered = cut(_gathered(_survey(docs, least, share or SHARE), least, group or GROUP), "gathered")
+    noted, big = bitmap(gathered.where("h is not null")), bitmap(gathered.where("big"))
+    return gathered.where("h is null").select("doc", "start", "stop"), cut(_repeats(_suffixes(docs, noted, big, least), least), "repeats"), big
+
 
-    Rows without group_id are whole segments, or strings of crowded anchors, that are equal to an
-    earlier one: they go by hash and are in no group, and the earliest of them is not listed.  So
-    a group lists, of a repeat that cannot be extended within the reach of its anchor, one
-    occurrence of each of its different segments, not all; `first` marks the earliest.  Runs jobs that cut their results into tables.
+def repeat_groups(docs: DataFrame, least: int = LEAST, group: int | None = None, share: int | None = None) -> DataFrame:
+    """(anchor, part, doc, start, stop, first) from (doc, text): all that is repeated, in bytes.
+
+    (anchor, part) names a group: one string of `least` bytes or more, and all its occurrences, in
+    equal segments and copies too; `first` marks the earliest.  Within the reach of its
+    anchor, of 2 * `least` - 32 bytes at most, no group can be extended; a longer repeat is several
+    groups, which overlap.  Groups of a crowded anchor are single strings of `least` bytes, which may be extendable.
+    Every string of `least` bytes that occurs twice lies in a group that occurs as often.
+    `doc` is a long, one row each.  NULL and short texts have no group.  Runs jobs that cut their results into tables.
     """
     ship(docs.sparkSession)
     docs = docs.select("doc", "text")
-    gathered = cut(_gathered(_survey(docs, least, share or SHARE), least, group or GROUP), "gathered")
-    noted, big = bitmap(gathered.where("h is not null")), bitmap(gathered.where("big"))
-    repeats = cut(_repeats(_suffixes(docs, noted, big, least), least), "repeats")
-    whole = gathered.where("h is null").select(F.lit(None).cast("long").alias("group_id"), "doc", "start", "stop", F.lit(False).alias("first"))
-    return whole.unionByName(repeats)
+    _, repeats, big = _search(docs, least, group, share)
+    shared = repeats.where("part is not null")
+    members = _members(docs, big, least)
+    earliest = F.min(F.struct("m_doc", "m_at")).alias("one")
+    classes = cut(members.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), earliest).where("n > 1"), "classes")
+    name = F.xxhash64("h", "c")
+    wanted = bitmap(shared.select(name.alias("h")).unionByName(classes.select(name.alias("h"))))
+    members = cut(members.where(may_hold(docs.sparkSession, wanted, name)), "members")
+    shift = F.col("m_at") + F.col("start") - F.col("at")
+    several = shared.join(members, ["h", "c"]).select(
+        F.col("h").alias("anchor"), "part", F.col("m_doc").alias("doc"), shift.alias("start"), (shift + F.col("stop") - F.col("start")).alias("stop"),
+        (F.col("first") & (F.col("m_doc") == F.col("doc")) & (F.col("m_at") == F.col("at"))).alias("first"),
+    )
+    # A class is a group of its own unless what it has in common with others is the whole of it.
+    alone = cut(classes.join(shared.where("whole").select("h", "c"), ["h", "c"], "left_anti"), "alone")
+    single = alone.join(members, ["h", "c"]).select(
+        F.col("h").alias("anchor"), F.col("c").alias("part"), F.col("m_doc").alias("doc"), F.col("m_at").alias("start"), F.col("m_stop").alias("stop"),
+        (F.struct("m_doc", "m_at") == F.col("one")).alias("first"),
+    )
+    return several.unionByName(single)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
@@ -426,7 +492,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     """
     ship(docs.sparkSession)
     rows = _numbered(docs, key, text)
-    found = repeat_groups(rows, least, group, share).where("not first")
+    whole, repeats, _ = _search(rows.select("doc", "text"), least, group, share)
+    found = whole.unionByName(repeats.where("not first").select("doc", "start", "stop"))
     spans = found.groupBy("doc").agg(F.collect_list(F.col("start") * (1 << 32) + F.col("stop")).alias("found"))
     kind = docs.schema[key].dataType
 

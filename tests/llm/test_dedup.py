@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,6 +216,76 @@ def test_repeated_strings(documents, alphabet, limits):
     assert removed(suffix_dedup.remove_repeats(documents(rows), **limits)) == repeats(rows)
 
 
+@pytest.mark.parametrize("least", [50, 170, 250, 300])
+def test_repeated_strings_of_other_lengths(documents, least):
+    rows = passages(7, "abc ")
+    rows += [(20_000 + i, "ab" * 40 + rows[k][1] * 2) for i, k in enumerate(range(0, 40, 3))]
+    assert removed(suffix_dedup.remove_repeats(documents(rows), least=least)) == repeats(rows, least)
+
+
+def test_strings_shorter_than_an_anchor_are_refused():
+    with pytest.raises(ValueError):
+        suffix_dedup.Segments(np.zeros(64, np.uint8), np.array([0, 64]), 31)
+
+
+def occurrences(rows, size):
+    """Every place of every string of `size` bytes."""
+    found = collections.defaultdict(set)
+    for i, text in rows:
+        data = (text or "").encode()
+        for k in range(len(data) - size + 1):
+            found[data[k : k + size]].add((i, k))
+    return found
+
+
+@pytest.mark.parametrize("least", [50, 100, 170, 300])
+@pytest.mark.parametrize("limits", [{}, {"group": 2, "share": 3}])
+def test_groups_list_every_occurrence(documents, least, limits):
+    rows = passages(9, "abcdefghij ")
+    rows += [(20_000 + i, rows[i][1]) for i in range(0, 60, 2)] + [(30_000 + i, rows[i][1] + rows[i + 1][1]) for i in range(20)]
+    texts = {i: (t or "").encode() for i, t in rows}
+    table = documents(rows).select(F.col("doc_id").alias("doc"), "text")
+    groups = collections.defaultdict(list)
+    for r in suffix_dedup.repeat_groups(table, least, **limits).collect():
+        groups[r.anchor, r.part].append((r.doc, r.start, r.stop, r.first))
+    by_string = {}
+    sizes = collections.defaultdict(set)
+    for group in groups.values():
+        strings = {texts[d][a:b] for d, a, b, _ in group}
+        assert len(strings) == 1 and len(group) > 1
+        string = strings.pop()
+        places = {(d, a) for d, a, _, _ in group}
+        assert len(places) == len(group) and len(string) >= least
+        assert string not in by_string or limits  # a crowded anchor's strings may come more than once
+        by_string[string] = places
+        assert {(d, a) for d, a, _, first in group if first} == {min(places)}
+        sizes[len(string)].add(string)
+    for size, strings in sizes.items():
+        every = occurrences(rows, size)
+        assert all(every[s] == by_string[s] for s in strings)
+    most = collections.Counter()
+    for string, places in by_string.items():
+        for k in range(len(string) - least + 1):
+            most[string[k : k + least]] = max(most[string[k : k + least]], len(places))
+    repeated = {s: len(p) for s, p in occurrences(rows, least).items() if len(p) > 1}
+    assert repeated and most == repeated
+
+
+def test_groups_of_copies(documents):
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = text(140)
+    two = text(60) + passage + text(60)
+    rows = [(1, passage + text(30)), (2, two), (3, two), (4, text(10) + passage), (5, None), (6, "")]
+    found = suffix_dedup.repeat_groups(documents(rows).select(F.col("doc_id").alias("doc"), "text")).collect()
+    assert {r.doc for r in found} == {1, 2, 3, 4}
+    inside = collections.defaultdict(set)
+    for r in found:
+        inside[r.anchor, r.part].add(r.doc)
+    assert set(map(frozenset, inside.values())) == {frozenset({1, 2, 3, 4}), frozenset({2, 3})}
+    assert suffix_dedup.repeat_groups(documents([]).select(F.col("doc_id").alias("doc"), "text")).count() == 0
+
+
 def test_repeated_strings_of_the_sample(documents, sample):
     rows = [r[:2] for r in sample]
     assert removed(suffix_dedup.remove_repeats(documents(rows))) == repeats(rows)
