@@ -26,25 +26,37 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-# The labelled table: host and path of pages to block and of pages to allow.
-BLOCKED = """
-best-casino.org/slots casino-royal.info/en/bonus online-casino.biz/win casinowin.co/play winbig-casino.org/de/1.html
-free-bets.info/football bets-today.org/odds sportbets.biz/fr/live freebet.co/en/offer bet-and-win.org/12
-cheap-pills.info/order pills-online.org/en/viagra buy-pills.biz/shop cheapmeds.co/pills pharma-pills.org/es/77.html
-adult-videos.org/watch xxx-adult.info/en/3 adultcams.biz/live hot-adult.co/fr/8 adult-x-rated.org/gallery
-spam-links.org/farm linkfarm.info/en/seo spamfarm.biz/1 link-spam.co/de/farm content-farm-spam.org/9
-ads-server.org/track adtracker.info/click track-ads.biz/pixel ads.click.co/en/track banner-ads.org/track/55
-porn-tube.org/video free-porn.info/en/2 lottery-win.biz/claim quick-loans-cash.org/apply payday-loan.info/fr/now
+# The labelled table: names of hosts to block and to allow.  Either kind gets the same prefixes,
+# domains and paths by the same rule, so that only names tell them apart.
+BAD_NAMES = """
+best-casino casino-royal online-casino casinoworld grand-casino-slots slots-jackpot winbig win-jackpot easy-win lucky-spin
+sport-bets bets-today betfair-odds free-bet-tips live-betting bookie-bets free-spins free-cash-now poker-cash lottery-prizes
+cheap-meds buy-pills pills-online cheap-viagra pharma-pills diet-pills cheap-cialis discount-pharmacy generic-meds cheap-replica
+spam-links link-farm spamhaus-mail content-farm spam-blast seo-farm backlink-farm bulk-spam mail-spammer click-farm
+ads-server adtracker track-ads click-track banner-ads popup-ads ads-network pixel-track adserv-click track-pixel
+adult-cams adult-videos xxx-tube hot-adult x-rated porn-tube free-porn sex-chat-x adult-dating-xxx nude-cams
+payday-loans quick-loans fast-cash-loan warez-crack keygen-crack phish-login fake-login-bank malware-drop free-iphone-win hack-tools
 """.split()
-ALLOWED = """
-daily-news.org/en/4033.html blog.travel.info/de/5 www.city-library.org/books m.weather.info/en/today shop.garden.org/fr/812
-university.info/research/paper.html www.museum.org/es/visit blog.cooking.info/recipes/12 forum.science.org/en/t/991 docs.project.org/guide
-www.history.info/de/2136.html health.clinic.org/en/advice m.football-club.info/results www.theatre.org/fr/program music.school.info/lessons
-the-other.example.org/en/242 www.northern.example.org/de/9759 blog.station.example.org/es/4505 m.river.example.org/fr/7146 mountain.example.org/en/1623
-open-data.org/sets/4 www.parliament.info/en/laws train-times.org/plan recipes.kitchen.info/es/88 kids.stories.org/en/read
-www.charity.org/donate blog.photos.info/fr/2 m.maps.org/de/street art.gallery.info/en/items/5 www.wiki.org/en/article
-nature-park.info/visit space.center.org/fr/launch www.village.info/de/66.html poems.reading.org/en/7 code.learn.info/python
+GOOD_NAMES = """
+daily-news city-library weather-today garden-shop university research museum history health-clinic music-school
+train-times recipes kitchen stories charity photos street-maps art-gallery parliament nature-park
+the-other northern station river mountain theatre other-things southern thought thorough
+children-books winter-sports farmers-market race-results adult-education freedom-press advice-line village travel cooking
+football-club open-data science-forum project-docs poems learn-code space-center hospital airport harbour
+nation-building tradition translation motion-pictures bakery orchestra cathedral weaving pottery sailing
+teacher heather-house where-to-go within another-place townhall swimming cycling mathematics philosophy
 """.split()
+PREFIXES = ("", "www.", "m.", "blog.")
+DOMAINS = ("example.org", "example.com", "example.net", "site.info", "pages.org")
+# A URL without host or with a name of a letter or two says nothing, and is allowed.
+GOOD_BARE = [("", ""), ("", "/"), ("a.b", "/"), ("x.org", "/en/1")] * 4
+PATHS = ("/en/4033.html", "/fr/12", "/", "/de/507/", "/es/88.html", "/item/9", "/en/2136/")
+
+
+def labelled(names: Sequence[str], each: int = 4) -> list[tuple[str, str]]:
+    """(host, path) of `each` URLs of every name."""
+    rows = [(name, i * each + k) for i, name in enumerate(names) for k in range(each)]
+    return [(f"{PREFIXES[n % 4]}{name}.{DOMAINS[n % 5]}", PATHS[n % 7]) for name, n in rows]
 
 
 def host_of(url: Column) -> Column:
@@ -86,19 +98,32 @@ def _slots(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (every[kept] % np.uint64(SLOTS)).astype(np.int64), counts
 
 
-def fit(blocked: Sequence[str] = BLOCKED, allowed: Sequence[str] = ALLOWED, rounds: int = 400, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of the slots and, last, the intercept: gradient descent on mean n-gram features."""
+def _features(hosts: pa.Array, paths: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(slots, counts) of the n-grams of hosts, and of paths in slots of their own."""
+    (host, n_host), (path, n_path) = _slots(hosts), _slots(paths)
+    return [(host, n_host), (path + SLOTS, n_path)]
+
+
+def _scale(counts: np.ndarray) -> np.ndarray:
+    return 1 / np.sqrt(np.maximum(counts, 1))
+
+
+def fit(blocked: Sequence[tuple[str, str]] = tuple(labelled(BAD_NAMES)), allowed: Sequence[tuple[str, str]] = (*labelled(GOOD_NAMES), *GOOD_BARE),
+        rounds: int = 400, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of the slots and, last, the intercept: gradient descent on n-gram counts, those of
+    host and path each divided by the root of their number."""
     rows = [*blocked, *allowed]
     wanted = np.array([1.0] * len(blocked) + [0.0] * len(allowed))
-    slots, counts = _slots(pa.array(rows, pa.string()))
-    row = np.repeat(np.arange(len(rows)), counts)
-    scale = 1 / np.sqrt(np.maximum(counts, 1))
-    weights, bias = np.zeros(SLOTS), 0.0
+    parts = _features(pa.array([h for h, _ in rows], pa.string()), pa.array([p for _, p in rows], pa.string()))
+    slots = np.concatenate([s for s, _ in parts])
+    row = np.concatenate([np.repeat(np.arange(len(rows)), n) for _, n in parts])
+    value = np.concatenate([np.repeat(_scale(n), n) for _, n in parts])
+    weights, bias = np.zeros(2 * SLOTS), 0.0
     for _ in range(rounds):
-        score = np.bincount(row, weights[slots], len(rows)) * scale + bias
+        score = np.bincount(row, weights[slots] * value, len(rows)) + bias
         error = (1 / (1 + np.exp(-score)) - wanted) / len(rows)
-        weights -= 20.0 * (np.bincount(slots, (error * scale)[row], SLOTS) + ridge / len(rows) * weights)
-        bias -= 2.0 * error.sum()
+        weights -= 10.0 * (np.bincount(slots, error[row] * value, 2 * SLOTS) + ridge / len(rows) * weights)
+        bias -= 1.0 * error.sum()
     return np.append(weights, bias)
 
 
@@ -106,13 +131,13 @@ def score_urls(host: Column, path: Column, weights: np.ndarray) -> Column:
     """Probability that a URL is to be blocked."""
 
     @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in parts:
-            slots, counts = _slots(pa.array(rows, pa.string()))
-            z = row_sums(weights[slots], counts) / np.sqrt(np.maximum(counts, 1)) + weights[-1]
+    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for hosts, paths in parts:
+            found = _features(pa.array(hosts, pa.string()), pa.array(paths, pa.string()))
+            z = sum(row_sums(weights[slots], counts) * _scale(counts) for slots, counts in found) + weights[-1]
             yield pd.Series(1 / (1 + np.exp(-z)))
 
-    return score(F.concat(host, path))
+    return score(host, path)
 
 
 def judge_urls(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str]] = RULES,
