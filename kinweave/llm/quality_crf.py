@@ -13,14 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import held_out, ship
 from kinweave.llm.textvec import BLANK, LOWER, Spans, slices, texts, words
 
-#: Labelled documents the model is fitted on, at most, and the longest that is learned from, in characters.
-SAMPLE, LEARNED_CHARS = 4000, 100_000
+#: Labelled documents the model is fitted on, at most.
+SAMPLE = 4000
 BINS = 8
 
 UPPER, LOW, DIGIT, HIGH, SYMBOL, STOP, MARK, ELSE = range(8)
@@ -205,14 +205,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Fit on `sample` labelled documents at most, those with the smallest hash of their id.
 
     Measures are taken on the executors; the driver gets numbers of lines and their measures
-    only.  A document labelled more than once counts as good when its labels are on average.
+    only.  A document labelled more than once counts as good when its labels are on average;
+    of rows that share a key, one is learned from, that with the smallest hash of its text.
     """
     ship(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("l_key")).agg((F.avg(label) >= 0.5).alias("good"))
     drawn = known.orderBy(F.xxhash64("l_key"), "l_key").limit(sample)  # so the broadcast has `sample` rows at most
-    rows = docs.select(F.col(key).alias("l_key"), F.col(text).alias("t")).where(F.length("t") <= LEARNED_CHARS)
+    rows = docs.select(F.col(key).alias("l_key"), F.col(text).alias("t")).where("t is not null")
     rows = rows.join(F.broadcast(drawn), "l_key")
+    one = Window.partitionBy("l_key").orderBy("mark")
+    rows = rows.withColumn("mark", F.xxhash64("t")).withColumn("n", F.row_number().over(one)).where("n = 1")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
