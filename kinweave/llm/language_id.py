@@ -12,6 +12,7 @@ Both passes run over the different words of a batch at once, a byte position at
 from __future__ import annotations
 
 import base64
+import collections
 import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,13 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import WORD, held_out, ship
+from kinweave.llm.common import BLANKS, WORD, held_out, ship
 from kinweave.llm.textvec import LOWER, Spans, row_sums, slices, texts, words
 from kinweave.llm.tokens import Known, grown, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Pieces longer than this are left out of the vocabulary.
-LONGEST = 8
 #: Documents of each language the model is fitted on, about.
 SAMPLE = 300
 REMEMBERED = 300_000
@@ -37,10 +36,12 @@ UNDETERMINED = "und"
 
 @functools.cache
 def pieces(path: str) -> list[bytes]:
-    """The pieces of the vocabulary file, lower-cased, of `LONGEST` bytes at most; every byte is one."""
+    """The pieces of the vocabulary file, lower-cased, but those that no word can hold, as they
+    have a blank after their first byte; every byte is one."""
     with open(path, "rb") as file:
         every = {base64.b64decode(line.split()[0]).lower() for line in file}
-    return sorted({p for p in every if len(p) <= LONGEST} | {bytes([b]) for b in range(256)})
+    blank = set(BLANKS.encode())
+    return sorted({p for p in every if blank.isdisjoint(p[1:])} | {bytes([b]) for b in range(256)})
 
 
 class Lookup:
@@ -60,6 +61,7 @@ class Lookup:
                 at = (at + 1) % (1 << self.BITS)
             self.keys[at], self.rows[at] = h, row
         self.none = len(every)
+        self.sizes = np.unique([len(p) for p in every])
         taken = self.rows != self.none
         edges = np.flatnonzero(np.diff(np.concatenate([[0], taken.astype(np.int8), [0]])))
         self.reach = int((edges[1::2] - edges[::2]).max())
@@ -98,43 +100,45 @@ class Lattice:
         """How many words have `place` bytes or more."""
         return int(np.searchsorted(-self.sizes, -place, "right"))
 
-    def at(self, place: int, n: int) -> np.ndarray:
-        """(size, word) -> row of the piece of `size + 1` bytes that ends at `place`."""
+    def at(self, place: int, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, words, rows): which of the first `n` words have a piece of that size that ends at `place`."""
         ends = self.starts[:n] + place
-        sizes = np.arange(1, min(LONGEST, place) + 1)
+        sizes = self.table.sizes[: np.searchsorted(self.table.sizes, place, "right")]
         begins = ends - sizes[:, None]
-        return self.table.find(self.spans.hash(begins, np.broadcast_to(ends, begins.shape)))
+        found = self.table.find(self.spans.hash(begins, np.broadcast_to(ends, begins.shape)))
+        for k in np.flatnonzero((found != self.none).any(axis=1)).tolist():
+            some = np.flatnonzero(found[k] != self.none)
+            yield int(sizes[k]), some, found[k][some]
 
 
 def _forward(lattice: Lattice, chance: np.ndarray, keep: bool = False):
     """(log of each word's probability in each language, in the lattice's order; what `_expected` needs).
 
-    `chance` is (pieces + 1, languages), 0 in its last row.  Values are scaled at each
-    position, so words may have any length.
+    `chance` is (pieces + 1, languages), 0 in its last row.  Values are scaled on the way, so
+    words may have any length; those of as many places are held as the longest piece has bytes.
     """
     count, width = len(lattice.sizes), chance.shape[1]
-    ring = np.zeros((LONGEST + 1, count, width))
-    ring[0] = 1.0
-    logs, steps = np.zeros((count, width)), []
+    past = collections.deque([np.ones((count, width))], maxlen=int(lattice.table.sizes[-1]))
+    logs, steps = np.zeros((count, width)), [(np.ones(count), np.zeros(count))]
     out = np.zeros((count, width))
     for place in range(1, int(lattice.sizes.max(initial=0)) + 1):
         n = lattice.active(place)
-        rows = lattice.at(place, n)
         now = np.zeros((n, width))
-        for k, found in enumerate(rows):
-            now += ring[(place - 1 - k) % (LONGEST + 1), :n] * chance[found]
+        for size, some, rows in lattice.at(place, n):
+            now[some] += past[-size][some] * chance[rows]
         # Each language by itself is brought back to a common scale before it gets too small.
         if place % 16 == 0 or (now < 1e-30).any():
             scale = np.where(now > 0, now, 1.0)
-            ring[:, :n] /= scale
+            for before in past:
+                before[:n] /= scale
             now /= scale
             logs[:n] += np.log(scale)
-        ring[place % (LONGEST + 1), :n] = now
+        past.append(now)
         done = lattice.active(place + 1)
         with np.errstate(divide="ignore"):
             out[done:n] = np.log(now[done:n]) + logs[done:n]
         if keep:
-            steps.append((n, rows, now.copy()))
+            steps.append((now[:, 0].copy(), logs[:n, 0].copy()))
     return out, steps
 
 
@@ -146,21 +150,25 @@ def word_scores(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: L
 
 
 def _expected(lattice: Lattice, chance: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Expected number of uses of each piece, for one language; words are short here."""
+    """Expected number of uses of each piece, for one language.
+
+    `backward` is on the scale of the forward values at its place, so that their product is
+    the chance, times the word's weight, of a cut there.
+    """
     _, steps = _forward(lattice, chance, keep=True)
-    count = len(lattice.sizes)
-    forward = [np.ones(count), *[s[2][:, 0] for s in steps]]
-    backward = [np.zeros(count) for _ in range(len(steps) + 1)]
+    backward = [np.zeros(len(forward)) for forward, _ in steps]
     counts = np.zeros(len(chance))
     weight = weight[lattice.order]
-    for place in range(len(steps), 0, -1):
-        n, rows, now = steps[place - 1]
-        done = lattice.active(place + 1)
-        backward[place][done:n] = weight[done:n] / np.maximum(now[done:n, 0], 1e-300)
-        for k, found in enumerate(rows):
-            use = backward[place][:n] * chance[found, 0]
-            counts += np.bincount(found, use * forward[place - 1 - k][:n], len(chance))
-            backward[place - 1 - k][:n] += use
+    for place in range(len(steps) - 1, 0, -1):
+        (forward, log), back = steps[place], backward[place]
+        n, done = len(forward), lattice.active(place + 1)
+        back[done:n] = weight[done:n] / np.maximum(forward[done:n], 1e-300)
+        for size, some, rows in lattice.at(place, n):
+            before, log_before = steps[place - size]
+            use = back[some] * chance[rows, 0] * np.exp(log_before[some] - log[some])
+            counts += np.bincount(rows, use * before[some], len(chance))
+            backward[place - size][some] += use
+        backward[place] = np.zeros(0)
     return counts
 
 
@@ -183,8 +191,7 @@ def fit(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str
     """Piece probabilities of every language that a document to learn from has.
 
     About `sample` documents of each language are drawn by a hash of their ids, and their
-    words counted by Spark; the driver gets those counts and nothing else.  Words over 40
-    bytes are not learned from.
+    words counted by Spark; the driver gets those counts and nothing else.
     """
     path = path or vocabulary_path(VOCABULARY)
     known = docs.where(~held_out(F.col(key)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -197,7 +204,7 @@ def fit(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str
     drawn = known.where(F.col("h") < share * (1 << 30))
     lower = F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     word = F.explode(F.regexp_extract_all(lower, F.lit(f"({WORD})"), 1))
-    counts = drawn.select("l", word.alias("w")).where("octet_length(w) <= 40").groupBy("l", "w").count().toPandas()
+    counts = drawn.select("l", word.alias("w")).groupBy("l", "w").count().toPandas()
     table, size = lookup(path), len(pieces(path))
     chance = np.zeros((size + 1, len(languages)))
     for i, language in enumerate(languages):

@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import fractions
 import hashlib
 import itertools
 import math
@@ -169,7 +170,7 @@ def segmentations(word, chance):
     """Summed probability of all segmentations, by recursion."""
     if not word:
         return 1.0
-    return sum(chance.get(word[:k], 0.0) * segmentations(word[k:], chance) for k in range(1, min(language_id.LONGEST, len(word)) + 1))
+    return sum(chance.get(word[:k], 0.0) * segmentations(word[k:], chance) for k in range(1, len(word) + 1))
 
 
 def test_forward_pass_sums_all_segmentations():
@@ -177,13 +178,36 @@ def test_forward_pass_sums_all_segmentations():
     every, table = language_id.pieces(path), language_id.lookup(path)
     rng = np.random.default_rng(1)
     chance = np.append(rng.random((len(every), 2)) / 100, np.zeros((1, 2)), axis=0)
-    words = [b"the", b"a", "übergröße".encode(), b"zzzq", b"information", b"x" * 11]
+    words = [b"the", b"a", "übergröße".encode(), b"zzzq", b"information", b"x" * 11, b"international", b"-" * 16]
     got = language_id.word_scores(*language_id._spaced(words), table, chance)
     for k in range(2):
         by = dict(zip(every, chance[:-1, k].tolist(), strict=True))
         assert np.allclose(got[:, k], [math.log(segmentations(b" " + w, by)) for w in words])
     long = language_id.word_scores(*language_id._spaced([b"ab" * 20_000]), table, chance)
     assert np.isfinite(long).all()
+    assert max(map(len, every)) > 100 and {b" international", b"-" * 16} <= set(every)
+
+
+def test_forward_pass_of_long_words():
+    """Against a plain forward pass in whole-number logarithms, over words longer than any piece."""
+    path = vocabulary_path(language_id.VOCABULARY)
+    every, table = language_id.pieces(path), language_id.lookup(path)
+    chance = np.append(np.random.default_rng(3).random((len(every), 1)) / 1000, [[0.0]], axis=0)
+    by = dict(zip(every, chance[:-1, 0].tolist(), strict=True))
+    words = [b"=" * 300, b"ab" * 100 + b"-" * 64, b"an", b"representation" * 12]
+
+    def plain(word):
+        sums = [fractions.Fraction(1)]
+        for end in range(1, len(word) + 1):
+            sums.append(sum(sums[k] * fractions.Fraction(by[word[k:end]]) for k in range(max(0, end - 128), end) if word[k:end] in by))
+        return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+    got = language_id.word_scores(*language_id._spaced(words), table, chance)
+    assert np.allclose(got[:, 0], [plain(b" " + w) for w in words])
+    # Every byte of a word is in just one of the pieces used.
+    uses = language_id._expected(language_id.Lattice(*language_id._spaced(words), table), chance, np.array([1.0, 2.0, 3.0, 4.0]))
+    sizes = np.array([len(p) for p in every] + [0])
+    assert np.isclose((uses * sizes).sum(), sum(t * (len(w) + 1) for t, w in zip((1, 2, 3, 4), words, strict=True)))
 
 
 def test_expected_uses_are_those_of_all_segmentations():
@@ -288,12 +312,42 @@ def test_url_rules(spark, url, host, path, rule, verdict):
 
 def test_url_model(spark):
     weights = url_filter.fit()
-    rows = [(u, 1) for u in url_filter.BLOCKED] + [(u, 0) for u in url_filter.ALLOWED]
-    unseen = [("http://cheap-casino.org/en/bets", 1), ("http://m.adult-pills.biz/1", 1), ("http://blog.library.org/en/books", 0), ("http://www.school-news.info/fr/7", 0)]
-    pages = spark.createDataFrame([(i, "http://" + u.removeprefix("http://")) for i, (u, _) in enumerate(rows + unseen)], "page_id long, url string")
+    bad, good = url_filter.labelled(url_filter.BAD_NAMES), url_filter.labelled(url_filter.GOOD_NAMES)
+    assert {p for _, p in bad} == {p for _, p in good} and len(bad) == len(good)
+    rows = [(h + p, 1) for h, p in bad] + [(h + p, 0) for h, p in good]
+    unseen = [("cheap-casino.org/en/bets", 1), ("m.adult-pills.biz/1", 1), ("blog.library.org/en/books", 0), ("www.school-news.info/fr/7", 0)]
+    pages = spark.createDataFrame([(i, "http://" + u) for i, (u, _) in enumerate(rows + unseen)], "page_id long, url string")
     got = {r.page_id: r.score >= 0.5 for r in url_filter.judge_urls(pages, rules=(), weights=weights).collect()}
-    assert all(got[i] == bool(y) for i, (_, y) in enumerate(rows + unseen))
-    assert url_filter.judge_urls(pages.limit(0)).count() == 0 and len(rows) < 200
+    assert np.mean([got[i] == bool(y) for i, (_, y) in enumerate(rows)]) > 0.99
+    assert all(got[i] == bool(y) for i, (_, y) in enumerate(unseen, start=len(rows)))
+    assert url_filter.judge_urls(pages.limit(0)).count() == 0
+
+
+PLANTED = ("casino-win", "free-bets", "cheap-pills", "spam-farm", "ads-track", "adult-x")
+
+
+def test_url_model_on_hosts_that_it_has_not_seen(spark):
+    assert not set(PLANTED) & set(url_filter.BAD_NAMES)
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    judged = url_filter.judge_urls(pages).where("rule is null").select("host", "verdict").collect()
+    planted = [r for r in judged if any(name in r.host for name in PLANTED)]
+    others = [r for r in judged if not any(name in r.host for name in PLANTED)]
+    assert planted and np.mean([r.verdict == "block" for r in planted]) >= 0.9
+    assert len(others) > 1000 and np.mean([r.verdict == "block" for r in others]) <= 0.01
+    # The same by the model alone, over every prefix, domain and some paths.
+    urls = [f"{p}{name}.{d}{path}" for name in PLANTED for p in url_filter.PREFIXES for d in ("example.com", "example.org", "unseen.fr") for path in ("/", "/en/7")]
+    alone = url_filter.judge_urls(spark.createDataFrame([(i, "http://" + u) for i, u in enumerate(urls)], "page_id long, url string"), rules=())
+    assert np.mean([r.score >= 0.5 for r in alone.collect()]) >= 0.9
+
+
+def test_odd_urls(spark, clashing):
+    long = "http://" + "daily-news." * 20_000 + "org/" + "x/" * 50_000
+    rows = [(1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, long), (6, long), (6, long), (None, "http://casino-bets.org/é?q")]
+    got = url_filter.judge_urls(clashing(spark.createDataFrame(rows, "page_id long, url string"))).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by = {r.page_id: r for r in got}
+    assert [by[k].verdict for k in (1, 2, 3, 4)] == ["allow"] * 4 and by[5].score == by[6].score
+    assert by[5].path == "/" + "x/" * 50_000 and (by[None].path, by[None].verdict) == ("/é", "block")
 
 
 def test_pipeline(spark, sf_dir, sample):
