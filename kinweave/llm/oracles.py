@@ -43,8 +43,8 @@ b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_fail
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and n_words between 50 and 100000 and word_chars between 2 * n_words and 15 * n_words
   and n_symbols <= n_words * 0.1::double and n_stop_words >= n_words * 0.02::double and n_letters >= word_chars * 0.6::double
-  and n_capitals <= n_letters * 0.4::double and n_dup_lines <= n_lines * 0.5::double and n_bullet_lines <= n_lines * 0.9::double
-  and n_cut_lines <= n_lines * 0.3::double and n_repeat_words <= n_words * 0.5::double as kept
+  and n_capitals <= n_letters * 0.4::double and n_dup_lines <= n_lines * 0.3::double and n_bullet_lines <= n_lines * 0.9::double
+  and n_cut_lines <= n_lines * 0.3::double and n_repeat_words <= n_words * 0.3::double as kept
 from b
 """
 

@@ -52,10 +52,10 @@ RULES = (
     Rule("stop_words", "n_stop_words", "n_words", low=0.02),
     Rule("letters", "n_letters", "word_chars", low=0.6),
     Rule("capitals", "n_capitals", "n_letters", high=0.4),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", high=0.5),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", high=0.3),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=0.9),
     Rule("cut_lines", "n_cut_lines", "n_lines", high=0.3),
-    Rule("repeated_words", "n_repeat_words", "n_words", high=0.5),
+    Rule("repeated_words", "n_repeat_words", "n_words", high=0.3),
 )
 
 
