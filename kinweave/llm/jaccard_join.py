@@ -150,6 +150,8 @@ def signatures(hashes: np.ndarray, counts: np.ndarray, level: np.ndarray, light:
     place = np.arange(len(hashes)) - np.repeat(first, counts)
     prefix = counts - least_overlap(counts, threshold) + 1
     single = (100 * counts >= threshold * light) & (counts > 0)
+    if threshold <= 50:  # only then may one shingle in common link unlike sets
+        single |= (counts > 0) & (threshold * counts <= 100)
     chosen = np.flatnonzero((place < np.repeat(prefix, counts)) & np.repeat(single, counts))
     out, rows, heat = [mix(hashes[chosen])], [owner[chosen]], [own_level[chosen]]
     small = (counts > 1) & (counts < light)
@@ -252,8 +254,9 @@ def most_apart(a, b, threshold: int):
 def may_link(n: int, bits: np.ndarray, sizes: np.ndarray, groups: dict[int, tuple[np.ndarray, np.ndarray]], threshold: int) -> np.ndarray:
     """Which of the sets (of `sizes`; `groups`: bytes -> (rows, bits)) could be similar to one with `n` elements and `bits`."""
     out = np.zeros(len(sizes), bool)
+    most = 1 << int(np.ceil(np.log2(100 / threshold)))  # arrays of similar sets differ in size by that factor at most
     for size, (rows, other) in groups.items():
-        if not len(bits) <= 2 * size <= 4 * len(bits):  # similar sets differ in size by a quarter at most
+        if not len(bits) <= most * size <= most * most * len(bits):
             continue
         own, other = (fold(bits, size), other) if size < len(bits) else (bits, fold(other, len(bits)))
         apart = np.bitwise_count(other ^ own).sum(axis=1, dtype=np.int64)

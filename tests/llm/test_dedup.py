@@ -140,6 +140,16 @@ def test_any_boundary_loses_nothing(documents, monkeypatch, light):
     assert grouped(jaccard_join.similar_groups(documents(rows))) == similar(rows)
 
 
+@pytest.mark.parametrize("light", [2, 8, 256])
+@pytest.mark.parametrize("threshold", [30, 50, 66, 100])
+def test_other_thresholds(documents, monkeypatch, light, threshold):
+    monkeypatch.setattr(jaccard_join, "boundary", lambda *a: light)
+    words = [f"w{i}" for i in range(40)]
+    short = [" ".join(words[k : k + n]) for k in range(0, 24, 6) for n in (5, 6, 7, 8)]  # sets of one to four shingles
+    rows = [(10_000 + i, t) for i, t in enumerate(short)] + edited(13, 120, 300, 5, 60)
+    assert grouped(jaccard_join.similar_groups(documents(rows), threshold=threshold)) == similar(rows, threshold)
+
+
 def test_similar_groups_of_odd_rows(documents, clashing):
     text = "one two three four five six seven eight nine ten"
     rows = [(5, text), (5, text), (4, text.upper()), (None, text), (None, "a b c"), (3, "a b c"), (8, "a b"), (9, "b a"), (7, "x " * 20_000), *EMPTY]
