@@ -30,6 +30,10 @@ SPLIT_GAIN = 8
 # Below this many pairs in all splittable signatures together, a split is not worth its jobs.
 WORTH_SPLITTING = 20_000_000
 
+# What rows may be marked with: the component they are known to be of, or whether they still
+# ask for partners.
+ROOT, ASKS = "_root", "_asks"
+
 
 @dataclass(frozen=True)
 class FuzzyField:
@@ -71,8 +75,18 @@ def _count_up(first: Column, last: Column) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-def segment_signatures(c: Column, threshold: float) -> Column:
-    """(i, s) for every segment of a value in the role of the longer one."""
+def _deletions(c: Column, longer: Column) -> Column:
+    """(i, s) for the value without its character `i`, for every character."""
+    return F.transform(F.sequence(F.lit(0), F.length(c) - 1), lambda i: F.struct(i.alias("i"), F.xxhash64(
+        longer, F.lit(-1), F.concat(F.substring(c, F.lit(1), i), F.substring(c, i + 2, F.length(c)))).alias("s")))
+
+
+def segment_signatures(c: Column, threshold: float, fine: bool = False) -> Column:
+    """(i, s) for every segment of a value in the role of the longer one.
+
+    With `fine`, a value that may differ by one edit shows what a deletion leaves of it
+    instead: more signatures, but nearly every pair that shares one is similar.
+    """
     longer = F.length(c)
     budget = edit_budget(longer, threshold)
 
@@ -80,12 +94,17 @@ def segment_signatures(c: Column, threshold: float) -> Column:
         start, size = _segment(longer, budget, i)
         return F.struct(i.alias("i"), F.xxhash64(longer, i, F.substring(c, start + 1, size)).alias("s"))
 
-    return F.transform(F.sequence(F.lit(0), budget), one)
+    segments = F.transform(F.sequence(F.lit(0), budget), one)
+    return F.when(budget == 1, _deletions(c, longer)).otherwise(segments) if fine else segments
 
 
-def substring_signatures(c: Column, threshold: float) -> Column:
+def substring_signatures(c: Column, threshold: float, fine: bool = False) -> Column:
     """(i, s) for a value in the role of the shorter one: for every longer length in reach,
-    every substring that can be one of its segments."""
+    every substring that can be one of its segments.
+
+    With `fine`, where a longer value may differ by one edit, what a deletion leaves: of
+    this value at the same length, the value itself at one less.
+    """
     own = F.length(c)
 
     def for_length(longer: Column) -> Column:
@@ -99,7 +118,12 @@ def substring_signatures(c: Column, threshold: float) -> Column:
             return F.transform(_count_up(first, last), lambda at: F.struct(
                 i.alias("i"), F.xxhash64(longer, i, F.substring(c, at + 1, size)).alias("s")))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), budget), for_segment))
+        segments = F.flatten(F.transform(F.sequence(F.lit(0), budget), for_segment))
+        if not fine:
+            return segments
+        itself = F.array(F.struct(F.lit(0).alias("i"), F.xxhash64(longer, F.lit(-1), c).alias("s")))
+        left = F.when(gap == 0, _deletions(c, longer)).when(gap == 1, itself)
+        return F.when((budget == 1) & (gap <= 1), left).otherwise(segments)
 
     return F.array_distinct(F.flatten(F.transform(F.sequence(own, _reach(c, threshold)), for_length)))
 
@@ -123,10 +147,10 @@ def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField]
     return F.round(total / F.lit(float(len(exact) + len(fuzzy))), 6)
 
 
-def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField]) -> Column:
+def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None) -> Column:
     """A profile as a struct; lengths and edit budgets are worked out here, once per row,
     so that the test of a pair stays small enough to be compiled well."""
-    cols = [F.col("pid"), *[F.col(c) for c in exact]]
+    cols = [F.col("pid"), *[F.col(c) for c in [*exact, *([mark] if mark else [])]]]
     for f in fuzzy:
         length = F.length(f.name)
         cols += [F.col(f.name), length.alias(f"n_{f.name}"), edit_budget(length, f.threshold).alias(f"k_{f.name}")]
@@ -134,7 +158,7 @@ def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField]) -> Column:
 
 
 def _verified(
-    joined: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float
+    joined: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float, apart: bool = False
 ) -> DataFrame:
     """Rows with structs `a` and `b` that pass every field test, as canonical pairs.
 
@@ -143,6 +167,8 @@ def _verified(
     budget and answers -1 beyond it.
     """
     test = F.col("a.pid") != F.col("b.pid")
+    if apart:
+        test = test & (F.col(f"a.{ROOT}") != F.col(f"b.{ROOT}"))
     for name in exact:
         test = test & (F.col(f"a.{name}") == F.col(f"b.{name}"))
     budgets = {f.name: F.greatest(f"a.k_{f.name}", f"b.k_{f.name}") for f in _by_threshold(fuzzy)}
@@ -170,24 +196,33 @@ def _first_meeting(level: int, field: FuzzyField) -> Column:
 
 
 def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[FuzzyField]) -> DataFrame:
-    """Candidate pairs of the signatures over the fields split by so far."""
-    right = short_side.select("h", F.col("v").alias("b"))
-    met = long_side.withColumnRenamed("v", "a").join(right, "h")
+    """Candidate pairs of the signatures over the fields split by so far; where rows are
+    marked, those with an asking row."""
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.drop(ASKS).withColumnRenamed("v", "a").join(right.select("h", F.col("v").alias("b")), "h")
+
+    if ASKS in long_side.columns:
+        met = meet(long_side.where(ASKS), short_side).unionByName(
+            meet(long_side.where(~F.col(ASKS)), short_side.where(ASKS)))
+    else:
+        met = meet(long_side, short_side)
     for level, field in enumerate(split):
         met = met.where(_first_meeting(level, field))
     return met
 
 
 def _crowded(
-    long_side: DataFrame, short_side: DataFrame, nxt: FuzzyField, split_pairs: int, split_gain: float
+    long_side: DataFrame, short_side: DataFrame, nxt: FuzzyField | None, split_pairs: int, split_gain: float
 ) -> DataFrame:
-    """(h, pairs): signatures worth splitting by `nxt`."""
-    fan = signature_count(F.col(f"v.{nxt.name}"), nxt.threshold)
-    sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s"), fan.alias("fan")).unionByName(
-        short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s"), fan.alias("fan"))
-    )
-    counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"), F.sum("fan").alias("fan"))
-    pairs = F.col("l").cast("double") * F.col("s")
+    """(h, pairs): signatures worth splitting by `nxt`, or crowded at all where no field is left."""
+    fan = signature_count(F.col(f"v.{nxt.name}"), nxt.threshold) if nxt else F.lit(0)
+    asks = (F.col(ASKS) if ASKS in long_side.columns else F.lit(True)).cast("int")
+    sides = long_side.select(
+        "h", F.lit(1).alias("l"), F.lit(0).alias("s"), asks.alias("la"), F.lit(0).alias("sa"), fan.alias("fan")
+    ).unionByName(short_side.select(
+        "h", F.lit(0).alias("l"), F.lit(1).alias("s"), F.lit(0).alias("la"), asks.alias("sa"), fan.alias("fan")))
+    counts = sides.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("l", "s", "la", "sa", "fan")])
+    pairs = F.col("la").cast("double") * F.col("s") + (F.col("l") - F.col("la")).cast("double") * F.col("sa")
     enough = (pairs > F.lit(float(split_pairs))) & (pairs > F.lit(split_gain) * F.col("fan"))
     return counts.where(enough).select("h", pairs.alias("pairs"))
 
@@ -222,14 +257,14 @@ def _by_threshold(fuzzy: Sequence[FuzzyField]) -> list[FuzzyField]:
 
 
 def signature_sides(
-    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField]
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None, fine: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(h, v, i0) twice: every row `v` under its signatures in the role of the longer value
     and in that of the shorter one.  `h` covers the exact fields and the leading field, of
     which `i0` is the segment."""
     lead = _by_threshold(fuzzy)[0]
     base = F.xxhash64(*[F.col(c) for c in exact]) if exact else F.lit(0).cast("long")
-    row = _row(exact, fuzzy)
+    row = _row(exact, fuzzy, mark)
 
     def side(signatures: Column) -> DataFrame:
         exploded = rows.select(row.alias("v"), base.alias("x"), F.explode(signatures).alias("y"))
@@ -237,24 +272,58 @@ def signature_sides(
 
     value = F.col(lead.name)
     return (
-        side(segment_signatures(value, lead.threshold)),
-        side(substring_signatures(value, lead.threshold)),
+        side(segment_signatures(value, lead.threshold, fine)),
+        side(substring_signatures(value, lead.threshold, fine)),
     )
 
 
+def _asking(long_side: DataFrame, short_side: DataFrame, mark: str) -> list[DataFrame]:
+    """Both sides with a column that says which rows ask for partners.
+
+    Among rows marked by component, all ask but those of the signature's most frequent
+    component: two rows of different components cannot both be of that one.  A signature
+    whose rows all are of one component can link nothing, and goes.
+    """
+    if mark == ASKS:
+        return [s.withColumn(ASKS, F.col(f"v.{ASKS}")) for s in (long_side, short_side)]
+    root = F.col(f"v.{ROOT}").alias(ROOT)
+    counts = long_side.select("h", root).unionByName(short_side.select("h", root)).groupBy("h", ROOT).count()
+    mixed = counts.groupBy("h").agg(
+        F.max_by(ROOT, F.struct("count", ROOT)).alias("major"), F.count("*").alias("roots")).where("roots > 1")
+    mixed = cut(mixed.select("h", "major"), "mixed")
+    return [s.join(mixed, "h").withColumn(ASKS, F.col(f"v.{ROOT}") != F.col("major")).drop("major")
+            for s in (long_side, short_side)]
+
+
+def crowds(
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField],
+    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN,
+) -> float:
+    """Candidate pairs in the crowded signatures of the leading field."""
+    order = [*_by_threshold(fuzzy), None]
+    hot = _crowded(*signature_sides(rows, exact, fuzzy), order[1], split_pairs, split_gain)
+    return hot.agg(F.sum("pairs")).first()[0] or 0.0
+
+
 def similar_pairs(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float = 0.0,
     split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, worth_splitting: int = WORTH_SPLITTING,
+    mark: str | None = None, fine: bool = False,
 ) -> DataFrame:
     """(id_a, id_b, score) over profile rows (`pid` and the fields), `id_a < id_b`.
 
     All pairs whose exact fields are equal, whose fuzzy fields reach their thresholds and
     whose score reaches `min_score`; the limits only choose how the candidates are found.
+    With `mark`, a column of `rows`: `ROOT`, pairs whose rows differ in it; `ASKS`, pairs in
+    which it is true of a row.
 
     Runs a counting job per split, to learn which signatures are worth splitting.
     """
     order = _by_threshold(fuzzy)
-    long_side, short_side = signature_sides(rows, exact, fuzzy)
+    long_side, short_side = signature_sides(rows, exact, fuzzy, mark, fine)
+    if mark:
+        long_side, short_side = _asking(long_side, short_side, mark)
+    apart = mark == ROOT
     done: list[DataFrame] = []
     for level in range(len(order)):
         split = order[: level + 1]
@@ -263,10 +332,10 @@ def similar_pairs(
             hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain), "crowded")
             total = hot.agg(F.sum("pairs")).first()[0] or 0.0
         if nxt is None or not total or total < worth_splitting:
-            done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score))
+            done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score, apart))
             break
         cold = [s.join(hot, "h", "left_anti") for s in (long_side, short_side)]
-        done.append(_verified(_join_sides(*cold, split), exact, fuzzy, min_score))
+        done.append(_verified(_join_sides(*cold, split), exact, fuzzy, min_score, apart))
         long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
         short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
     return reduce(DataFrame.unionByName, done).dropDuplicates(["id_a", "id_b"])

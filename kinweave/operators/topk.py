@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.operators.exact import all_present
-from kinweave.operators.similarity import FuzzyField, profiles, similar_pairs
+from kinweave.operators.ladder import best_partners
+from kinweave.operators.similarity import FuzzyField, profiles
 from kinweave.session import cut
 
 
@@ -37,12 +38,7 @@ def top_matches(
         raise ValueError("k must be at least 1")
     fields = [*exact, *[f.name for f in fuzzy]]
     distinct_rows = cut(profiles(df, id_col, fields), "profiles")
-    pairs = similar_pairs(distinct_rows, exact, fuzzy, min_score, **limits)
-    both_ways = pairs.select(F.col("id_a").alias("pid"), F.col("id_b").alias("partner"), "score").unionByName(
-        pairs.select(F.col("id_b").alias("pid"), F.col("id_a").alias("partner"), "score")
-    )
-    rank = Window.partitionBy("pid").orderBy(F.desc("score"), "partner")
-    kept = both_ways.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= k).drop("r")
+    kept = best_partners(distinct_rows, exact, fuzzy, k, min_score, **limits)
 
     pid_of = distinct_rows.select("pid", *fields)
     heads = first_members(df, id_col, fields, k + 1).join(pid_of, fields).select("pid", "id")

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from kinweave.operators.components import components
 from kinweave.operators.exact import exact_links
+from kinweave.operators.ladder import linking_pairs
 from kinweave.operators.similarity import FuzzyField, copy_links, profiles, similar_pairs
 from kinweave.schema import Attribute
 from kinweave.session import cut
@@ -138,7 +139,7 @@ def rule_links(df: DataFrame, id_col: str, rule: Rule, **limits: float) -> DataF
         return links.select("id_a", "id_b", F.lit(1.0).alias("score_a"), F.lit(1.0).alias("score"))
     distinct_rows = cut(profiles(df, id_col, rule.names), "profiles")
     copies = copy_links(df, id_col, rule.names, distinct_rows).distinct()
-    pairs = cut(similar_pairs(distinct_rows, rule.exact, rule.fuzzy, rule.min_score, **limits), "pairs")
+    pairs = cut(linking_pairs(distinct_rows, rule.exact, rule.fuzzy, rule.min_score, **limits), "pairs")
     best = cut(best_scores(pairs), "best")
     member = components(pairs.select("id_a", "id_b")).where("id <> root")
     stars = member.join(best, "id").join(best.select(F.col("id").alias("root"), F.col("best").alias("root_best")), "root")

@@ -429,3 +429,5 @@ ORACLES = {
           (select count(*) from m) as loaded from m""",
 }
 ORACLES["stream_feed_orders"] = ORACLES["change_feed_orders"]
+ORACLES["chain_steps_part"] = ORACLES["chain_scores_part"]
+ORACLES["topk_steps_part"] = ORACLES["topk_part_split"]

@@ -231,6 +231,21 @@ def chain_scores_part(spark, sf_dir):
     return groups.best_link(links).select("id", "score", "rule_id")
 
 
+STEP_ALL = {"worth_climbing": 0}
+
+
+def chain_steps_part(spark, sf_dir):
+    """Confidences as above, by falling scores."""
+    rule = Rule("name", (Exact("p_brand"), Exact("p_type"), Fuzzy("p_name", 0.7)))
+    links = all_links(table(spark, sf_dir, "part"), "p_partkey", [rule], **STEP_ALL)
+    return groups.best_link(links).select("id", "score", "rule_id")
+
+
+def topk_steps_part(spark, sf_dir):
+    fields = [Fuzzy("p_name", 0.6), Fuzzy("p_type", 0.5)]
+    return top_matches(table(spark, sf_dir, "part"), "p_partkey", ["p_brand"], fields, k=3, **STEP_ALL)
+
+
 def resolve_array_person(spark, sf_dir):
     """Records that share any of their contacts."""
     people = normalized_person(spark, sf_dir).select("id", F.array("email", "phone").alias("contacts"))
