@@ -112,3 +112,26 @@ def test_steps(spark):
     assert step_scores([], fields, 1.0, (0.5,)) == []
     assert raised([], fields, 0.95)[0].threshold == pytest.approx(0.95, abs=1e-5)
     assert raised(["z"], fields, 0.85)[0].threshold == 0.8
+
+
+def test_the_leading_field_is_chosen_by_cost(spark):
+    """A field of three values has the highest threshold, but every signature of it is a crowd."""
+    from kinweave.operators import similarity as s
+    rng = random.Random(5)
+    data = [(i, rng.choice(["north", "south", "nord"]), "".join(rng.choice("abcdefghij") for _ in range(12))) for i in range(1500)]
+    data += [(2000 + i, side, name[:4] + "x" + name[5:]) for i, side, name in data[:50]]
+    rows = profiles(spark.createDataFrame(data, "id long, side string, name string"), "id", ["side", "name"])
+    fields = [FuzzyField("side", 0.95), FuzzyField("name", 0.9)]
+    assert [f.name for f in s._order(rows, [], fields, 1e9)] == ["side", "name"]
+    assert [f.name for f in s._order(rows, [], fields, 1)] == ["name", "side"]
+    whole = s.lead_costs(rows, [], fields)
+    part = s.lead_costs(rows, [], fields, 0.5)
+    assert whole[0] > 2 * whole[1] and part[0] > 2 * part[1] and 0.5 < part[0] / whole[0] < 2
+    by_cost = {tuple(r) for r in similar_pairs(rows, [], fields, worth_planning=1).collect()}
+    assert by_cost == {tuple(r) for r in similar_pairs(rows, [], fields).collect()} and len(by_cost) >= 50
+
+
+def test_cost_of_an_empty_table(spark):
+    rows = profiles(spark.createDataFrame([], "id long, a string, b string"), "id", ["a", "b"])
+    fields = [FuzzyField("a", 0.9), FuzzyField("b", 0.7)]
+    assert similar_pairs(rows, [], fields, worth_planning=-1).collect() == []
