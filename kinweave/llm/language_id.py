@@ -47,7 +47,7 @@ def pieces(path: str) -> list[bytes]:
 class Lookup:
     """Row numbers of pieces by the hash of their bytes: two probes of a sparse table."""
 
-    BITS = 21
+    BITS = 18
 
     def __init__(self, every: list[bytes]):
         data = np.frombuffer(b"".join(every), np.uint8)
