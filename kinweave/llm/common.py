@@ -47,6 +47,7 @@ def ship(spark: SparkSession) -> None:
     Batches are kept small, so that a worker's memory does not depend on how long texts are.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     context, package = spark.sparkContext, Path(__file__).parent.parent
     if context.applicationId in _shipped or not package.is_dir():
         return
