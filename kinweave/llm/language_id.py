@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm.common import BLANKS, WORD, held_out, ship
-from kinweave.llm.textvec import LOWER, Spans, row_sums, slices, texts, words
+from kinweave.llm.textvec import LOWER, Spans, give_back, row_sums, slices, texts, words
 from kinweave.llm.tokens import Known, grown, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -222,7 +222,7 @@ def fit(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str
 
 
 class Scorer:
-    """Log-probabilities of texts; remembers the words that a worker has seen."""
+    """Log-probabilities of texts; remembers the words that it has seen."""
 
     def __init__(self, model: Model):
         self.model, self.table = model, lookup(model.path)
@@ -255,9 +255,6 @@ class Scorer:
         return row_sums(per_word, np.bincount(row, minlength=len(column)))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def identify(docs: DataFrame, model: Model, text: str = "text") -> Column:
     """A column (lang_pred, score) for `docs`, from the whole text.
 
@@ -271,11 +268,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> Column:
         return empty
 
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(sent.value)  # of this task: an idle worker holds no words
         for column in batches:
-            scorer = _scorers.get(sent.id if hasattr(sent, "id") else 0)
-            if scorer is None or scorer.model is not sent.value:
-                _scorers.clear()
-                scorer = _scorers[sent.id if hasattr(sent, "id") else 0] = Scorer(sent.value)
             chosen, chances = [], []
             for part in slices(pa.RecordBatch.from_arrays([column], names=["t"]), "t", 1 << 18):
                 logs = scorer.score(part.column("t")) + scorer.model.prior
@@ -287,6 +281,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> Column:
                 [pa.array(names, pa.string()), pa.array(np.concatenate(chances) if chances else [], pa.float64())],
                 ["lang_pred", "score"],
             )
+        del scorer
+        give_back()
 
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     scored = F.arrow_udf(predict, "lang_pred string, score double")
