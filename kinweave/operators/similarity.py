@@ -6,6 +6,9 @@ edits separate two values, and the longer one is cut into k + 1 segments, one se
 occur unchanged in the shorter one, close to its own position.  A signature shared by too
 many records is split by the signatures of the next fuzzy field, and so on.
 
+Rows under signatures are many times what the optimizer makes of the small table they come
+from, so their joins are marked as merge joins: a broadcast of them would fill the driver.
+
 Rows are first reduced to profiles (distinct combinations of the compared fields), so a
 group of equal copies is one row here, whatever its size.
 """
@@ -30,6 +33,9 @@ SPLIT_GAIN = 8
 # Below this many pairs in all splittable signatures together, a split is not worth its jobs.
 WORTH_SPLITTING = 20_000_000
 
+# Above so many, crowded signatures are shuffled to the rows, not sent whole to every executor.
+MANY_SIGNATURES = 100_000
+
 # A leading field is chosen from about so many rows, whatever the table, and only where a
 # table has this many pairs: it takes some seconds.  A signature's row costs as much as so
 # many pairs that meet (16 and 0.7 microseconds of a core, as measured).
@@ -206,7 +212,8 @@ def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[Fuz
     """Candidate pairs of the signatures over the fields split by so far; where rows are
     marked, those with an asking row."""
     def meet(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.drop(ASKS).withColumnRenamed("v", "a").join(right.select("h", F.col("v").alias("b")), "h")
+        return left.drop(ASKS).withColumnRenamed("v", "a").join(
+            right.select("h", F.col("v").alias("b")).hint("merge"), "h")
 
     if ASKS in long_side.columns:
         met = meet(long_side.where(ASKS), short_side).unionByName(
@@ -298,7 +305,7 @@ def _asking(long_side: DataFrame, short_side: DataFrame, mark: str) -> list[Data
     counts = long_side.select("h", root).unionByName(short_side.select("h", root)).groupBy("h", ROOT).count()
     mixed = counts.groupBy("h").agg(
         F.max_by(ROOT, F.struct("count", ROOT)).alias("major"), F.count("*").alias("roots")).where("roots > 1")
-    mixed = cut(mixed.select("h", "major"), "mixed")
+    mixed = cut(mixed.select("h", "major"), "mixed").hint("merge")
     return [s.join(mixed, "h").withColumn(ASKS, F.col(f"v.{ROOT}") != F.col("major")).drop("major")
             for s in (long_side, short_side)]
 
@@ -375,7 +382,8 @@ def similar_pairs(
         nxt = order[level + 1] if level + 1 < len(order) else None
         if nxt is not None:
             hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain), "crowded")
-            total = hot.agg(F.sum("pairs")).first()[0] or 0.0
+            total, signatures = hot.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.count("*")).first()
+            hot = hot.hint("merge") if signatures > MANY_SIGNATURES else hot
         if nxt is None or not total or total < worth_splitting:
             done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score, apart))
             break

@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Files of ids and dictionary values unfold to many times their size: without this, tables that
+    # fill the driver's memory pass for small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "8.0",
     "spark.sql.session.timeZone": "UTC",
 }
 

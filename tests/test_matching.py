@@ -8,7 +8,8 @@ from links import root_of
 from kinweave.operators.components import components
 from kinweave.operators import components as components_module
 from kinweave.operators.exact import dedup_within, element_links, exact_links
-from kinweave.operators.similarity import FuzzyField, profiles, similar_pairs
+from kinweave.operators import similarity as similarity_module
+from kinweave.operators.similarity import FuzzyField, _join_sides, profiles, signature_sides, similar_pairs
 from kinweave.operators.topk import top_matches
 from kinweave.plans.rules import Exact, Fuzzy, Rule, all_links, parse_rules, rule_links
 
@@ -237,3 +238,23 @@ def test_no_nested_loop_in_the_matcher(people):
     pairs = similar_pairs(profiles(df, "id", ["z", "a", "b"]), ["z"], [FuzzyField("a", 0.8), FuzzyField("b", 0.7)])
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_rows_under_signatures_are_not_broadcast(people):
+    """They come from a table that looks small, but all of them would go through the driver."""
+    _, df = people
+    fields = [FuzzyField("a", 0.7), FuzzyField("b", 0.7)]
+    met = _join_sides(*signature_sides(profiles(df, "id", ["z", "a", "b"]), ["z"], fields), fields[:1])
+    plan = met._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_many_crowded_signatures_are_not_broadcast(people, monkeypatch):
+    _, df = people
+    monkeypatch.setattr(similarity_module, "MANY_SIGNATURES", 0)
+    pairs = similar_pairs(profiles(df, "id", ["z", "a", "b"]), ["z"], [FuzzyField("a", 0.7), FuzzyField("b", 0.7)], **SPLITS[-1])
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_files_count_as_larger_than_they_are(spark):
+    assert float(spark.conf.get("spark.sql.sources.fileCompressionFactor")) > 1
