@@ -163,11 +163,11 @@ def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField]
 def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None) -> Column:
     """A profile as a struct; lengths and edit budgets are worked out here, once per row,
     so that the test of a pair stays small enough to be compiled well."""
-    cols = [F.col("pid"), *[F.col(c) for c in [*exact, *([mark] if mark else [])]]]
+    cols = {c: F.col(c) for c in ["pid", *exact, *([mark] if mark else [])]}
     for f in fuzzy:
         length = F.length(f.name)
-        cols += [F.col(f.name), length.alias(f"n_{f.name}"), edit_budget(length, f.threshold).alias(f"k_{f.name}")]
-    return F.struct(*cols)
+        cols |= {f.name: F.col(f.name), f"n_{f.name}": length, f"k_{f.name}": edit_budget(length, f.threshold)}
+    return F.named_struct(*[x for name, c in cols.items() for x in (F.lit(name), c)])
 
 
 def _verified(
@@ -270,25 +270,39 @@ def _by_threshold(fuzzy: Sequence[FuzzyField]) -> list[FuzzyField]:
     return sorted(fuzzy, key=lambda f: -f.threshold)
 
 
+def known_signatures(rows: DataFrame, field: FuzzyField, fine: bool = False) -> DataFrame:
+    """(value, both lists of its signatures), cut: a value that many rows have is taken apart once.
+
+    Spark broadcasts the table where its files are small, as with few values that most rows share.
+    """
+    value = F.col(field.name)
+    return cut(rows.select(value).distinct().select(
+        value, segment_signatures(value, field.threshold, fine).alias("as_longer"),
+        substring_signatures(value, field.threshold, fine).alias("as_shorter")), "signatures")
+
+
 def signature_sides(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None, fine: bool = False,
-    lead: FuzzyField | None = None,
+    lead: FuzzyField | None = None, known: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(h, v, i0) twice: every row `v` under its signatures in the role of the longer value
     and in that of the shorter one.  `h` covers the exact fields and the leading field, of
-    which `i0` is the segment."""
+    which `i0` is the segment.  `known`: the `known_signatures` of that field, if made before."""
     lead = lead or _by_threshold(fuzzy)[0]
     base = F.xxhash64(*[F.col(c) for c in exact]) if exact else F.lit(0).cast("long")
     row = _row(exact, fuzzy, mark)
 
-    def side(signatures: Column) -> DataFrame:
-        exploded = rows.select(row.alias("v"), base.alias("x"), F.explode(signatures).alias("y"))
+    def side(role: str, signatures: Column) -> DataFrame:
+        given = rows
+        if known is not None:
+            given, signatures = rows.join(known.select(lead.name, role), lead.name), F.col(role)
+        exploded = given.select(row.alias("v"), base.alias("x"), F.explode(signatures).alias("y"))
         return exploded.select(F.xxhash64("x", "y.s").alias("h"), "v", F.col("y.i").alias("i0"))
 
     value = F.col(lead.name)
     return (
-        side(segment_signatures(value, lead.threshold, fine)),
-        side(substring_signatures(value, lead.threshold, fine)),
+        side("as_longer", segment_signatures(value, lead.threshold, fine)),
+        side("as_shorter", substring_signatures(value, lead.threshold, fine)),
     )
 
 
@@ -334,14 +348,20 @@ def lead_costs(rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField
     return [found.get(number, 0.0) for number in range(len(fuzzy))]
 
 
+def _is_large(rows: DataFrame, worth: float) -> int:
+    """The rows of a table of more than `worth` pairs, 0 for others."""
+    count = rows.count()
+    return count if count ** 2 > worth else 0
+
+
 def _order(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float
 ) -> list[FuzzyField]:
     """The order in which fields make signatures: by cost, where there are two of them and
     a table of more than `worth` pairs; otherwise by threshold.  The pairs are the same."""
     order = _by_threshold(fuzzy)
-    count = rows.count() if len(order) > 1 else 0
-    if not count or count ** 2 <= worth:
+    count = _is_large(rows, worth) if len(order) > 1 else 0
+    if not count:
         return order
     costs = lead_costs(rows, exact, order, PLANNED_ROWS / count)
     return [order[i] for i in sorted(range(len(order)), key=lambda i: costs[i])]
@@ -353,7 +373,8 @@ def crowds(
 ) -> float:
     """Candidate pairs in the crowded signatures of the leading field."""
     order = [*_by_threshold(fuzzy), None]
-    hot = _crowded(*signature_sides(rows, exact, fuzzy), order[1], split_pairs, split_gain)
+    known = known_signatures(rows, order[0])
+    hot = _crowded(*signature_sides(rows, exact, fuzzy, known=known), order[1], split_pairs, split_gain)
     return hot.agg(F.sum("pairs")).first()[0] or 0.0
 
 
@@ -372,7 +393,8 @@ def similar_pairs(
     Runs a counting job per split, to learn which signatures are worth splitting.
     """
     order = _order(rows, exact, fuzzy, worth_planning)
-    long_side, short_side = signature_sides(rows, exact, fuzzy, mark, fine, order[0])
+    known = known_signatures(rows, order[0], fine) if _is_large(rows, worth_planning) else None
+    long_side, short_side = signature_sides(rows, exact, fuzzy, mark, fine, order[0], known)
     if mark:
         long_side, short_side = _asking(long_side, short_side, mark)
     apart = mark == ROOT

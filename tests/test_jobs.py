@@ -366,3 +366,9 @@ def test_resolve_takes_a_model_without_labels(spark, sf_dir):
     loose = Rule("loose", (Exact("postal_code"), Fuzzy("first_name", 0.6)))
     done = resolve(person(spark, sf_dir), ATTRIBUTES, "id", model=Model(fitted, loose, 0.9))
     assert done.technique == "model" and done.links.count() > 0 and set(EM_LEAST) == set(fitted.fields)
+
+
+def test_customers_are_dealt_out_before_they_become_people(spark, sf_dir):
+    """Else all that is computed of them runs in as many tasks as their one small file has splits."""
+    plan = person(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [c_custkey" in plan

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from kinweave.operators import similarity as s
 from kinweave.operators.ladder import best_partners, linking_pairs, raised, step_scores
 from kinweave.operators.similarity import FuzzyField, profiles, similar_pairs
 from links import root_of
@@ -135,3 +136,16 @@ def test_cost_of_an_empty_table(spark):
     rows = profiles(spark.createDataFrame([], "id long, a string, b string"), "id", ["a", "b"])
     fields = [FuzzyField("a", 0.9), FuzzyField("b", 0.7)]
     assert similar_pairs(rows, [], fields, worth_planning=-1).collect() == []
+
+
+@pytest.mark.parametrize("fine", [False, True])
+def test_signatures_of_values_are_those_of_rows(crowd, fine):
+    """Values are taken apart once each; rows come under the same signatures, in structs with the same fields."""
+    fields = [FuzzyField("a", 0.7), FuzzyField("b", 0.75)]
+    plain = s.signature_sides(crowd, ["z"], fields, fine=fine, lead=fields[0])
+    known = s.signature_sides(crowd, ["z"], fields, fine=fine, lead=fields[0], known=s.known_signatures(crowd, fields[0], fine))
+    for one, other in zip(plain, known):
+        assert one.schema["v"].dataType.names == other.schema["v"].dataType.names
+        assert sorted(one.collect(), key=str) == sorted(other.collect(), key=str)
+    assert all_of(crowd, ["z"], fields, 0.0) == {
+        (r.id_a, r.id_b): r.score for r in similar_pairs(crowd, ["z"], fields, worth_planning=0, fine=fine).collect()}
