@@ -8,7 +8,8 @@ squared fill grows, until bins are empty.  Bins that hold the same lengths are o
 with a count, and a step is made for as many of them as there are.  So the packing is that of
 the whole table at once, however lengths lie in files or tasks, and its work does not grow
 with the number of documents.  A piece finds its place by its rank among those of its length:
-tasks number their own, and the sums over the tasks before are added.  Ids stay where they are.
+tasks number their own, and the sums over the tasks before are added.  These are one row per
+task, at most `TASKS`, so they are broadcast whatever the input, and ids stay where they are.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from kinweave.session import cut
 
 LENGTH = 1024
 END = 2
+#: Tasks that cut pieces, at most; each takes 8 kB of a broadcast.
+TASKS = 4_096
 
 #: (size, how many) of the pieces of a bin, the largest first.
 Pattern = tuple[tuple[int, int], ...]
@@ -278,16 +281,18 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
                     [pa.array(c, t) for c, t in zip(columns, (key_type, *types), strict=True)], names=schema.names)
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    pieces = cut(rows.mapInArrow(cut_up, schema), "pieces")
+    pieces = cut(rows.coalesce(TASKS).mapInArrow(cut_up, schema), "pieces")
     counts = cut(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cut(counts.select(F.col("length").alias("s_length"), F.col("task").alias("s_task"),
-                               F.coalesce(F.sum("n").over(before), F.lit(0)).alias("s_before")), "starts")
+    sums = counts.select("length", F.col("task").alias("s_task"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    sums = sums.groupBy("s_task").agg(F.map_from_entries(F.collect_list(F.struct("length", "n"))).alias("sums"))
+    starts = cut(sums.select("s_task", F.transform(
+        F.sequence(F.lit(1), F.lit(length)), lambda n: F.col("sums")[n.cast("long")]).alias("s_before")), "starts")
     where = spark.createDataFrame(places(search_counts(best_fit_counts(totals, length), length)), PLACES)
-    rank = F.col("rank") + F.col("s_before")
-    numbered = pieces.join(starts, (F.col("length") == F.col("s_length")) & (F.col("task") == F.col("s_task")))
-    numbered = numbered.withColumn("rank", rank).drop("s_length", "s_task", "s_before")
+    numbered = pieces.join(F.broadcast(starts), F.col("task") == F.col("s_task"))
+    rank = F.col("rank") + F.get("s_before", F.col("length").cast("int") - 1)
+    numbered = numbered.withColumn("rank", rank).drop("s_task", "s_before")
     inside = (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("p_first")) & (F.col("rank") < F.col("p_last"))
     nth = F.col("rank") - F.col("p_first")
     return numbered.join(F.broadcast(where), inside).select(
