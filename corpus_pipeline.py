@@ -14,30 +14,30 @@ from kinweave.llm.jaccard_join import one_per_group
 from kinweave.llm.language_id import UNDETERMINED, fit, identify
 from kinweave.llm.mixing import mix
 from kinweave.llm.packing import pack_documents
-from kinweave.session import cut, tune
+from kinweave.session import CORPUS_SETTINGS, cut, tune
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; those without a text or a letter go."""
-    tune(spark)
+    tune(spark, CORPUS_SETTINGS)
     return docs.where(identify(docs, fit(docs))["lang_pred"] != UNDETERMINED)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    tune(spark)
+    tune(spark, CORPUS_SETTINGS)
     return drop_copies(docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    tune(spark)
+    tune(spark, CORPUS_SETTINGS)
     return one_per_group(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it.  The mix's answer is its last column, whatever columns the documents have."""
-    tune(spark)
+    tune(spark, CORPUS_SETTINGS)
     mixed = mix(docs)
     answer = mixed.columns[-1]
     times = F.col(answer)["times"]
@@ -46,7 +46,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 1024 tokens."""
-    tune(spark)
+    tune(spark, CORPUS_SETTINGS)
     packed = pack_documents(docs)
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 

@@ -114,8 +114,12 @@ def _summed(survey: DataFrame) -> np.ndarray:
 
 
 def levels(sketch: np.ndarray) -> np.ndarray:
-    """One byte per slot: four steps for each doubling of its count."""
-    return np.minimum(4 * np.log2(1.0 + sketch), 255).astype(np.uint8)
+    """One byte per slot: four steps for each doubling of its count.  By parts, as a slot takes 8 bytes on the way."""
+    out = np.empty(len(sketch), np.uint8)
+    for at in range(0, len(sketch), 1 << BLOCK_BITS):
+        part = slice(at, at + (1 << BLOCK_BITS))
+        out[part] = np.minimum(4 * np.log2(1.0 + sketch[part]), 255)
+    return out
 
 
 def boundary(sizes: dict[int, int], sketch: np.ndarray, threshold: int) -> int:
@@ -127,9 +131,13 @@ def boundary(sizes: dict[int, int], sketch: np.ndarray, threshold: int) -> int:
     occurrences in the sketch, beyond what sharing a slot by chance adds up to.
     """
     total = float(sketch.sum())
-    counts = np.sort(sketch.astype(float))
-    rare = counts[: int(np.searchsorted(np.cumsum(counts), total * (100 - threshold) / 100)) + 1]
-    mean = max(float((rare**2).sum()) / max(float(rare.sum()), 1.0) - total / len(sketch) - 1.0, 0.0)
+    count, slots = (x.astype(float) for x in np.unique(sketch, return_counts=True))
+    upto = np.cumsum(count * slots)
+    last = int(np.searchsorted(upto, total * (100 - threshold) / 100))
+    before = upto[last] - count[last] * slots[last]
+    rare = np.append(slots[:last], max(np.ceil((total * (100 - threshold) / 100 - before) / max(count[last], 1.0)), 1.0))
+    count = count[: last + 1]
+    mean = max(float((rare * count**2).sum()) / max(float((rare * count).sum()), 1.0) - total / len(sketch) - 1.0, 0.0)
     n = np.array(sorted(sizes), np.int64)
     many = np.array([sizes[k] for k in n.tolist()], float)
     prefix = n - least_overlap(n, threshold) + 1

@@ -23,9 +23,14 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# The corpus operators broadcast by name what has one size whatever the input, and their tables
+# are written as they are read: taken for larger, small ones would be shuffled with all texts.
+CORPUS_SETTINGS = SETTINGS | {"spark.sql.sources.fileCompressionFactor": "1.0"}
+
+
+def tune(spark: SparkSession, settings: dict[str, str] = SETTINGS) -> SparkSession:
     """Apply the runtime settings above to a session made elsewhere."""
-    for key, value in SETTINGS.items():
+    for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 

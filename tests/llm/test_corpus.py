@@ -89,6 +89,31 @@ def test_pieces_of_different_tasks_meet(documents):
     assert all(sorted(p) in ([(0, 600), (600, 400)], [(0, 400), (400, 600)]) for p in places.values())
 
 
+def test_ids_stay_where_they_are(spark, documents):
+    """Whatever the table's size, pieces meet their tasks' sums and their places without a shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = packing.pack_documents(documents([(i, "a b " * i) for i in range(40)]).repartition(5))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert sum(r.length for r in got.collect()) == got.selectExpr("sum(length)").first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_corpus_queries_take_files_for_what_they_are(spark, sf_dir):
+    import __spark_entry__
+
+    name = "spark.sql.sources.fileCompressionFactor"
+    found, before = __spark_entry__.queries(), spark.conf.get(name)
+    try:
+        for query, factor in (("dq_report_person", "8.0"), ("op13_sharding", "1.0"), ("dq_report_person", "8.0")):
+            found[query](spark, sf_dir)
+            assert spark.conf.get(name) == factor
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_patterns_are_those_of_single_pieces():
     rng = np.random.default_rng(5)
     for low, high in ((1, 101), (20, 50), (34, 101), (60, 61)):
