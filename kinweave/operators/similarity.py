@@ -6,6 +6,10 @@ edits separate two values, and the longer one is cut into k + 1 segments, one se
 occur unchanged in the shorter one, close to its own position.  A signature shared by too
 many records is split by the signatures of the next fuzzy field, and so on.
 
+On large tables, fields with few distinct values are compared value by value beforehand.  A row
+then asks under each of its values' partners, so only rows that are similar in all of these
+fields meet, and each two of them once.
+
 Rows under signatures are many times what the optimizer makes of the small table they come
 from, so their joins are marked as merge joins: a broadcast of them would fill the driver.
 
@@ -22,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.functions.values import edit_budget, similarity
+from kinweave.functions.values import edit_budget, is_similar, similarity
 from kinweave.operators.exact import all_present
 from kinweave.session import cut
 
@@ -43,6 +47,11 @@ PLANNED_ROWS = 4_096
 WORTH_PLANNING = 2_000_000_000
 SIGNATURE_COST = 20
 
+# On such tables, fields with so few distinct values are compared value by value first, unless a
+# value has more partners than that on average: each makes a row.
+FEW_VALUES = 2_000
+MANY_PARTNERS = 8
+
 # What rows may be marked with: the component they are known to be of, or whether they still
 # ask for partners.
 ROOT, ASKS = "_root", "_asks"
@@ -171,20 +180,21 @@ def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = N
 
 
 def _verified(
-    joined: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float, apart: bool = False
+    joined: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float, apart: bool = False,
+    known: Sequence[str] = (),
 ) -> DataFrame:
     """Rows with structs `a` and `b` that pass every field test, as canonical pairs.
 
     The longer value has the larger budget, so the larger budget is that of the pair.
     Lengths of all fields are compared before the first edit distance, which stops at the
-    budget and answers -1 beyond it.
+    budget and answers -1 beyond it.  Fields in `known`, by which the rows met, come last.
     """
     test = F.col("a.pid") != F.col("b.pid")
     if apart:
         test = test & (F.col(f"a.{ROOT}") != F.col(f"b.{ROOT}"))
     for name in exact:
         test = test & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    budgets = {f.name: F.greatest(f"a.k_{f.name}", f"b.k_{f.name}") for f in _by_threshold(fuzzy)}
+    budgets = {f.name: F.greatest(f"a.k_{f.name}", f"b.k_{f.name}") for f in sorted(_by_threshold(fuzzy), key=lambda f: f.name in known)}
     for name, budget in budgets.items():
         test = test & (F.abs(F.col(f"a.n_{name}") - F.col(f"b.n_{name}")) <= budget)
     for name, budget in budgets.items():
@@ -208,9 +218,12 @@ def _first_meeting(level: int, field: FuzzyField) -> Column:
     return first & (F.col(f"left_longer{level}") | (la < lb))
 
 
-def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[FuzzyField]) -> DataFrame:
+def _join_sides(
+    long_side: DataFrame, short_side: DataFrame, split: Sequence[FuzzyField], few: FuzzyField | None = None
+) -> DataFrame:
     """Candidate pairs of the signatures over the fields split by so far; where rows are
-    marked, those with an asking row."""
+    marked, those with an asking row.  `few`: the first field compared value by value, in whose
+    place the signatures start with no field."""
     def meet(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.drop(ASKS).withColumnRenamed("v", "a").join(
             right.select("h", F.col("v").alias("b")).hint("merge"), "h")
@@ -220,7 +233,9 @@ def _join_sides(long_side: DataFrame, short_side: DataFrame, split: Sequence[Fuz
             meet(long_side.where(~F.col(ASKS)), short_side.where(ASKS)))
     else:
         met = meet(long_side, short_side)
-    for level, field in enumerate(split):
+    if few:
+        met = met.where((F.col(f"a.{few.name}") != F.col(f"b.{few.name}")) | (F.col("a.pid") < F.col("b.pid")))
+    for level, field in enumerate(split, start=1 if few else 0):
         met = met.where(_first_meeting(level, field))
     return met
 
@@ -306,6 +321,45 @@ def signature_sides(
     )
 
 
+def partner_values(rows: DataFrame, field: FuzzyField) -> DataFrame:
+    """(value, `partners`: all values similar to it, itself too), cut; meant for few values."""
+    value = F.col(field.name)
+    values = cut(rows.select(value).distinct(), "values")
+    other = values.select(value.alias("other"))
+    near = values.crossJoin(other).where(is_similar(value, F.col("other"), field.threshold))
+    return cut(near.groupBy(field.name).agg(F.collect_list("other").alias("partners")), "partners")
+
+
+def few_valued(rows: DataFrame, fuzzy: Sequence[FuzzyField]) -> list[tuple[FuzzyField, DataFrame]]:
+    """The fields to be compared value by value, each with its `partner_values`."""
+    counts = rows.agg(*[F.approx_count_distinct(f.name).alias(f.name) for f in fuzzy]).first()
+    found = [(f, partner_values(rows, f)) for f in fuzzy if 0 < counts[f.name] <= FEW_VALUES]
+    return [(f, near) for f, near in found if near.agg(F.avg(F.size("partners"))).first()[0] <= MANY_PARTNERS]
+
+
+def paired_sides(
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], few: Sequence[tuple[FuzzyField, DataFrame]],
+    mark: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(h, v) twice: every row `v` under its values of the fields in `few` and each partner of
+    them, as (own, partner) on one side and (partner, own) on the other.  Of the first field the
+    smaller value is always on the one side, so rows that differ in it meet once."""
+    row = _row(exact, fuzzy, mark)
+
+    def side(is_long: bool) -> DataFrame:
+        given, keys = rows, [F.col(c) for c in exact]
+        for number, (field, near) in enumerate(few):
+            own, partner = F.col(field.name), F.col(f"_partner{number}")
+            # As many rows as there are few values: known to be small.
+            given = given.join(F.broadcast(near), field.name).withColumn(f"_partner{number}", F.explode("partners")).drop("partners")
+            if not number:
+                given = given.where(own <= partner if is_long else partner <= own)
+            keys += [own, partner] if is_long else [partner, own]
+        return given.select(F.xxhash64(*keys).alias("h"), row.alias("v"))
+
+    return side(True), side(False)
+
+
 def _asking(long_side: DataFrame, short_side: DataFrame, mark: str) -> list[DataFrame]:
     """Both sides with a column that says which rows ask for partners.
 
@@ -354,8 +408,20 @@ def _is_large(rows: DataFrame, worth: float) -> int:
     return count if count ** 2 > worth else 0
 
 
+def paired_cost(
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], few: Sequence[tuple[FuzzyField, DataFrame]]
+) -> float:
+    """What comparing the fields in `few` value by value would cost, as `lead_costs` counts it."""
+    long_side, short_side = paired_sides(rows, exact, fuzzy, few)
+    sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s")).unionByName(
+        short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s")))
+    counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"))
+    cost = F.sum(F.col("l") + F.col("s")) * F.lit(float(SIGNATURE_COST)) + F.sum(F.col("l").cast("double") * F.col("s"))
+    return counts.agg(cost).first()[0] or 0.0
+
+
 def _order(
-    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float, costs: Sequence[float] | None = None
 ) -> list[FuzzyField]:
     """The order in which fields make signatures: by cost, where there are two of them and
     a table of more than `worth` pairs; otherwise by threshold.  The pairs are the same."""
@@ -363,18 +429,39 @@ def _order(
     count = _is_large(rows, worth) if len(order) > 1 else 0
     if not count:
         return order
-    costs = lead_costs(rows, exact, order, PLANNED_ROWS / count)
+    costs = costs or lead_costs(rows, exact, order, PLANNED_ROWS / count)
     return [order[i] for i in sorted(range(len(order)), key=lambda i: costs[i])]
 
 
+def _plan(
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float
+) -> tuple[list[tuple[FuzzyField, DataFrame]], list[FuzzyField]]:
+    """The fields compared value by value first, where a table has more than `worth` pairs and that
+    costs less than signatures, and the order of the others.  The pairs are the same."""
+    order, costs = _by_threshold(fuzzy), None
+    count = _is_large(rows, worth)
+    few = few_valued(rows, order) if count else []
+    if few:
+        costs = lead_costs(rows, exact, order, PLANNED_ROWS / count)
+        if paired_cost(rows, exact, fuzzy, few) <= min(costs):
+            paired = {f.name for f, _ in few}
+            return few, [f for f in order if f.name not in paired]
+    return [], _order(rows, exact, fuzzy, worth, costs)
+
+
 def crowds(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField],
-    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN,
+    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, worth_planning: int = WORTH_PLANNING,
 ) -> float:
-    """Candidate pairs in the crowded signatures of the leading field."""
-    order = [*_by_threshold(fuzzy), None]
-    known = known_signatures(rows, order[0])
-    hot = _crowded(*signature_sides(rows, exact, fuzzy, known=known), order[1], split_pairs, split_gain)
+    """Candidate pairs in the crowded signatures of the leading field, or of the fields with few values."""
+    few, order = _plan(rows, exact, fuzzy, worth_planning)
+    if few:
+        sides, nxt = paired_sides(rows, exact, fuzzy, few), order[0] if order else None
+    else:
+        order = _by_threshold(fuzzy)
+        sides = signature_sides(rows, exact, fuzzy, known=known_signatures(rows, order[0]))
+        nxt = order[1] if len(order) > 1 else None
+    hot = _crowded(*sides, nxt, split_pairs, split_gain)
     return hot.agg(F.sum("pairs")).first()[0] or 0.0
 
 
@@ -392,25 +479,31 @@ def similar_pairs(
 
     Runs a counting job per split, to learn which signatures are worth splitting.
     """
-    order = _order(rows, exact, fuzzy, worth_planning)
-    known = known_signatures(rows, order[0], fine) if _is_large(rows, worth_planning) else None
-    long_side, short_side = signature_sides(rows, exact, fuzzy, mark, fine, order[0], known)
+    few, order = _plan(rows, exact, fuzzy, worth_planning)
+    if few:
+        long_side, short_side = paired_sides(rows, exact, fuzzy, few, mark)
+        order = [None, *order]
+        first, paired = few[0][0], [f.name for f, _ in few]
+    else:
+        first, paired = None, []
+        known = known_signatures(rows, order[0], fine) if _is_large(rows, worth_planning) else None
+        long_side, short_side = signature_sides(rows, exact, fuzzy, mark, fine, order[0], known)
     if mark:
         long_side, short_side = _asking(long_side, short_side, mark)
     apart = mark == ROOT
     done: list[DataFrame] = []
     for level in range(len(order)):
-        split = order[: level + 1]
+        split = [f for f in order[: level + 1] if f]
         nxt = order[level + 1] if level + 1 < len(order) else None
         if nxt is not None:
             hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain), "crowded")
             total, signatures = hot.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.count("*")).first()
             hot = hot.hint("merge") if signatures > MANY_SIGNATURES else hot
         if nxt is None or not total or total < worth_splitting:
-            done.append(_verified(_join_sides(long_side, short_side, split), exact, fuzzy, min_score, apart))
+            done.append(_verified(_join_sides(long_side, short_side, split, first), exact, fuzzy, min_score, apart, paired))
             break
         cold = [s.join(hot, "h", "left_anti") for s in (long_side, short_side)]
-        done.append(_verified(_join_sides(*cold, split), exact, fuzzy, min_score, apart))
+        done.append(_verified(_join_sides(*cold, split, first), exact, fuzzy, min_score, apart, paired))
         long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
         short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
     return reduce(DataFrame.unionByName, done).dropDuplicates(["id_a", "id_b"])
