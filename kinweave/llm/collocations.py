@@ -34,6 +34,8 @@ MOST_WORDS = 5
 TRIGGER_BITS = 5
 SLICE = 1 << 22
 HELD = 2_000_000
+#: What is sent of a pair's hash.
+PAIR_BITS = ~np.uint64((1 << 24) - 1)
 UNDETERMINED = "und"
 
 BREAK = np.zeros(256, bool)
@@ -193,19 +195,22 @@ def _over(chunks: DataFrame, count: Callable[[Words, pa.RecordBatch], Iterator[p
 
 
 def _rows(found: Words, batch: pa.RecordBatch, n: int, at: np.ndarray, hashes: np.ndarray, check: np.ndarray) -> pa.RecordBatch:
-    """The distinct phrases of n words that begin at `at`, with their language, frequency and hash."""
+    """The distinct phrases of n words that begin at `at`, with their language and frequency."""
     which, total = _summed(found.weight[at], hashes, check)
     begin = at[which]
     # A single blank stands between the words of a piece, so a phrase is a span.
     phrase = _spans(found.data, found.starts[begin], found.ends[begin + n - 1])
     lang = batch.column("lang").take(pa.array(found.row[begin]))
     return pa.RecordBatch.from_arrays(
-        [lang, pa.array(np.full(len(which), n, np.int32)), phrase, pa.array(total), pa.array(hashes[which].view(np.int64))],
-        names=["lang", "words", "phrase", "f", "h"],
-    )
+        [lang, pa.array(np.full(len(which), n, np.int32)), phrase, pa.array(total)], names=["lang", "words", "phrase", "f"])
+
 
+PHRASES = "lang string, words int, phrase string, f long"
 
-PHRASES = "lang string, words int, phrase string, f long, h long"
+
+def _added(found: DataFrame, least: int) -> DataFrame:
+    """Sums by the phrases themselves."""
+    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
 def _frequent_words(chunks: DataFrame, least: int) -> DataFrame:
@@ -216,14 +221,18 @@ def _frequent_words(chunks: DataFrame, least: int) -> DataFrame:
     return _added(_over(chunks, count, PHRASES), least)
 
 
-def _added(found: DataFrame, least: int) -> DataFrame:
-    """Sums by the phrases themselves; the hash is the same for all rows of one."""
-    summed = found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"), F.min("h").alias("h"))
-    return summed.where(F.col("f") >= least)
+def _word_hashes(single: DataFrame) -> DataFrame:
+    """(h) of words: worked out again for the frequent ones, not sent along with all words."""
+
+    def hashes(found: Words, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(found.hashes.view(np.int64))], names=["h"])
+
+    return _over(single.select("lang", F.col("words").alias("own"), F.col("phrase").alias("text"), F.col("f").alias("times")), hashes, "h long")
 
 
 def _frequent_pairs(chunks: DataFrame, frequent: np.ndarray, least: int) -> DataFrame:
-    """(h): hashes of all pairs of frequent words that are frequent, and of few others."""
+    """(h): hashes of all pairs of frequent words that are frequent, and of few others.  They go without their lowest
+    bits, which the bitmap does not use: of 10^9 pairs one in 1,000 shares its hash, and most of these stay rare."""
     sent = chunks.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +253,7 @@ def _frequent_pairs(chunks: DataFrame, frequent: np.ndarray, least: int) -> Data
             at = at[known[at] & known[at + 1]] if len(at) else at
             if not len(at):
                 continue
-            hashes = _runs(found.hashes, 2)[at]
+            hashes = _runs(found.hashes, 2)[at] & PAIR_BITS
             which, total = _summed(found.weight[at], hashes)
             held.append((hashes[which], total))
             if sum(len(h) for h, _ in held) > 2 * HELD:
@@ -286,9 +295,8 @@ def frequent_phrases(chunks: DataFrame, least: int, most: int = MOST_WORDS) -> D
     result is in it too.  Runs jobs.
     """
     single = cut(_frequent_words(chunks, least), "frequent_words")
-    pairs = cut(_frequent_pairs(chunks, bitmap(single), least), "frequent_pairs")
-    longer = cut(_frequent_phrases(chunks, bitmap(pairs), least, most), "frequent_phrases")
-    return single.unionByName(longer).select("lang", "words", "phrase", "f")
+    pairs = cut(_frequent_pairs(chunks, bitmap(_word_hashes(single)), least), "frequent_pairs")
+    return single.unionByName(_frequent_phrases(chunks, bitmap(pairs), least, most))
 
 
 def _part(split: Column, first: Column, count: Column) -> Column:

@@ -151,6 +151,18 @@ def test_collocations_of_few_words_and_odd_texts(spark, documents, clashing):
         collocations(documents([]), most=1)
 
 
+def test_counted_rows_take_no_hashes_along(spark, documents, monkeypatch):
+    added, sent = phrases._added, []
+    monkeypatch.setattr(phrases, "_added", lambda found, least: sent.append(found.columns) or added(found, least))
+    rows = [(i, f"w{i} often seen v{i}", "en" if i % 2 else None, "s") for i in range(40)]
+    chunks = parse(documents(rows))
+    assert sorted(map(tuple, phrases.frequent_phrases(chunks, 20).collect())) == [
+        (lang, n, p, 20) for lang in ("en", "und") for n, p in ((1, "often"), (1, "seen"), (2, "often seen"))]
+    assert sent == [["lang", "words", "phrase", "f"]] * 2
+    pairs = phrases._frequent_pairs(chunks, np.full(1 << 23, 255, np.uint8), 1)
+    assert pairs.count() == 2 * 41 and pairs.where("h & 16777215 <> 0").count() == 0
+
+
 def test_hashes_that_meet_are_told_apart():
     weight, h, check = np.array([1, 2, 3, 4]), np.array([7, 7, 9, 7], np.uint64), np.array([1, 2, 5, 1], np.uint64)
     which, total = phrases._summed(weight, h, check)
