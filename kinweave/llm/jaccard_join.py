@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -92,8 +93,26 @@ def _surveyed(docs: DataFrame, width: int, seed: int) -> DataFrame:
     return docs.mapInArrow(survey, f"key {key_type}, n long, name long, check long, block int, counts binary")
 
 
-def _summed(survey: DataFrame) -> np.ndarray:
-    """The whole sketch on the driver: a fixed number of counters, however much was counted."""
+def levels(counts: np.ndarray) -> np.ndarray:
+    """One byte per slot: four steps for each doubling of its count."""
+    return np.minimum(4 * np.log2(1.0 + counts), 255).astype(np.uint8)
+
+
+@dataclass
+class Sketch:
+    """What the driver keeps of the counters: a byte for each slot, and how many slots have each count (rising)."""
+
+    level: np.ndarray
+    count: np.ndarray
+    slots: np.ndarray
+
+    def total(self) -> float:
+        return float((self.count * self.slots).sum())
+
+
+def _summed(survey: DataFrame) -> Sketch:
+    """The sketch summed on the executors: its counters do not come to the driver, where they would pass through its
+    memory several times over."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -101,28 +120,26 @@ def _summed(survey: DataFrame) -> np.ndarray:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 own = np.frombuffer(zlib.decompress(counts), "<u4").astype(np.uint64)
                 sums[block] = sums[block] + own if block in sums else own
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([s.astype("<u8").tobytes() for s in sums.values()], pa.binary())],
-                names=["block", "counts"])
+        for block, counts in sums.items():
+            found = [x.astype("<i8").tobytes() for x in np.unique(counts, return_counts=True)]
+            blobs = [pa.array([x], pa.binary()) for x in (levels(counts).tobytes(), *found)]
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *blobs], names=["block", "level", "count", "slots"])
 
     parts = survey.where("block is not null").select("block", "counts").repartition("block")
-    sketch = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.uint64)
-    for row in parts.mapInArrow(add, "block int, counts binary").collect():
-        sketch[row.block] = np.frombuffer(row.counts, "<u8")
-    return sketch.ravel()
-
-
-def levels(sketch: np.ndarray) -> np.ndarray:
-    """One byte per slot: four steps for each doubling of its count.  By parts, as a slot takes 8 bytes on the way."""
-    out = np.empty(len(sketch), np.uint8)
-    for at in range(0, len(sketch), 1 << BLOCK_BITS):
-        part = slice(at, at + (1 << BLOCK_BITS))
-        out[part] = np.minimum(4 * np.log2(1.0 + sketch[part]), 255)
-    return out
-
-
-def boundary(sizes: dict[int, int], sketch: np.ndarray, threshold: int) -> int:
+    level = np.zeros((1 << (SLOT_BITS - BLOCK_BITS), 1 << BLOCK_BITS), np.uint8)
+    count, slots, unused = [np.zeros(1, np.int64)], [], len(level)
+    for block, *blobs in parts.mapInArrow(add, "block int, level binary, count binary, slots binary").collect():
+        level[block] = np.frombuffer(blobs[0], np.uint8)
+        count.append(np.frombuffer(blobs[1], "<i8"))
+        slots.append(np.frombuffer(blobs[2], "<i8"))
+        unused -= 1
+    slots.insert(0, np.array([unused << BLOCK_BITS], np.int64))
+    count, place = np.unique(np.concatenate(count), return_inverse=True)
+    slots = np.bincount(place, np.concatenate(slots)).astype(np.int64)
+    return Sketch(level.ravel(), count[slots > 0], slots[slots > 0])
+
+
+def boundary(sizes: dict[int, int], sketch: Sketch, threshold: int) -> int:
     """Sets below the returned size are light.  `sizes`: how many sets have each size.
 
     Light sets cost a row for each pair of their prefix; heavy ones, and light ones that may
@@ -130,14 +147,14 @@ def boundary(sizes: dict[int, int], sketch: np.ndarray, threshold: int) -> int:
     the rarest shingles, so the lists' mean length is that of the rarest share of all
     occurrences in the sketch, beyond what sharing a slot by chance adds up to.
     """
-    total = float(sketch.sum())
-    count, slots = (x.astype(float) for x in np.unique(sketch, return_counts=True))
+    total = sketch.total()
+    count, slots = sketch.count.astype(float), sketch.slots.astype(float)
     upto = np.cumsum(count * slots)
     last = int(np.searchsorted(upto, total * (100 - threshold) / 100))
     before = upto[last] - count[last] * slots[last]
     rare = np.append(slots[:last], max(np.ceil((total * (100 - threshold) / 100 - before) / max(count[last], 1.0)), 1.0))
     count = count[: last + 1]
-    mean = max(float((rare * count**2).sum()) / max(float((rare * count).sum()), 1.0) - total / len(sketch) - 1.0, 0.0)
+    mean = max(float((rare * count**2).sum()) / max(float((rare * count).sum()), 1.0) - total / len(sketch.level) - 1.0, 0.0)
     n = np.array(sorted(sizes), np.int64)
     many = np.array([sizes[k] for k in n.tolist()], float)
     prefix = n - least_overlap(n, threshold) + 1
@@ -478,10 +495,9 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", thr
     # Sizes up to the largest a light set may have, and all others as one.
     sizes = {r.n: r.c for r in by_name.groupBy(F.least("n", F.lit(1024)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()}
     light = boundary(sizes, sketch, threshold) if sizes else 2
-    hot = int(levels(np.array([max(sketch.sum() / (4 * shuffle_width(spark)), 1000.0)]))[0])
-    level = levels(sketch)
-    lists = _lists(rows, level, light, threshold, width, seed, hot)
-    meetings = cut(_meetings(lists.where("not hot"), lists.where("hot") if level.max() >= hot else None), "meetings")
+    hot = int(levels(np.array([max(sketch.total() / (4 * shuffle_width(spark)), 1000.0)]))[0])
+    lists = _lists(rows, sketch.level, light, threshold, width, seed, hot)
+    meetings = cut(_meetings(lists.where("not hot"), lists.where("hot") if sketch.level.max() >= hot else None), "meetings")
     chosen = lambda names: cut(by_name.select("name", "key").join(names.distinct(), "name", "left_semi"), "chosen")
     both = lambda pairs: pairs.select("name").union(pairs.select("pivot"))
     marks = cut(_found(rows, chosen(both(meetings)), width, seed, "bits"), "marks")

@@ -6,11 +6,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from kinweave.llm import exact_dedup, jaccard_join, suffix_dedup
+from kinweave.llm.common import ship
 from kinweave.llm.exact_dedup import drop_copies, mark_copies
+from kinweave.llm.shingles import shingle_sets
 from tests_common import words_of
 
 EMPTY = [(1, None), (2, ""), (3, " \n\t")]
@@ -133,6 +136,21 @@ def test_similar_groups(documents, monkeypatch, shape):
     assert grouped(jaccard_join.similar_groups(documents(rows))) == similar(rows)
 
 
+def test_the_driver_gets_levels_and_no_counters(spark, documents):
+    rows = [(i, " ".join(f"w{k % (i + 9)}" for k in range(300))) for i in range(40)]
+    ship(spark)
+    survey = jaccard_join._surveyed(documents(rows).select(F.col("doc_id").alias("key"), "text").repartition(3), 5, 1)
+    sketch = jaccard_join._summed(survey)
+    hashes, _ = shingle_sets(pa.array([t for _, t in rows]), 5)
+    want = np.bincount(jaccard_join._slots(hashes), minlength=1 << jaccard_join.SLOT_BITS)
+    assert want.max() > 3 and sketch.level.dtype == np.uint8 and (sketch.level == jaccard_join.levels(want)).all()
+    count, slots = np.unique(want, return_counts=True)
+    assert (sketch.count.tolist(), sketch.slots.tolist()) == (count.tolist(), slots.tolist())
+    assert sketch.total() == want.sum()
+    nothing = jaccard_join._summed(survey.where("false"))
+    assert not nothing.level.any() and (nothing.count.tolist(), nothing.slots.tolist()) == ([0], [1 << jaccard_join.SLOT_BITS])
+
+
 @pytest.mark.parametrize("light", [2, 40, 256])
 def test_any_boundary_loses_nothing(documents, monkeypatch, light):
     monkeypatch.setattr(jaccard_join, "boundary", lambda *a: light)
