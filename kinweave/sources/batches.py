@@ -17,6 +17,11 @@ def _walk(spark: SparkSession, folder: str, recursive: bool) -> Iterator[str]:
             yield name
 
 
+def _literal(name: str) -> str:
+    """A pattern that only `name` matches: Spark takes paths, as it takes name filters, for patterns."""
+    return "".join(f"\\{c}" if c in "*?[]{}^\\" else c for c in name)
+
+
 def latest_folder(spark: SparkSession, base: str, pattern: str = ".json") -> tuple[str, bool] | None:
     """(folder, whether what lies below it counts): the lexicographically greatest first-level folder below `base` that has
     a file whose path contains `pattern`; `base` itself, without what lies below, where only that has one.
@@ -55,6 +60,6 @@ def read_latest(
         return None
     folder, recursive = found
     if first_only or "/" in pattern or pattern in folder:
-        return read_entities(spark, latest_batch(spark, base, pattern, first_only), fmt, schema)
-    glob = "*" + "".join(f"[{c}]" if c in "*?[{" else f"\\{c}" if c in "\\]}^" else c for c in pattern) + "*"
-    return read_entities(spark, folder, fmt, schema, pathGlobFilter=glob, recursiveFileLookup=str(recursive).lower())
+        return read_entities(spark, [_literal(f) for f in latest_batch(spark, base, pattern, first_only)], fmt, schema)
+    options = {"pathGlobFilter": f"*{_literal(pattern)}*", "recursiveFileLookup": str(recursive).lower()}
+    return read_entities(spark, _literal(folder), fmt, schema, **options)

@@ -254,6 +254,14 @@ def test_an_endless_quote_gathers_no_file(spark, tmp_path):
     assert csv_records(spark, path, most_lines=100).count() == 1
 
 
+@pytest.mark.parametrize("sign", list("*?[]{}^!,$+("))
+def test_a_sign_of_name_patterns_stands_for_itself(spark, tmp_path, sign):
+    put(tmp_path / "in" / "1" / f"a{sign}b.json", '{"id":"1"}\n')
+    put(tmp_path / "in" / "1" / "axb.json", '{"id":"2"}\n')
+    assert [r.id for r in read_latest(spark, str(tmp_path / "in"), "json", "id string", f"a{sign}b").collect()] == ["1"]
+    assert [r.id for r in read_latest(spark, str(tmp_path / "in"), "json", "id string", f"/a{sign}").collect()] == ["1"]
+
+
 def test_the_latest_folder_is_read_by_its_name(spark, tmp_path):
     base = tmp_path / "in"
     put(base / "1" / "a[1].json", '{"id":"1"}\n')
