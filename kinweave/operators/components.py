@@ -3,12 +3,16 @@
 Alternating large-star and small-star rounds (Kiveris et al., "Connected Components in
 MapReduce and Beyond", 2014) on edges that point from the larger to the smaller id.  The
 number of edges never grows, and each round is an aggregate and a join.
+
+Many links, as a similarity join lists them for a dense crowd, are thinned out first: what a
+task reads in a row has the same components as a forest of it, with less than a link a node.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinweave.session import cut
 
@@ -16,6 +20,60 @@ from kinweave.session import cut
 # A node with this many edges is a hub: its join partition is left to AQE's skew split.
 HUB_DEGREE = 1_000_000
 
+# Above so many edges, the half-way result of a round is a table: it is read three times.
+WORTH_CUTTING = 100_000
+
+# From so many links on they are thinned out, in runs of so many: a few MB of a task.
+MANY_LINKS = 1_000_000
+RUN = 200_000
+
+
+def thinned(links: DataFrame, many: int = MANY_LINKS, run: int = RUN) -> DataFrame:
+    """Links (a, b) with the same components, and fewer of them where there are many.
+
+    `links` is counted, and read again by the caller: meant for a table.
+    """
+    a, b = links.columns
+    simple = isinstance(links.schema[a].dataType, (T.StringType, T.IntegralType)) and links.schema[a].dataType == links.schema[b].dataType
+    if not simple or links.count() < many:
+        return links
+
+    # A function of its own: executors need no copy of this package.
+    def forests(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def forest(held):
+            """Every node but the roots, linked to its root: roots are hung under smaller ones until no link is left."""
+            table = pa.Table.from_batches(held)
+            ends = pa.chunked_array([*table.column(0).chunks, *table.column(1).chunks]).combine_chunks().dictionary_encode()
+            x, y = np.split(ends.indices.to_numpy(), 2)
+            root = np.arange(len(ends.dictionary))
+            while len(x):
+                x, y = root[x], root[y]
+                apart = x != y
+                x, y = x[apart], y[apart]
+                root[np.maximum(x, y)] = np.minimum(x, y)
+                while (root != root[root]).any():
+                    root = root[root]
+            node = np.flatnonzero(root != np.arange(len(root)))
+            sides = [ends.dictionary.take(pa.array(i)) for i in (node, root[node])]
+            return pa.RecordBatch.from_arrays(sides, schema=table.schema)
+
+        held, size = [], 0
+        for batch in batches:
+            held, size = [*held, batch], size + batch.num_rows
+            if size >= run:
+                held = [forest(held)]
+                size = held[0].num_rows
+                if 2 * size >= run:
+                    yield held[0]
+                    held, size = [], 0
+        if size:
+            yield forest(held)
+
+    return links.where(F.col(a) != F.col(b)).mapInArrow(forests, links.schema)
+
 
 def _lowest(edges: DataFrame, hubs: bool) -> DataFrame:
     """The smallest `lo` of every `hi`.  With hubs around it is cut into a table, because
@@ -40,17 +98,17 @@ def _small_star(edges: DataFrame, hubs: bool) -> DataFrame:
     return lowest.unionByName(others).select("hi", F.col("lower").alias("lo")).distinct()
 
 
-def _shape(edges: DataFrame, hub_degree: int) -> tuple[bool, bool]:
-    """(settled, hubs).  Settled: every `hi` has one `lo`, and no `lo` is itself a `hi`."""
+def _shape(edges: DataFrame, hub_degree: int) -> tuple[bool, bool, int]:
+    """(settled, hubs, edges).  Settled: every `hi` has one `lo`, and no `lo` is itself a `hi`."""
     ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
     ends = ends.unionByName(
         edges.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
     )
     nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
-    open_nodes, degree = nodes.agg(
-        F.count_if(F.expr("up > 1 or (up = 1 and down > 0)")), F.max(F.col("up") + F.col("down"))
+    open_nodes, degree, size = nodes.agg(
+        F.count_if(F.expr("up > 1 or (up = 1 and down > 0)")), F.max(F.col("up") + F.col("down")), F.sum("up")
     ).first()
-    return open_nodes == 0, (degree or 0) >= hub_degree
+    return open_nodes == 0, (degree or 0) >= hub_degree, size or 0
 
 
 def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: int | None = None) -> DataFrame:
@@ -65,11 +123,12 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: i
     )
     edges = cut(edges, "edges")
     hub_degree = HUB_DEGREE if hub_degree is None else hub_degree
-    settled, hubs = _shape(edges, hub_degree)
+    settled, hubs, size = _shape(edges, hub_degree)
     while not settled:
         re_hung = _large_star(edges, hubs)
-        edges = cut(_small_star(cut(re_hung, "edges") if hubs else re_hung, hubs), "edges")
-        settled, hubs = _shape(edges, hub_degree)
+        re_hung = cut(re_hung, "edges") if hubs or size >= WORTH_CUTTING else re_hung
+        edges = cut(_small_star(re_hung, hubs), "edges")
+        settled, hubs, size = _shape(edges, hub_degree)
     members = edges.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
     roots = edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
     return members.unionByName(roots)

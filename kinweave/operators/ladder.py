@@ -21,9 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinweave.operators.components import components
+from kinweave.operators.components import components, thinned
 from kinweave.operators.similarity import (
-    ASKS, ROOT, SPLIT_GAIN, SPLIT_PAIRS, FuzzyField, crowds, similar_pairs,
+    ASKS, ROOT, SPLIT_GAIN, SPLIT_PAIRS, WORTH_PLANNING, FuzzyField, Plan, _plan, crowds, similar_pairs,
 )
 from kinweave.session import cut
 
@@ -49,12 +49,14 @@ def raised(exact: Sequence[str], fuzzy: Sequence[FuzzyField], score: float) -> l
 
 def _is_crowded(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float, limits: dict[str, float]
-) -> bool:
-    """Whether steps are worth it; a table too small for that many pairs is not asked."""
+) -> tuple[bool, Plan | None]:
+    """Whether steps are worth it, and the plan of all pairs if it was made for that; a table too
+    small for that many pairs is not asked."""
     if worth <= 0 or rows.count() ** 2 < worth:
-        return worth <= 0
-    counted = {"split_pairs": SPLIT_PAIRS, "split_gain": SPLIT_GAIN} | limits
-    return crowds(rows, exact, fuzzy, counted["split_pairs"], counted["split_gain"]) >= worth
+        return worth <= 0, None
+    counted = {"split_pairs": SPLIT_PAIRS, "split_gain": SPLIT_GAIN, "worth_planning": WORTH_PLANNING} | limits
+    plan = _plan(rows, exact, fuzzy, counted["worth_planning"])
+    return crowds(rows, exact, fuzzy, counted["split_pairs"], counted["split_gain"], plan) >= worth, plan
 
 
 def linking_pairs(
@@ -66,18 +68,19 @@ def linking_pairs(
 
     Runs jobs: a similarity join and the components a step.
     """
-    if not _is_crowded(rows, exact, fuzzy, worth_climbing, limits):
-        return similar_pairs(rows, exact, fuzzy, min_score, **limits)
+    crowded, plan = _is_crowded(rows, exact, fuzzy, worth_climbing, limits)
+    if not crowded:
+        return similar_pairs(rows, exact, fuzzy, min_score, **limits, plan=plan)
     found = None
     marked, mark = rows, None
     for score in step_scores(exact, fuzzy, min_score, steps):
         pairs = similar_pairs(marked, exact, raised(exact, fuzzy, score), score, **limits, mark=mark, fine=True)
         pairs = cut(pairs, "step")
         found = pairs if found is None else found.unionByName(pairs)
-        member = components(found.select("id_a", "id_b")).select(F.col("id").alias("pid"), F.col("root").alias(ROOT))
+        member = components(thinned(found.select("id_a", "id_b"))).select(F.col("id").alias("pid"), F.col("root").alias(ROOT))
         marked = cut(rows.join(member, "pid", "left").withColumn(ROOT, F.coalesce(ROOT, "pid")), "marked")
         mark = ROOT
-    rest = similar_pairs(marked, exact, fuzzy, min_score, **limits, mark=mark)
+    rest = similar_pairs(marked, exact, fuzzy, min_score, **limits, mark=mark, plan=plan)
     return rest if found is None else found.unionByName(rest)
 
 
@@ -95,14 +98,16 @@ def best_partners(
     steps: Sequence[float] = STEPS, worth_climbing: float = WORTH_CLIMBING, **limits: float,
 ) -> DataFrame:
     """(pid, partner, score): the best `k` similar profile rows of each, by score, then id."""
-    if not _is_crowded(rows, exact, fuzzy, worth_climbing, limits):
-        return _ranked(similar_pairs(rows, exact, fuzzy, min_score, **limits), k)
+    crowded, plan = _is_crowded(rows, exact, fuzzy, worth_climbing, limits)
+    if not crowded:
+        return _ranked(similar_pairs(rows, exact, fuzzy, min_score, **limits, plan=plan), k)
     marked = rows.withColumn(ASKS, F.lit(True))
     done = None
     for score in [*step_scores(exact, fuzzy, min_score, steps), None]:
         last = score is None
         fields = fuzzy if last else raised(exact, fuzzy, score)
-        pairs = similar_pairs(marked, exact, fields, min_score if last else score, **limits, mark=ASKS, fine=not last)
+        pairs = similar_pairs(
+            marked, exact, fields, min_score if last else score, **limits, mark=ASKS, fine=not last, plan=plan if last else None)
         best = cut(_ranked(pairs, k).join(marked.where(ASKS).select("pid"), "pid", "left_semi"), "partners")
         if not last:
             proven = best.groupBy("pid").count().where(F.col("count") >= k).select("pid")

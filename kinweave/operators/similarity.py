@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.functions.values import edit_budget, is_similar, similarity
+from kinweave.functions.values import edit_budget, is_similar
 from kinweave.operators.exact import all_present
 from kinweave.session import cut
 
@@ -52,6 +52,9 @@ SIGNATURE_COST = 20
 FEW_VALUES = 2_000
 MANY_PARTNERS = 8
 
+# Characters are told apart by their codes modulo this: digits and small letters nearly all are.
+LETTERS = 37
+
 # What rows may be marked with: the component they are known to be of, or whether they still
 # ask for partners.
 ROOT, ASKS = "_root", "_asks"
@@ -161,21 +164,38 @@ def signature_count(c: Column, threshold: float) -> Column:
     return (_reach(c, threshold) - F.length(c) + 1) * parts * parts + parts
 
 
-def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField]) -> Column:
-    """Mean of the field scores, an exact field scoring 1, rounded to 6 places."""
+def letters(c: Column) -> Column:
+    """A bit for each character that occurs, by its code modulo `LETTERS`: an edit changes two at most."""
+    at = F.transform(_count_up(F.lit(1), F.length(c)), lambda i: F.pmod(F.ascii(F.substring(c, i, F.lit(1))), F.lit(LETTERS)))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    return F.aggregate(at, none, lambda found, bit: found.bitwiseOR(F.call_function("shiftleft", one, bit)))
+
+
+def pair_score(a: str, b: str, exact: Sequence[str], fuzzy: Sequence[FuzzyField], budgets: dict[str, Column]) -> Column:
+    """Mean of the field scores, an exact field scoring 1, rounded to 6 places.  The values of each
+    field are known to differ by no more than its budget."""
     total: Column = F.lit(float(len(exact)))
     for f in fuzzy:
-        total = total + similarity(F.col(f"{a}.{f.name}"), F.col(f"{b}.{f.name}"))
+        x, y = F.col(f"{a}.{f.name}"), F.col(f"{b}.{f.name}")
+        share = F.call_function("levenshtein", x, y, budgets[f.name]) / F.greatest(f"{a}.n_{f.name}", f"{b}.n_{f.name}")
+        total = total + F.when(x == y, F.lit(1.0)).otherwise(F.lit(1.0) - share)
     return F.round(total / F.lit(float(len(exact) + len(fuzzy))), 6)
 
 
-def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None) -> Column:
-    """A profile as a struct; lengths and edit budgets are worked out here, once per row,
+def _lettered(rows: DataFrame, fuzzy: Sequence[FuzzyField], known: Sequence[str] = ()) -> DataFrame:
+    """Profiles with the `letters` of the fields that are not known to be similar, before rows are multiplied."""
+    return rows.withColumns({f"_m_{f.name}": letters(F.col(f.name)) for f in fuzzy if f.name not in known})
+
+
+def _row(exact: Sequence[str], fuzzy: Sequence[FuzzyField], mark: str | None = None, known: Sequence[str] = ()) -> Column:
+    """A lettered profile as a struct; lengths and edit budgets are worked out here, once per row,
     so that the test of a pair stays small enough to be compiled well."""
     cols = {c: F.col(c) for c in ["pid", *exact, *([mark] if mark else [])]}
     for f in fuzzy:
         length = F.length(f.name)
         cols |= {f.name: F.col(f.name), f"n_{f.name}": length, f"k_{f.name}": edit_budget(length, f.threshold)}
+        if f.name not in known:
+            cols[f"m_{f.name}"] = F.col(f"_m_{f.name}")
     return F.named_struct(*[x for name, c in cols.items() for x in (F.lit(name), c)])
 
 
@@ -186,8 +206,8 @@ def _verified(
     """Rows with structs `a` and `b` that pass every field test, as canonical pairs.
 
     The longer value has the larger budget, so the larger budget is that of the pair.
-    Lengths of all fields are compared before the first edit distance, which stops at the
-    budget and answers -1 beyond it.  Fields in `known`, by which the rows met, come last.
+    Lengths and letters of all fields are compared before the first edit distance, which stops
+    at the budget and answers -1 beyond it.  Fields in `known`, by which the rows met, come last.
     """
     test = F.col("a.pid") != F.col("b.pid")
     if apart:
@@ -197,12 +217,16 @@ def _verified(
     budgets = {f.name: F.greatest(f"a.k_{f.name}", f"b.k_{f.name}") for f in sorted(_by_threshold(fuzzy), key=lambda f: f.name in known)}
     for name, budget in budgets.items():
         test = test & (F.abs(F.col(f"a.n_{name}") - F.col(f"b.n_{name}")) <= budget)
+    for name, budget in budgets.items():
+        if name not in known:
+            unlike = F.bit_count(F.col(f"a.m_{name}").bitwiseXOR(F.col(f"b.m_{name}")))
+            test = test & (unlike <= budget * 2)
     for name, budget in budgets.items():
         a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
-        test = test & (F.call_function("levenshtein", a, b, budget) >= 0)
+        test = test & ((a == b) | (F.call_function("levenshtein", a, b, budget) >= 0))
     out = joined.where(test).select(
         F.least("a.pid", "b.pid").alias("id_a"), F.greatest("a.pid", "b.pid").alias("id_b"),
-        pair_score("a", "b", exact, fuzzy).alias("score"),
+        pair_score("a", "b", exact, fuzzy, budgets).alias("score"),
     )
     return out.where(F.col("score") >= F.lit(min_score)) if min_score > 0 else out
 
@@ -250,7 +274,10 @@ def _crowded(
         "h", F.lit(1).alias("l"), F.lit(0).alias("s"), asks.alias("la"), F.lit(0).alias("sa"), fan.alias("fan")
     ).unionByName(short_side.select(
         "h", F.lit(0).alias("l"), F.lit(1).alias("s"), F.lit(0).alias("la"), asks.alias("sa"), fan.alias("fan")))
-    counts = sides.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("l", "s", "la", "sa", "fan")])
+    return _hot(sides.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("l", "s", "la", "sa", "fan")]), split_pairs, split_gain)
+
+
+def _hot(counts: DataFrame, split_pairs: int, split_gain: float) -> DataFrame:
     pairs = F.col("la").cast("double") * F.col("s") + (F.col("l") - F.col("la")).cast("double") * F.col("sa")
     enough = (pairs > F.lit(float(split_pairs))) & (pairs > F.lit(split_gain) * F.col("fan"))
     return counts.where(enough).select("h", pairs.alias("pairs"))
@@ -305,7 +332,7 @@ def signature_sides(
     which `i0` is the segment.  `known`: the `known_signatures` of that field, if made before."""
     lead = lead or _by_threshold(fuzzy)[0]
     base = F.xxhash64(*[F.col(c) for c in exact]) if exact else F.lit(0).cast("long")
-    row = _row(exact, fuzzy, mark)
+    row, rows = _row(exact, fuzzy, mark), _lettered(rows, fuzzy)
 
     def side(role: str, signatures: Column) -> DataFrame:
         given = rows
@@ -344,20 +371,38 @@ def paired_sides(
     """(h, v) twice: every row `v` under its values of the fields in `few` and each partner of
     them, as (own, partner) on one side and (partner, own) on the other.  Of the first field the
     smaller value is always on the one side, so rows that differ in it meet once."""
-    row = _row(exact, fuzzy, mark)
+    paired = [f.name for f, _ in few]
+    row, rows = _row(exact, fuzzy, mark, paired), _lettered(rows, fuzzy, paired)
+    return tuple(_under_values(rows, exact, few, is_long).select("h", row.alias("v")) for is_long in (True, False))
 
-    def side(is_long: bool) -> DataFrame:
-        given, keys = rows, [F.col(c) for c in exact]
-        for number, (field, near) in enumerate(few):
-            own, partner = F.col(field.name), F.col(f"_partner{number}")
-            # As many rows as there are few values: known to be small.
-            given = given.join(F.broadcast(near), field.name).withColumn(f"_partner{number}", F.explode("partners")).drop("partners")
-            if not number:
-                given = given.where(own <= partner if is_long else partner <= own)
-            keys += [own, partner] if is_long else [partner, own]
-        return given.select(F.xxhash64(*keys).alias("h"), row.alias("v"))
 
-    return side(True), side(False)
+def _under_values(
+    rows: DataFrame, exact: Sequence[str], few: Sequence[tuple[FuzzyField, DataFrame]], is_long: bool
+) -> DataFrame:
+    """The rows of one of the `paired_sides`, with `h`."""
+    keys = [F.col(c) for c in exact]
+    for number, (field, near) in enumerate(few):
+        own, partner = F.col(field.name), F.col(f"_partner{number}")
+        # As many rows as there are few values: known to be small.
+        rows = rows.join(F.broadcast(near), field.name).withColumn(f"_partner{number}", F.explode("partners")).drop("partners")
+        if not number:
+            rows = rows.where(own <= partner if is_long else partner <= own)
+        keys += [own, partner] if is_long else [partner, own]
+    return rows.withColumn("h", F.xxhash64(*keys))
+
+
+def paired_counts(
+    rows: DataFrame, exact: Sequence[str], few: Sequence[tuple[FuzzyField, DataFrame]], nxt: FuzzyField | None = None
+) -> DataFrame:
+    """(h, l, s, la, sa, fan): how many rows the `paired_sides` have under each `h`, all of them asking, and how many
+    signatures of `nxt`.  Rows with equal values are counted before they are dealt to their partners."""
+    fan = signature_count(F.col(nxt.name), nxt.threshold) if nxt else F.lit(0)
+    alike = rows.groupBy(*dict.fromkeys([*exact, *[f.name for f, _ in few]])).agg(F.count(F.lit(1)).alias("_n"), F.sum(fan).alias("fan"))
+    long_side, short_side = (_under_values(alike, exact, few, is_long) for is_long in (True, False))
+    sides = long_side.select("h", F.col("_n").alias("l"), F.lit(0).alias("s"), "fan").unionByName(
+        short_side.select("h", F.lit(0).alias("l"), F.col("_n").alias("s"), "fan"))
+    return sides.groupBy("h").agg(
+        F.sum("l").alias("l"), F.sum("s").alias("s"), F.sum("l").alias("la"), F.sum("s").alias("sa"), F.sum("fan").alias("fan"))
 
 
 def _asking(long_side: DataFrame, short_side: DataFrame, mark: str) -> list[DataFrame]:
@@ -412,10 +457,7 @@ def paired_cost(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], few: Sequence[tuple[FuzzyField, DataFrame]]
 ) -> float:
     """What comparing the fields in `few` value by value would cost, as `lead_costs` counts it."""
-    long_side, short_side = paired_sides(rows, exact, fuzzy, few)
-    sides = long_side.select("h", F.lit(1).alias("l"), F.lit(0).alias("s")).unionByName(
-        short_side.select("h", F.lit(0).alias("l"), F.lit(1).alias("s")))
-    counts = sides.groupBy("h").agg(F.sum("l").alias("l"), F.sum("s").alias("s"))
+    counts = paired_counts(rows, exact, few)
     cost = F.sum(F.col("l") + F.col("s")) * F.lit(float(SIGNATURE_COST)) + F.sum(F.col("l").cast("double") * F.col("s"))
     return counts.agg(cost).first()[0] or 0.0
 
@@ -433,9 +475,10 @@ def _order(
     return [order[i] for i in sorted(range(len(order)), key=lambda i: costs[i])]
 
 
-def _plan(
-    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float
-) -> tuple[list[tuple[FuzzyField, DataFrame]], list[FuzzyField]]:
+Plan = tuple[list[tuple[FuzzyField, DataFrame]], list[FuzzyField]]
+
+
+def _plan(rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float = WORTH_PLANNING) -> Plan:
     """The fields compared value by value first, where a table has more than `worth` pairs and that
     costs less than signatures, and the order of the others.  The pairs are the same."""
     order, costs = _by_threshold(fuzzy), None
@@ -451,35 +494,34 @@ def _plan(
 
 def crowds(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField],
-    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, worth_planning: int = WORTH_PLANNING,
+    split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, plan: Plan | None = None,
 ) -> float:
     """Candidate pairs in the crowded signatures of the leading field, or of the fields with few values."""
-    few, order = _plan(rows, exact, fuzzy, worth_planning)
+    few, order = plan or _plan(rows, exact, fuzzy)
     if few:
-        sides, nxt = paired_sides(rows, exact, fuzzy, few), order[0] if order else None
+        hot = _hot(paired_counts(rows, exact, few, order[0] if order else None), split_pairs, split_gain)
     else:
         order = _by_threshold(fuzzy)
         sides = signature_sides(rows, exact, fuzzy, known=known_signatures(rows, order[0]))
-        nxt = order[1] if len(order) > 1 else None
-    hot = _crowded(*sides, nxt, split_pairs, split_gain)
+        hot = _crowded(*sides, order[1] if len(order) > 1 else None, split_pairs, split_gain)
     return hot.agg(F.sum("pairs")).first()[0] or 0.0
 
 
 def similar_pairs(
     rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], min_score: float = 0.0,
     split_pairs: int = SPLIT_PAIRS, split_gain: float = SPLIT_GAIN, worth_splitting: int = WORTH_SPLITTING,
-    worth_planning: int = WORTH_PLANNING, mark: str | None = None, fine: bool = False,
+    worth_planning: int = WORTH_PLANNING, mark: str | None = None, fine: bool = False, plan: Plan | None = None,
 ) -> DataFrame:
     """(id_a, id_b, score) over profile rows (`pid` and the fields), `id_a < id_b`.
 
     All pairs whose exact fields are equal, whose fuzzy fields reach their thresholds and
     whose score reaches `min_score`; the limits only choose how the candidates are found.
     With `mark`, a column of `rows`: `ROOT`, pairs whose rows differ in it; `ASKS`, pairs in
-    which it is true of a row.
+    which it is true of a row.  `plan`: the `_plan` of these rows and fields, if made before.
 
     Runs a counting job per split, to learn which signatures are worth splitting.
     """
-    few, order = _plan(rows, exact, fuzzy, worth_planning)
+    few, order = plan or _plan(rows, exact, fuzzy, worth_planning)
     if few:
         long_side, short_side = paired_sides(rows, exact, fuzzy, few, mark)
         order = [None, *order]
@@ -496,7 +538,11 @@ def similar_pairs(
         split = [f for f in order[: level + 1] if f]
         nxt = order[level + 1] if level + 1 < len(order) else None
         if nxt is not None:
-            hot = cut(_crowded(long_side, short_side, nxt, split_pairs, split_gain), "crowded")
+            if first and not level and not mark:
+                hot = _hot(paired_counts(rows, exact, few, nxt), split_pairs, split_gain)
+            else:
+                hot = _crowded(long_side, short_side, nxt, split_pairs, split_gain)
+            hot = cut(hot, "crowded")
             total, signatures = hot.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.count("*")).first()
             hot = hot.hint("merge") if signatures > MANY_SIGNATURES else hot
         if nxt is None or not total or total < worth_splitting:
@@ -506,4 +552,8 @@ def similar_pairs(
         done.append(_verified(_join_sides(*cold, split, first), exact, fuzzy, min_score, apart, paired))
         long_side = _split_by(long_side, hot, nxt, level + 1, is_long=True)
         short_side = _split_by(short_side, hot, nxt, level + 1, is_long=False)
-    return reduce(DataFrame.unionByName, done).dropDuplicates(["id_a", "id_b"])
+    # Rows that met by few values met once, and no more where their signatures were split.
+    once, often = (done[:1], done[1:]) if first else ([], done)
+    if often:
+        once = [*once, reduce(DataFrame.unionByName, often).dropDuplicates(["id_a", "id_b"])]
+    return reduce(DataFrame.unionByName, once)

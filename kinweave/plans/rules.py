@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinweave.operators.components import components
+from kinweave.operators.components import components, thinned
 from kinweave.operators.exact import exact_links
 from kinweave.operators.ladder import linking_pairs
 from kinweave.operators.similarity import FuzzyField, copy_links, profiles, similar_pairs
@@ -141,7 +141,7 @@ def rule_links(df: DataFrame, id_col: str, rule: Rule, **limits: float) -> DataF
     copies = copy_links(df, id_col, rule.names, distinct_rows).distinct()
     pairs = cut(linking_pairs(distinct_rows, rule.exact, rule.fuzzy, rule.min_score, **limits), "pairs")
     best = cut(best_scores(pairs), "best")
-    member = components(pairs.select("id_a", "id_b")).where("id <> root")
+    member = components(thinned(pairs.select("id_a", "id_b"))).where("id <> root")
     stars = member.join(best, "id").join(best.select(F.col("id").alias("root"), F.col("best").alias("root_best")), "root")
     stars = stars.select(
         F.col("root").alias("id_a"), F.col("id").alias("id_b"), F.col("root_best").alias("score_a"), F.col("best").alias("score"))
