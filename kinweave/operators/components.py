@@ -6,6 +6,9 @@ number of edges never grows, and each round is an aggregate and a join.
 
 Many links, as a similarity join lists them for a dense crowd, are thinned out first: what a
 task reads in a row has the same components as a forest of it, with less than a link a node.
+
+Large graphs of up to `ONE_TASK_NODES` nodes are not hung over round by round: their nodes are numbered,
+and what is left of the links, two numbers each, is united in one task that holds a number per node.
 """
 
 from __future__ import annotations
@@ -26,6 +29,11 @@ WORTH_CUTTING = 100_000
 # From so many links on they are thinned out, in runs of so many: a few MB of a task.
 MANY_LINKS = 1_000_000
 RUN = 200_000
+ONE_RUN = 1_000_000
+
+# Graphs from so many links on are united by node numbers, up to so many nodes: 4 bytes each in one task.
+WORTH_NUMBERING = 400_000
+ONE_TASK_NODES = 64_000_000
 
 
 def thinned(links: DataFrame, many: int = MANY_LINKS, run: int = RUN) -> DataFrame:
@@ -111,6 +119,61 @@ def _shape(edges: DataFrame, hub_degree: int) -> tuple[bool, bool, int]:
     return open_nodes == 0, (degree or 0) >= hub_degree, size or 0
 
 
+def _numbered(edges: DataFrame) -> DataFrame:
+    """(id, n), cut: every node with a number, which says the part of the table that it is in, and its place there."""
+    nodes = edges.select(F.col("hi").alias("id")).unionByName(edges.select(F.col("lo").alias("id"))).distinct()
+    return cut(nodes.withColumn("n", F.monotonically_increasing_id()), "nodes")
+
+
+def _united(edges: DataFrame, nodes: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """(id, root) for the ends of `edges` (hi, lo), whose numbers are in `nodes`; `parts`: how many nodes each part holds.
+
+    One task unites what the links' forests leave.  It reads them in batches and holds an array of all nodes,
+    so its memory is bounded by `ONE_TASK_NODES`, whatever the number of links.
+    """
+    first, total = {}, 0
+    for part, count in sorted(parts.items()):
+        first[part], total = total, total + count
+
+    # A function of its own: executors need no copy of this package.
+    def unite(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        start = np.zeros(max(first) + 1, np.int64)
+        start[list(first)] = list(first.values())
+        place = (1 << 33) - 1
+        root = np.arange(total, dtype=np.int32)
+
+        def found(x):
+            while True:
+                up = root[x]
+                if (up == x).all():
+                    return x
+                x = up
+
+        for batch in batches:
+            x, y = (start[n >> 33] + (n & place) for n in (c.to_numpy(zero_copy_only=False) for c in batch.columns))
+            while len(x):
+                x, y = found(x), found(y)
+                apart = x != y
+                x, y = x[apart], y[apart]
+                root[np.maximum(x, y)] = np.minimum(x, y)
+        for part, at in first.items():
+            for low in range(at, at + parts[part], 1 << 16):
+                own = np.arange(low, min(low + (1 << 16), at + parts[part]))
+                top = found(own).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own - at + (part << 33)), pa.array(top)], names=["n", "top"])
+
+    ends = edges
+    for end in ("hi", "lo"):
+        ends = ends.join(nodes.withColumnsRenamed({"id": end, "n": f"n_{end}"}), end)
+    few = cut(thinned(cut(ends.select("n_hi", "n_lo"), "numbered"), WORTH_NUMBERING, ONE_RUN), "few")
+    tops = cut(few.repartition(1).mapInArrow(unite, "n long, top long"), "tops")
+    labelled = cut(nodes.join(tops, "n").select("id", "top"), "labelled")
+    return labelled.join(cut(labelled.groupBy("top").agg(F.min("id").alias("root")), "roots"), "top").select("id", "root")
+
+
 def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: int | None = None) -> DataFrame:
     """(id, root) for every linked id; `root` is the smallest id of its component.
 
@@ -122,8 +185,14 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: i
         .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     )
     edges = cut(edges, "edges")
+    whole = hub_degree is None
     hub_degree = HUB_DEGREE if hub_degree is None else hub_degree
     settled, hubs, size = _shape(edges, hub_degree)
+    if whole and not settled and size >= WORTH_NUMBERING:
+        nodes = _numbered(edges)
+        parts = {r.part: r["count"] for r in nodes.groupBy(F.shiftright("n", 33).cast("int").alias("part")).count().collect()}
+        if sum(parts.values()) <= ONE_TASK_NODES:
+            return _united(edges, nodes, parts)
     while not settled:
         re_hung = _large_star(edges, hubs)
         re_hung = cut(re_hung, "edges") if hubs or size >= WORTH_CUTTING else re_hung

@@ -10,6 +10,9 @@ accordingly, and the search at t is a similarity join that lists all pairs from
   of their own.  A crowd that is one component costs nothing any more.
 * A record with k partners from t on has its best k among them and asks no further.
 
+* Where rows meet by fields with few values, large blocks of them are compared in tiles
+  instead (`tiles`), which list about a pair a row.
+
 The steps only choose the order; the last one has the thresholds asked for, so the result
 is that of all pairs.  A table without crowded signatures is done in that one step.
 """
@@ -25,6 +28,7 @@ from kinweave.operators.components import components, thinned
 from kinweave.operators.similarity import (
     ASKS, ROOT, SPLIT_GAIN, SPLIT_PAIRS, WORTH_PLANNING, FuzzyField, Plan, _plan, crowds, similar_pairs,
 )
+from kinweave.operators.tiles import TILED_PAIRS, linked_blocks
 from kinweave.session import cut
 
 # Steps between the score of equal values (0) and the least score a pair can have (1).
@@ -48,14 +52,15 @@ def raised(exact: Sequence[str], fuzzy: Sequence[FuzzyField], score: float) -> l
 
 
 def _is_crowded(
-    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float, limits: dict[str, float]
+    rows: DataFrame, exact: Sequence[str], fuzzy: Sequence[FuzzyField], worth: float, limits: dict[str, float],
+    plan: Plan | None = None,
 ) -> tuple[bool, Plan | None]:
     """Whether steps are worth it, and the plan of all pairs if it was made for that; a table too
     small for that many pairs is not asked."""
     if worth <= 0 or rows.count() ** 2 < worth:
-        return worth <= 0, None
+        return worth <= 0, plan
     counted = {"split_pairs": SPLIT_PAIRS, "split_gain": SPLIT_GAIN, "worth_planning": WORTH_PLANNING} | limits
-    plan = _plan(rows, exact, fuzzy, counted["worth_planning"])
+    plan = plan or _plan(rows, exact, fuzzy, counted["worth_planning"])
     return crowds(rows, exact, fuzzy, counted["split_pairs"], counted["split_gain"], plan) >= worth, plan
 
 
@@ -66,9 +71,17 @@ def linking_pairs(
     """(id_a, id_b, score): some of the similar pairs of profile rows, with the same connected
     components as all of them and with a best pair of every row that has one.
 
+    Rows that meet in large blocks, by fields with few values, are compared there, tile by
+    tile, and no pair but those is listed.
+
     Runs jobs: a similarity join and the components a step.
     """
-    crowded, plan = _is_crowded(rows, exact, fuzzy, worth_climbing, limits)
+    plan = None
+    if worth_climbing > 0 and rows.count() ** 2 >= worth_climbing:
+        plan = _plan(rows, exact, fuzzy, limits.get("worth_planning", WORTH_PLANNING), TILED_PAIRS)
+        if plan[0] and (found := linked_blocks(rows, exact, fuzzy, min_score, plan)) is not None:
+            return found
+    crowded, plan = _is_crowded(rows, exact, fuzzy, worth_climbing, limits, plan)
     if not crowded:
         return similar_pairs(rows, exact, fuzzy, min_score, **limits, plan=plan)
     found = None

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from kinweave.session import build_session  # noqa: E402
+from kinweave.session import build_session, tune  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,6 +23,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def library_settings(request):
+    """The corpus pipeline leaves its own settings on the session that all tests share."""
+    if "spark" in request.fixturenames and "llm" not in request.path.parts:
+        tune(request.getfixturevalue("spark"))
+
+
 @pytest.fixture
 def sf_dir():
     return SF_DIR
