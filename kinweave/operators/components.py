@@ -125,8 +125,8 @@ def _numbered(edges: DataFrame) -> DataFrame:
     return cut(nodes.withColumn("n", F.monotonically_increasing_id()), "nodes")
 
 
-def _united(edges: DataFrame, nodes: DataFrame, parts: dict[int, int]) -> DataFrame:
-    """(id, root) for the ends of `edges` (hi, lo), whose numbers are in `nodes`; `parts`: how many nodes each part holds.
+def _united(edges: DataFrame, size: int, nodes: DataFrame, parts: dict[int, int]) -> DataFrame:
+    """(id, root) for the ends of `size` `edges` (hi, lo), whose numbers are in `nodes`; `parts`: how many nodes each part holds.
 
     One task unites what the links' forests leave.  It reads them in batches and holds an array of all nodes,
     so its memory is bounded by `ONE_TASK_NODES`, whatever the number of links.
@@ -168,8 +168,10 @@ def _united(edges: DataFrame, nodes: DataFrame, parts: dict[int, int]) -> DataFr
     ends = edges
     for end in ("hi", "lo"):
         ends = ends.join(nodes.withColumnsRenamed({"id": end, "n": f"n_{end}"}), end)
-    few = cut(thinned(cut(ends.select("n_hi", "n_lo"), "numbered"), WORTH_NUMBERING, ONE_RUN), "few")
-    tops = cut(few.repartition(1).mapInArrow(unite, "n long, top long"), "tops")
+    ends = ends.select("n_hi", "n_lo")
+    if size > 4 * total:  # Fewer are nearly a forest already.
+        ends = thinned(cut(ends, "numbered"), WORTH_NUMBERING, ONE_RUN)
+    tops = cut(ends.repartition(1).mapInArrow(unite, "n long, top long"), "tops")
     labelled = cut(nodes.join(tops, "n").select("id", "top"), "labelled")
     return labelled.join(cut(labelled.groupBy("top").agg(F.min("id").alias("root")), "roots"), "top").select("id", "root")
 
@@ -192,7 +194,7 @@ def components(links: DataFrame, a: str = "id_a", b: str = "id_b", hub_degree: i
         nodes = _numbered(edges)
         parts = {r.part: r["count"] for r in nodes.groupBy(F.shiftright("n", 33).cast("int").alias("part")).count().collect()}
         if sum(parts.values()) <= ONE_TASK_NODES:
-            return _united(edges, nodes, parts)
+            return _united(edges, size, nodes, parts)
     while not settled:
         re_hung = _large_star(edges, hubs)
         re_hung = cut(re_hung, "edges") if hubs or size >= WORTH_CUTTING else re_hung

@@ -74,6 +74,7 @@ def test_large_graphs_are_united_by_numbers(spark, monkeypatch, kind):
     """Chains, stars and loose links, and of links with nobody nothing comes out."""
     rng = random.Random(8)
     links = [(x, x + 1) for x in range(200)] + [(900, 1000 + x) for x in range(150)] + [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(180)]
+    links += [(x, y) for x in range(6000, 6110) for y in range(6000, 6110)] if kind == "long" else []
     links += [(x, x) for x in range(5000, 5005)] + [(None, 3), (3, None)]
     rng.shuffle(links)
     table = spark.createDataFrame(links, "id_a long, id_b long").select(*[F.col(x).cast(kind) for x in ("id_a", "id_b")]).repartition(7)
